@@ -11,16 +11,15 @@ from pyspark.sql import functions as F
 from layercake.operators.ordering import (
     DEFAULT_MAX_BUCKETS,
     DEFAULT_ROWS_PER_BUCKET,
+    POS,
+    SLICE,
     Sort,
     as_sorts,
-    bucket_column,
     bucket_count,
     complete_tiebreak,
-    sample_cut_points,
+    range_slices,
 )
 
-_BUCKET = "__lc_bucket"
-
 
 def dense_key(
     df: DataFrame,
@@ -35,16 +34,19 @@ def dense_key(
 
     Equivalent to ``row_number() OVER (ORDER BY order)`` but distributed:
 
-    1. count the rows; below ``rows_per_bucket`` a plain global window is used
-       (one task handles at most ``rows_per_bucket`` rows);
-    2. otherwise sample the sort key, cut it into range buckets (literal cut
-       points, see ``ordering``), count rows per bucket (at most
-       ``max_buckets`` numbers reach the driver), number rows inside each bucket
-       and add the bucket's offset.
+    1. count the rows; up to ``rows_per_bucket`` rows a plain global window is
+       used (one task handles at most that many rows);
+    2. otherwise range-slice the table on the sort order (about
+       ``rows_per_bucket`` rows per slice) and write it to the shared checkpoint
+       folder with each row's position inside its slice; count rows per slice
+       (one number per slice reaches the driver) and broadcast the running
+       offsets (a table of one row per slice, so its size is bounded by the slice
+       count). The key is offset + position + 1: a map-only pass, no further
+       shuffle.
 
     ``complete_order`` appends every other column as a tie-break so the numbering
-    is the same on every evaluation (stage retries included). Keys are
-    renumbered on each run: they are stable only for identical input.
+    does not depend on the physical row order. Keys are renumbered on each run:
+    they are stable only for identical input.
     """
     sorts = as_sorts(order)
     if complete_order:
@@ -52,15 +54,16 @@ def dense_key(
     order_cols = [s.column() for s in sorts]
 
     rows = df.count()
-    buckets = bucket_count(rows, rows_per_bucket, max_buckets)
-    if buckets <= 1:
+    slices = bucket_count(rows, rows_per_bucket, max_buckets)
+    if slices <= 1:
         return df.withColumn(name, F.row_number().over(Window.orderBy(*order_cols)).cast("bigint"))
 
-    cuts = sample_cut_points(df, sorts, buckets, rows)
-    bucketed = df.withColumn(_BUCKET, bucket_column(df, sorts, cuts))
-    sizes = dict(bucketed.groupBy(_BUCKET).count().collect())
-    counts = [sizes.get(b, 0) for b in range(len(cuts) + 1)]
-    offsets = [0, *accumulate(counts)][:-1]
-    offset = F.element_at(F.array(*[F.lit(o).cast("bigint") for o in offsets]), F.col(_BUCKET) + 1)
-    within = F.row_number().over(Window.partitionBy(_BUCKET).orderBy(*order_cols))
-    return bucketed.withColumn(name, (offset + within).cast("bigint")).drop(_BUCKET)
+    table = range_slices(df, sorts, slices, "dense-key")
+    sizes = sorted(table.groupBy(SLICE).count().collect())
+    starts = [0, *accumulate(n for _, n in sizes)][:-1]
+    offsets = df.sparkSession.createDataFrame(
+        [(b, start) for (b, _), start in zip(sizes, starts)], f"{SLICE} int, __lc_offset bigint"
+    )
+    keyed = table.join(F.broadcast(offsets), SLICE)
+    key = (F.col("__lc_offset") + F.col(POS) + 1).cast("bigint")
+    return keyed.select(*df.columns, key.alias(name))

@@ -1,12 +1,9 @@
-"""Sort specifications and range buckets over a composite sort key.
-
-A *range bucket* is a pure function of a row's sort key: the number of sampled
-cut points that sort strictly before the row. Because the cut points are
-literals, every evaluation of a plan -- a retried task, a recomputed stage, the
-counting pass and the numbering pass of `dense_key` -- puts a row in the same
-bucket, and buckets are contiguous, ordered slices of the global sort order.
-They split a hot key or a hot value across many tasks as long as the full sort
-key (tie-breaks included) is not itself constant.
+"""Sort specifications and range slices over a composite sort key.
+
+A *range slice* is a contiguous, ordered part of the global sort order. Slicing
+by the full sort key (tie-breaks included) splits a hot key or a hot value over
+as many tasks as its size needs, which is what lets the per-key and global
+ordered operators run without one task holding a whole group.
 """
 
 from __future__ import annotations
@@ -19,11 +16,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Defaults sized for a cluster: a bucket is sorted by one task.
+from layercake.session import scratch_dir
+
+# Defaults sized for a cluster: one slice is sorted by one task.
 DEFAULT_ROWS_PER_BUCKET = 4_000_000
-DEFAULT_MAX_BUCKETS = 1024
-SAMPLE_ROWS_PER_BUCKET = 64
-SAMPLE_SEED = 20_240_601
+DEFAULT_MAX_BUCKETS = 100_000
+SLICE = "__lc_slice"
+POS = "__lc_pos"
 
 
 @dataclass(frozen=True)
@@ -72,92 +71,26 @@ def bucket_count(rows: int, rows_per_bucket: int, max_buckets: int) -> int:
     return max(1, min(max_buckets, math.ceil(rows / max(1, rows_per_bucket))))
 
 
-def _field_types(df: DataFrame, sorts: Sequence[Sort]) -> list[T.DataType]:
-    return [df.schema[s.name].dataType for s in sorts]
-
+def range_slices(df: DataFrame, sorts: Sequence[Sort], slices: int, label: str) -> DataFrame:
+    """Cut ``df`` into ``slices`` contiguous ranges of the sort order and write it
+    to the shared checkpoint folder.
 
-def sample_cut_points(
-    df: DataFrame,
-    sorts: Sequence[Sort],
-    buckets: int,
-    rows: int,
-    seed: int = SAMPLE_SEED,
-) -> list[tuple]:
-    """Sample the sort key and return up to ``buckets - 1`` ascending cut points.
-
-    Only a bounded sample (about ``SAMPLE_ROWS_PER_BUCKET`` rows per bucket)
-    reaches the driver. Timestamps travel as strings rendered by Spark so the
-    literal built from them is exact.
+    The result has two extra columns: ``__lc_slice`` (slice id; every row of slice
+    i sorts before every row of slice i+1, equal keys share a slice) and
+    ``__lc_pos`` (0-based position inside the slice in sort order). Spark's own
+    range partitioner picks the bounds from a sample and places rows by binary
+    search, so any number of slices costs the same per row. Writing the table
+    fixes the assignment: every later pass, and every task retry, reads the same
+    slices instead of re-sampling.
     """
-    if buckets <= 1 or rows == 0:
-        return []
-    fraction = min(1.0, buckets * SAMPLE_ROWS_PER_BUCKET / rows)
-    types = _field_types(df, sorts)
-    render = [
-        F.col(s.name).cast("string").alias(s.name)
-        if isinstance(t, (T.TimestampType, T.TimestampNTZType))
-        else F.col(s.name)
-        for s, t in zip(sorts, types)
-    ]
-    sample = (
-        df.select(*[s.name for s in sorts])
-        .sample(withReplacement=False, fraction=fraction, seed=seed)
-        .orderBy(*[s.column() for s in sorts])
-        .select(*render)
-        .collect()
+    order = [s.column() for s in sorts]
+    sliced = (
+        df.repartitionByRange(slices, *order)
+        .sortWithinPartitions(*order)
+        .withColumn(SLICE, F.spark_partition_id())
+        .withColumn(POS, F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("bigint"), 33))
     )
-    cuts: list[tuple] = []
-    for i in range(1, buckets):
-        idx = i * len(sample) // buckets
-        if idx >= len(sample):
-            break
-        cut = tuple(sample[idx])
-        if not cuts or cuts[-1] != cut:
-            cuts.append(cut)
-    return cuts
-
-
-def _literal(value: object, dtype: T.DataType) -> Column:
-    # timestamps arrive as Spark-rendered strings, everything else as its own value
-    return F.lit(value).cast(dtype)
-
-
-def _after_one(c: Column, value: object, dtype: T.DataType, s: Sort) -> Column:
-    """Row value sorts strictly after ``value`` in this column's order."""
-    if value is None:
-        return c.isNotNull() if s.nulls_first else F.lit(False)
-    v = _literal(value, dtype)
-    beyond = F.coalesce(c < v if s.descending else c > v, F.lit(False))
-    return beyond if s.nulls_first else (c.isNull() | beyond)
-
-
-def _same_one(c: Column, value: object, dtype: T.DataType) -> Column:
-    if value is None:
-        return c.isNull()
-    return F.coalesce(c == _literal(value, dtype), F.lit(False))
-
-
-def sorts_after(sorts: Sequence[Sort], types: Sequence[T.DataType], cut: tuple) -> Column:
-    """Lexicographic "row sorts strictly after ``cut``" (never NULL)."""
-    expr: Column | None = None
-    for s, t, v in reversed(list(zip(sorts, types, cut))):
-        c = F.col(s.name)
-        here = _after_one(c, v, t, s)
-        expr = here if expr is None else here | (_same_one(c, v, t) & expr)
-    return expr if expr is not None else F.lit(False)
-
-
-def bucket_column(df: DataFrame, sorts: Sequence[Sort], cuts: Sequence[tuple]) -> Column:
-    """Bucket id in ``0..len(cuts)``: a balanced decision tree over the cut points,
-    so a row is placed with about log2(#cuts) comparisons."""
-    types = _field_types(df, sorts)
-
-    def tree(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(sorts_after(sorts, types, cuts[mid]), tree(mid + 1, hi)).otherwise(
-            tree(lo, mid)
-        )
-
-    return tree(0, len(cuts)).cast("int")
+    spark = df.sparkSession
+    path = scratch_dir(spark, label)
+    sliced.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

@@ -11,11 +11,11 @@ from pyspark.sql import types as T
 from layercake.operators.ordering import (
     DEFAULT_MAX_BUCKETS,
     DEFAULT_ROWS_PER_BUCKET,
+    SLICE,
     Sort,
     as_sorts,
-    bucket_column,
     bucket_count,
-    sample_cut_points,
+    range_slices,
 )
 
 
@@ -83,12 +83,14 @@ def validity_end(
     """``out = lead(start) OVER (PARTITION BY key ORDER BY start NULLS LAST,
     tiebreak) - 1 day`` -- close each version the day before the next one starts.
 
-    Skew-safe: when the table is larger than ``rows_per_bucket`` rows the window
-    runs per (key, range bucket of (key, start, tiebreak)), so one key's history
-    is spread over as many tasks as its size needs. The last row of each bucket
-    takes its successor from a small per-(key, bucket) table of first starts
-    (at most ``max_buckets`` rows per key). Pass a unique ``tiebreak`` when starts
-    can tie inside a key; ties are otherwise ordered arbitrarily.
+    Skew-safe: when the table is larger than ``rows_per_bucket`` rows it is first
+    range-sliced on (key, start, tiebreak) and written to the shared checkpoint
+    folder (see ``range_slices``); the window then runs per (key, slice), so one
+    key's history is spread over as many tasks as its size needs. The last row
+    of each (key, slice) takes its successor from a per-(key, slice) table of
+    first starts, which holds one row per slice a key touches. Pass a unique
+    ``tiebreak`` when starts can tie inside a key; ties are otherwise ordered
+    arbitrarily.
     """
     keys = [key] if isinstance(key, str) else list(key)
     order = [Sort(start), *as_sorts(tiebreak)]
@@ -101,15 +103,13 @@ def validity_end(
         return df.withColumn(out, F.date_sub(F.lead(start).over(w), 1))
 
     composite = [Sort(k, nulls_first=True) for k in keys] + order
-    cuts = sample_cut_points(df, composite, buckets, rows)
+    staged = range_slices(df, composite, buckets, "validity-end")
     key_cols: list[str] = []
-    staged = df
     for i, k in enumerate(keys):
         isnull, value = _non_null_key(k, df.schema[k].dataType)
         staged = staged.withColumn(f"__lc_kn{i}", isnull).withColumn(f"__lc_kv{i}", value)
         key_cols += [f"__lc_kn{i}", f"__lc_kv{i}"]
-    staged = staged.withColumn("__lc_b", bucket_column(df, composite, cuts))
-    group = [*key_cols, "__lc_b"]
+    group = [*key_cols, SLICE]
 
     w = Window.partitionBy(*group).orderBy(*order_cols)
     local = staged.withColumn("__lc_next", F.lead(start).over(w)).withColumn(
@@ -120,7 +120,7 @@ def validity_end(
     firsts = staged.groupBy(*group).agg(F.min(start).alias("__lc_first"))
     successor = firsts.select(
         *group,
-        F.lead("__lc_first").over(Window.partitionBy(*key_cols).orderBy("__lc_b")).alias("__lc_nf"),
+        F.lead("__lc_first").over(Window.partitionBy(*key_cols).orderBy(SLICE)).alias("__lc_nf"),
     )
     joined = local.join(successor, on=group, how="left")
     nxt = F.when(F.col("__lc_last"), F.col("__lc_nf")).otherwise(F.col("__lc_next"))

@@ -12,6 +12,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from layercake.functions import (
     fallback,
@@ -30,6 +31,8 @@ from layercake.functions import (
 from layercake.operators import asc, check_rules, current_only, dense_key, desc, keep_latest, validity_end
 from layercake.plans import gold, silver
 from layercake.plans.gold import GENDER_UNKNOWN_INTENDED
+from layercake.session import materialize, scratch_dir
+from layercake.sources import DatasetSpec, NA_TOKENS, read_csv_source, read_layer, write_layer
 from layercake.plans.standins import (
     STANDIN_AS_OF,
     Tables,
@@ -389,9 +392,11 @@ def gold_dim_products(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def gold_fact_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Like the gold runner, the fact joins *materialized* dimensions: their keys
+    are fixed once, and sizing the join sides scans written data."""
     s = _silver_frames(spark, sf_dir)
-    products = gold.dim_products(s["crm.prd_info"], s["erp.px_cat_g1v2"])
-    customers = gold.dim_customers(s["crm.cust_info"], s["erp.cust_az12"], s["erp.loc_a101"])
+    products = materialize(gold.dim_products(s["crm.prd_info"], s["erp.px_cat_g1v2"]))
+    customers = materialize(gold.dim_customers(s["crm.cust_info"], s["erp.cust_az12"], s["erp.loc_a101"]))
     return gold.fact_sales(s["crm.sales_details"], products, customers)
 
 
@@ -419,6 +424,67 @@ def layer_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionAll, counts)
 
 
+# ------------------------------------------------------------ sources and sinks
+
+# A few cell values written into the CSV on purpose: missing-value tokens, a
+# token with a leading space (kept), embedded quotes and separators.
+CSV_NAME_VARIANTS = ("NA", "n/a", "NULL", "#N/A", " NA", 'say "hi"', "", "nan", "None", "a,b")
+PART_CSV = DatasetSpec(
+    "driver",
+    "part",
+    "part.csv",
+    T.StructType(
+        [
+            T.StructField("p_partkey", T.LongType()),
+            T.StructField("p_name", T.StringType()),
+            T.StructField("p_brand", T.StringType()),
+            T.StructField("p_size", T.LongType()),
+            T.StructField("p_retailprice", T.DoubleType()),
+        ]
+    ),
+)
+
+
+def csv_ingest_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """part -> CSV (with NA tokens, quotes, commas) in the shared scratch folder
+    -> typed ingest. Proves quoting, NA handling and numeric casts of SRC-1."""
+    p = table_reader(spark, sf_dir)("part")
+    k = F.col("p_partkey")
+    name = _case(k % 12, list(enumerate(CSV_NAME_VARIANTS)), F.col("p_name"))
+    text = p.select(
+        k.cast("string").alias("P_PARTKEY"),
+        name.alias("p_name"),
+        "p_brand",
+        F.when(k % 9 == 0, F.lit("NULL")).otherwise(F.col("p_size").cast("string")).alias("p_size"),
+        F.when(k % 10 == 0, F.lit("NaN")).otherwise(F.col("p_retailprice").cast("string")).alias("p_retailprice"),
+    )
+    folder = scratch_dir(spark, "csv-ingest")
+    (
+        text.write.option("header", True)
+        .option("quote", '"')
+        .option("escape", '"')
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
+        .csv(folder)
+    )
+    return read_csv_source(spark, folder, PART_CSV).withColumnRenamed("P_PARTKEY", "p_partkey")
+
+
+def partition_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write two days of a layer dataset, re-run the second day with new content
+    and read everything back: day one is untouched, day two replaced."""
+    region = table_reader(spark, sf_dir)("region")
+    base = scratch_dir(spark, "lake")
+    write_layer(region, base, "silver", "region", "2026-01-01", "driver")
+    write_layer(region.withColumn("r_name", F.upper("r_name")), base, "silver", "region", "2026-01-02", "driver")
+    write_layer(region.withColumn("r_name", F.lower("r_name")), base, "silver", "region", "2026-01-02", "driver")
+    days = [
+        read_layer(spark, base, "silver", "region", d, "driver").withColumn("ingest_date", F.lit(d))
+        for d in ("2026-01-01", "2026-01-02")
+    ]
+    return days[0].unionByName(days[1])
+
+
 QUERIES: dict[str, Query] = {
     "title_case_names": title_case_names,
     "map_codes_status": map_codes_status,
@@ -453,4 +519,6 @@ QUERIES: dict[str, Query] = {
     "gold_fact_sales": gold_fact_sales,
     "rule_violations": rule_violations,
     "layer_counts": layer_counts,
+    "csv_ingest_roundtrip": csv_ingest_roundtrip,
+    "partition_overwrite": partition_overwrite,
 }

@@ -344,6 +344,15 @@ RULES = {
     "order_not_after_ship": "sls_order_dt <= sls_ship_dt",
 }
 
+# The missing-value tokens of the CSV reader (see sources.csv).
+NA_LIST = (
+    "'', '#N/A', '#N/A N/A', '#NA', '-1.#IND', '-1.#QNAN', '-NaN', '-nan', '1.#IND', '1.#QNAN', "
+    "'<NA>', 'N/A', 'NA', 'NULL', 'NaN', 'None', 'n/a', 'nan', 'null'"
+)
+CSV_NAMES = """CASE p_partkey % 12 WHEN 0 THEN 'NA' WHEN 1 THEN 'n/a' WHEN 2 THEN 'NULL' WHEN 3 THEN '#N/A'
+    WHEN 4 THEN ' NA' WHEN 5 THEN 'say "hi"' WHEN 6 THEN '' WHEN 7 THEN 'nan' WHEN 8 THEN 'None'
+    WHEN 9 THEN 'a,b' ELSE p_name END"""
+
 ORACLE_SQL: dict[str, str] = {
     "title_case_names": f"""
 SELECT p_partkey, p_name_raw, {title_sql('p_name_raw')} AS p_name_title
@@ -490,4 +499,15 @@ FROM (SELECT o_orderkey, o_custkey, CAST(o_orderdate AS DATE) AS order_date FROM
             for dataset, cte in SILVER_DATASETS.items()
         ),
     ),
+    "csv_ingest_roundtrip": f"""
+SELECT p_partkey,
+  CASE WHEN name IN ({NA_LIST}) THEN NULL ELSE name END AS p_name,
+  p_brand,
+  CASE WHEN p_partkey % 9 = 0 THEN NULL ELSE CAST(p_size AS BIGINT) END AS p_size,
+  CASE WHEN p_partkey % 10 = 0 THEN NULL ELSE p_retailprice END AS p_retailprice
+FROM (SELECT *, {CSV_NAMES} AS name FROM part)""",
+    "partition_overwrite": """
+SELECT r_regionkey, r_name, '2026-01-01' AS ingest_date FROM region
+UNION ALL
+SELECT r_regionkey, lower(r_name), '2026-01-02' AS ingest_date FROM region""",
 }

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Session settings every job relies on.
 #  * ANSI on: overflow and bad casts raise instead of silently wrapping.
@@ -67,3 +67,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder under the shared checkpoint folder for intermediate tables."""
     return f"{checkpoint_dir(spark).rstrip('/')}/scratch/{label}-{uuid.uuid4().hex}"
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint into the shared checkpoint folder: the plan is
+    computed once, later reads (and task retries after a lost executor) start
+    from the written data instead of the lineage."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
