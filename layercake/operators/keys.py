@@ -8,6 +8,7 @@ from itertools import accumulate
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from layercake.session import write_scratch
 from layercake.operators.ordering import (
     DEFAULT_MAX_BUCKETS,
     DEFAULT_ROWS_PER_BUCKET,
@@ -34,7 +35,8 @@ def dense_key(
 
     Equivalent to ``row_number() OVER (ORDER BY order)`` but distributed:
 
-    1. count the rows; up to ``rows_per_bucket`` rows a plain global window is
+    1. write the input once to the shared scratch folder and count it (from
+       file metadata); up to ``rows_per_bucket`` rows a plain global window is
        used (one task handles at most that many rows);
     2. otherwise range-slice the table on the sort order (about
        ``rows_per_bucket`` rows per slice) and write it to the shared checkpoint
@@ -53,12 +55,15 @@ def dense_key(
         sorts = complete_tiebreak(df, sorts)
     order_cols = [s.column() for s in sorts]
 
-    rows = df.count()
+    # The input is usually a join; write it once so the count, the slicing and
+    # the numbering all read the same rows without re-running the join.
+    fixed = write_scratch(df, "dense-key-input")
+    rows = fixed.count()
     slices = bucket_count(rows, rows_per_bucket, max_buckets)
     if slices <= 1:
-        return df.withColumn(name, F.row_number().over(Window.orderBy(*order_cols)).cast("bigint"))
+        return fixed.withColumn(name, F.row_number().over(Window.orderBy(*order_cols)).cast("bigint"))
 
-    table = range_slices(df, sorts, slices, "dense-key")
+    table = range_slices(fixed, sorts, slices, "dense-key")
     sizes = sorted(table.groupBy(SLICE).count().collect())
     starts = [0, *accumulate(n for _, n in sizes)][:-1]
     offsets = df.sparkSession.createDataFrame(

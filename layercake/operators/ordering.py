@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from layercake.session import scratch_dir
+from layercake.session import write_scratch
 
 # Defaults sized for a cluster: one slice is sorted by one task.
 DEFAULT_ROWS_PER_BUCKET = 4_000_000
@@ -90,7 +90,4 @@ def range_slices(df: DataFrame, sorts: Sequence[Sort], slices: int, label: str)
         .withColumn(SLICE, F.spark_partition_id())
         .withColumn(POS, F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("bigint"), 33))
     )
-    spark = df.sparkSession
-    path = scratch_dir(spark, label)
-    sliced.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return write_scratch(sliced, label)

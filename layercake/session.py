@@ -23,6 +23,9 @@ BASE_CONF: dict[str, str] = {
     "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
     "spark.sql.parquet.compression.codec": "zstd",
+    # Stages whose generated method would exceed HotSpot's JIT limit (8000 bytes
+    # of bytecode) fall back to per-operator code instead of running interpreted.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.ui.enabled": "false",
 }
 
@@ -75,3 +78,13 @@ def materialize(df: DataFrame) -> DataFrame:
     from the written data instead of the lineage."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def write_scratch(df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` as Parquet under the shared scratch folder and read it back:
+    the plan runs once, later passes read columnar data (row counts come from
+    file metadata) and never re-run the lineage."""
+    spark = df.sparkSession
+    path = scratch_dir(spark, label)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
