@@ -1,0 +1,7 @@
+"""Intentionally empty.
+
+Every pipeline of this engine is a daily batch over one business date: there are
+no streams, watermarks, windows over event time or state to re-express. Daily
+runs are incremental by partition (``ingest_date``) through the batch runner in
+``layercake.plans.runner``.
+"""
