@@ -55,3 +55,19 @@ def test_query_matches_oracle(spark, duck, name):
     idx = [names.index(c) for c in cols]
     want = Counter(tuple(norm(row[i]) for i in idx) for row in res.fetchall())
     assert got == want
+
+
+@pytest.mark.parametrize("name", ["gold_fact_sales", "silver_cust_info", "title_case_names", "rule_violations"])
+def test_plans_stay_in_the_jvm(spark, name):
+    """No Python UDF evaluation in the plans (title case uses a Catalyst lambda)."""
+    df = entry.queries()[name](spark, SF)
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
+
+
+def test_fact_scan_prunes_columns(spark):
+    df = entry.queries()["silver_sales_details"](spark, SF)
+    plan = df._jdf.queryExecution().sparkPlan().toString()
+    lineitem_scan = [line for line in plan.split("\n") if "lineitem.parquet" in line][0]
+    assert "l_discount" not in lineitem_scan and "l_returnflag" not in lineitem_scan
