@@ -28,13 +28,14 @@ from layercake.functions import (
     strip_prefix,
     title_case,
 )
-from layercake.operators import asc, check_rules, current_only, dense_key, desc, keep_latest, validity_end
-from layercake.plans import gold, silver
+from layercake.operators import current_only, dense_key, desc, keep_latest, validity_end
+from layercake.plans import gold, quality, silver
 from layercake.plans.gold import GENDER_UNKNOWN_INTENDED
-from layercake.session import materialize, scratch_dir
+from layercake.session import scratch_dir, write_scratch
 from layercake.sources import DatasetSpec, NA_TOKENS, read_csv_source, read_layer, write_layer
 from layercake.plans.standins import (
     STANDIN_AS_OF,
+    case_of as _case,
     Tables,
     bronze_cust_az12,
     bronze_cust_info,
@@ -56,16 +57,6 @@ FUTURE_AS_OF = "1998-01-01"
 DEMO_ROWS_PER_BUCKET = 1000
 
 
-def _case(c: Column, pairs: list[tuple[int, object]], default: object) -> Column:
-    def val(v: object) -> Column:
-        return v if isinstance(v, Column) else F.lit(v).cast("string")
-
-    expr = None
-    for k, v in pairs:
-        expr = F.when(c == k, val(v)) if expr is None else expr.when(c == k, val(v))
-    return expr.otherwise(val(default))
-
-
 # ------------------------------------------------------------- column functions
 
 
@@ -338,16 +329,31 @@ def dense_key_distributed(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ------------------------------------------------------------- silver and gold
 
 
-def _silver_frames(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    t = table_reader(spark, sf_dir)
-    return {
-        "crm.cust_info": silver.cust_info(bronze_cust_info(t)),
-        "crm.prd_info": silver.prd_info(bronze_prd_info(t)),
-        "crm.sales_details": silver.sales_details(bronze_sales_details(t)),
-        "erp.cust_az12": silver.cust_az12(bronze_cust_az12(t), STANDIN_AS_OF),
-        "erp.loc_a101": silver.loc_a101(bronze_loc_a101(t)),
-        "erp.px_cat_g1v2": silver.px_cat_g1v2(bronze_px_cat_g1v2(t)),
-    }
+SILVER_STANDINS: dict[str, Callable[[Tables], DataFrame]] = {
+    "crm.cust_info": lambda t: silver.cust_info(bronze_cust_info(t)),
+    "crm.prd_info": lambda t: silver.prd_info(bronze_prd_info(t)),
+    "crm.sales_details": lambda t: silver.sales_details(bronze_sales_details(t)),
+    "erp.cust_az12": lambda t: silver.cust_az12(bronze_cust_az12(t), STANDIN_AS_OF),
+    "erp.loc_a101": lambda t: silver.loc_a101(bronze_loc_a101(t)),
+    "erp.px_cat_g1v2": lambda t: silver.px_cat_g1v2(bronze_px_cat_g1v2(t)),
+}
+
+
+class _Silver:
+    """Silver stand-in frames, built on first use (some run sizing jobs)."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str) -> None:
+        self._tables = table_reader(spark, sf_dir)
+        self._built: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._built:
+            self._built[name] = SILVER_STANDINS[name](self._tables)
+        return self._built[name]
+
+
+def _silver_frames(spark: SparkSession, sf_dir: str) -> _Silver:
+    return _Silver(spark, sf_dir)
 
 
 def silver_cust_info(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -395,31 +401,36 @@ def gold_fact_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Like the gold runner, the fact joins *materialized* dimensions: their keys
     are fixed once, and sizing the join sides scans written data."""
     s = _silver_frames(spark, sf_dir)
-    products = materialize(gold.dim_products(s["crm.prd_info"], s["erp.px_cat_g1v2"]))
-    customers = materialize(gold.dim_customers(s["crm.cust_info"], s["erp.cust_az12"], s["erp.loc_a101"]))
+    products = write_scratch(gold.dim_products(s["crm.prd_info"], s["erp.px_cat_g1v2"]), "dim-products")
+    customers = write_scratch(
+        gold.dim_customers(s["crm.cust_info"], s["erp.cust_az12"], s["erp.loc_a101"]), "dim-customers"
+    )
     return gold.fact_sales(s["crm.sales_details"], products, customers)
 
 
 # --------------------------------------------------------------- checks, counts
 
-def sales_rules() -> dict[str, Column]:
-    """Invariants of the silver sales lines (the repair's own check first)."""
-    return {
-        "sales_equals_quantity_times_price": F.col("sls_sales") == F.col("sls_quantity") * F.abs(F.col("sls_price")),
-        "price_positive": F.col("sls_price") > 0,
-        "quantity_positive": F.col("sls_quantity") > 0,
-        "order_not_after_ship": F.col("sls_order_dt") <= F.col("sls_ship_dt"),
-    }
+def rule_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.check_sales(silver_sales_details(spark, sf_dir))
 
 
-def rule_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return check_rules(silver_sales_details(spark, sf_dir), sales_rules())
+def fact_rule_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.check_fact(gold_fact_sales(spark, sf_dir))
+
+
+def duplicated_customer_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.duplicated_customers(gold_dim_customers(spark, sf_dir))
+
+
+def unmatched_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.unmatched_categories(gold_dim_products(spark, sf_dir))
 
 
 def layer_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = _silver_frames(spark, sf_dir)
     counts = [
-        df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("dataset"), "row_count")
-        for name, df in _silver_frames(spark, sf_dir).items()
+        s[name].agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("dataset"), "row_count")
+        for name in SILVER_STANDINS
     ]
     return reduce(DataFrame.unionAll, counts)
 
@@ -518,6 +529,9 @@ QUERIES: dict[str, Query] = {
     "gold_dim_products": gold_dim_products,
     "gold_fact_sales": gold_fact_sales,
     "rule_violations": rule_violations,
+    "fact_rule_violations": fact_rule_violations,
+    "duplicated_customer_keys": duplicated_customer_keys,
+    "unmatched_categories": unmatched_categories,
     "layer_counts": layer_counts,
     "csv_ingest_roundtrip": csv_ingest_roundtrip,
     "partition_overwrite": partition_overwrite,

@@ -353,6 +353,27 @@ CSV_NAMES = """CASE p_partkey % 12 WHEN 0 THEN 'NA' WHEN 1 THEN 'n/a' WHEN 2 THE
     WHEN 4 THEN ' NA' WHEN 5 THEN 'say "hi"' WHEN 6 THEN '' WHEN 7 THEN 'nan' WHEN 8 THEN 'None'
     WHEN 9 THEN 'a,b' ELSE p_name END"""
 
+FACT_RULES = {
+    "product_resolved": "product_key IS NOT NULL",
+    "customer_resolved": "customer_key IS NOT NULL",
+    "order_date_present": "order_date IS NOT NULL",
+    "amount_equals_quantity_times_price": "sales_amount = quantity * abs(price)",
+}
+FACT_CHAIN = [
+    *CUSTOMER_CHAIN, "gold_dim_customers", *PRODUCT_CHAIN, "gold_dim_products",
+    "bronze_sales_details", "silver_sales_details", "gold_fact_sales",
+]
+
+
+def _rules_sql(table: str, rules: dict[str, str]) -> str:
+    return "\nUNION ALL\n".join(
+        f"SELECT '{name}' AS rule, CAST(count_if(NOT ({pred})) AS BIGINT) AS violations, "
+        f"CAST(count_if(({pred}) IS NULL) AS BIGINT) AS unknown, CAST(count(*) AS BIGINT) AS checked "
+        f"FROM {table}"
+        for name, pred in rules.items()
+    )
+
+
 ORACLE_SQL: dict[str, str] = {
     "title_case_names": f"""
 SELECT p_partkey, p_name_raw, {title_sql('p_name_raw')} AS p_name_title
@@ -478,19 +499,16 @@ FROM (SELECT o_orderkey, o_custkey, CAST(o_orderdate AS DATE) AS order_date FROM
         "gold_dim_customers_intended", [*CUSTOMER_CHAIN, "gold_dim_customers_intended"]
     ),
     "gold_dim_products": _dataset("gold_dim_products", [*PRODUCT_CHAIN, "gold_dim_products"]),
-    "gold_fact_sales": _dataset(
-        "gold_fact_sales",
-        [*CUSTOMER_CHAIN, "gold_dim_customers", *PRODUCT_CHAIN, "gold_dim_products",
-         "bronze_sales_details", "silver_sales_details", "gold_fact_sales"],
+    "gold_fact_sales": _dataset("gold_fact_sales", FACT_CHAIN),
+    "rule_violations": _with(["bronze_sales_details", "silver_sales_details"], _rules_sql("silver_sales_details", RULES)),
+    "fact_rule_violations": _with(FACT_CHAIN, _rules_sql("gold_fact_sales", FACT_RULES)),
+    "duplicated_customer_keys": _with(
+        [*CUSTOMER_CHAIN, "gold_dim_customers"],
+        "SELECT customer_id, count(*) AS copies FROM gold_dim_customers GROUP BY customer_id HAVING count(*) > 1",
     ),
-    "rule_violations": _with(
-        ["bronze_sales_details", "silver_sales_details"],
-        "\nUNION ALL\n".join(
-            f"SELECT '{name}' AS rule, CAST(count_if(NOT ({pred})) AS BIGINT) AS violations, "
-            f"CAST(count_if(({pred}) IS NULL) AS BIGINT) AS unknown, CAST(count(*) AS BIGINT) AS checked "
-            f"FROM silver_sales_details"
-            for name, pred in RULES.items()
-        ),
+    "unmatched_categories": _with(
+        [*PRODUCT_CHAIN, "gold_dim_products"],
+        "SELECT category_id, count(*) AS products FROM gold_dim_products WHERE category IS NULL GROUP BY category_id",
     ),
     "layer_counts": _with(
         ALL_SILVER,

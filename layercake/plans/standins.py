@@ -28,7 +28,7 @@ def table_reader(spark: SparkSession, sf_dir: str) -> Tables:
     return read
 
 
-def _case(c: Column, pairs: list[tuple[int, Column | str | None]], default: Column | str | None) -> Column:
+def case_of(c: Column, pairs: list[tuple[int, Column | str | None]], default: Column | str | None) -> Column:
     """CASE c WHEN k THEN v ... ELSE default (literal or Column values)."""
     def val(v: Column | str | None) -> Column:
         return v if isinstance(v, Column) else F.lit(v).cast("string")
@@ -71,7 +71,7 @@ def bronze_cust_info(t: Tables) -> DataFrame:
         .otherwise(F.col("o_custkey").cast("double"))
         .alias("cst_id"),
         _aw_key(F.col("o_custkey")).alias("cst_key"),
-        _case(
+        case_of(
             k % 8,
             [
                 (0, base),
@@ -84,13 +84,13 @@ def bronze_cust_info(t: Tables) -> DataFrame:
             ],
             F.lower(base),
         ).alias("cst_firstname"),
-        _case(
+        case_of(
             k % 5,
             [(0, None), (1, F.upper(status)), (2, F.concat(F.lit(" "), status)), (3, status)],
             F.concat(status, F.lit("  jr")),
         ).alias("cst_lastname"),
-        _case(k % 5, [(0, "S"), (1, "M"), (2, "s"), (3, None)], "X").alias("cst_marital_status"),
-        _case(k % 4, [(0, "M"), (1, "F"), (2, None)], "U").alias("cst_gndr"),
+        case_of(k % 5, [(0, "S"), (1, "M"), (2, "s"), (3, None)], "X").alias("cst_marital_status"),
+        case_of(k % 4, [(0, "M"), (1, "F"), (2, None)], "U").alias("cst_gndr"),
         F.when(k % 13 == 0, F.lit(None).cast("string"))
         .when(k % 19 == 0, F.substring(iso, 1, 7))
         .when(k % 29 == 0, F.lit("not a date"))
@@ -122,7 +122,7 @@ def bronze_prd_info(t: Tables) -> DataFrame:
         key.alias("prd_key"),
         F.col("p_name").alias("prd_nm"),
         F.when(k % 31 == 0, F.lit(None).cast("double")).otherwise(F.col("p_retailprice")).alias("prd_cost"),
-        _case(k % 6, [(0, "M "), (1, "R "), (2, " s"), (3, "T "), (4, None)], "Z").alias("prd_line"),
+        case_of(k % 6, [(0, "M "), (1, "R "), (2, " s"), (3, "T "), (4, None)], "Z").alias("prd_line"),
         start.alias("prd_start_dt"),
         F.lit(None).cast("string").alias("prd_end_dt"),
     )
@@ -139,7 +139,7 @@ def bronze_px_cat_g1v2(t: Tables) -> DataFrame:
     return p.distinct().where(F.col("ID") != MISSING_CATEGORY)
 
 
-def _amount_case(m: Column, default: Column, pairs: list[tuple[list[int], Column | None]]) -> Column:
+def _amountcase_of(m: Column, default: Column, pairs: list[tuple[list[int], Column | None]]) -> Column:
     expr = None
     for ks, v in pairs:
         value = v if v is not None else F.lit(None).cast("bigint")
@@ -190,9 +190,9 @@ def bronze_sales_details(t: Tables) -> DataFrame:
         F.when(ok % 11 == 0, F.lit(None).cast("bigint"))
         .otherwise(_int_date(F.date_add(ship, 30)))
         .alias("sls_due_dt"),
-        _amount_case(m, s, [([1, 6, 12], None), ([2], F.lit(0).cast("bigint")), ([3, 13], -s), ([4], s + 1)]).alias("sls_sales"),
-        _amount_case(m, q, [([9, 10], F.lit(0).cast("bigint")), ([11], None)]).alias("sls_quantity"),
-        _amount_case(m, p, [([5, 6, 10, 13], None), ([7], F.lit(0).cast("bigint")), ([8, 12], -p)]).alias("sls_price"),
+        _amountcase_of(m, s, [([1, 6, 12], None), ([2], F.lit(0).cast("bigint")), ([3, 13], -s), ([4], s + 1)]).alias("sls_sales"),
+        _amountcase_of(m, q, [([9, 10], F.lit(0).cast("bigint")), ([11], None)]).alias("sls_quantity"),
+        _amountcase_of(m, p, [([5, 6, 10, 13], None), ([7], F.lit(0).cast("bigint")), ([8, 12], -p)]).alias("sls_price"),
     )
 
 
@@ -208,7 +208,7 @@ def bronze_cust_az12(t: Tables) -> DataFrame:
 
     def frame(gen: Column) -> DataFrame:
         return c.select(
-            _case(k % 5, [(0, F.concat(F.lit("NAS"), key)), (1, F.concat(F.lit("nas"), key))], key).alias("cid"),
+            case_of(k % 5, [(0, F.concat(F.lit("NAS"), key)), (1, F.concat(F.lit("nas"), key))], key).alias("cid"),
             F.when(k % 17 == 0, F.lit(None).cast("string"))
             .when(k % 19 == 0, F.lit("unknown"))
             .when(k % 23 == 0, F.replace(iso, F.lit("-"), F.lit("/")))
@@ -218,7 +218,7 @@ def bronze_cust_az12(t: Tables) -> DataFrame:
             gen.alias("gen"),
         )
 
-    gen = _case(
+    gen = case_of(
         k % 8,
         [(0, "F"), (1, "Female"), (2, "FEMALE "), (3, " m"), (4, "Male"), (5, ""), (6, "X")],
         None,
@@ -237,7 +237,7 @@ def bronze_loc_a101(t: Tables) -> DataFrame:
         .when(k % 7 == 0, F.concat(F.lit("A-W-"), padded))
         .otherwise(F.concat(F.lit("AW-"), padded))
         .alias("cid"),
-        _case(
+        case_of(
             F.col("c_nationkey") % 8,
             [(0, "DE"), (1, "US"), (2, "USA "), (3, ""), (4, "  "), (5, None), (6, " France ")],
             "de",
