@@ -16,6 +16,7 @@ import argparse
 import logging
 import time
 from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -85,24 +86,36 @@ def _timed(layer: str, name: str, index: int, total: int, work: Callable[[], int
     return result
 
 
+def _run_steps(layer: str, steps: Sequence[tuple[str, Callable[[], int]]], parallelism: int) -> list[StepResult]:
+    """Run independent steps, ``parallelism`` at a time, as concurrent jobs of the
+    same session (results keep the step order; the first failure propagates)."""
+    total = len(steps)
+    if parallelism <= 1:
+        return [_timed(layer, name, i, total, work) for i, (name, work) in enumerate(steps, 1)]
+    with ThreadPoolExecutor(max_workers=parallelism, thread_name_prefix=f"layercake-{layer}") as pool:
+        futures = [
+            pool.submit(_timed, layer, name, i, total, work) for i, (name, work) in enumerate(steps, 1)
+        ]
+        return [f.result() for f in futures]
+
+
 def run_bronze(
-    spark: SparkSession, base: str, source_dir: str, date: str | None = None
+    spark: SparkSession, base: str, source_dir: str, date: str | None = None, parallelism: int = 1
 ) -> list[StepResult]:
     """CSV files of every catalogued dataset -> bronze partitions of ``date``."""
     day = resolve_partition_date(date)
-    specs = all_datasets()
-    results = []
-    for i, spec in enumerate(specs, 1):
+    steps = []
+    for spec in all_datasets():
         path = f"{source_dir.rstrip('/')}/{spec.source}/{spec.source_file}"
-        results.append(
-            _timed(
-                "bronze", spec.qualified, i, len(specs),
+        steps.append(
+            (
+                spec.qualified,
                 lambda spec=spec, path=path: write_layer(
                     read_csv_source(spark, path, spec), base, "bronze", spec.name, day, spec.source
                 ),
             )
         )
-    return results
+    return _run_steps("bronze", steps, parallelism)
 
 
 def transform_dataset(
@@ -121,23 +134,26 @@ def run_silver(
     date: str | None = None,
     as_of: str | None = None,
     datasets: Sequence[str] | None = None,
+    parallelism: int = 1,
 ) -> list[StepResult]:
-    """Every silver dataset (or the named ones) for one day, in registry order."""
+    """Every silver dataset (or the named ones) for one day. The datasets are
+    independent, so ``parallelism`` > 1 submits them as concurrent jobs."""
     day = resolve_partition_date(date)
     names = list(datasets) if datasets else [s.qualified for s in SILVER_STEPS]
     for name in names:
         silver_step(name)
-    results = [
-        _timed("silver", name, i, len(names), lambda name=name: transform_dataset(spark, base, name, day, as_of))
-        for i, name in enumerate(names, 1)
-    ]
+    steps = [(name, lambda name=name: transform_dataset(spark, base, name, day, as_of)) for name in names]
+    results = _run_steps("silver", steps, parallelism)
     log.info("silver done: %d datasets, %d rows", len(results), sum(r.rows for r in results))
     return results
 
 
-def run_gold(spark: SparkSession, base: str, date: str | None = None) -> list[StepResult]:
-    """Dimensions first, then the fact, which reads the *written* dimensions so
-    the surrogate keys it resolves are exactly the published ones."""
+def run_gold(
+    spark: SparkSession, base: str, date: str | None = None, parallelism: int = 1
+) -> list[StepResult]:
+    """Dimensions first (concurrently when ``parallelism`` > 1), then the fact,
+    which reads the *written* dimensions so the surrogate keys it resolves are
+    exactly the published ones."""
     day = resolve_partition_date(date)
 
     def s(source: str, name: str) -> DataFrame:
@@ -159,18 +175,22 @@ def run_gold(spark: SparkSession, base: str, date: str | None = None) -> list[St
         )
         return write_layer(fact, base, "gold", "fact_sales", day)
 
-    steps = [("dim_customers", customers), ("dim_products", products), ("fact_sales", sales)]
-    results = [_timed("gold", n, i, len(steps), w) for i, (n, w) in enumerate(steps, 1)]
+    results = _run_steps("gold", [("dim_customers", customers), ("dim_products", products)], parallelism)
+    results += _run_steps("gold", [("fact_sales", sales)], 1)
     log.info("gold done: %s", ", ".join(f"{r.dataset}={r.rows}" for r in results))
     return results
 
 
 def run_all(
-    spark: SparkSession, base: str, source_dir: str, date: str | None = None
+    spark: SparkSession, base: str, source_dir: str, date: str | None = None, parallelism: int = 1
 ) -> list[StepResult]:
     """bronze -> silver -> gold for one business date."""
     day = resolve_partition_date(date)
-    return [*run_bronze(spark, base, source_dir, day), *run_silver(spark, base, day), *run_gold(spark, base, day)]
+    return [
+        *run_bronze(spark, base, source_dir, day, parallelism),
+        *run_silver(spark, base, day, parallelism=parallelism),
+        *run_gold(spark, base, day, parallelism),
+    ]
 
 
 def metrics_frame(spark: SparkSession, results: Sequence[StepResult]) -> DataFrame:
@@ -189,6 +209,7 @@ def main(argv: Sequence[str] | None = None) -> int:
     parser.add_argument("--source-dir", help="folder with <source>/<file>.csv (bronze, all)")
     parser.add_argument("--dataset", action="append", help="silver dataset 'source.name' (repeatable)")
     parser.add_argument("--as-of", help="business date for future-date checks (default: --date)")
+    parser.add_argument("--parallel", type=int, default=1, help="independent datasets run concurrently")
     args = parser.parse_args(argv)
     logging.basicConfig(level=logging.INFO, format="%(asctime)s | %(levelname)s | %(message)s")
 
@@ -198,13 +219,13 @@ def main(argv: Sequence[str] | None = None) -> int:
     if args.layer in ("bronze", "all") and not args.source_dir:
         parser.error("--source-dir is required for bronze")
     if args.layer == "bronze":
-        results = run_bronze(spark, args.base, args.source_dir, args.date)
+        results = run_bronze(spark, args.base, args.source_dir, args.date, args.parallel)
     elif args.layer == "silver":
-        results = run_silver(spark, args.base, args.date, args.as_of, args.dataset)
+        results = run_silver(spark, args.base, args.date, args.as_of, args.dataset, args.parallel)
     elif args.layer == "gold":
-        results = run_gold(spark, args.base, args.date)
+        results = run_gold(spark, args.base, args.date, args.parallel)
     else:
-        results = run_all(spark, args.base, args.source_dir, args.date)
+        results = run_all(spark, args.base, args.source_dir, args.date, args.parallel)
     log.info("total rows written: %d", sum(r.rows for r in results))
     return 0
 

@@ -253,3 +253,23 @@ BRONZE_STANDINS: dict[str, Callable[[Tables], DataFrame]] = {
     "erp.loc_a101": bronze_loc_a101,
     "erp.px_cat_g1v2": bronze_px_cat_g1v2,
 }
+
+
+def export_sources(t: Tables, folder: str) -> str:
+    """Write the six bronze stand-ins as source CSVs laid out like the real
+    drop folder (``<folder>/<source>/<file>``, each a folder of part files), so
+    the whole pipeline -- CSV ingest included -- can run on driver-table data."""
+    from layercake.sources import all_datasets
+
+    for spec in all_datasets():
+        frame = BRONZE_STANDINS[spec.qualified](t)
+        (
+            frame.write.mode("overwrite")
+            .option("header", True)
+            .option("quote", '"')
+            .option("escape", '"')
+            .option("ignoreLeadingWhiteSpace", False)
+            .option("ignoreTrailingWhiteSpace", False)
+            .csv(f"{folder.rstrip('/')}/{spec.source}/{spec.source_file}")
+        )
+    return folder

@@ -126,3 +126,42 @@ def test_duplicate_keys(spark):
 
 def test_sort_helpers():
     assert asc("x") == Sort("x") and desc("x").descending and not desc("x").nulls_first
+
+
+def test_op15_shuffle_join_splits_hot_and_null_keys(spark):
+    """When the dimension is not broadcast, AQE splits the skewed partitions of the
+    fact side (a customer with a third of the lines, and the NULL references)."""
+    conf = {
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "2k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        n = 30_000
+        fact = spark.range(n).select(
+            F.col("id").alias("line"),
+            F.when(F.col("id") % 3 == 0, F.lit(7))
+            .when(F.col("id") % 10 == 1, F.lit(None))
+            .otherwise(F.col("id") % 500)
+            .cast("bigint")
+            .alias("cust"),
+        ).alias("f")
+        dim = spark.range(500).select(F.col("id").alias("customer_id"), (F.col("id") + 1000).alias("customer_key")).alias("d")
+        joined = enrich_left(fact, dim, F.col("f.cust") == F.col("d.customer_id"), broadcast=False)
+        result = joined.select("f.line", "d.customer_key")
+        assert result.count() == n
+        rows = result.collect()
+        assert sum(1 for r in rows if r.customer_key is None) == sum(1 for i in range(n) if i % 3 != 0 and i % 10 == 1)
+        plan = result._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin(skew=true)" in plan
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
