@@ -18,21 +18,19 @@ def squeeze_spaces(c: ColumnOrName) -> Column:
     return F.regexp_replace(F.trim(col(c)), WHITESPACE_RUN, " ")
 
 
-def capitalize_word(word: Column) -> Column:
-    """First character upper-cased, the rest lower-cased ('' stays '')."""
-    return F.concat(F.upper(F.left(word, F.lit(1))), F.lower(F.substr(word, F.lit(2))))
-
-
 def title_case(c: ColumnOrName) -> Column:
-    """Trim, squeeze whitespace, capitalise every space-separated word.
+    """Trim, squeeze whitespace, capitalise every space-separated word (first
+    character upper case, the rest lower case).
 
     An empty result becomes NULL (callers add their own default with coalesce).
     A tab-only value is *not* empty: trim keeps the tab, the squeeze turns it into
-    one space, so the result is ' '.
+    one space, so the result is ' '. After the squeeze words are separated by
+    single spaces, which is exactly the word boundary of Spark's ``initcap``, so
+    the whole rule is one code-generated expression (no per-word lambda). Only a
+    word starting with a character whose title case differs from its upper case
+    (``ß`` -> ``Ss``, Latin digraphs) can differ from upper-casing the first letter.
     """
-    words = F.split(squeeze_spaces(c), " ")
-    titled = F.array_join(F.transform(words, capitalize_word), " ")
-    return F.nullif(titled, F.lit(""))
+    return F.nullif(F.initcap(squeeze_spaces(c)), F.lit(""))
 
 
 def split_composite_key(
