@@ -397,10 +397,9 @@ def gold_dim_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold.dim_products(s["crm.prd_info"], s["erp.px_cat_g1v2"])
 
 
-def gold_fact_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Like the gold runner, the fact joins *materialized* dimensions: their keys
-    are fixed once, and sizing the join sides scans written data."""
-    s = _silver_frames(spark, sf_dir)
+def _fact(s: _Silver) -> DataFrame:
+    """Like the gold runner, the fact joins *written* dimensions: their keys are
+    fixed once, and sizing the join sides reads two columns of each."""
     products = write_scratch(gold.dim_products(s["crm.prd_info"], s["erp.px_cat_g1v2"]), "dim-products")
     customers = write_scratch(
         gold.dim_customers(s["crm.cust_info"], s["erp.cust_az12"], s["erp.loc_a101"]), "dim-customers"
@@ -408,6 +407,10 @@ def gold_fact_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold.fact_sales(s["crm.sales_details"], products, customers)
 
 
+def gold_fact_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _fact(_silver_frames(spark, sf_dir))
+
+
 # --------------------------------------------------------------- checks, counts
 
 def rule_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -426,6 +429,11 @@ def unmatched_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.unmatched_categories(gold_dim_products(spark, sf_dir))
 
 
+def fact_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = _silver_frames(spark, sf_dir)
+    return quality.fact_fanout(s["crm.sales_details"], _fact(s))
+
+
 def layer_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = _silver_frames(spark, sf_dir)
     counts = [
@@ -532,6 +540,7 @@ QUERIES: dict[str, Query] = {
     "fact_rule_violations": fact_rule_violations,
     "duplicated_customer_keys": duplicated_customer_keys,
     "unmatched_categories": unmatched_categories,
+    "fact_fanout": fact_fanout,
     "layer_counts": layer_counts,
     "csv_ingest_roundtrip": csv_ingest_roundtrip,
     "partition_overwrite": partition_overwrite,

@@ -510,6 +510,14 @@ FROM (SELECT o_orderkey, o_custkey, CAST(o_orderdate AS DATE) AS order_date FROM
         [*PRODUCT_CHAIN, "gold_dim_products"],
         "SELECT category_id, count(*) AS products FROM gold_dim_products WHERE category IS NULL GROUP BY category_id",
     ),
+    "fact_fanout": _with(
+        FACT_CHAIN,
+        """SELECT f.order_number, f.fact_lines, s.sales_lines
+FROM (SELECT order_number, count(*) AS fact_lines FROM gold_fact_sales GROUP BY order_number) f
+LEFT JOIN (SELECT sls_ord_num, count(*) AS sales_lines FROM silver_sales_details GROUP BY sls_ord_num) s
+  ON f.order_number = s.sls_ord_num
+WHERE f.fact_lines > coalesce(s.sales_lines, 0)""",
+    ),
     "layer_counts": _with(
         ALL_SILVER,
         "\nUNION ALL\n".join(

@@ -48,3 +48,15 @@ def unmatched_categories(dim_products: DataFrame) -> DataFrame:
         .groupBy("category_id")
         .agg(F.count(F.lit(1)).alias("products"))
     )
+
+
+def fact_fanout(silver_sales: DataFrame, fact: DataFrame) -> DataFrame:
+    """Orders whose fact has more lines than the sales source (a dimension key
+    present more than once multiplies the lines that reference it)."""
+    source = silver_sales.groupBy(F.col("sls_ord_num").alias("order_number")).agg(
+        F.count(F.lit(1)).alias("sales_lines")
+    )
+    published = fact.groupBy("order_number").agg(F.count(F.lit(1)).alias("fact_lines"))
+    return published.join(source, "order_number", "left").where(
+        F.col("fact_lines") > F.coalesce(F.col("sales_lines"), F.lit(0))
+    )

@@ -72,14 +72,6 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/scratch/{label}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder: the plan is
-    computed once, later reads (and task retries after a lost executor) start
-    from the written data instead of the lineage."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def write_scratch(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as Parquet under the shared scratch folder and read it back:
     the plan runs once, later passes read columnar data (row counts come from
