@@ -22,6 +22,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from layercake.plans import gold, silver
+from layercake.session import scratch_scope
 from layercake.sources import (
     all_datasets,
     read_csv_source,
@@ -124,8 +125,9 @@ def transform_dataset(
     """Run one silver dataset for one day; returns the rows written."""
     step = silver_step(qualified)
     day = resolve_partition_date(date)
-    bronze = read_layer(spark, base, "bronze", step.name, day, step.source)
-    return write_layer(step.transform(bronze, as_of or day), base, "silver", step.name, day, step.source)
+    with scratch_scope(spark):
+        bronze = read_layer(spark, base, "bronze", step.name, day, step.source)
+        return write_layer(step.transform(bronze, as_of or day), base, "silver", step.name, day, step.source)
 
 
 def run_silver(
@@ -160,12 +162,14 @@ def run_gold(
         return read_layer(spark, base, "silver", name, day, source)
 
     def customers() -> int:
-        dim = gold.dim_customers(s("crm", "cust_info"), s("erp", "cust_az12"), s("erp", "loc_a101"))
-        return write_layer(dim, base, "gold", "dim_customers", day)
+        with scratch_scope(spark):
+            dim = gold.dim_customers(s("crm", "cust_info"), s("erp", "cust_az12"), s("erp", "loc_a101"))
+            return write_layer(dim, base, "gold", "dim_customers", day)
 
     def products() -> int:
-        dim = gold.dim_products(s("crm", "prd_info"), s("erp", "px_cat_g1v2"))
-        return write_layer(dim, base, "gold", "dim_products", day)
+        with scratch_scope(spark):
+            dim = gold.dim_products(s("crm", "prd_info"), s("erp", "px_cat_g1v2"))
+            return write_layer(dim, base, "gold", "dim_products", day)
 
     def sales() -> int:
         fact = gold.fact_sales(

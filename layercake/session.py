@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -67,9 +70,38 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or current
 
 
+_SCOPE = threading.local()
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
-    """A fresh folder under the shared checkpoint folder for intermediate tables."""
-    return f"{checkpoint_dir(spark).rstrip('/')}/scratch/{label}-{uuid.uuid4().hex}"
+    """A fresh folder under the shared checkpoint folder for intermediate tables
+    (registered with the enclosing ``scratch_scope`` of this thread, if any)."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/scratch/{label}-{uuid.uuid4().hex}"
+    created = getattr(_SCOPE, "paths", None)
+    if created is not None:
+        created.append(path)
+    return path
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jvm_path, True)
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[list[str]]:
+    """Delete the scratch tables created by this thread inside the block when it
+    ends. Use it around work whose result is already written (a layer step);
+    DataFrames still reading a scratch table must not outlive the block."""
+    outer = getattr(_SCOPE, "paths", None)
+    created: list[str] = []
+    _SCOPE.paths = created
+    try:
+        yield created
+    finally:
+        _SCOPE.paths = outer
+        for path in created:
+            _delete(spark, path)
 
 
 def write_scratch(df: DataFrame, label: str) -> DataFrame:
