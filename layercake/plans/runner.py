@@ -216,20 +216,24 @@ def main(argv: Sequence[str] | None = None) -> int:
     parser.add_argument("--parallel", type=int, default=1, help="independent datasets run concurrently")
     args = parser.parse_args(argv)
     logging.basicConfig(level=logging.INFO, format="%(asctime)s | %(levelname)s | %(message)s")
+    logging.getLogger("py4j").setLevel(logging.WARNING)
 
-    from layercake.session import build_session
+    from layercake.session import CLUSTER_CONF, build_session
 
-    spark = build_session(app_name=f"layercake-{args.layer}")
+    spark = build_session(app_name=f"layercake-{args.layer}", extra=CLUSTER_CONF)
     if args.layer in ("bronze", "all") and not args.source_dir:
         parser.error("--source-dir is required for bronze")
-    if args.layer == "bronze":
-        results = run_bronze(spark, args.base, args.source_dir, args.date, args.parallel)
-    elif args.layer == "silver":
-        results = run_silver(spark, args.base, args.date, args.as_of, args.dataset, args.parallel)
-    elif args.layer == "gold":
-        results = run_gold(spark, args.base, args.date, args.parallel)
-    else:
-        results = run_all(spark, args.base, args.source_dir, args.date, args.parallel)
+    try:
+        if args.layer == "bronze":
+            results = run_bronze(spark, args.base, args.source_dir, args.date, args.parallel)
+        elif args.layer == "silver":
+            results = run_silver(spark, args.base, args.date, args.as_of, args.dataset, args.parallel)
+        elif args.layer == "gold":
+            results = run_gold(spark, args.base, args.date, args.parallel)
+        else:
+            results = run_all(spark, args.base, args.source_dir, args.date, args.parallel)
+    finally:
+        spark.stop()
     log.info("total rows written: %d", sum(r.rows for r in results))
     return 0
 

@@ -10,15 +10,22 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Session settings every job relies on.
+# Settings the results depend on: always applied.
 #  * ANSI on: overflow and bad casts raise instead of silently wrapping.
+#  * UTC session time zone (dates and zone-less timestamps only are used).
+SEMANTIC_CONF: dict[str, str] = {
+    "spark.sql.ansi.enabled": "true",
+    "spark.sql.session.timeZone": "UTC",
+}
+
+# Execution defaults: applied unless the submitted configuration sets them.
 #  * dynamic partition overwrite: re-running one ingest date leaves the others intact.
 #  * static broadcast off: only sides whose size was measured are broadcast
 #    (explicitly, or by AQE from the real shuffle sizes at run time).
 #  * AQE with skew-join splitting for hot join keys.
+#  * generated methods kept under HotSpot's JIT limit (8000 bytes of bytecode):
+#    larger stages fall back to per-operator code instead of running interpreted.
 BASE_CONF: dict[str, str] = {
-    "spark.sql.ansi.enabled": "true",
-    "spark.sql.session.timeZone": "UTC",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -26,12 +33,19 @@ BASE_CONF: dict[str, str] = {
     "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
     "spark.sql.parquet.compression.codec": "zstd",
-    # Stages whose generated method would exceed HotSpot's JIT limit (8000 bytes
-    # of bytecode) fall back to per-operator code instead of running interpreted.
     "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.ui.enabled": "false",
 }
 
+# Cluster-sized shuffle defaults for the jobs: many initial shuffle partitions
+# that AQE coalesces to ~128 MB each, so a partition fits an executor whatever
+# the day's volume; input splits of 256 MB.
+CLUSTER_CONF: dict[str, str] = {
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "4096",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128MB",
+    "spark.sql.files.maxPartitionBytes": "256MB",
+}
+
 
 def build_session(
     master: str | None = None,
@@ -39,15 +53,26 @@ def build_session(
     shuffle_partitions: int | None = None,
     extra: dict[str, str] | None = None,
 ) -> SparkSession:
-    """Create (or return) a session with the engine's settings applied."""
+    """Create (or return) a session with the engine's settings.
+
+    Semantic settings are always applied; execution defaults (``BASE_CONF`` and
+    ``extra``) only where the submitted configuration (``spark-submit --conf``,
+    ``spark-defaults.conf``) does not already set the key.
+    """
+    from pyspark import SparkConf
+
+    submitted = SparkConf()
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    conf = dict(BASE_CONF)
+    defaults = dict(BASE_CONF)
     if shuffle_partitions:
-        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    conf.update(extra or {})
-    for key, value in conf.items():
+        defaults["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    defaults.update(extra or {})
+    for key, value in defaults.items():
+        if not submitted.contains(key):
+            builder = builder.config(key, value)
+    for key, value in SEMANTIC_CONF.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
