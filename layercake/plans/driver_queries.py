@@ -32,7 +32,7 @@ from layercake.operators import current_only, dense_key, desc, keep_latest, vali
 from layercake.plans import gold, quality, silver
 from layercake.plans.gold import GENDER_UNKNOWN_INTENDED
 from layercake.session import scratch_dir, write_scratch
-from layercake.sources import DatasetSpec, NA_TOKENS, read_csv_source, read_layer, write_layer
+from layercake.sources import DatasetSpec, read_csv_source, read_layer, write_layer
 from layercake.plans.standins import (
     STANDIN_AS_OF,
     case_of as _case,
