@@ -23,6 +23,7 @@ DEFAULT_ROWS_PER_BUCKET = 4_000_000
 DEFAULT_MAX_BUCKETS = 100_000
 SLICE = "__lc_slice"
 POS = "__lc_pos"
+ROW_ID = "__lc_row"
 
 
 @dataclass(frozen=True)
@@ -76,18 +77,22 @@ def range_slices(df: DataFrame, sorts: Sequence[Sort], slices: int, label: str)
     to the shared checkpoint folder.
 
     The result has two extra columns: ``__lc_slice`` (slice id; every row of slice
-    i sorts before every row of slice i+1, equal keys share a slice) and
-    ``__lc_pos`` (0-based position inside the slice in sort order). Spark's own
-    range partitioner picks the bounds from a sample and places rows by binary
-    search, so any number of slices costs the same per row. Writing the table
+    i sorts before every row of slice i+1) and ``__lc_pos`` (0-based position
+    inside the slice in sort order). Spark's own range partitioner picks the
+    bounds from a sample and places rows by binary search, so any number of
+    slices costs the same per row. A per-row id is the last tie-break, so even a
+    group of identical rows holding a third of the table is spread over many
+    slices (the order among identical rows is immaterial). Writing the table
     fixes the assignment: every later pass, and every task retry, reads the same
     slices instead of re-sampling.
     """
-    order = [s.column() for s in sorts]
+    order = [s.column() for s in sorts] + [F.col(ROW_ID).asc()]
     sliced = (
-        df.repartitionByRange(slices, *order)
+        df.withColumn(ROW_ID, F.monotonically_increasing_id())
+        .repartitionByRange(slices, *order)
         .sortWithinPartitions(*order)
         .withColumn(SLICE, F.spark_partition_id())
         .withColumn(POS, F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("bigint"), 33))
+        .drop(ROW_ID)
     )
     return write_scratch(sliced, label)

@@ -136,6 +136,26 @@ def test_scratch_scope_removes_its_tables(spark, tmp_path):
     assert spark.read.parquet(out).count() == 600
 
 
+def test_range_slices_split_a_group_of_copies(spark):
+    """A third of the rows are identical: the slices stay balanced and the
+    distributed results equal the plain windows."""
+    from layercake.operators.ordering import SLICE, range_slices
+
+    copies = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(1)).otherwise(F.col("id")).alias("k"),
+        F.when(F.col("id") % 3 == 0, F.lit("2020-01-01")).otherwise(F.lit("2020-02-01")).cast("date").alias("d"),
+    )
+    sliced = range_slices(copies, [Sort("k"), Sort("d")], 10, "test-copies")
+    sizes = [r["count"] for r in sliced.groupBy(SLICE).count().collect()]
+    assert sum(sizes) == 3000 and max(sizes) < 3 * 3000 / 10
+    want_key = sorted(brute_key(copies, [Sort("k"), Sort("d")]).collect())
+    assert sorted(dense_key(copies, ["k", "d"], "sk", rows_per_bucket=300).collect()) == want_key
+    w = Window.partitionBy("k").orderBy(F.col("d").asc_nulls_last())
+    want_end = copies.withColumn("end", F.date_sub(F.lead("d").over(w), 1))
+    got_end = validity_end(copies, "k", "d", "end", rows_per_bucket=300)
+    assert sorted(got_end.collect()) == sorted(want_end.collect())
+
+
 def test_sort_helpers():
     assert asc("x") == Sort("x") and desc("x").descending and not desc("x").nulls_first
 
