@@ -280,7 +280,7 @@ def pass_through(spark: SparkSession, sf_dir: str) -> DataFrame:
 def cast_rounding(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table_reader(spark, sf_dir)("events")
     half = F.floor(F.col("value") * 4) / 2
-    amount = F.when(F.col("event_id") % 2 == 0, -half).otherwise(half)
+    amount = F.when(F.col("event_id") % 2 == 0, F.lit(0.0) - half).otherwise(half)  # 0 - x: no -0.0
     return e.select("event_id", amount.alias("amount")).select(
         "event_id", "amount", round_to_long("amount").alias("amount_long")
     )

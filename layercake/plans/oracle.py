@@ -482,7 +482,7 @@ FROM ({GENDERS})""",
     "pass_through": "SELECT * FROM region",
     "cast_rounding": """
 SELECT event_id, amount, CAST(amount AS BIGINT) AS amount_long
-FROM (SELECT event_id, CASE WHEN event_id % 2 = 0 THEN -(floor(value * 4) / 2) ELSE floor(value * 4) / 2 END
+FROM (SELECT event_id, CASE WHEN event_id % 2 = 0 THEN CAST(0 AS DOUBLE) - floor(value * 4) / 2 ELSE floor(value * 4) / 2 END
              AS amount FROM events)""",
     "dense_key_distributed": """
 SELECT o_orderkey, o_custkey, order_date,
