@@ -25,8 +25,10 @@ from layercake.plans import gold, silver
 from layercake.session import scratch_scope
 from layercake.sources import (
     all_datasets,
+    object_store_conf_from_env,
     read_csv_source,
     read_layer,
+    resolve_base,
     resolve_partition_date,
     write_layer,
 )
@@ -208,7 +210,7 @@ def metrics_frame(spark: SparkSession, results: Sequence[StepResult]) -> DataFra
 def main(argv: Sequence[str] | None = None) -> int:
     parser = argparse.ArgumentParser(description="Run the layered pipeline for one business date.")
     parser.add_argument("layer", choices=["bronze", "silver", "gold", "all"])
-    parser.add_argument("--base", required=True, help="lake root URI (file:, s3a://...)")
+    parser.add_argument("--base", help="lake root URI (file:, s3a://...); default s3a://<bucket> from the environment, else ./data")
     parser.add_argument("--date", "--partition-date", dest="date", help="YYYY-MM-DD")
     parser.add_argument("--source-dir", help="folder with <source>/<file>.csv (bronze, all)")
     parser.add_argument("--dataset", action="append", help="silver dataset 'source.name' (repeatable)")
@@ -220,7 +222,10 @@ def main(argv: Sequence[str] | None = None) -> int:
 
     from layercake.session import CLUSTER_CONF, build_session
 
-    spark = build_session(app_name=f"layercake-{args.layer}", extra=CLUSTER_CONF)
+    spark = build_session(
+        app_name=f"layercake-{args.layer}", extra={**CLUSTER_CONF, **object_store_conf_from_env()}
+    )
+    args.base = resolve_base(args.base)
     if args.layer in ("bronze", "all") and not args.source_dir:
         parser.error("--source-dir is required for bronze")
     try:

@@ -6,7 +6,9 @@ from layercake.sources.layers import (
     PARTITION_COLUMN,
     layer_path,
     object_store_conf,
+    object_store_conf_from_env,
     read_layer,
+    resolve_base,
     write_layer,
 )
 from layercake.sources.partition import resolve_partition_date
@@ -20,8 +22,10 @@ __all__ = [
     "dataset",
     "layer_path",
     "object_store_conf",
+    "object_store_conf_from_env",
     "read_csv_source",
     "read_layer",
+    "resolve_base",
     "resolve_partition_date",
     "write_layer",
 ]

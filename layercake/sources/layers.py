@@ -12,6 +12,8 @@ Hive partition column so that dynamic overwrite replaces one day only.
 
 from __future__ import annotations
 
+import os
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +21,15 @@ from pyspark.sql import functions as F
 LAYERS = ("bronze", "silver", "gold")
 PARTITION_COLUMN = "ingest_date"
 
+# Environment of the object-store deployment (endpoint, bucket,
+# credentials), its region, and the local base used when no bucket is named.
+STORE_ENDPOINT_ENV = "MINIO_ENDPOINT"
+STORE_BUCKET_ENV = "MINIO_BUCKET"
+STORE_ACCESS_KEY_ENV = "MINIO_ACCESS_KEY"
+STORE_SECRET_KEY_ENV = "MINIO_SECRET_KEY"
+STORE_REGION = "us-east-1"
+LOCAL_BASE = "data"
+
 
 def layer_path(base: str, layer: str, dataset: str, source: str | None = None) -> str:
     if layer not in LAYERS:
@@ -99,3 +110,28 @@ def object_store_conf(
     if region:
         conf["spark.hadoop.fs.s3a.endpoint.region"] = region
     return conf
+
+
+def resolve_base(explicit: str | None = None) -> str:
+    """Lake root: explicit argument, else ``s3a://<bucket>`` when the bucket
+    variable is set, else the local ``data`` folder."""
+    if explicit:
+        return explicit
+    bucket = os.environ.get(STORE_BUCKET_ENV)
+    return f"s3a://{bucket}" if bucket else LOCAL_BASE
+
+
+def object_store_conf_from_env() -> dict[str, str]:
+    """``object_store_conf`` from the deployment's environment (empty when no
+    endpoint is configured): path-style access, no TLS, fixed region."""
+    endpoint = os.environ.get(STORE_ENDPOINT_ENV)
+    if not endpoint:
+        return {}
+    return object_store_conf(
+        endpoint,
+        os.environ.get(STORE_ACCESS_KEY_ENV, ""),
+        os.environ.get(STORE_SECRET_KEY_ENV, ""),
+        region=STORE_REGION,
+        ssl=False,
+        path_style=True,
+    )

@@ -85,3 +85,21 @@ def test_src4_catalog_lookup():
     assert dataset("erp", "px_cat_g1v2").source_file == "PX_CAT_G1V2.csv"
     with pytest.raises(ValueError):
         dataset("crm", "nope")
+
+
+def test_snk8_base_and_store_settings(monkeypatch):
+    from layercake.sources import object_store_conf_from_env, resolve_base
+
+    monkeypatch.delenv("MINIO_BUCKET", raising=False)
+    monkeypatch.delenv("MINIO_ENDPOINT", raising=False)
+    assert resolve_base() == "data" and resolve_base("/lake") == "/lake"
+    assert object_store_conf_from_env() == {}
+    monkeypatch.setenv("MINIO_BUCKET", "lake")
+    monkeypatch.setenv("MINIO_ENDPOINT", "http://store:9000")
+    monkeypatch.setenv("MINIO_ACCESS_KEY", "k")
+    monkeypatch.setenv("MINIO_SECRET_KEY", "s")
+    assert resolve_base() == "s3a://lake"
+    conf = object_store_conf_from_env()
+    assert conf["spark.hadoop.fs.s3a.endpoint"] == "http://store:9000"
+    assert conf["spark.hadoop.fs.s3a.path.style.access"] == "true"
+    assert conf["spark.hadoop.fs.s3a.connection.ssl.enabled"] == "false"
