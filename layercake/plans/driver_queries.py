@@ -35,8 +35,9 @@ from layercake.session import scratch_dir, write_scratch
 from layercake.sources import DatasetSpec, read_csv_source, read_layer, write_layer
 from layercake.plans.standins import (
     STANDIN_AS_OF,
-    case_of as _case,
     Tables,
+    case_of as _case,
+    int_date,
     bronze_cust_az12,
     bronze_cust_info,
     bronze_loc_a101,
@@ -144,14 +145,10 @@ def split_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.select("p_partkey", raw.alias("raw_key"), cat_id.alias("cat_id"), prd_key.alias("prd_key"))
 
 
-def _int_date(c: Column) -> Column:
-    return (F.year(c) * 10000 + F.month(c) * 100 + F.dayofmonth(c)).cast("bigint")
-
-
 def parse_int_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table_reader(spark, sf_dir)("orders")
     k = F.col("o_orderkey")
-    d = _int_date(F.col("o_orderdate"))
+    d = int_date(F.col("o_orderdate"))
     m = k % 10
     raw = (
         F.when(m == 0, F.lit(0).cast("bigint"))

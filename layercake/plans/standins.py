@@ -2,8 +2,11 @@
 
 The driver's tables (customer, part, orders, lineitem, ...) have no NULLs and
 no broken references, so each bronze stand-in injects the defects the silver
-rules exist for -- deterministically, from the row's own keys -- and keeps
-every row of its table. ``oracle.py`` builds the same frames in plain SQL.
+rules exist for -- deterministically, from the row's own keys (``key % n``
+picks which defect a row gets) -- and keeps every row of its table. The only
+row-level filters add work: copies appended to the ERP customers (fan-out) and
+one category left out of the lookup (unmatched products). ``oracle.py`` builds
+the same frames in plain SQL.
 """
 
 from __future__ import annotations
@@ -43,7 +46,8 @@ def _iso(c: Column) -> Column:
     return F.date_format(c, "yyyy-MM-dd")
 
 
-def _int_date(c: Column) -> Column:
+def int_date(c: Column) -> Column:
+    """DATE -> yyyymmdd BIGINT."""
     return (F.year(c) * 10000 + F.month(c) * 100 + F.dayofmonth(c)).cast("bigint")
 
 
@@ -162,7 +166,7 @@ def bronze_sales_details(t: Tables) -> DataFrame:
     p = F.floor(F.col("l_extendedprice") / F.col("l_quantity")).cast("bigint")
     s = q * p
     m = (ok * 7 + ln) % 14
-    od = _int_date(F.col("o_orderdate"))
+    od = int_date(F.col("o_orderdate"))
     dm = (ok + ln) % 10
     order_dt = (
         F.when(dm == 0, F.lit(0).cast("bigint"))
@@ -186,9 +190,9 @@ def bronze_sales_details(t: Tables) -> DataFrame:
         .otherwise(F.col("o_custkey"))
         .alias("sls_cust_id"),
         order_dt.alias("sls_order_dt"),
-        F.when(ln % 7 == 0, F.lit(0).cast("bigint")).otherwise(_int_date(ship)).alias("sls_ship_dt"),
+        F.when(ln % 7 == 0, F.lit(0).cast("bigint")).otherwise(int_date(ship)).alias("sls_ship_dt"),
         F.when(ok % 11 == 0, F.lit(None).cast("bigint"))
-        .otherwise(_int_date(F.date_add(ship, 30)))
+        .otherwise(int_date(F.date_add(ship, 30)))
         .alias("sls_due_dt"),
         _amountcase_of(m, s, [([1, 6, 12], None), ([2], F.lit(0).cast("bigint")), ([3, 13], -s), ([4], s + 1)]).alias("sls_sales"),
         _amountcase_of(m, q, [([9, 10], F.lit(0).cast("bigint")), ([11], None)]).alias("sls_quantity"),
