@@ -9,29 +9,46 @@ from pyspark.sql import functions as F
 
 from layercake.functions._util import ColumnOrName, col
 
-# Fixed values. Accepted shapes of a date string for `lenient_date`:
-# optional leading whitespace, a 4-6 digit year, one separator out of '-', '/', ' '
-# used twice, 1-2 digit month and day, then nothing but whitespace or a time part
-# starting with 'T' or ' ' and 'h:mm'. Matches the string->DATE cast of the SQL
-# engine whose results the silver layer reproduces.
-DATE_SHAPE = r"^\s*(\d{4,6})([-/ ])(\d{1,2})\2(\d{1,2})(\s*|[T ]\d{1,2}:\d{2}.*)$"
-DATE_REBUILD = "$1-$3-$4"
+# Fixed values. Accepted shapes of a date string for `lenient_date`: optional
+# leading whitespace; a 1-6 digit year, one separator out of '-', '/', ' ' used
+# twice, a 1-2 digit month and day; then only whitespace, or 'T' / whitespace and
+# a time 'h:m[:s]' (hour 0-24, minute and second 0-59, 1-2 digits each) followed
+# by anything. This is the string->DATE cast of the SQL engine whose results the
+# silver layer reproduces (checked value by value on 60+ shapes).
+DATE_SHAPE = (
+    r"^\s*(\d{1,6})([-/ ])(\d{1,2})\2(\d{1,2})"
+    r"(?:\s*|(?:T|\s+)(?:[01]?\d|2[0-4]):[0-5]?\d(?::[0-5]?\d(?!\d)|(?!\d)(?!:\d)).*)$"
+)
 
 # Fixed values. Integer dates such as 20101229 (yyyymmdd) have exactly 8 digits.
 INT_DATE_MIN = 10_000_000
 INT_DATE_MAX = 99_999_999
 
 
+def _calendar_date(year: Column, month: Column, day: Column) -> Column:
+    """DATE when (year, month, day) is a real calendar day with year >= 1, else
+    NULL -- checked before ``make_date`` so no invalid value reaches it."""
+    safe_year = F.when(year >= 1, year).otherwise(F.lit(2000))
+    safe_month = F.when(month.between(1, 12), month).otherwise(F.lit(1))
+    month_days = F.dayofmonth(F.last_day(F.make_date(safe_year, safe_month, F.lit(1))))
+    valid = (year >= 1) & month.between(1, 12) & (day >= 1) & (day <= month_days)
+    return F.when(valid, F.make_date(year, month, day))
+
+
 def lenient_date(c: ColumnOrName) -> Column:
     """String -> DATE, NULL when the text is not a calendar date.
 
     Spark's own ``try_cast`` is both too lax ('2025', '2025-01', '2025-01-05 10'
-    give a date) and too strict ('2025/01/05' gives NULL), so the shape is checked
-    first and rebuilt as 'y-m-d' before the cast.
+    give a date) and too strict ('2025/01/05', 3-digit years give NULL), so the
+    shape is checked with ``DATE_SHAPE`` and the date is built from its parts.
+    Year 0 gives NULL (the SQL engine answers 1 BC, which has no DATE here).
     """
     c = col(c)
-    rebuilt = F.regexp_replace(c, DATE_SHAPE, DATE_REBUILD)
-    return F.when(c.rlike(DATE_SHAPE), rebuilt.try_cast("date"))
+
+    def part(group: int) -> Column:
+        return F.regexp_extract(c, DATE_SHAPE, group).cast("int")
+
+    return F.when(c.rlike(DATE_SHAPE), _calendar_date(part(1), part(3), part(4)))
 
 
 def parse_int_date(c: ColumnOrName) -> Column:
@@ -44,13 +61,10 @@ def parse_int_date(c: ColumnOrName) -> Column:
     """
     c = col(c)
     in_range = c.between(INT_DATE_MIN, INT_DATE_MAX)  # positive, exactly 8 digits
-    year = F.when(in_range, F.floor(c / 10000)).otherwise(F.lit(2000)).cast("int")
+    year = F.when(in_range, F.floor(c / 10000)).cast("int")  # no int overflow on huge values
     month = (F.floor(c / 100) % 100).cast("int")
     day = (c % 100).cast("int")
-    safe_month = F.when(month.between(1, 12), month).otherwise(F.lit(1))
-    month_days = F.dayofmonth(F.last_day(F.make_date(year, safe_month, F.lit(1))))
-    valid = in_range & month.between(1, 12) & (day >= 1) & (day <= month_days)
-    return F.when(valid, F.make_date(year, month, day))
+    return F.when(in_range, _calendar_date(year, month, day))
 
 
 def as_date_literal(as_of: str | dt.date | Column) -> Column:

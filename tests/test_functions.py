@@ -115,6 +115,15 @@ def test_op9_strip_prefix(spark):
         ("2025-02-30", None),
         ("garbage", None),
         (None, None),
+        ("2025-01-05 24:00", dt.date(2025, 1, 5)),
+        ("2025-01-05 25:00", None),
+        ("2025-01-05 23:60", None),
+        ("2025-01-05 10:30:60", None),
+        ("2025-01-05  1:5 PM", dt.date(2025, 1, 5)),
+        ("99-1-1", dt.date(99, 1, 1)),
+        ("4-02-29", dt.date(4, 2, 29)),
+        ("100-02-29", None),
+        ("0-01-01", None),
     ],
 )
 def test_s25_lenient_date(spark, text, expected):
