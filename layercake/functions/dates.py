@@ -35,20 +35,35 @@ def _calendar_date(year: Column, month: Column, day: Column) -> Column:
     return F.when(valid, F.make_date(year, month, day))
 
 
+# Prefix marking a value the shape matched (a control character that cannot
+# start a value of the shape; a value that already starts with it is rejected).
+_MATCHED = "\u0001"
+
+
 def lenient_date(c: ColumnOrName) -> Column:
     """String -> DATE, NULL when the text is not a calendar date.
 
     Spark's own ``try_cast`` is both too lax ('2025', '2025-01', '2025-01-05 10'
     give a date) and too strict ('2025/01/05', 3-digit years give NULL), so the
-    shape is checked with ``DATE_SHAPE`` and the date is built from its parts.
-    Year 0 gives NULL (the SQL engine answers 1 BC, which has no DATE here).
+    shape is checked with ``DATE_SHAPE`` and the date is rebuilt from its parts
+    as zero-padded 'yyyy-mm-dd' for a (calendar-checking) ``try_cast``. Year 0
+    gives NULL (the SQL engine answers 1 BC, which has no DATE here).
+
+    Every step is exception-free and evaluated unconditionally, so Spark shares
+    the single regex pass between them (inside a CASE branch it would not).
     """
     c = col(c)
+    rebuilt = F.regexp_replace(c, DATE_SHAPE, _MATCHED + "$1-$3-$4")
+    matched = rebuilt.startswith(_MATCHED) & ~c.startswith(_MATCHED)
+    parts = F.split(F.substr(rebuilt, F.lit(2)), "-")
 
-    def part(group: int) -> Column:
-        return F.regexp_extract(c, DATE_SHAPE, group).cast("int")
+    def part(i: int, width: int) -> Column:
+        text = F.try_element_at(parts, F.lit(i))
+        return F.when(F.length(text) < width, F.lpad(text, width, "0")).otherwise(text)
 
-    return F.when(c.rlike(DATE_SHAPE), _calendar_date(part(1), part(3), part(4)))
+    year = F.try_element_at(parts, F.lit(1)).try_cast("int")
+    iso = F.concat_ws("-", part(1, 4), part(2, 2), part(3, 2)).try_cast("date")
+    return F.when(matched & (year >= 1), iso)
 
 
 def parse_int_date(c: ColumnOrName) -> Column:
