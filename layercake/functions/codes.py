@@ -25,30 +25,29 @@ def map_codes(
     normalize: str | None = None,
     null_as: str | None = None,
 ) -> Column:
-    """Map codes to labels: ``CASE WHEN key IN (codes of label) THEN label ... ELSE default``.
+    """Map codes to labels, like ``CASE WHEN key IN (codes of label) THEN label ...
+    ELSE default END``.
 
-    * ``mapping`` -- ``{code: label}``; several codes may share a label and are
-      tested together with ``IN`` (first-seen label order is kept).
+    * ``mapping`` -- ``{code: label}``; several codes may share a label.
     * ``normalize`` -- None (exact match), "trim", "upper" or "upper_trim" applied
       to the input before matching.
-    * ``default`` -- literal or Column used when nothing matches (NULL input included,
-      unless ``null_as`` is given).
-    * ``null_as`` -- label for NULL input, tested first.
+    * ``default`` -- literal or Column used when nothing matches (NULL input
+      included, unless ``null_as`` is given); evaluated only for those rows.
+    * ``null_as`` -- label for NULL input.
+
+    The lookup goes through a constant map, so the normalized key is computed
+    once per row (a CASE chain would recompute it for every branch it tests).
     """
     c = col(c)
-    key = _NORMALIZERS[normalize](c)
-    by_label: dict[str, list[str]] = {}
-    for code, label in mapping.items():
-        by_label.setdefault(label, []).append(code)
-
-    expr: Column | None = None
+    if not mapping:
+        mapped: Column = F.lit(None).cast("string")
+    else:
+        table = F.create_map(*[F.lit(x) for pair in mapping.items() for x in pair])
+        mapped = F.try_element_at(table, _NORMALIZERS[normalize](c))
+    result = F.coalesce(mapped, lit_or_col(default))
     if null_as is not None:
-        expr = F.when(c.isNull(), F.lit(null_as))
-    for label, codes in by_label.items():
-        cond = key == F.lit(codes[0]) if len(codes) == 1 else key.isin(codes)
-        expr = F.when(cond, F.lit(label)) if expr is None else expr.when(cond, F.lit(label))
-    fallback_value = lit_or_col(default)
-    return fallback_value if expr is None else expr.otherwise(fallback_value)
+        result = F.when(c.isNull(), F.lit(null_as)).otherwise(result)
+    return result
 
 
 def fallback(
