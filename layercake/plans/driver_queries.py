@@ -244,12 +244,12 @@ def missing_flag_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("c_custkey")
     first_raw = _case(k % 5, [(0, ""), (1, None)], F.col("c_name"))
     last_raw = _case(k % 7, [(0, "  ")], F.col("c_mktsegment"))
-    first, last = title_case(first_raw), title_case(last_raw)
-    return c.select(
+    cleaned = c.select("c_custkey", title_case(first_raw).alias("first"), title_case(last_raw).alias("last"))
+    return cleaned.select(
         "c_custkey",
-        F.coalesce(first, F.lit("n/a")).alias("first_name"),
-        F.coalesce(last, F.lit("n/a")).alias("last_name"),
-        missing_flag(first, last).alias("dq_missing_name_flag"),
+        F.coalesce("first", F.lit("n/a")).alias("first_name"),
+        F.coalesce("last", F.lit("n/a")).alias("last_name"),
+        missing_flag("first", "last").alias("dq_missing_name_flag"),
     )
 
 

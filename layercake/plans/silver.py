@@ -78,16 +78,19 @@ def cust_info(bronze: DataFrame) -> DataFrame:
         [desc("cst_create_date")],
         tiebreak=[asc(c) for c in ("cst_key", "cst_firstname", "cst_lastname", "cst_marital_status", "cst_gndr")],
     )
-    first, last = title_case("cst_firstname"), title_case("cst_lastname")
-    return latest.select(
+    # cleaned once, then used for both the published names and the flag
+    cleaned = latest.withColumn("__first", title_case("cst_firstname")).withColumn(
+        "__last", title_case("cst_lastname")
+    )
+    return cleaned.select(
         "cst_id",
         "cst_key",
-        F.coalesce(first, F.lit(NOT_AVAILABLE)).alias("cst_firstname"),
-        F.coalesce(last, F.lit(NOT_AVAILABLE)).alias("cst_lastname"),
+        F.coalesce("__first", F.lit(NOT_AVAILABLE)).alias("cst_firstname"),
+        F.coalesce("__last", F.lit(NOT_AVAILABLE)).alias("cst_lastname"),
         map_codes("cst_marital_status", MARITAL_STATUS, CRM_UNKNOWN).alias("cst_marital_status"),
         map_codes("cst_gndr", CRM_GENDER, CRM_UNKNOWN).alias("cst_gndr"),
         "cst_create_date",
-        missing_flag(first, last).alias("dq_missing_name_flag"),
+        missing_flag("__first", "__last").alias("dq_missing_name_flag"),
     )
 
 
