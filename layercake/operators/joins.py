@@ -10,9 +10,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# A side is broadcast only when its measured size is below this bound.
+# A side is broadcast only when its measured size is below these bounds. A
+# deployment with larger executors can raise them through the session settings
+# below, without code changes.
 DEFAULT_BROADCAST_MAX_BYTES = 32 * 1024 * 1024
 DEFAULT_BROADCAST_MAX_ROWS = 2_000_000
+MAX_BYTES_CONF = "spark.layercake.broadcast.maxBytes"
+MAX_ROWS_CONF = "spark.layercake.broadcast.maxRows"
 # Per-row and per-value overheads of the in-memory hash relation (estimate).
 _ROW_OVERHEAD = 24
 _FIXED_WIDTH = 8
@@ -54,8 +58,8 @@ def enrich_left(
     on: Column | Sequence[str],
     *,
     broadcast: bool | str = "auto",
-    max_broadcast_bytes: int = DEFAULT_BROADCAST_MAX_BYTES,
-    max_broadcast_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
+    max_broadcast_bytes: int | None = None,
+    max_broadcast_rows: int | None = None,
 ) -> DataFrame:
     """LEFT OUTER equi-join that keeps every left row.
 
@@ -68,9 +72,15 @@ def enrich_left(
         the *measured* shuffle size, and splits skewed partitions);
       * "auto" -- measure the right side (rows and bytes) and broadcast it only
         when it fits both bounds; otherwise shuffle.
+
+    The bounds default to the session settings ``spark.layercake.broadcast.maxBytes``
+    / ``.maxRows`` (32 MB / 2 M rows when unset).
     """
     use_broadcast = broadcast is True
     if broadcast == "auto":
-        use_broadcast = measure(right).fits(max_broadcast_bytes, max_broadcast_rows)
+        conf = right.sparkSession.conf
+        max_bytes = max_broadcast_bytes or int(conf.get(MAX_BYTES_CONF, str(DEFAULT_BROADCAST_MAX_BYTES)))
+        max_rows = max_broadcast_rows or int(conf.get(MAX_ROWS_CONF, str(DEFAULT_BROADCAST_MAX_ROWS)))
+        use_broadcast = measure(right).fits(max_bytes, max_rows)
     side = F.broadcast(right) if use_broadcast else right
     return left.join(side, on=on, how="left")

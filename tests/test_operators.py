@@ -105,6 +105,12 @@ def test_op15_broadcast_only_when_measured_small(spark):
     assert size.rows == 50 and size.bytes > 0
     small = enrich_left(left, right, "k")
     big = enrich_left(left, right, "k", max_broadcast_rows=10)
+    spark.conf.set("spark.layercake.broadcast.maxRows", "10")
+    try:
+        by_conf = enrich_left(left, right, "k")
+    finally:
+        spark.conf.unset("spark.layercake.broadcast.maxRows")
+    assert "BroadcastHashJoin" not in by_conf._jdf.queryExecution().sparkPlan().toString()
     assert "BroadcastHashJoin" in small._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" not in big._jdf.queryExecution().sparkPlan().toString()
 
