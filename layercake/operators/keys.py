@@ -11,12 +11,12 @@ from pyspark.sql import functions as F
 from layercake.session import write_scratch
 from layercake.operators.ordering import (
     DEFAULT_MAX_BUCKETS,
-    DEFAULT_ROWS_PER_BUCKET,
     POS,
     SLICE,
     Sort,
     as_sorts,
     bucket_count,
+    rows_per_slice,
     complete_tiebreak,
     range_slices,
 )
@@ -28,7 +28,7 @@ def dense_key(
     name: str = "key",
     *,
     complete_order: bool = True,
-    rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET,
+    rows_per_bucket: int | None = None,
     max_buckets: int = DEFAULT_MAX_BUCKETS,
 ) -> DataFrame:
     """Add ``name`` = 1..N (BIGINT, no gaps) following ``order``.
@@ -59,7 +59,7 @@ def dense_key(
     # the numbering all read the same rows without re-running the join.
     fixed = write_scratch(df, "dense-key-input")
     rows = fixed.count()
-    slices = bucket_count(rows, rows_per_bucket, max_buckets)
+    slices = bucket_count(rows, rows_per_slice(df, rows_per_bucket), max_buckets)
     if slices <= 1:
         return fixed.withColumn(name, F.row_number().over(Window.orderBy(*order_cols)).cast("bigint"))
 

@@ -18,9 +18,11 @@ from pyspark.sql import types as T
 
 from layercake.session import write_scratch
 
-# Defaults sized for a cluster: one slice is sorted by one task.
+# Defaults sized for a cluster: one slice is sorted by one task. The slice size
+# can be set per deployment with the session setting below.
 DEFAULT_ROWS_PER_BUCKET = 4_000_000
 DEFAULT_MAX_BUCKETS = 100_000
+ROWS_PER_SLICE_CONF = "spark.layercake.slice.rows"
 SLICE = "__lc_slice"
 POS = "__lc_pos"
 ROW_ID = "__lc_row"
@@ -72,6 +74,13 @@ def bucket_count(rows: int, rows_per_bucket: int, max_buckets: int) -> int:
     return max(1, min(max_buckets, math.ceil(rows / max(1, rows_per_bucket))))
 
 
+def rows_per_slice(df: DataFrame, explicit: int | None) -> int:
+    """Explicit argument, else the session setting, else the default."""
+    if explicit:
+        return explicit
+    return int(df.sparkSession.conf.get(ROWS_PER_SLICE_CONF, str(DEFAULT_ROWS_PER_BUCKET)))
+
+
 def range_slices(df: DataFrame, sorts: Sequence[Sort], slices: int, label: str) -> DataFrame:
     """Cut ``df`` into ``slices`` contiguous ranges of the sort order and write it
     to the shared checkpoint folder.

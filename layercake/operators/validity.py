@@ -10,11 +10,11 @@ from pyspark.sql import types as T
 
 from layercake.operators.ordering import (
     DEFAULT_MAX_BUCKETS,
-    DEFAULT_ROWS_PER_BUCKET,
     SLICE,
     Sort,
     as_sorts,
     bucket_count,
+    rows_per_slice,
     range_slices,
 )
 
@@ -77,7 +77,7 @@ def validity_end(
     out: str = "valid_to",
     tiebreak: Sequence[str] = (),
     *,
-    rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET,
+    rows_per_bucket: int | None = None,
     max_buckets: int = DEFAULT_MAX_BUCKETS,
 ) -> DataFrame:
     """``out = lead(start) OVER (PARTITION BY key ORDER BY start NULLS LAST,
@@ -97,7 +97,7 @@ def validity_end(
     order_cols = [s.column() for s in order]
 
     rows = df.count()
-    buckets = bucket_count(rows, rows_per_bucket, max_buckets)
+    buckets = bucket_count(rows, rows_per_slice(df, rows_per_bucket), max_buckets)
     if buckets <= 1:
         w = Window.partitionBy(*keys).orderBy(*order_cols)
         return df.withColumn(out, F.date_sub(F.lead(start).over(w), 1))

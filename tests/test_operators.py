@@ -84,6 +84,19 @@ def test_op14_dense_key_local_and_sliced(spark):
     assert sliced.schema["sk"].dataType.simpleString() == "bigint"
 
 
+def test_slice_size_from_session_setting(spark):
+    df = skewed_versions(spark, n=500)
+    spark.conf.set("spark.layercake.slice.rows", "100")
+    try:
+        keyed = dense_key(df, ["d"], "sk")
+        keyed.collect()
+        plan = keyed._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.layercake.slice.rows")
+    assert "SinglePartition" not in plan
+    assert sorted(r.sk for r in keyed.collect()) == list(range(1, 501))
+
+
 def test_op14_sliced_plan_has_no_single_partition_exchange(spark):
     df = skewed_versions(spark)
     sliced = dense_key(df, ["d"], "sk", rows_per_bucket=150)
