@@ -52,11 +52,41 @@ def measure(df: DataFrame) -> SideSize:
     return SideSize(int(r["rows"]), int(r["bytes"]))
 
 
+# NULL-key rows of a shuffle join are spread over this many hash buckets.
+NULL_KEY_SPREAD = 1024
+
+
+def _spread_null_keys(
+    left: DataFrame, right: DataFrame, left_on: Sequence[Column], right_on: Sequence[Column]
+) -> tuple[DataFrame, DataFrame, Column, list[str]]:
+    """Equi-join condition in which left rows with a NULL key -- they can never
+    match -- carry a deterministic salt instead of all hashing to one partition.
+
+    Join keys become (has-null flag, salt, key...): right rows and non-NULL left
+    rows have (false, 0, key), so matching is unchanged; NULL-key left rows have
+    (true, hash(row) % spread, NULL) and spread over ``NULL_KEY_SPREAD`` buckets.
+    """
+    any_null = reduce(lambda a, b: a | b, [c.isNull() for c in left_on])
+    row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in left.columns])
+    salted = left.withColumn("__lc_lnull", any_null).withColumn(
+        "__lc_lsalt", F.when(any_null, F.pmod(row_hash, F.lit(NULL_KEY_SPREAD))).otherwise(F.lit(0).cast("bigint"))
+    )
+    plain = right.withColumn("__lc_rnull", F.lit(False)).withColumn("__lc_rsalt", F.lit(0).cast("bigint"))
+    cond = reduce(
+        lambda a, b: a & b,
+        [F.col("__lc_lnull") == F.col("__lc_rnull"), F.col("__lc_lsalt") == F.col("__lc_rsalt")]
+        + [lc == rc for lc, rc in zip(left_on, right_on)],
+    )
+    return salted, plain, cond, ["__lc_lnull", "__lc_lsalt", "__lc_rnull", "__lc_rsalt"]
+
+
 def enrich_left(
     left: DataFrame,
     right: DataFrame,
-    on: Column | Sequence[str],
+    on: Column | Sequence[str] | None = None,
     *,
+    left_on: Sequence[Column] | None = None,
+    right_on: Sequence[Column] | None = None,
     broadcast: bool | str = "auto",
     max_broadcast_bytes: int | None = None,
     max_broadcast_rows: int | None = None,
@@ -64,7 +94,10 @@ def enrich_left(
     """LEFT OUTER equi-join that keeps every left row.
 
     NULL keys never match, unmatched rows get NULL attributes, duplicate right
-    keys fan out (nothing is deduplicated here).
+    keys fan out (nothing is deduplicated here). Give the keys either as ``on``
+    (a condition or column names) or as ``left_on`` / ``right_on`` column lists;
+    with the latter a shuffle join also spreads the NULL-key left rows (see
+    ``_spread_null_keys``) instead of sending them all to one task.
 
     ``broadcast``:
       * True  -- caller vouches for the right side's size (a fixed lookup);
@@ -76,11 +109,19 @@ def enrich_left(
     The bounds default to the session settings ``spark.layercake.broadcast.maxBytes``
     / ``.maxRows`` (32 MB / 2 M rows when unset).
     """
+    if (on is None) == (left_on is None or right_on is None):
+        raise ValueError("give either `on` or both `left_on` and `right_on`")
     use_broadcast = broadcast is True
     if broadcast == "auto":
         conf = right.sparkSession.conf
         max_bytes = max_broadcast_bytes or int(conf.get(MAX_BYTES_CONF, str(DEFAULT_BROADCAST_MAX_BYTES)))
         max_rows = max_broadcast_rows or int(conf.get(MAX_ROWS_CONF, str(DEFAULT_BROADCAST_MAX_ROWS)))
         use_broadcast = measure(right).fits(max_bytes, max_rows)
+    if on is None:
+        if use_broadcast:
+            cond = reduce(lambda a, b: a & b, [lc == rc for lc, rc in zip(left_on, right_on)])
+            return left.join(F.broadcast(right), on=cond, how="left")
+        salted, plain, cond, helpers = _spread_null_keys(left, right, left_on, right_on)
+        return salted.join(plain, on=cond, how="left").drop(*helpers)
     side = F.broadcast(right) if use_broadcast else right
     return left.join(side, on=on, how="left")

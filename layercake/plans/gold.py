@@ -47,6 +47,8 @@ def dim_customers(
     ci = cust_info.alias("ci")
     ca = cust_az12.select("cid", "gen", "bdate").alias("ca")
     la = loc_a101.select("cid", "cntry").alias("la")
+    # plain key conditions: both joins hash on the customer number, so a shuffle
+    # of the CRM side is reused by the second join
     joined = enrich_left(ci, ca, F.col("ci.cst_key") == F.col("ca.cid"))
     joined = enrich_left(joined, la, F.col("ci.cst_key") == F.col("la.cid"))
     attrs = joined.select(
@@ -96,14 +98,15 @@ def fact_sales(sales_details: DataFrame, products: DataFrame, customers: DataFra
     duplicated dimension key fans the line out).
 
     Only the two key columns of each dimension take part in the joins, so a
-    dimension is broadcast whenever its (key, id) pairs measure small, and is
-    otherwise hash-joined with AQE splitting hot customer / NULL partitions.
+    dimension is broadcast whenever its (key, id) pairs measure small. Otherwise
+    it is hash-joined: lines with a NULL reference are spread over many tasks by
+    a salt that can never match, and AQE splits a hot customer's partition.
     """
     sd = sales_details.alias("sd")
     pr = products.select("product_number", "product_key").alias("pr")
     cu = customers.select("customer_id", "customer_key").alias("cu")
-    joined = enrich_left(sd, pr, F.col("sd.sls_prd_key") == F.col("pr.product_number"))
-    joined = enrich_left(joined, cu, F.col("sd.sls_cust_id") == F.col("cu.customer_id"))
+    joined = enrich_left(sd, pr, left_on=[F.col("sd.sls_prd_key")], right_on=[F.col("pr.product_number")])
+    joined = enrich_left(joined, cu, left_on=[F.col("sd.sls_cust_id")], right_on=[F.col("cu.customer_id")])
     return joined.select(
         F.col("sd.sls_ord_num").alias("order_number"),
         F.col("pr.product_key").alias("product_key"),

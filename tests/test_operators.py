@@ -111,6 +111,24 @@ def test_op15_enrich_left_semantics(spark):
     assert sorted(out.collect(), key=lambda r: (r[0], r[1] or 0)) == [(1, 10), (1, 11), (2, None), (3, None)]
 
 
+def test_op15_null_keys_spread_in_shuffle_join(spark):
+    """Key lists: same result as the plain left join; in the shuffle path the
+    NULL-key rows get a salt column in the join keys."""
+    fact = spark.range(3000).select(
+        F.col("id").alias("line"),
+        F.when(F.col("id") % 3 == 0, F.lit(None)).otherwise(F.col("id") % 50).cast("bigint").alias("cust"),
+    ).alias("f")
+    dim = spark.range(40).select(F.col("id").alias("cid"), (F.col("id") + 100).alias("ckey")).alias("d")
+    want = fact.join(dim, F.col("f.cust") == F.col("d.cid"), "left").select("f.line", "d.ckey")
+    for bc in (False, True):
+        got = enrich_left(fact, dim, left_on=[F.col("f.cust")], right_on=[F.col("d.cid")], broadcast=bc)
+        got = got.select("f.line", "d.ckey")
+        assert sorted(got.collect(), key=repr) == sorted(want.collect(), key=repr)
+    shuffled = enrich_left(fact, dim, left_on=[F.col("f.cust")], right_on=[F.col("d.cid")], broadcast=False)
+    assert "__lc_lsalt" in shuffled._jdf.queryExecution().optimizedPlan().toString()
+    assert "__lc_lsalt" not in shuffled.columns
+
+
 def test_op15_broadcast_only_when_measured_small(spark):
     left = spark.range(100).withColumnRenamed("id", "k")
     right = spark.range(50).withColumnRenamed("id", "k").withColumn("v", F.lit("x"))
