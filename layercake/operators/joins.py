@@ -67,7 +67,7 @@ def _spread_null_keys(
     (true, hash(row) % spread, NULL) and spread over ``NULL_KEY_SPREAD`` buckets.
     """
     any_null = reduce(lambda a, b: a | b, [c.isNull() for c in left_on])
-    row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in left.columns])
+    row_hash = F.xxhash64(F.col("*"))  # star expansion: safe with duplicate column names
     salted = left.withColumn("__lc_lnull", any_null).withColumn(
         "__lc_lsalt", F.when(any_null, F.pmod(row_hash, F.lit(NULL_KEY_SPREAD))).otherwise(F.lit(0).cast("bigint"))
     )
