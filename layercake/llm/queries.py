@@ -1,33 +1,157 @@
-"""Registered queries of the operators of this subpackage, and their SQL."""
+"""Registered queries of the operators of this subpackage, and their SQL.
+
+Every query applies its operator with production parameters to a whole table.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from layercake.llm import byte_bpe, decontamination, kneser_ney, language_id, sharding, toxicity
+from layercake.llm.jaccard_join import similarity_classes
 from layercake.llm.substring_dedup import remove_repeats
+from layercake.llm.suffix_dedup import find_repeats
+from layercake.llm.top_k import top_k
+
+#: Files of public vocabularies.
+RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+MULTILINGUAL_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+SHARDS = 40
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def remainder(by: int, id_col: str = "doc_id"):
+    """crc32 of the id as text modulo ``by``; -1 for a null id."""
+    return F.coalesce(F.pmod(F.crc32(F.col(id_col).cast("string").cast("binary")), F.lit(by)), F.lit(-1))
+
+
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from those not held out."""
+    docs = _table(spark, sf_dir, "documents")
+    held_out = remainder(4) == 2
+    model = language_id.fit(docs.where(~held_out), MULTILINGUAL_RANKS)
+    return language_id.predict(docs.select("doc_id", held_out.alias("held_out"), "text"), model).drop("text")
+
+
+def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document, and the bytes that they decode to."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    tokens = byte_bpe.encode_texts(docs, RANKS, public_tokenizers.PATTERN, decoded=True)
+    return tokens.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op3_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 best vectors of every hundredth vector."""
+    return top_k(_table(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 100 == 0, k=10)
+
+
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages of 50 words or more that another document has too."""
+    found = find_repeats(_table(spark, sf_dir, "documents"), min_words=50)
+    return found.select("doc_id", "n_words", "n_repeated", "n_removable", F.explode("spans").alias("span")).select(
+        "doc_id", "n_words", "n_repeated", "n_removable", F.col("span.first").cast("long").alias("first_word"), F.col("span.end").cast("long").alias("end_word")
+    )
+
+
+def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents in shards of near equal bytes; equal texts stay together."""
+    dealt = sharding.shard_by_bytes(_table(spark, sf_dir, "documents"), SHARDS)
+    return dealt.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learned from labels of those not held out."""
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    held_out = remainder(5) == 0
+    model = toxicity.fit(docs, labels.where(~held_out))
+    return toxicity.score(docs.select("doc_id", held_out.alias("held_out"), "text"), model).drop("text")
+
+
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold benchmark passages, with the best overlap of each item."""
+    docs, benchmark = _table(spark, sf_dir, "documents").select("doc_id", "text"), _table(spark, sf_dir, "benchmark")
+    found = decontamination.find_overlaps(docs, benchmark).select("doc_id", F.explode("overlaps").alias("o"))
+    return found.select("doc_id", F.col("o.item").alias("item_id"), "o.text_first", "o.text_end", "o.item_first", "o.n_equal")
+
+
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words left after removal of 13-word windows that a smaller document has."""
     done = remove_repeats(_table(spark, sf_dir, "documents"), window=13, block=7)
     return done.select("doc_id", "n_words", "n_removed", F.sha2(F.encode("kept_text", "UTF-8"), 256).alias("kept_sha256"))
 
 
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Classes of documents linked by similar sets of 5-word n-grams."""
+    return similarity_classes(_table(spark, sf_dir, "documents"), shingle=5, percent=80)
+
+
+def op10_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log10 probability of every document under a model of those not held out."""
+    scored = kneser_ney.score_texts(_table(spark, sf_dir, "documents"), remainder(5) != 1, order=2)
+    return scored.select("doc_id", (~F.col("trained")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "perplexity")
+
+
 QUERIES = {
+    "op1_language_id": op1_language_id,
+    "op2_byte_bpe": op2_byte_bpe,
+    "op3_top_k": op3_top_k,
+    "op4_suffix_dedup": op4_suffix_dedup,
+    "op5_sharding": op5_sharding,
+    "op6_toxicity": op6_toxicity,
+    "op7_decontamination": op7_decontamination,
     "op8_substring_dedup": op8_substring_dedup,
+    "op9_jaccard_join": op9_jaccard_join,
+    "op10_kneser_ney": op10_kneser_ney,
 }
 
 _WORDS = r"'[^\x20\x09-\x0D]+'"
+_TEXTS = f"texts AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), {_WORDS}) AS ws FROM documents)"
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 ORACLE_SQL = {
-    "op8_substring_dedup": rf"""
-        WITH texts AS (
-          SELECT doc_id, regexp_extract_all(coalesce(text, ''), {_WORDS}) AS ws FROM documents),
+    "op3_top_k": """
+        WITH whole AS (
+          SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS v
+          FROM embeddings
+          WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+            AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        scored AS (
+          SELECT q.vec_id AS query_id, c.vec_id,
+                 list_inner_product(q.v, c.v)::BIGINT AS score
+          FROM whole AS q JOIN whole AS c ON c.vec_id <> q.vec_id AND len(c.v) = len(q.v)
+          WHERE q.vec_id % 100 = 0),
+        ranked AS (
+          SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank
+          FROM scored)
+        SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
+    """,
+    "op4_suffix_dedup": f"""
+        WITH {_TEXTS},
+        starts AS (
+          SELECT doc_id, ws, unnest(range(1, len(ws) - 48)) AS i FROM texts WHERE len(ws) >= 50),
+        windows AS (SELECT doc_id, i, md5(array_to_string(ws[i:i + 49], ' ')) AS k FROM starts),
+        seen AS (SELECT k, min(doc_id) AS lo, max(doc_id) AS hi FROM windows GROUP BY k HAVING lo < hi),
+        hits AS (SELECT doc_id, i, lo < doc_id AS later FROM windows JOIN seen USING (k)),
+        words AS (
+          SELECT doc_id, i + j AS pos, bool_or(later) AS later
+          FROM hits, range(0, 50) AS r(j) GROUP BY doc_id, pos),
+        runs AS (
+          SELECT *, pos - row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS run FROM words),
+        spans AS (SELECT doc_id, min(pos) - 1 AS a, max(pos) AS b FROM runs GROUP BY doc_id, run),
+        sums AS (
+          SELECT doc_id, count(*) AS n_repeated, count(*) FILTER (later) AS n_removable
+          FROM words GROUP BY doc_id)
+        SELECT doc_id, len(ws)::BIGINT AS n_words, n_repeated, n_removable,
+               a::BIGINT AS first_word, b::BIGINT AS end_word
+        FROM spans JOIN sums USING (doc_id) JOIN texts USING (doc_id)
+    """,
+    "op8_substring_dedup": f"""
+        WITH {_TEXTS},
         starts AS (
           SELECT doc_id, ws, unnest(range(1, len(ws) - 11)) AS i FROM texts WHERE len(ws) >= 13),
         windows AS (
@@ -46,4 +170,24 @@ ORACLE_SQL = {
                sha256(coalesce(s, '')) AS kept_sha256
         FROM texts LEFT JOIN kept USING (doc_id)
     """,
+    "op9_jaccard_join": f"""
+        WITH RECURSIVE texts AS (
+          SELECT doc_id, regexp_extract_all({_LOWER}, {_WORDS}) AS ws FROM documents),
+        grams AS (
+          SELECT DISTINCT doc_id, array_to_string(ws[i:i + 4], ' ') AS g
+          FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 3, 2))) AS i FROM texts WHERE len(ws) > 0)),
+        sizes AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id),
+        common AS (
+          SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS m
+          FROM grams AS x JOIN grams AS y USING (g) WHERE x.doc_id <> y.doc_id GROUP BY a, b),
+        links AS (
+          SELECT a, b FROM common JOIN sizes AS p ON p.doc_id = a JOIN sizes AS q ON q.doc_id = b
+          WHERE 100 * m >= 80 * (p.n + q.n - m)),
+        reach(a, b) AS (
+          SELECT a, b FROM links UNION SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b)
+        SELECT t.doc_id, coalesce(any_value(n), 0)::BIGINT AS n_shingles,
+               least(t.doc_id, coalesce(min(b), t.doc_id)) AS component_id
+        FROM texts AS t LEFT JOIN sizes USING (doc_id) LEFT JOIN reach ON reach.a = t.doc_id
+        GROUP BY t.doc_id
+    """,
 }

@@ -85,9 +85,16 @@ def text_buffer(texts: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarr
     return whole[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def find_words(buffer: np.ndarray, offsets: np.ndarray, fold_case: bool = False) -> Words:
-    """Words of every text; ``fold_case`` hashes A-Z as a-z."""
-    solid = ~_SEPARATOR[buffer]
+#: Every ASCII byte but letters: separators where words are runs of letters.
+NOT_LETTERS = np.zeros(256, bool)
+NOT_LETTERS[:128] = True
+NOT_LETTERS[65:91] = NOT_LETTERS[97:123] = False
+
+
+def find_words(buffer: np.ndarray, offsets: np.ndarray, fold_case: bool = False, separators: np.ndarray = _SEPARATOR) -> Words:
+    """Words of every text; ``fold_case`` hashes A-Z as a-z; ``separators`` marks the
+    bytes between words."""
+    solid = ~separators[buffer]
     first, last = solid.copy(), solid.copy()
     first[1:] &= ~solid[:-1]
     last[:-1] &= ~solid[1:]
