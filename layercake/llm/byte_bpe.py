@@ -1,7 +1,8 @@
 """Byte-level BPE encoding and decoding with the ``tokenizers`` library.
 
 A rank file lists byte strings; byte-level BPE in ``tokenizers`` works on characters, so
-that each byte is mapped to one printable character, and back for decoding. Offsets come
+that each byte is mapped to one printable character, and back for decoding. Every match
+of the pattern is encoded by itself, so that a task encodes each distinct match once. Offsets come
 from the ids alone: the bytes of the ids, in order, are the bytes of the text, and a byte
 belongs to the character whose UTF-8 sequence holds it. Several ids may share a character
 that the vocabulary splits; each then spans the whole character.
@@ -16,13 +17,15 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from layercake.llm.shipping import ship
 
-#: Text bytes encoded at a time within a task.
-BATCH_BYTES = 1 << 20
+#: Text characters encoded at a time within a task; distinct matches that it keeps.
+BATCH_CHARS = 1 << 20
+KEPT_MATCHES = 300_000
 
 
 @lru_cache(1)
@@ -42,10 +45,11 @@ def read_ranks(file: bytes) -> list[bytes]:
 
 
 @lru_cache(2)
-def codec(file: bytes, pattern: str):
-    """The tokenizer for a rank file, and its decoding table; kept per worker."""
+def codec(file: bytes):
+    """The tokenizer of single matches for a rank file, its decoding table and the bytes
+    of each id; kept per worker."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Regex, Tokenizer, models, pre_tokenizers
+    from tokenizers import Tokenizer, models, pre_tokenizers
 
     tokens = read_ranks(file)
     known = set(tokens)
@@ -53,13 +57,32 @@ def codec(file: bytes, pattern: str):
     spelled = {t: "".join(letters[b] for b in t) for t in tokens}
     # any two parts that join to a token may merge, at the rank of that token
     merges = [(spelled[t[:i]], spelled[t[i:]]) for t in tokens for i in range(1, len(t)) if t[:i] in known and t[i:] in known]
-    model = models.BPE(vocab={spelled[t]: i for i, t in enumerate(tokens)}, merges=merges, cache_capacity=200_000)
+    model = models.BPE(vocab={spelled[t]: i for i, t in enumerate(tokens)}, merges=merges)
     tokenizer = Tokenizer(model)
-    tokenizer.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.Split(Regex(pattern), "isolated"), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+    tokenizer.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
     lengths = np.array([len(t) for t in tokens], np.int64)
     return tokenizer, tokens, lengths
 
 
+class Encoder:
+    """Ids of texts; ``kept``: ids of the matches seen so far, as 32-bit integers."""
+
+    def __init__(self, file: bytes, pattern: str):
+        self.tokenizer, self.tokens, self.lengths = codec(file)
+        self.find = regex.compile(pattern).findall
+        self.kept: dict[str, bytes] = {}
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        matches = [self.find(t) for t in texts]
+        distinct = set().union(*matches)
+        new = list(distinct - self.kept.keys())
+        if len(self.kept) + len(new) > KEPT_MATCHES:
+            self.kept, new = {}, list(distinct)
+        for match, found in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
+            self.kept[match] = np.array(found.ids, "<u4").tobytes()
+        return [np.frombuffer(b"".join(map(self.kept.__getitem__, m)), "<u4") for m in matches]
+
+
 def decode(ids: np.ndarray, tokens: list[bytes]) -> bytes:
     """The bytes of ``ids``; whole characters or not."""
     return b"".join([tokens[i] for i in ids.tolist()])
@@ -79,7 +102,7 @@ def _slices(column: pa.Array) -> Iterator[list[str]]:
         text = value.as_py() or ""
         texts.append(text)
         size += len(text)
-        if size >= BATCH_BYTES:
+        if size >= BATCH_CHARS:
             yield texts
             texts, size = [], 0
     yield texts
@@ -105,19 +128,19 @@ def encode_texts(docs: DataFrame, vocabulary: str, pattern: str, text_col: str =
     rows = docs.select(*[F.col(f"`{c}`") for c in carried], F.col(text_col).cast("string").alias("__text"))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer, tokens, lengths = codec(shared.value, pattern)
+        encoder = Encoder(shared.value, pattern)
         for batch in batches:
             done = 0
             for texts in _slices(batch.column(batch.num_columns - 1)):
                 if not texts:
                     continue
-                ids = [np.array(e.ids, np.uint32) for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+                ids = encoder.encode(texts)
                 out = [pa.array([len(x) for x in ids], pa.int64()), pa.array([x.tobytes() for x in ids], pa.binary())]
                 if offsets:
-                    spans = [character_spans(x, t.encode(), lengths) for x, t in zip(ids, texts, strict=True)]
+                    spans = [character_spans(x, t.encode(), encoder.lengths) for x, t in zip(ids, texts, strict=True)]
                     out += [pa.array([s[i].astype(np.uint32).tobytes() for s in spans], pa.binary()) for i in (0, 1)]
                 if decoded:
-                    out.append(pa.array([decode(x, tokens) for x in ids], pa.binary()))
+                    out.append(pa.array([decode(x, encoder.tokens) for x in ids], pa.binary()))
                 kept = batch.slice(done, len(texts)).columns[:-1]
                 done += len(texts)
                 yield pa.RecordBatch.from_arrays([*kept, *out], names=[*carried, *new])
