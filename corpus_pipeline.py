@@ -18,37 +18,41 @@ from layercake.llm.substring_dedup import remove_repeats
 from layercake.session import write_scratch
 
 
+def _rows(docs: DataFrame) -> DataFrame:
+    """Whole rows as one column, beside the text, so that no column's name can clash."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("text"))
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity classifier does not reject. It is fitted on the
     labels of the documents that are not held out."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where(remainder(5) != 0)
     model = toxicity.fit(docs, labels)
-    return toxicity.score(docs, model).where("predicted = 0").select(docs.columns)
+    return toxicity.score(_rows(docs), model).where("predicted = 0").select("row.*")
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each class of similar documents. Documents
     without words or without an id stay."""
     classes = similarity_classes(docs)
-    copies = write_scratch(classes.where("doc_id <> component_id").select("doc_id"), "copies")
-    return docs.join(copies, "doc_id", "left_anti").select(docs.columns)
+    copies = write_scratch(classes.where("doc_id <> component_id").select(F.col("doc_id").alias("copy")), "copies")
+    return docs.join(copies, docs["doc_id"] == copies["copy"], "left_anti")
 
 
 def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the words of 13-word windows that a smaller document has. A text
     that loses nothing stays as it is; one that does keeps its other words, joined by one
     space."""
-    other = [c for c in docs.columns if c not in ("doc_id", "n_chars")]
-    done = remove_repeats(docs, window=13, block=7, carry=[*other, "n_chars"])
+    done = remove_repeats(docs, window=13, block=7, carry=docs.columns)
     cut = F.col("n_removed") > 0
-    done = done.withColumn("n_chars", F.when(cut, F.char_length("kept_text").cast("long")).otherwise(F.col("n_chars")))
-    return done.withColumn("text", F.when(cut, F.col("kept_text")).otherwise(F.col("text"))).select(docs.columns)
+    changed = {"text": F.col("kept_text"), "n_chars": F.char_length("kept_text").cast("long")}
+    return done.select(*[(F.when(cut, changed[c]).otherwise(F.col("row")[c]) if c in changed else F.col("row")[c]).alias(c) for c in docs.columns])
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that share no passage with a benchmark item."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    return decontamination.find_overlaps(docs, benchmark).where(F.size("overlaps") == 0).select(docs.columns)
+    return decontamination.find_overlaps(_rows(docs), benchmark).where(F.size("overlaps") == 0).select("row.*")
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

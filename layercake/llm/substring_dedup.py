@@ -87,9 +87,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """Remove each word covered by a window of ``window`` words whose word sequence also
     starts in a text with a smaller id; windows are judged on the input.
 
-    Returns ``id_col``, the columns of ``carry`` unchanged, ``n_words``, ``n_removed``,
-    ``kept_text`` (kept words joined by one space) and ``removed_spans`` (maximal removed
-    runs as word positions ``[first, end)``).
+    Returns ``id_col``, ``n_words``, ``n_removed``, ``kept_text`` (kept words joined by
+    one space), ``removed_spans`` (maximal removed runs as words ``[first, end)``) and
+    ``row``, a struct of the columns of ``carry``, unchanged.
 
     Null and empty texts have no words; a null id counts as larger than every id; rows
     with equal ids do not remove each other's words; an empty table gives no rows.
@@ -98,10 +98,10 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     block = block or (window + 1) // 2
     if window < 2 * block - 1:
         raise ValueError("window must be at least 2 * block - 1")
-    carry = carry or []
     ship(docs.sparkSession)
     layout = X.layout_of(docs, text_col)
-    rows = docs.select(F.col(id_col).cast("long").alias("__id"), F.col(text_col).cast("string").alias("__text"), *[F.col(c).alias(f"__c{i}") for i, c in enumerate(carry)])
+    row = F.struct(*[F.col(f"`{c}`") for c in carry or []]).alias("row") if carry else F.lit(True).alias("row")
+    rows = docs.select(F.col(id_col).cast("long").alias("__id"), F.col(text_col).cast("string").alias("__text"), row)
     rows = X.dealt(rows, layout, ["__id", "__text"])
     bits, buckets = layout.short_bits, layout.buckets
 
@@ -146,8 +146,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             edges = np.flatnonzero(np.diff(own.astype(np.int8), prepend=0, append=0))
             spans.append([{"first": int(x), "end": int(y)} for x, y in edges.reshape(-1, 2)])
         total = np.concatenate([[0], np.cumsum(gone)])
-        out = {"__id": docs["__id"]} | {f"__c{i}": docs[f"__c{i}"] for i in range(len(carry))}
-        out |= {
+        out = {
+            "__id": docs["__id"],
+            "row": docs["row"],
             "n_words": pa.array(np.diff(bounds)),
             "n_removed": pa.array(total[bounds[1:]] - total[bounds[:-1]]),
             "kept_text": pa.array(kept, pa.binary()).cast(pa.string()),
@@ -155,13 +156,12 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         }
         return pa.table(out)
 
-    kinds = dict(rows.dtypes)
-    carried = "".join(f"`__c{i}` {kinds[f'__c{i}']}, " for i in range(len(carry)))
     by_chunk = rows.groupBy("chunk")
     hits = by_chunk.applyInArrow(send_anchors, X.BLOCKS).groupBy("bucket").applyInArrow(probe, X.ANSWERS)
     repeats = by_chunk.cogroup(hits.groupBy("chunk")).applyInArrow(send_windows, X.BLOCKS).groupBy("bucket").applyInArrow(compare, X.ANSWERS)
     answers = hits.withColumn("step", F.lit(1)).unionByName(repeats.withColumn("step", F.lit(2)))
+    carried = dict(rows.dtypes)["row"]
     done = by_chunk.cogroup(answers.groupBy("chunk")).applyInArrow(
-        finish, f"`__id` long, {carried}n_words long, n_removed long, kept_text string, removed_spans array<struct<first:int,end:int>>"
+        finish, f"`__id` long, row {carried}, n_words long, n_removed long, kept_text string, removed_spans array<struct<first:int,end:int>>"
     )
-    return done.select(F.col("__id").alias(id_col), *[F.col(f"__c{i}").alias(c) for i, c in enumerate(carry)], "n_words", "n_removed", "kept_text", "removed_spans")
+    return done.select(F.col("__id").alias(id_col), "n_words", "n_removed", "kept_text", "removed_spans", *(["row"] if carry else []))
