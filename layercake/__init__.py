@@ -4,10 +4,10 @@ Sub-packages:
 
 * ``functions``  -- Column -> Column cleaning functions (names, codes, dates, amounts).
 * ``operators``  -- DataFrame -> DataFrame operators (keep-latest, validity intervals,
-  gap-free keys, size-checked enrichment joins, data-quality rules).
+  gap-free keys, balanced enrichment joins, data-quality rules).
 * ``sources``    -- dataset catalog, CSV ingest, layer paths and Parquet read/write.
 * ``plans``      -- the silver and gold datasets, the pipeline runners and CLI.
-* ``streaming``  -- intentionally empty: every pipeline here is a daily batch.
+* ``llm``        -- operators for training-data corpora (optional).
 """
 
 from layercake.session import build_session, scratch_dir

@@ -1,5 +1,6 @@
 """Column -> Column functions used by the silver and gold layers."""
 
+from layercake.functions._util import trim_spaces
 from layercake.functions.codes import fallback, map_codes
 from layercake.functions.dates import lenient_date, null_if_future, parse_int_date, previous_day
 from layercake.functions.flags import missing_flag
@@ -27,4 +28,5 @@ __all__ = [
     "strip_chars",
     "strip_prefix",
     "title_case",
+    "trim_spaces",
 ]

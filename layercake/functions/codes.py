@@ -7,13 +7,13 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from layercake.functions._util import ColumnOrName, col, lit_or_col
+from layercake.functions._util import ColumnOrName, col, lit_or_col, trim_spaces
 
 _NORMALIZERS = {
     None: lambda c: c,
-    "trim": F.trim,
+    "trim": trim_spaces,
     "upper": F.upper,
-    "upper_trim": lambda c: F.upper(F.trim(c)),
+    "upper_trim": lambda c: F.upper(trim_spaces(c)),
 }
 
 

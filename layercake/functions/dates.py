@@ -92,10 +92,11 @@ def null_if_future(c: ColumnOrName, as_of: str | dt.date | Column) -> Column:
     """Tolerant string -> DATE, NULL when after ``as_of`` (``as_of`` itself is kept).
 
     ``as_of`` is an explicit business date so that re-running an old partition
-    gives the same answer.
+    gives the same answer. Dates from the day after on are cut to that day, which then
+    counts as NULL: the date itself stands in the expression once.
     """
-    d = lenient_date(c)
-    return F.when(d > as_date_literal(as_of), F.lit(None).cast("date")).otherwise(d)
+    day_after = F.date_add(as_date_literal(as_of), 1)
+    return F.nullif(F.least(lenient_date(c), day_after), day_after)
 
 
 def previous_day(c: ColumnOrName) -> Column:

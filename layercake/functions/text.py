@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from layercake.functions._util import ColumnOrName, col
+from layercake.functions._util import ColumnOrName, col, trim_spaces
 
 # Runs of whitespace squeezed by `squeeze_spaces`: space, tab, LF, FF, CR.
 # Vertical tab is left alone on purpose: the SQL engines that define the
@@ -14,23 +14,40 @@ WHITESPACE_RUN = "[ \t\n\f\r]+"
 
 
 def squeeze_spaces(c: ColumnOrName) -> Column:
-    """trim (spaces only) then collapse each whitespace run into one space."""
-    return F.regexp_replace(F.trim(col(c)), WHITESPACE_RUN, " ")
+    """trim (space characters, no tabs) then collapse each whitespace run into one space."""
+    return F.regexp_replace(trim_spaces(c), WHITESPACE_RUN, " ")
+
+
+# Small letters whose capital is one character, though their full upper
+# case is two: sharp s, and Greek vowels with an iota below.
+_CAPITALS = {
+    0xDF: 0x1E9E, 0x1FB3: 0x1FBC, 0x1FC3: 0x1FCC, 0x1FF3: 0x1FFC,
+    **{small: small + 8 for first in (0x1F80, 0x1F90, 0x1FA0) for small in range(first, first + 8)},
+}
+_SMALL, _CAPITAL = "".join(map(chr, _CAPITALS)), "".join(map(chr, _CAPITALS.values()))
+
+
+def _word_case(word: Column) -> Column:
+    """First character upper case, the rest lower case, character by character: one
+    character never becomes two, and a capital sigma becomes the plain small one also
+    at the end of a word."""
+    first = F.translate(F.left(word, F.lit(1)), _SMALL, _CAPITAL)
+    upper = F.upper(first)
+    rest = F.lower(F.translate(F.substr(word, F.lit(2)), "\u03a3\u0130", "\u03c3i"))
+    return F.concat(F.when(F.length(upper) > 1, first).otherwise(upper), rest)
 
 
 def title_case(c: ColumnOrName) -> Column:
     """Trim, squeeze whitespace, capitalise every space-separated word (first
-    character upper case, the rest lower case).
+    character upper case, the rest lower case; see ``_word_case``).
 
     An empty result becomes NULL (callers add their own default with coalesce).
     A tab-only value is *not* empty: trim keeps the tab, the squeeze turns it into
-    one space, so the result is ' '. After the squeeze words are separated by
-    single spaces, which is exactly the word boundary of Spark's ``initcap``, so
-    the whole rule is one code-generated expression (no per-word lambda). Only a
-    word starting with a character whose title case differs from its upper case
-    (``ß`` -> ``Ss``, Latin digraphs) can differ from upper-casing the first letter.
+    one space, so the result is ' '. Letters that got a case with Unicode 16 follow the
+    Java runtime.
     """
-    return F.nullif(F.initcap(squeeze_spaces(c)), F.lit(""))
+    words = F.split(squeeze_spaces(c), " ")
+    return F.nullif(F.array_join(F.transform(words, _word_case), " "), F.lit(""))
 
 
 def split_composite_key(

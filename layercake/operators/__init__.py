@@ -1,6 +1,6 @@
 """DataFrame -> DataFrame operators."""
 
-from layercake.operators.joins import enrich_left, measure
+from layercake.operators.joins import enrich_left
 from layercake.operators.keys import dense_key
 from layercake.operators.ordering import Sort, asc, desc
 from layercake.operators.quality import check_rules, duplicate_keys
@@ -16,6 +16,5 @@ __all__ = [
     "duplicate_keys",
     "enrich_left",
     "keep_latest",
-    "measure",
     "validity_end",
 ]

@@ -1,83 +1,49 @@
-"""Left enrichment joins with a measured broadcast decision."""
+"""Left enrichment joins that stay balanced under NULL and hot keys."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
 from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# A side is broadcast only when its measured size is below these bounds. A
-# deployment with larger executors can raise them through the session settings
-# below, without code changes.
-DEFAULT_BROADCAST_MAX_BYTES = 32 * 1024 * 1024
-DEFAULT_BROADCAST_MAX_ROWS = 2_000_000
-MAX_BYTES_CONF = "spark.layercake.broadcast.maxBytes"
-MAX_ROWS_CONF = "spark.layercake.broadcast.maxRows"
-# Per-row and per-value overheads of the in-memory hash relation (estimate).
-_ROW_OVERHEAD = 24
-_FIXED_WIDTH = 8
 
+def _hinted(right: DataFrame, broadcast: bool | str) -> DataFrame:
+    if broadcast is True:
+        return F.broadcast(right)
+    return right.hint("merge") if broadcast is False else right
 
-@dataclass(frozen=True)
-class SideSize:
-    rows: int
-    bytes: int
 
-    def fits(self, max_bytes: int, max_rows: int) -> bool:
-        return self.rows <= max_rows and self.bytes <= max_bytes
-
-
-def _value_bytes(field: T.StructField) -> Column:
-    c = F.col(field.name)
-    if isinstance(field.dataType, (T.StringType, T.BinaryType)):
-        return F.coalesce(F.octet_length(c), F.lit(0)) + F.lit(_FIXED_WIDTH)
-    if isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
-        return F.coalesce(F.octet_length(F.to_json(c)), F.lit(0)) + F.lit(_FIXED_WIDTH)
-    return F.lit(_FIXED_WIDTH)
-
-
-def measure(df: DataFrame) -> SideSize:
-    """Exact row count and estimated in-memory bytes of ``df`` (one aggregation job,
-    reading only ``df``'s columns)."""
-    row_bytes = reduce(
-        lambda a, b: a + b, [_value_bytes(f) for f in df.schema.fields], F.lit(_ROW_OVERHEAD)
-    )
-    r = df.agg(
-        F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(row_bytes.cast("bigint")), F.lit(0)).alias("bytes")
-    ).first()
-    return SideSize(int(r["rows"]), int(r["bytes"]))
-
-
-# NULL-key rows of a shuffle join are spread over this many hash buckets.
-NULL_KEY_SPREAD = 1024
+def _key_text(parts: Sequence[Column]) -> Column:
+    """'=' and the key as text, NULL if a part is; lengths keep the parts apart."""
+    one = [c.cast("string") for c in parts]
+    return F.concat(F.lit("="), *[F.concat(F.length(c).cast("string"), F.lit(":"), c) for c in one[:-1]], one[-1])
 
 
 def _spread_null_keys(
-    left: DataFrame, right: DataFrame, left_on: Sequence[Column], right_on: Sequence[Column]
-) -> tuple[DataFrame, DataFrame, Column, list[str]]:
-    """Equi-join condition in which left rows with a NULL key -- they can never
-    match -- carry a deterministic salt instead of all hashing to one partition.
-
-    Join keys become (has-null flag, salt, key...): right rows and non-NULL left
-    rows have (false, 0, key), so matching is unchanged; NULL-key left rows have
-    (true, hash(row) % spread, NULL) and spread over ``NULL_KEY_SPREAD`` buckets.
+    left: DataFrame, right: DataFrame, left_on: Sequence[Column], right_on: Sequence[Column], broadcast: bool | str
+) -> DataFrame:
+    """Left join in which left rows with a NULL key, which can never match, get a key of
+    their own instead of all hashing to one partition.
+
+    Join keys are texts: '=' + key on both sides; a left row with a NULL in its key has
+    '!' + a hash of the row. No right row has such a text, and a NULL right key stays
+    NULL, so matching is unchanged. The left text depends on the whole row, so that two
+    chained joins never share one shuffle, which would keep AQE from splitting the
+    partitions of a hot key.
     """
-    any_null = reduce(lambda a, b: a | b, [c.isNull() for c in left_on])
-    row_hash = F.xxhash64(F.col("*"))  # star expansion: safe with duplicate column names
-    salted = left.withColumn("__lc_lnull", any_null).withColumn(
-        "__lc_lsalt", F.when(any_null, F.pmod(row_hash, F.lit(NULL_KEY_SPREAD))).otherwise(F.lit(0).cast("bigint"))
-    )
-    plain = right.withColumn("__lc_rnull", F.lit(False)).withColumn("__lc_rsalt", F.lit(0).cast("bigint"))
-    cond = reduce(
-        lambda a, b: a & b,
-        [F.col("__lc_lnull") == F.col("__lc_rnull"), F.col("__lc_lsalt") == F.col("__lc_rsalt")]
-        + [lc == rc for lc, rc in zip(left_on, right_on)],
-    )
-    return salted, plain, cond, ["__lc_lnull", "__lc_lsalt", "__lc_rnull", "__lc_rsalt"]
+    own = F.concat(F.lit("!"), F.xxhash64(F.col("*")).cast("string"))  # star: safe with duplicate column names
+    keyed = left.withColumn("__lc_own", own).withColumn("__lc_left", F.coalesce(_key_text(left_on), F.col("__lc_own")))
+    others = right.withColumn("__lc_right", _key_text(right_on))
+    joined = keyed.join(_hinted(others, broadcast), on=F.col("__lc_left") == F.col("__lc_right"), how="left")
+    return joined.drop("__lc_own", "__lc_left", "__lc_right")
+
+
+def _is_text_or_whole(df: DataFrame, c: Column) -> bool:
+    return isinstance(df.select(c).schema[0].dataType, (T.StringType, T.IntegralType))
 
 
 def enrich_left(
@@ -88,40 +54,27 @@ def enrich_left(
     left_on: Sequence[Column] | None = None,
     right_on: Sequence[Column] | None = None,
     broadcast: bool | str = "auto",
-    max_broadcast_bytes: int | None = None,
-    max_broadcast_rows: int | None = None,
 ) -> DataFrame:
     """LEFT OUTER equi-join that keeps every left row.
 
     NULL keys never match, unmatched rows get NULL attributes, duplicate right
     keys fan out (nothing is deduplicated here). Give the keys either as ``on``
     (a condition or column names) or as ``left_on`` / ``right_on`` column lists;
-    with the latter a shuffle join also spreads the NULL-key left rows (see
-    ``_spread_null_keys``) instead of sending them all to one task.
+    with the latter, text and whole-number keys are spread (see
+    ``_spread_null_keys``): NULL-key rows go to many tasks, and AQE can split a hot
+    key's partition in every join of a chain.
 
     ``broadcast``:
       * True  -- caller vouches for the right side's size (a fixed lookup);
-      * False -- always a shuffle join (AQE may still convert it at run time from
-        the *measured* shuffle size, and splits skewed partitions);
-      * "auto" -- measure the right side (rows and bytes) and broadcast it only
-        when it fits both bounds; otherwise shuffle.
-
-    The bounds default to the session settings ``spark.layercake.broadcast.maxBytes``
-    / ``.maxRows`` (32 MB / 2 M rows when unset).
+      * False -- always a sort-merge join;
+      * "auto" -- Spark decides, by the size of the files that the right side reads
+        or, at run time, by its real shuffle size. Nothing is computed for it.
     """
     if (on is None) == (left_on is None or right_on is None):
         raise ValueError("give either `on` or both `left_on` and `right_on`")
-    use_broadcast = broadcast is True
-    if broadcast == "auto":
-        conf = right.sparkSession.conf
-        max_bytes = max_broadcast_bytes or int(conf.get(MAX_BYTES_CONF, str(DEFAULT_BROADCAST_MAX_BYTES)))
-        max_rows = max_broadcast_rows or int(conf.get(MAX_ROWS_CONF, str(DEFAULT_BROADCAST_MAX_ROWS)))
-        use_broadcast = measure(right).fits(max_bytes, max_rows)
-    if on is None:
-        if use_broadcast:
-            cond = reduce(lambda a, b: a & b, [lc == rc for lc, rc in zip(left_on, right_on)])
-            return left.join(F.broadcast(right), on=cond, how="left")
-        salted, plain, cond, helpers = _spread_null_keys(left, right, left_on, right_on)
-        return salted.join(plain, on=cond, how="left").drop(*helpers)
-    side = F.broadcast(right) if use_broadcast else right
-    return left.join(side, on=on, how="left")
+    if on is not None:
+        return left.join(_hinted(right, broadcast), on=on, how="left")
+    pairs = list(zip(left_on, right_on, strict=True))
+    if broadcast is not True and all(_is_text_or_whole(left, lc) and _is_text_or_whole(right, rc) for lc, rc in pairs):
+        return _spread_null_keys(left, right, left_on, right_on, broadcast)
+    return left.join(_hinted(right, broadcast), on=reduce(and_, [lc == rc for lc, rc in pairs]), how="left")

@@ -5,21 +5,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 from itertools import accumulate
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from layercake.session import write_scratch
-from layercake.operators.ordering import (
-    DEFAULT_MAX_BUCKETS,
-    POS,
-    SLICE,
-    Sort,
-    as_sorts,
-    bucket_count,
-    rows_per_slice,
-    complete_tiebreak,
-    range_slices,
-)
+from layercake.operators.ordering import POS, SLICE, Sort, as_sorts, complete_tiebreak, range_slices, slice_count
 
 
 def dense_key(
@@ -28,23 +17,17 @@ def dense_key(
     name: str = "key",
     *,
     complete_order: bool = True,
-    rows_per_bucket: int | None = None,
-    max_buckets: int = DEFAULT_MAX_BUCKETS,
+    slices: int | None = None,
 ) -> DataFrame:
     """Add ``name`` = 1..N (BIGINT, no gaps) following ``order``.
 
-    Equivalent to ``row_number() OVER (ORDER BY order)`` but distributed:
-
-    1. write the input once to the shared scratch folder and count it (from
-       file metadata); up to ``rows_per_bucket`` rows a plain global window is
-       used (one task handles at most that many rows);
-    2. otherwise range-slice the table on the sort order (about
-       ``rows_per_bucket`` rows per slice) and write it to the shared checkpoint
-       folder with each row's position inside its slice; count rows per slice
-       (one number per slice reaches the driver) and broadcast the running
-       offsets (a table of one row per slice, so its size is bounded by the slice
-       count). The key is offset + position + 1: a map-only pass, no further
-       shuffle.
+    Equivalent to ``row_number() OVER (ORDER BY order)`` but distributed, the same
+    way for every size: the table is range-sliced on the sort order (``slices``
+    ranges, by default as many as the shuffle partitions) and written once with
+    each row's position inside its slice; the rows per slice are counted (one
+    number per slice reaches the driver) and their running sums joined back as a
+    broadcast table of one row per slice. The key is offset + position + 1: a
+    map-only pass, no further shuffle.
 
     ``complete_order`` appends every other column as a tie-break so the numbering
     does not depend on the physical row order. Keys are renumbered on each run:
@@ -53,17 +36,7 @@ def dense_key(
     sorts = as_sorts(order)
     if complete_order:
         sorts = complete_tiebreak(df, sorts)
-    order_cols = [s.column() for s in sorts]
-
-    # The input is usually a join; write it once so the count, the slicing and
-    # the numbering all read the same rows without re-running the join.
-    fixed = write_scratch(df, "dense-key-input")
-    rows = fixed.count()
-    slices = bucket_count(rows, rows_per_slice(df, rows_per_bucket), max_buckets)
-    if slices <= 1:
-        return fixed.withColumn(name, F.row_number().over(Window.orderBy(*order_cols)).cast("bigint"))
-
-    table = range_slices(fixed, sorts, slices, "dense-key")
+    table = range_slices(df, sorts, slice_count(df, slices), "dense-key")
     sizes = sorted(table.groupBy(SLICE).count().collect())
     starts = [0, *accumulate(n for _, n in sizes)][:-1]
     offsets = df.sparkSession.createDataFrame(

@@ -8,7 +8,6 @@ ordered operators run without one task holding a whole group.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
@@ -18,11 +17,6 @@ from pyspark.sql import types as T
 
 from layercake.session import write_scratch
 
-# Defaults sized for a cluster: one slice is sorted by one task. The slice size
-# can be set per deployment with the session setting below.
-DEFAULT_ROWS_PER_BUCKET = 4_000_000
-DEFAULT_MAX_BUCKETS = 100_000
-ROWS_PER_SLICE_CONF = "spark.layercake.slice.rows"
 SLICE = "__lc_slice"
 POS = "__lc_pos"
 ROW_ID = "__lc_row"
@@ -70,15 +64,11 @@ def complete_tiebreak(df: DataFrame, sorts: Sequence[Sort]) -> list[Sort]:
     return [*sorts, *extra]
 
 
-def bucket_count(rows: int, rows_per_bucket: int, max_buckets: int) -> int:
-    return max(1, min(max_buckets, math.ceil(rows / max(1, rows_per_bucket))))
-
-
-def rows_per_slice(df: DataFrame, explicit: int | None) -> int:
-    """Explicit argument, else the session setting, else the default."""
-    if explicit:
-        return explicit
-    return int(df.sparkSession.conf.get(ROWS_PER_SLICE_CONF, str(DEFAULT_ROWS_PER_BUCKET)))
+def slice_count(df: DataFrame, slices: int | None = None) -> int:
+    """Explicit number of slices, else as many as the session's shuffle partitions."""
+    if slices is not None:
+        return max(1, slices)
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
 def range_slices(df: DataFrame, sorts: Sequence[Sort], slices: int, label: str) -> DataFrame:
@@ -88,12 +78,14 @@ def range_slices(df: DataFrame, sorts: Sequence[Sort], slices: int, label: str)
     The result has two extra columns: ``__lc_slice`` (slice id; every row of slice
     i sorts before every row of slice i+1) and ``__lc_pos`` (0-based position
     inside the slice in sort order). Spark's own range partitioner picks the
-    bounds from a sample and places rows by binary search, so any number of
-    slices costs the same per row. A per-row id is the last tie-break, so even a
-    group of identical rows holding a third of the table is spread over many
-    slices (the order among identical rows is immaterial). Writing the table
-    fixes the assignment: every later pass, and every task retry, reads the same
-    slices instead of re-sampling.
+    bounds from a sample (about ``spark.sql.execution.rangeExchange
+    .sampleSizePerPartition`` sort keys per slice reach the driver) and places rows
+    by binary search, so any number of slices costs the same per row; a slice
+    larger than memory is sorted with spilling. A per-row id is the last
+    tie-break, so even a group of identical rows holding a third of the table is
+    spread over many slices (the order among identical rows is immaterial).
+    Writing the table fixes the assignment: every later pass, and every task
+    retry, reads the same slices instead of re-sampling.
     """
     order = [s.column() for s in sorts] + [F.col(ROW_ID).asc()]
     sliced = (

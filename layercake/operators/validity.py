@@ -3,20 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from layercake.operators.ordering import (
-    DEFAULT_MAX_BUCKETS,
-    SLICE,
-    Sort,
-    as_sorts,
-    bucket_count,
-    rows_per_slice,
-    range_slices,
-)
+from layercake.operators.ordering import POS, SLICE, Sort, as_sorts, range_slices, slice_count
 
 
 def _sort_column(item: Sort | str | Column) -> Column:
@@ -49,27 +43,6 @@ def current_only(df: DataFrame, end: str) -> DataFrame:
     return df.where(F.col(end).isNull())
 
 
-_ZERO = {
-    T.StringType: "",
-    T.BooleanType: False,
-    T.DateType: "1970-01-01",
-}
-
-
-def _non_null_key(name: str, dtype: T.DataType) -> tuple[Column, Column]:
-    """(is-null flag, value with NULL replaced) -- groups exactly like ``name``
-    but never NULL, so equi-joins on it match NULL keys to each other."""
-    c = F.col(name)
-    if isinstance(dtype, T.NumericType):
-        zero: Column = F.lit(0).cast(dtype)
-    elif type(dtype) in _ZERO:
-        zero = F.lit(_ZERO[type(dtype)]).cast(dtype)
-    else:
-        c = c.cast("string")
-        zero = F.lit("")
-    return c.isNull(), F.coalesce(c, zero)
-
-
 def validity_end(
     df: DataFrame,
     key: str | Sequence[str],
@@ -77,53 +50,38 @@ def validity_end(
     out: str = "valid_to",
     tiebreak: Sequence[str] = (),
     *,
-    rows_per_bucket: int | None = None,
-    max_buckets: int = DEFAULT_MAX_BUCKETS,
+    slices: int | None = None,
 ) -> DataFrame:
     """``out = lead(start) OVER (PARTITION BY key ORDER BY start NULLS LAST,
     tiebreak) - 1 day`` -- close each version the day before the next one starts.
 
-    Skew-safe: when the table is larger than ``rows_per_bucket`` rows it is first
-    range-sliced on (key, start, tiebreak) and written to the shared checkpoint
-    folder (see ``range_slices``); the window then runs per (key, slice), so one
-    key's history is spread over as many tasks as its size needs. The last row
-    of each (key, slice) takes its successor from a per-(key, slice) table of
-    first starts, which holds one row per slice a key touches. Pass a unique
-    ``tiebreak`` when starts can tie inside a key; ties are otherwise ordered
-    arbitrarily.
+    Skew-safe and the same for every size: the table is range-sliced on (key, start,
+    tiebreak) and written to the shared checkpoint folder (``slices`` ranges, by
+    default as many as the shuffle partitions; see ``range_slices``). The window
+    then runs per (slice, key), so one key's history is spread over as many tasks as
+    its size needs. Only the last row of a slice can have its successor in another
+    one: the first row of the next slice that has rows (one row per slice reaches the
+    driver). Pass a unique ``tiebreak`` when starts can tie inside a key; ties are
+    otherwise ordered arbitrarily.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    order = [Sort(start), *as_sorts(tiebreak)]
-    order_cols = [s.column() for s in order]
-
-    rows = df.count()
-    buckets = bucket_count(rows, rows_per_slice(df, rows_per_bucket), max_buckets)
-    if buckets <= 1:
-        w = Window.partitionBy(*keys).orderBy(*order_cols)
-        return df.withColumn(out, F.date_sub(F.lead(start).over(w), 1))
-
-    composite = [Sort(k, nulls_first=True) for k in keys] + order
-    staged = range_slices(df, composite, buckets, "validity-end")
-    key_cols: list[str] = []
-    for i, k in enumerate(keys):
-        isnull, value = _non_null_key(k, df.schema[k].dataType)
-        staged = staged.withColumn(f"__lc_kn{i}", isnull).withColumn(f"__lc_kv{i}", value)
-        key_cols += [f"__lc_kn{i}", f"__lc_kv{i}"]
-    group = [*key_cols, SLICE]
-
-    w = Window.partitionBy(*group).orderBy(*order_cols)
-    local = staged.withColumn("__lc_next", F.lead(start).over(w)).withColumn(
-        "__lc_last", F.lead(F.lit(1)).over(w).isNull()
-    )
-    # First start of every (key, bucket): min() skips NULLs, which is exactly the
-    # first row under NULLS LAST (NULL when the bucket holds only NULL starts).
-    firsts = staged.groupBy(*group).agg(F.min(start).alias("__lc_first"))
-    successor = firsts.select(
-        *group,
-        F.lead("__lc_first").over(Window.partitionBy(*key_cols).orderBy(SLICE)).alias("__lc_nf"),
+    composite = [Sort(k, nulls_first=True) for k in keys] + [Sort(start), *as_sorts(tiebreak)]
+    staged = range_slices(df, composite, slice_count(df, slices), "validity-end")
+
+    first_rows = sorted(staged.where(F.col(POS) == 0).select(SLICE, *keys, start).collect(), key=lambda r: r[SLICE])
+    edge_fields = [
+        T.StructField(SLICE, T.IntegerType()),
+        *[T.StructField(f"__lc_k{i}", df.schema[k].dataType) for i, k in enumerate(keys)],
+        T.StructField("__lc_first", df.schema[start].dataType),
+    ]
+    edges = df.sparkSession.createDataFrame(
+        [(here[0], *following[1:]) for here, following in zip(first_rows, first_rows[1:])], T.StructType(edge_fields)
     )
-    joined = local.join(successor, on=group, how="left")
-    nxt = F.when(F.col("__lc_last"), F.col("__lc_nf")).otherwise(F.col("__lc_next"))
-    end = F.date_sub(nxt, 1).alias(out)
+    w = Window.partitionBy(SLICE, *keys).orderBy(POS)
+    local = staged.withColumn("__lc_next", F.lead(start).over(w)).withColumn("__lc_last", F.lead(POS).over(w).isNull())
+    joined = local.join(F.broadcast(edges), SLICE, "left")
+    same_key = reduce(and_, [F.col(k).eqNullSafe(F.col(f"__lc_k{i}")) for i, k in enumerate(keys)])
+    following = F.when(~F.col("__lc_last"), F.col("__lc_next")).when(same_key, F.col("__lc_first"))
+    end = F.date_sub(following, 1).alias(out)
     cols = [end if c == out else F.col(c) for c in df.columns]
     return joined.select(*cols, *([] if out in df.columns else [end]))

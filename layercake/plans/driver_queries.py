@@ -27,9 +27,10 @@ from layercake.functions import (
     strip_chars,
     strip_prefix,
     title_case,
+    trim_spaces,
 )
 from layercake.operators import current_only, dense_key, desc, keep_latest, validity_end
-from layercake.plans import gold, quality, silver
+from layercake.plans import gold, quality, runner, silver
 from layercake.plans.gold import GENDER_UNKNOWN_INTENDED
 from layercake.session import scratch_dir, write_scratch
 from layercake.sources import DatasetSpec, read_csv_source, read_layer, write_layer
@@ -44,6 +45,7 @@ from layercake.plans.standins import (
     bronze_prd_info,
     bronze_px_cat_g1v2,
     bronze_sales_details,
+    export_sources,
     table_reader,
 )
 
@@ -53,9 +55,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 ORDER_STATUS = {"F": "Fulfilled", "O": "Open", "P": "Partial"}
 EVENT_CLASS = {"CLICK": "Engagement", "VIEW": "Engagement", "PURCHASE": "Conversion", "SIGNUP": "Conversion"}
 FUTURE_AS_OF = "1998-01-01"
-# Small bucket size that forces the distributed paths of the range operators
-# on small tables (the defaults are sized for a cluster).
-DEMO_ROWS_PER_BUCKET = 1000
+# Many more slices than tasks, as on a large table.
+DEMO_SLICES = 40
 
 
 # ------------------------------------------------------------- column functions
@@ -73,7 +74,7 @@ def title_case_names(spark: SparkSession, sf_dir: str) -> DataFrame:
             (3, None),
             (4, "   "),
             (5, F.concat(name, F.lit("\tEND"))),
-            (6, F.concat(F.lit("mIxEd "), name)),
+            (6, F.concat(F.lit("mIxEd ΝΙΚΟΣ ßeta éTÉ ñU "), name)),
         ],
         name,
     )
@@ -121,7 +122,7 @@ def country_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.select(
         "c_custkey",
         raw.alias("cntry_raw"),
-        map_codes(raw, silver.COUNTRY, F.trim(raw), normalize="trim", null_as="n/a").alias("country"),
+        map_codes(raw, silver.COUNTRY, trim_spaces(raw), normalize="trim", null_as="n/a").alias("country"),
     )
 
 
@@ -297,7 +298,7 @@ def keep_latest_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return keep_latest(o, ["o_custkey"], [desc("order_date")], tiebreak=[desc("o_orderkey")])
 
 
-def _validity(spark: SparkSession, sf_dir: str, **opts: int) -> DataFrame:
+def _validity(spark: SparkSession, sf_dir: str, **opts: int | None) -> DataFrame:
     o = _orders_dated(table_reader(spark, sf_dir), 17).select(
         "o_orderkey", "o_custkey", F.col("order_date").alias("valid_from")
     )
@@ -309,7 +310,7 @@ def validity_end_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def validity_end_distributed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _validity(spark, sf_dir, rows_per_bucket=DEMO_ROWS_PER_BUCKET)
+    return _validity(spark, sf_dir, slices=DEMO_SLICES)
 
 
 def current_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -320,7 +321,7 @@ def dense_key_distributed(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table_reader(spark, sf_dir)("orders").select(
         "o_orderkey", "o_custkey", F.to_date("o_orderdate").alias("order_date")
     )
-    return dense_key(o, ["order_date", "o_custkey"], "order_sk", rows_per_bucket=DEMO_ROWS_PER_BUCKET)
+    return dense_key(o, ["order_date", "o_custkey"], "order_sk", slices=DEMO_SLICES)
 
 
 # ------------------------------------------------------------- silver and gold
@@ -394,20 +395,34 @@ def gold_dim_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold.dim_products(s["crm.prd_info"], s["erp.px_cat_g1v2"])
 
 
-def _fact(s: _Silver) -> DataFrame:
+def _fact(s: _Silver, sales: DataFrame | None = None, **opts: bool | str) -> DataFrame:
     """Like the gold runner, the fact joins *written* dimensions: their keys are
-    fixed once, and sizing the join sides reads two columns of each."""
-    products = write_scratch(gold.dim_products(s["crm.prd_info"], s["erp.px_cat_g1v2"]), "dim-products")
+    fixed once, and the size of their files decides how they are joined."""
+    products = write_scratch(gold.dim_products(s["crm.prd_info"], s["erp.px_cat_g1v2"], **opts), "dim-products")
     customers = write_scratch(
-        gold.dim_customers(s["crm.cust_info"], s["erp.cust_az12"], s["erp.loc_a101"]), "dim-customers"
+        gold.dim_customers(s["crm.cust_info"], s["erp.cust_az12"], s["erp.loc_a101"], **opts), "dim-customers"
     )
-    return gold.fact_sales(s["crm.sales_details"], products, customers)
+    return gold.fact_sales(s["crm.sales_details"] if sales is None else sales, products, customers, **opts)
 
 
 def gold_fact_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _fact(_silver_frames(spark, sf_dir))
 
 
+def gold_fact_sales_merge_joined(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact as for dimensions that are too large to broadcast."""
+    return _fact(_silver_frames(spark, sf_dir), broadcast=False)
+
+
+def pipeline_from_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Source CSV files -> bronze -> silver -> gold with the runner; the fact that it
+    publishes."""
+    source = export_sources(table_reader(spark, sf_dir), scratch_dir(spark, "source"))
+    base = scratch_dir(spark, "lake")
+    runner.run_all(spark, base, source, STANDIN_AS_OF, parallelism=2)
+    return read_layer(spark, base, "gold", "fact_sales", STANDIN_AS_OF)
+
+
 # --------------------------------------------------------------- checks, counts
 
 def rule_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -428,7 +443,8 @@ def unmatched_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def fact_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = _silver_frames(spark, sf_dir)
-    return quality.fact_fanout(s["crm.sales_details"], _fact(s))
+    sales = write_scratch(s["crm.sales_details"], "sales")
+    return quality.fact_fanout(sales, _fact(s, sales))
 
 
 def layer_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -444,7 +460,7 @@ def layer_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # A few cell values written into the CSV on purpose: missing-value tokens, a
 # token with a leading space (kept), embedded quotes and separators.
-CSV_NAME_VARIANTS = ("NA", "n/a", "NULL", "#N/A", " NA", 'say "hi"', "", "nan", "None", "a,b")
+CSV_NAME_VARIANTS = ("NA", "n/a", "NULL", "#N/A", " NA", 'say "hi"', "", "nan", "None", "a,b", "two\nlines")
 PART_CSV = DatasetSpec(
     "driver",
     "part",
@@ -472,7 +488,7 @@ def csv_ingest_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
         name.alias("p_name"),
         "p_brand",
         F.when(k % 9 == 0, F.lit("NULL")).otherwise(F.col("p_size").cast("string")).alias("p_size"),
-        F.when(k % 10 == 0, F.lit("NaN")).otherwise(F.col("p_retailprice").cast("string")).alias("p_retailprice"),
+        F.when(k % 10 == 0, F.lit("NaN")).when(k % 10 == 1, F.lit(None)).otherwise(F.col("p_retailprice").cast("string")).alias("p_retailprice"),
     )
     folder = scratch_dir(spark, "csv-ingest")
     (
@@ -501,6 +517,23 @@ def partition_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     return days[0].unionByName(days[1])
 
 
+def partition_overwrite_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three days of orders; the second is run again without rows, the third never had
+    any. Only the first has rows left, and every day can be read."""
+    orders = table_reader(spark, sf_dir)("orders")
+    nothing = orders.where("o_orderkey IS NULL")
+    base = scratch_dir(spark, "lake")
+    days = ("2026-01-01", "2026-01-02", "2026-01-03")
+    for day, rows in zip((*days, days[1]), (orders, orders, nothing, nothing)):
+        write_layer(rows, base, "silver", "orders", day, "driver")
+    frames = [read_layer(spark, base, "silver", "orders", d, "driver").withColumn("ingest_date", F.lit(d)) for d in days]
+    return reduce(DataFrame.unionByName, frames)
+
+
+def pass_through_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return silver.px_cat_g1v2(table_reader(spark, sf_dir)("orders"))
+
+
 QUERIES: dict[str, Query] = {
     "title_case_names": title_case_names,
     "map_codes_status": map_codes_status,
@@ -541,4 +574,8 @@ QUERIES: dict[str, Query] = {
     "layer_counts": layer_counts,
     "csv_ingest_roundtrip": csv_ingest_roundtrip,
     "partition_overwrite": partition_overwrite,
+    "partition_overwrite_empty": partition_overwrite_empty,
+    "pass_through_orders": pass_through_orders,
+    "gold_fact_sales_merge_joined": gold_fact_sales_merge_joined,
+    "pipeline_from_csv": pipeline_from_csv,
 }

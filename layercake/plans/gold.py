@@ -36,7 +36,8 @@ def dim_customers(
     loc_a101: DataFrame,
     *,
     gender_unknown: Sequence[str] = GENDER_UNKNOWN_LITERAL,
-    **key_opts: int,
+    slices: int | None = None,
+    broadcast: bool | str = "auto",
 ) -> DataFrame:
     """CRM customers enriched with ERP birth date, gender fallback and country.
 
@@ -47,10 +48,9 @@ def dim_customers(
     ci = cust_info.alias("ci")
     ca = cust_az12.select("cid", "gen", "bdate").alias("ca")
     la = loc_a101.select("cid", "cntry").alias("la")
-    # plain key conditions: both joins hash on the customer number, so a shuffle
-    # of the CRM side is reused by the second join
-    joined = enrich_left(ci, ca, F.col("ci.cst_key") == F.col("ca.cid"))
-    joined = enrich_left(joined, la, F.col("ci.cst_key") == F.col("la.cid"))
+    number = [F.col("ci.cst_key")]
+    joined = enrich_left(ci, ca, left_on=number, right_on=[F.col("ca.cid")], broadcast=broadcast)
+    joined = enrich_left(joined, la, left_on=number, right_on=[F.col("la.cid")], broadcast=broadcast)
     attrs = joined.select(
         F.col("ci.cst_id").alias("customer_id"),
         F.col("ci.cst_key").alias("customer_number"),
@@ -62,11 +62,13 @@ def dim_customers(
         F.col("ca.bdate").alias("birthdate"),
         F.col("ci.cst_create_date").alias("create_date"),
     )
-    keyed = dense_key(attrs, ["customer_id"], "customer_key", **key_opts)
+    keyed = dense_key(attrs, ["customer_id"], "customer_key", slices=slices)
     return keyed.select(*DIM_CUSTOMERS_COLUMNS)
 
 
-def dim_products(prd_info: DataFrame, px_cat: DataFrame, **key_opts: int) -> DataFrame:
+def dim_products(
+    prd_info: DataFrame, px_cat: DataFrame, *, slices: int | None = None, broadcast: bool | str = "auto"
+) -> DataFrame:
     """Current product versions (no end date) with their category attributes
     (LEFT join: unknown category ids keep NULL attributes). ``product_key``
     numbers rows 1..N by start date, then product number."""
@@ -75,7 +77,7 @@ def dim_products(prd_info: DataFrame, px_cat: DataFrame, **key_opts: int) -> Dat
         F.col("id").alias("id"), F.col("cat").alias("cat"),
         F.col("subcat").alias("subcat"), F.col("maintenance").alias("maintenance"),
     ).alias("pc")
-    joined = enrich_left(pn, pc, F.col("pn.cat_id") == F.col("pc.id"))
+    joined = enrich_left(pn, pc, left_on=[F.col("pn.cat_id")], right_on=[F.col("pc.id")], broadcast=broadcast)
     attrs = joined.select(
         F.col("pn.prd_id").alias("product_id"),
         F.col("pn.prd_key").alias("product_number"),
@@ -88,25 +90,27 @@ def dim_products(prd_info: DataFrame, px_cat: DataFrame, **key_opts: int) -> Dat
         F.col("pn.prd_line").alias("product_line"),
         F.col("pn.prd_start_dt").alias("start_date"),
     )
-    keyed = dense_key(attrs, ["start_date", "product_number"], "product_key", **key_opts)
+    keyed = dense_key(attrs, ["start_date", "product_number"], "product_key", slices=slices)
     return keyed.select(*DIM_PRODUCTS_COLUMNS)
 
 
-def fact_sales(sales_details: DataFrame, products: DataFrame, customers: DataFrame) -> DataFrame:
+def fact_sales(
+    sales_details: DataFrame, products: DataFrame, customers: DataFrame, *, broadcast: bool | str = "auto"
+) -> DataFrame:
     """Sales lines with the surrogate keys of the *current* product and the
     customer (LEFT joins: unknown or NULL references keep a NULL key; a
     duplicated dimension key fans the line out).
 
-    Only the two key columns of each dimension take part in the joins, so a
-    dimension is broadcast whenever its (key, id) pairs measure small. Otherwise
-    it is hash-joined: lines with a NULL reference are spread over many tasks by
-    a salt that can never match, and AQE splits a hot customer's partition.
+    Only the two key columns of each dimension take part in the joins; Spark
+    broadcasts a dimension whose files are small. Otherwise it is merge-joined:
+    lines with a NULL reference are spread over all tasks, and AQE splits the
+    partitions of a hot product or customer.
     """
     sd = sales_details.alias("sd")
     pr = products.select("product_number", "product_key").alias("pr")
     cu = customers.select("customer_id", "customer_key").alias("cu")
-    joined = enrich_left(sd, pr, left_on=[F.col("sd.sls_prd_key")], right_on=[F.col("pr.product_number")])
-    joined = enrich_left(joined, cu, left_on=[F.col("sd.sls_cust_id")], right_on=[F.col("cu.customer_id")])
+    joined = enrich_left(sd, pr, left_on=[F.col("sd.sls_prd_key")], right_on=[F.col("pr.product_number")], broadcast=broadcast)
+    joined = enrich_left(joined, cu, left_on=[F.col("sd.sls_cust_id")], right_on=[F.col("cu.customer_id")], broadcast=broadcast)
     return joined.select(
         F.col("sd.sls_ord_num").alias("order_number"),
         F.col("pr.product_key").alias("product_key"),

@@ -16,10 +16,11 @@ import argparse
 import logging
 import time
 from collections.abc import Callable, Sequence
-from concurrent.futures import ThreadPoolExecutor
+from concurrent.futures import ThreadPoolExecutor, wait
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from layercake.plans import gold, silver
 from layercake.session import scratch_scope
@@ -91,21 +92,38 @@ def _timed(layer: str, name: str, index: int, total: int, work: Callable[[], int
 
 def _run_steps(layer: str, steps: Sequence[tuple[str, Callable[[], int]]], parallelism: int) -> list[StepResult]:
     """Run independent steps, ``parallelism`` at a time, as concurrent jobs of the
-    same session (results keep the step order; the first failure propagates)."""
+    same session. Results keep the step order. After a failure no other step starts;
+    those under way end, then the failure propagates."""
     total = len(steps)
-    if parallelism <= 1:
-        return [_timed(layer, name, i, total, work) for i, (name, work) in enumerate(steps, 1)]
-    with ThreadPoolExecutor(max_workers=parallelism, thread_name_prefix=f"layercake-{layer}") as pool:
-        futures = [
-            pool.submit(_timed, layer, name, i, total, work) for i, (name, work) in enumerate(steps, 1)
-        ]
-        return [f.result() for f in futures]
+    failures: list[BaseException] = []
+
+    def run(index: int, name: str, work: Callable[[], int]) -> StepResult | None:
+        if failures:
+            return None
+        try:
+            return _timed(layer, name, index, total, work)
+        except BaseException as failure:
+            failures.append(failure)  # before this thread takes its next step
+            raise
+
+    with ThreadPoolExecutor(max_workers=max(1, parallelism), thread_name_prefix=f"layercake-{layer}") as pool:
+        futures = [pool.submit(run, i, name, work) for i, (name, work) in enumerate(steps, 1)]
+        wait(futures)
+    if failures:
+        raise failures[0]
+    return [f.result() for f in futures]
 
 
 def run_bronze(
-    spark: SparkSession, base: str, source_dir: str, date: str | None = None, parallelism: int = 1
+    spark: SparkSession,
+    base: str,
+    source_dir: str,
+    date: str | None = None,
+    parallelism: int = 1,
+    multi_line: bool | None = None,
 ) -> list[StepResult]:
-    """CSV files of every catalogued dataset -> bronze partitions of ``date``."""
+    """CSV files of every catalogued dataset -> bronze partitions of ``date``;
+    ``multi_line`` as in ``read_csv_source``."""
     day = resolve_partition_date(date)
     steps = []
     for spec in all_datasets():
@@ -114,7 +132,7 @@ def run_bronze(
             (
                 spec.qualified,
                 lambda spec=spec, path=path: write_layer(
-                    read_csv_source(spark, path, spec), base, "bronze", spec.name, day, spec.source
+                    read_csv_source(spark, path, spec, multi_line=multi_line), base, "bronze", spec.name, day, spec.source
                 ),
             )
         )
@@ -188,12 +206,17 @@ def run_gold(
 
 
 def run_all(
-    spark: SparkSession, base: str, source_dir: str, date: str | None = None, parallelism: int = 1
+    spark: SparkSession,
+    base: str,
+    source_dir: str,
+    date: str | None = None,
+    parallelism: int = 1,
+    multi_line: bool | None = None,
 ) -> list[StepResult]:
     """bronze -> silver -> gold for one business date."""
     day = resolve_partition_date(date)
     return [
-        *run_bronze(spark, base, source_dir, day, parallelism),
+        *run_bronze(spark, base, source_dir, day, parallelism, multi_line),
         *run_silver(spark, base, day, parallelism=parallelism),
         *run_gold(spark, base, day, parallelism),
     ]
@@ -207,6 +230,11 @@ def metrics_frame(spark: SparkSession, results: Sequence[StepResult]) -> DataFra
     )
 
 
+def write_metrics(spark: SparkSession, results: Sequence[StepResult], path: str, date: str) -> None:
+    """Append the run's metrics, with its business date, to a Parquet table."""
+    metrics_frame(spark, results).withColumn("date", F.lit(date)).coalesce(1).write.mode("append").parquet(path)
+
+
 def main(argv: Sequence[str] | None = None) -> int:
     parser = argparse.ArgumentParser(description="Run the layered pipeline for one business date.")
     parser.add_argument("layer", choices=["bronze", "silver", "gold", "all"])
@@ -216,6 +244,8 @@ def main(argv: Sequence[str] | None = None) -> int:
     parser.add_argument("--dataset", action="append", help="silver dataset 'source.name' (repeatable)")
     parser.add_argument("--as-of", help="business date for future-date checks (default: --date)")
     parser.add_argument("--parallel", type=int, default=1, help="independent datasets run concurrently")
+    parser.add_argument("--multi-line", choices=["auto", "yes", "no"], default="auto", help="quoted newlines in the CSV files (auto: looked for)")
+    parser.add_argument("--metrics", help="Parquet table to append rows and seconds of each step to")
     args = parser.parse_args(argv)
     logging.basicConfig(level=logging.INFO, format="%(asctime)s | %(levelname)s | %(message)s")
     logging.getLogger("py4j").setLevel(logging.WARNING)
@@ -226,17 +256,24 @@ def main(argv: Sequence[str] | None = None) -> int:
         app_name=f"layercake-{args.layer}", extra={**CLUSTER_CONF, **object_store_conf_from_env()}
     )
     args.base = resolve_base(args.base)
+    args.date = resolve_partition_date(args.date)
+    multi_line = {"auto": None, "yes": True, "no": False}[args.multi_line]
+    if not spark.sparkContext.getCheckpointDir():
+        # beside the lake: a folder that all executors share
+        spark.sparkContext.setCheckpointDir(f"{args.base.rstrip('/')}/_scratch")
     if args.layer in ("bronze", "all") and not args.source_dir:
         parser.error("--source-dir is required for bronze")
     try:
         if args.layer == "bronze":
-            results = run_bronze(spark, args.base, args.source_dir, args.date, args.parallel)
+            results = run_bronze(spark, args.base, args.source_dir, args.date, args.parallel, multi_line)
         elif args.layer == "silver":
             results = run_silver(spark, args.base, args.date, args.as_of, args.dataset, args.parallel)
         elif args.layer == "gold":
             results = run_gold(spark, args.base, args.date, args.parallel)
         else:
-            results = run_all(spark, args.base, args.source_dir, args.date, args.parallel)
+            results = run_all(spark, args.base, args.source_dir, args.date, args.parallel, multi_line)
+        if args.metrics:
+            write_metrics(spark, results, args.metrics, args.date)
     finally:
         spark.stop()
     log.info("total rows written: %d", sum(r.rows for r in results))

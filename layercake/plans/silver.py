@@ -24,6 +24,7 @@ from layercake.functions import (
     strip_chars,
     strip_prefix,
     title_case,
+    trim_spaces,
 )
 from layercake.operators import asc, desc, keep_latest, validity_end
 
@@ -58,6 +59,16 @@ def _as_long(df: DataFrame, name: str) -> Column:
     return round_to_long(name)
 
 
+def _strict_date(df: DataFrame, name: str) -> Column:
+    """DATE with the shapes of ``lenient_date``; any other text raises."""
+    c = F.col(name)
+    if not isinstance(df.schema[name].dataType, T.StringType):
+        return c.cast("date")
+    date = lenient_date(name)
+    wrong = F.raise_error(F.concat(F.lit(f"{name}: not a date: "), c))
+    return F.when(c.isNotNull() & date.isNull(), wrong.cast("date")).otherwise(date)
+
+
 def cust_info(bronze: DataFrame) -> DataFrame:
     """CRM customers: drop rows without id, keep the latest record per id
     (newest create date, NULL dates last, then a deterministic tie-break on the
@@ -94,11 +105,12 @@ def cust_info(bronze: DataFrame) -> DataFrame:
     )
 
 
-def prd_info(bronze: DataFrame, **bucket_opts: int) -> DataFrame:
+def prd_info(bronze: DataFrame, *, slices: int | None = None) -> DataFrame:
     """CRM products: split 'CA-TE-number' into category id and product number,
     cost NULL -> 0, decode the product line, and recompute each version's end as
     the day before the next version of the same product starts (the source end
-    date is discarded). Versions starting on the same day are ordered by id."""
+    date is discarded). Versions starting on the same day are ordered by id. A start
+    that is no date fails the job."""
     cat_id, prd_key = split_composite_key("prd_key", PRODUCT_CATEGORY_LEN, "-", "_")
     typed = bronze.select(
         F.col("prd_id").cast("bigint").alias("prd_id"),
@@ -107,9 +119,9 @@ def prd_info(bronze: DataFrame, **bucket_opts: int) -> DataFrame:
         "prd_nm",
         F.coalesce(F.col("prd_cost"), F.lit(0)).cast("double").alias("prd_cost"),
         map_codes("prd_line", PRODUCT_LINE, NOT_AVAILABLE, normalize="upper_trim").alias("prd_line"),
-        F.col("prd_start_dt").cast("date").alias("prd_start_dt"),
+        _strict_date(bronze, "prd_start_dt").alias("prd_start_dt"),
     )
-    return validity_end(typed, "prd_key", "prd_start_dt", "prd_end_dt", tiebreak=["prd_id"], **bucket_opts)
+    return validity_end(typed, "prd_key", "prd_start_dt", "prd_end_dt", tiebreak=["prd_id"], slices=slices)
 
 
 def sales_details(bronze: DataFrame) -> DataFrame:
@@ -145,7 +157,7 @@ def loc_a101(bronze: DataFrame) -> DataFrame:
     return bronze.select(
         strip_chars("cid", "-").alias("cid"),
         map_codes(
-            "cntry", COUNTRY, F.trim(F.col("cntry")), normalize="trim", null_as=NOT_AVAILABLE
+            "cntry", COUNTRY, trim_spaces("cntry"), normalize="trim", null_as=NOT_AVAILABLE
         ).alias("cntry"),
     )
 

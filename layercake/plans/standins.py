@@ -51,12 +51,17 @@ def int_date(c: Column) -> Column:
     return (F.year(c) * 10000 + F.month(c) * 100 + F.dayofmonth(c)).cast("bigint")
 
 
+def zero_padded(c: Column, width: int) -> Column:
+    """A whole number with at least ``width`` digits; longer ones keep all of theirs."""
+    return F.format_string(f"%0{width}d", c.cast("bigint"))
+
+
 def _aw_key(c: Column) -> Column:
-    return F.concat(F.lit("AW"), F.lpad(c.cast("string"), 8, "0"))
+    return F.concat(F.lit("AW"), zero_padded(c, 8))
 
 
 def _product_number(partkey: Column) -> Column:
-    return F.concat(F.lit("P"), F.lpad(F.floor(partkey / 3).cast("string"), 5, "0"))
+    return F.concat(F.lit("P"), zero_padded(F.floor(partkey / 3), 5))
 
 
 # ---------------------------------------------------------------- bronze frames
@@ -235,7 +240,7 @@ def bronze_loc_a101(t: Tables) -> DataFrame:
     """ERP customer country codes with dashes in the ids."""
     c = t("customer").select("c_custkey", "c_nationkey")
     k = F.col("c_custkey")
-    padded = F.lpad(k.cast("string"), 8, "0")
+    padded = zero_padded(k, 8)
     return c.select(
         F.when(k % 37 == 0, F.lit(None).cast("string"))
         .when(k % 7 == 0, F.concat(F.lit("A-W-"), padded))

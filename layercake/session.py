@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import threading
 import uuid
@@ -20,8 +21,8 @@ SEMANTIC_CONF: dict[str, str] = {
 
 # Execution defaults: applied unless the submitted configuration sets them.
 #  * dynamic partition overwrite: re-running one ingest date leaves the others intact.
-#  * static broadcast off: only sides whose size was measured are broadcast
-#    (explicitly, or by AQE from the real shuffle sizes at run time).
+#  * broadcasts are chosen by Spark: statically from the size of the files a side
+#    reads (Spark's own threshold), or by AQE from the real shuffle sizes.
 #  * AQE with skew-join splitting for hot join keys.
 #  * generated methods kept under HotSpot's JIT limit (8000 bytes of bytecode):
 #    larger stages fall back to per-operator code instead of running interpreted.
@@ -30,7 +31,6 @@ BASE_CONF: dict[str, str] = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
     "spark.sql.parquet.compression.codec": "zstd",
     "spark.sql.codegen.hugeMethodLimit": "8000",
@@ -82,12 +82,15 @@ def build_session(
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder of the cluster.
 
-    Read from the session (``spark.checkpoint.dir`` / ``SparkContext``). Only when
-    nothing is configured -- local runs and tests -- a private folder is created.
+    Read from the session (``spark.checkpoint.dir`` / ``SparkContext``). Where nothing
+    is configured, a local run gets a private folder; on a cluster that would be a
+    folder of one machine, so it is a ``ValueError`` there.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         current = tempfile.mkdtemp(prefix="layercake-ckpt-")
         sc.setCheckpointDir(current)
     elif not sc.getCheckpointDir():
@@ -98,10 +101,27 @@ def checkpoint_dir(spark: SparkSession) -> str:
 _SCOPE = threading.local()
 
 
+def _scratch_root(spark: SparkSession) -> str:
+    """The application's folder for intermediate tables, deleted when it ends."""
+    sc = spark.sparkContext
+    path = f"{checkpoint_dir(spark).rstrip('/')}/scratch-{sc.applicationId}"
+    if path not in _ROOTS:
+        jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+        file_system = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration())
+        file_system.mkdirs(jvm_path)
+        file_system.deleteOnExit(jvm_path)
+        _ROOTS.add(path)
+    return path
+
+
+_ROOTS: set[str] = set()
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
-    """A fresh folder under the shared checkpoint folder for intermediate tables
-    (registered with the enclosing ``scratch_scope`` of this thread, if any)."""
-    path = f"{checkpoint_dir(spark).rstrip('/')}/scratch/{label}-{uuid.uuid4().hex}"
+    """A fresh path under the shared checkpoint folder for an intermediate table
+    (registered with the enclosing ``scratch_scope`` of this thread, if any). It is
+    deleted at the latest when the application ends."""
+    path = f"{_scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
     created = getattr(_SCOPE, "paths", None)
     if created is not None:
         created.append(path)

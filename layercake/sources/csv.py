@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import csv
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,15 +36,64 @@ NA_TOKENS = (
     "null",
 )
 
-CORRUPT = "_corrupt_record"
-
 
 def null_na_tokens(c: Column) -> Column:
     return F.when(c.isin(list(NA_TOKENS)), F.lit(None).cast("string")).otherwise(c)
 
 
-def csv_header(spark: SparkSession, path: str) -> list[str]:
-    return spark.read.option("header", True).option("inferSchema", False).csv(path).columns
+def _source_files(spark: SparkSession, path: str, spec: DatasetSpec) -> list[str]:
+    """Data files under ``path`` (a file, folder or glob), in a fixed order."""
+    jvm = spark._jvm
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    system = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = system.globStatus(place)
+    if not found:
+        raise FileNotFoundError(f"{spec.qualified}: source file not found: {path}")
+    files = []
+    for status in found:
+        listing = system.listFiles(status.getPath(), True)
+        while listing.hasNext():
+            file = listing.next()
+            if file.getLen() and not file.getPath().getName().startswith(("_", ".")):
+                files.append(file.getPath().toString())
+    return sorted(files)
+
+
+def _header(spark: SparkSession, file: str) -> tuple[str, ...]:
+    """Column names in the first line of ``file`` (read on the driver, decompressed)."""
+    jvm = spark._jvm
+    conf = spark._jsc.hadoopConfiguration()
+    place = jvm.org.apache.hadoop.fs.Path(file)
+    stream = place.getFileSystem(conf).open(place)
+    try:
+        codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(place)
+        content = codec.createInputStream(stream) if codec else stream
+        line = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(content, "UTF-8")).readLine()
+    finally:
+        stream.close()
+    return tuple(next(csv.reader([line.removeprefix("\ufeff")]), []))
+
+
+def has_quoted_newlines(spark: SparkSession, files: list[str]) -> bool:
+    """Whether some line has an odd number of quotes, as a value with a newline leaves."""
+    value = F.col("value")
+    odd = (F.length(value) - F.length(F.replace(value, F.lit('"'), F.lit("")))) % 2 == 1
+    return not spark.read.text(files).where(odd).isEmpty()
+
+
+def _read_files(spark: SparkSession, files: list[str], header: tuple[str, ...], multi_line: bool) -> DataFrame:
+    return (
+        spark.read.schema(T.StructType([T.StructField(h, T.StringType(), True) for h in header]))
+        .option("header", True)
+        .option("quote", '"')
+        .option("escape", '"')
+        .option("mode", "PERMISSIVE")
+        .option("maxColumns", len(header))
+        .option("multiLine", multi_line)
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
+        .csv(files)
+    )
 
 
 def read_csv_source(
@@ -49,56 +101,46 @@ def read_csv_source(
     path: str,
     spec: DatasetSpec,
     *,
-    multi_line: bool = False,
+    multi_line: bool | None = None,
 ) -> DataFrame:
-    """Read one source CSV into the typed bronze schema of ``spec``.
+    """Read one source CSV (a file or a folder of files) into the typed bronze schema of
+    ``spec``.
 
-    * header names are matched to the schema case-insensitively (any column
-      order; a missing column raises ``ValueError``), and the output uses the
-      header's spelling so downstream code sees the source as written;
+    * a missing path raises ``FileNotFoundError`` naming the dataset;
+    * header names are matched to the schema case-insensitively and for every file by
+      itself, so files may order their columns differently; a missing column raises
+      ``ValueError``; the output uses the first file's spelling;
     * ``""`` inside quotes is an escaped quote;
     * cells equal to one of ``NA_TOKENS`` become NULL, in every column, before
       the cast to the declared type (a malformed number raises under ANSI);
-    * short rows are padded with NULLs; a row with *more* fields than the header
-      fails the job (``raise_error``, evaluated lazily in the same scan);
+    * short rows are padded with NULLs; a row with *more* fields than its file's header
+      fails the job, empty fields included, whichever columns are selected;
     * leading/trailing spaces are kept.
 
-    ``multi_line`` (quoted newlines) makes each file a single split; it is off by
-    default so large files are read in parallel.
+    ``multi_line``: whether quoted values may hold newlines, which makes each file a
+    single split. By default a scan of the lines decides: files are read in parallel
+    unless a line has an odd number of quotes.
     """
-    header = csv_header(spark, path)
-    by_lower = {h.lower(): h for h in header}
-    missing = [f.name for f in spec.schema.fields if f.name.lower() not in by_lower]
-    if missing:
-        raise ValueError(f"{spec.qualified}: columns {missing} not in CSV header {header} ({path})")
-
-    read_schema = T.StructType(
-        [T.StructField(h, T.StringType(), True) for h in header]
-        + [T.StructField(CORRUPT, T.StringType(), True)]
-    )
-    raw = (
-        spark.read.schema(read_schema)
-        .option("header", True)
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .option("multiLine", multi_line)
-        .option("ignoreLeadingWhiteSpace", False)
-        .option("ignoreTrailingWhiteSpace", False)
-        .csv(path)
-    )
-    last = F.col(header[-1])
-    too_long = F.col(CORRUPT).isNotNull() & last.isNotNull()
-    guard = F.when(
-        too_long,
-        F.raise_error(F.concat(F.lit(f"{spec.qualified}: row has more fields than the header: "), F.col(CORRUPT))),
-    )
-    cols = []
-    for i, f in enumerate(spec.schema.fields):
-        name = by_lower[f.name.lower()]
-        value = null_na_tokens(F.col(name)).cast(f.dataType)
-        if i == 0:
-            value = F.coalesce(guard.cast(f.dataType), value)
-        cols.append(value.alias(name))
-    return raw.select(*cols)
+    files = _source_files(spark, path, spec)
+    by_header: dict[tuple[str, ...], list[str]] = {}
+    for file in files:
+        by_header.setdefault(_header(spark, file), []).append(file)
+    if not by_header:
+        raise ValueError(f"{spec.qualified}: no header in {path}")
+    if multi_line is None:
+        multi_line = has_quoted_newlines(spark, files)
+    spelling: dict[str, str] = {}
+    frames = []
+    for header, own in by_header.items():
+        by_lower = {h.lower(): h for h in header}
+        missing = [f.name for f in spec.schema.fields if f.name.lower() not in by_lower]
+        if missing:
+            raise ValueError(f"{spec.qualified}: columns {missing} not in CSV header {list(header)} ({own[0]})")
+        spelling = spelling or by_lower
+        raw = _read_files(spark, own, header, multi_line)
+        cols = [
+            null_na_tokens(F.col(f"`{by_lower[f.name.lower()]}`")).cast(f.dataType).alias(spelling[f.name.lower()])
+            for f in spec.schema.fields
+        ]
+        frames.append(raw.select(*cols))
+    return reduce(DataFrame.unionByName, frames)

@@ -6,8 +6,8 @@ Layout (bronze and silver carry the source, gold does not)::
     <base>/silver/<source>/<dataset>/ingest_date=YYYY-MM-DD/part-*.parquet
     <base>/gold/<dataset>/ingest_date=YYYY-MM-DD/part-*.parquet
 
-``base`` is any Hadoop URI (``file:``, ``s3a://bucket``...). The partition is a
-Hive partition column so that dynamic overwrite replaces one day only.
+``base`` is any Hadoop URI (``file:``, ``s3a://bucket``...). The partition folder is
+named like a Hive partition, so that a whole dataset reads as one partitioned table.
 """
 
 from __future__ import annotations
@@ -73,20 +73,14 @@ def write_layer(
 ) -> int:
     """Overwrite one day of a layer dataset and return the rows written.
 
-    The row count comes from an ``Observation`` on the write itself -- no second
-    scan. Other days of the dataset are left untouched (dynamic overwrite), and a
-    re-run of the same day replaces it (idempotent).
+    The day's folder itself is overwritten, so other days are untouched, a re-run
+    replaces the day (idempotent), and a day without rows becomes an empty table with
+    its schema. The row count comes from an ``Observation`` on the write: no second scan.
     """
-    root = layer_path(base, layer, dataset, source)
+    path = partition_path(layer_path(base, layer, dataset, source), date)
     obs = Observation(f"{layer}.{source or ''}.{dataset}.{date}")
-    out = df.drop(PARTITION_COLUMN).withColumn(PARTITION_COLUMN, F.lit(date))
-    (
-        out.observe(obs, F.count(F.lit(1)).alias("rows"))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(PARTITION_COLUMN)
-        .parquet(root)
-    )
+    counted = df.drop(PARTITION_COLUMN).observe(obs, F.count(F.lit(1)).alias("rows"))
+    counted.write.mode("overwrite").parquet(path)
     return int(obs.get["rows"])
 
 

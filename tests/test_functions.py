@@ -39,6 +39,28 @@ def test_op1_title_case(spark):
     ]
 
 
+def test_op1_title_case_beyond_ascii(spark):
+    values = ["ΝΙΚΟΣ ΣΑΣ", "ßeta", "ﬁNN", "ǆURA", "ŉx", "İZMİR", "\u00a0ÉTÉ\u3000", "ᾳδω", "ñU éÈ"]
+    assert apply(spark, values, title_case) == [
+        "Νικοσ Σασ", "ẞeta", "ﬁnn", "Ǆura", "ŉx", "İzmir", "Été", "ᾼδω", "Ñu Éè",
+    ]
+
+
+def test_op10_null_if_future_builds_the_date_once(spark):
+    df = one_col(spark, ["2020-01-01", "2020-01-02", None, "x", "9999-12-31"], "string")
+    out = df.orderBy("i").select(null_if_future("v", "2020-01-01").alias("d"))
+    assert [r.d and str(r.d) for r in out.collect()] == ["2020-01-01", None, None, None, None]
+    both = [f(F.col("v")) for f in (lenient_date, lambda c: null_if_future(c, "2020-01-01"))]
+    once, cut = [df.select(c)._jdf.queryExecution().optimizedPlan().toString().count("regexp_replace") for c in both]
+    assert cut <= once
+
+
+def test_zero_padded_keeps_long_numbers(spark):
+    from layercake.plans.standins import zero_padded
+
+    assert [r[0] for r in spark.createDataFrame([(7,), (1234567,)], "v long").orderBy("v").select(zero_padded(F.col("v"), 5)).collect()] == ["00007", "1234567"]
+
+
 def test_op2_map_codes_exact_and_default(spark):
     m = {"S": "Single", "M": "Married"}
     assert apply(spark, ["S", "M", "s", None, "X"], lambda c: map_codes(c, m, "Unknown")) == [

@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import random
 
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -18,7 +19,6 @@ from layercake.operators import (
     duplicate_keys,
     enrich_left,
     keep_latest,
-    measure,
     validity_end,
 )
 
@@ -61,7 +61,7 @@ def test_op4_validity_end_local_path(spark):
 
 def test_op4_validity_end_sliced_path_splits_hot_key(spark):
     df = skewed_versions(spark)
-    got = validity_end(df, "k", "d", "end", tiebreak=["id"], rows_per_bucket=100)
+    got = validity_end(df, "k", "d", "end", tiebreak=["id"], slices=20)
     assert sorted(got.collect()) == sorted(brute_validity(df).collect())
 
 
@@ -79,29 +79,19 @@ def test_op14_dense_key_local_and_sliced(spark):
     sorts = [Sort("d"), Sort("k"), Sort("id")]
     want = sorted(brute_key(df, sorts).collect())
     assert sorted(dense_key(df, ["d", "k"], "sk").collect()) == want
-    sliced = dense_key(df, ["d", "k"], "sk", rows_per_bucket=150)
+    sliced = dense_key(df, ["d", "k"], "sk", slices=14)
     assert sorted(sliced.collect()) == want
     assert sliced.schema["sk"].dataType.simpleString() == "bigint"
 
 
-def test_slice_size_from_session_setting(spark):
-    df = skewed_versions(spark, n=500)
-    spark.conf.set("spark.layercake.slice.rows", "100")
-    try:
-        keyed = dense_key(df, ["d"], "sk")
-        keyed.collect()
-        plan = keyed._jdf.queryExecution().executedPlan().toString()
-    finally:
-        spark.conf.unset("spark.layercake.slice.rows")
-    assert "SinglePartition" not in plan
-    assert sorted(r.sk for r in keyed.collect()) == list(range(1, 501))
-
-
 def test_op14_sliced_plan_has_no_single_partition_exchange(spark):
     df = skewed_versions(spark)
-    sliced = dense_key(df, ["d"], "sk", rows_per_bucket=150)
-    sliced.collect()
-    assert "SinglePartition" not in sliced._jdf.queryExecution().executedPlan().toString()
+    for slices in (None, 1, 14):
+        keyed = dense_key(df, ["d"], "sk", slices=slices)
+        assert sorted(r.sk for r in keyed.collect()) == list(range(1, 2001))
+        assert "SinglePartition" not in keyed._jdf.queryExecution().executedPlan().toString()
+    assert dense_key(df.where("false"), ["d"], "sk").collect() == []
+    assert validity_end(df.where("false"), "k", "d", "end").collect() == []
 
 
 def test_op15_enrich_left_semantics(spark):
@@ -111,39 +101,42 @@ def test_op15_enrich_left_semantics(spark):
     assert sorted(out.collect(), key=lambda r: (r[0], r[1] or 0)) == [(1, 10), (1, 11), (2, None), (3, None)]
 
 
-def test_op15_null_keys_spread_in_shuffle_join(spark):
-    """Key lists: same result as the plain left join; in the shuffle path the
-    NULL-key rows get a salt column in the join keys."""
-    fact = spark.range(3000).select(
-        F.col("id").alias("line"),
-        F.when(F.col("id") % 3 == 0, F.lit(None)).otherwise(F.col("id") % 50).cast("bigint").alias("cust"),
-    ).alias("f")
-    dim = spark.range(40).select(F.col("id").alias("cid"), (F.col("id") + 100).alias("ckey")).alias("d")
-    want = fact.join(dim, F.col("f.cust") == F.col("d.cid"), "left").select("f.line", "d.ckey")
-    for bc in (False, True):
-        got = enrich_left(fact, dim, left_on=[F.col("f.cust")], right_on=[F.col("d.cid")], broadcast=bc)
-        got = got.select("f.line", "d.ckey")
-        assert sorted(got.collect(), key=repr) == sorted(want.collect(), key=repr)
-    shuffled = enrich_left(fact, dim, left_on=[F.col("f.cust")], right_on=[F.col("d.cid")], broadcast=False)
-    assert "__lc_lsalt" in shuffled._jdf.queryExecution().optimizedPlan().toString()
-    assert "__lc_lsalt" not in shuffled.columns
-
-
-def test_op15_broadcast_only_when_measured_small(spark):
+def skewed_fact(spark, n=30_000):
+    """A third of the references on one customer, another third NULL."""
+    cust = F.when(F.col("id") % 3 == 0, F.lit(7)).when(F.col("id") % 3 == 1, F.lit(None)).otherwise(F.col("id") % 500)
+    return spark.range(n).select(F.col("id").alias("line"), cust.cast("bigint").alias("cust"), F.concat(F.lit("C"), cust.cast("string")).alias("name"))
+
+
+@pytest.mark.parametrize("broadcast", [True, False, "auto"])
+def test_op15_null_and_composite_keys(spark, broadcast):
+    """Key lists give the plain left join, whatever its plan."""
+    fact = skewed_fact(spark, 3000).alias("f")
+    dim = spark.range(400).select(F.col("id").cast("int").alias("cid"), F.concat(F.lit("C"), F.col("id").cast("string")).alias("name"), (F.col("id") + 100).alias("ckey"))
+    dim = dim.unionAll(spark.createDataFrame([(None, None, 1), (7, "C7", 2), (7, None, 3)], "cid int, name string, ckey long")).alias("d")
+    f, d = [F.col("f.cust"), F.col("f.name")], [F.col("d.cid"), F.col("d.name")]
+    for k in (1, 2):
+        cond = (f[0] == d[0]) if k == 1 else (f[0] == d[0]) & (f[1] == d[1])
+        want = fact.join(dim, cond, "left").select("f.line", "d.ckey").collect()
+        got = enrich_left(fact, dim, left_on=f[:k], right_on=d[:k], broadcast=broadcast)
+        assert got.columns == [*fact.columns, *dim.columns]
+        assert sorted(got.select("f.line", "d.ckey").collect(), key=repr) == sorted(want, key=repr)
+
+
+def test_op15_broadcast_is_sparks_choice(spark, tmp_path):
+    """Without a word from the caller, the size of a side's files decides."""
     left = spark.range(100).withColumnRenamed("id", "k")
-    right = spark.range(50).withColumnRenamed("id", "k").withColumn("v", F.lit("x"))
-    size = measure(right)
-    assert size.rows == 50 and size.bytes > 0
-    small = enrich_left(left, right, "k")
-    big = enrich_left(left, right, "k", max_broadcast_rows=10)
-    spark.conf.set("spark.layercake.broadcast.maxRows", "10")
+    spark.range(50).withColumnRenamed("id", "k").write.parquet(str(tmp_path / "small"))
+    right = spark.read.parquet(str(tmp_path / "small"))
+    for broadcast, expected in (("auto", True), (True, True), (False, False)):
+        joined = enrich_left(left, right, "k", broadcast=broadcast)
+        assert ("BroadcastHashJoin" in joined._jdf.queryExecution().sparkPlan().toString()) is expected
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10")
     try:
-        by_conf = enrich_left(left, right, "k")
+        joined = enrich_left(left, right, "k")
+        assert "BroadcastHashJoin" not in joined._jdf.queryExecution().sparkPlan().toString()
     finally:
-        spark.conf.unset("spark.layercake.broadcast.maxRows")
-    assert "BroadcastHashJoin" not in by_conf._jdf.queryExecution().sparkPlan().toString()
-    assert "BroadcastHashJoin" in small._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" not in big._jdf.queryExecution().sparkPlan().toString()
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
 def test_op16_check_rules_counts_false_and_null(spark):
@@ -165,10 +158,10 @@ def test_scratch_scope_removes_its_tables(spark, tmp_path):
 
     df = skewed_versions(spark, n=600)
     with scratch_scope(spark) as created:
-        keyed = dense_key(df, ["d"], "sk", rows_per_bucket=100)
+        keyed = dense_key(df, ["d"], "sk", slices=20)
         out = str(tmp_path / "out")
         keyed.write.parquet(out)
-        assert len(created) == 2  # the written input and its range slices
+        assert len(created) == 1  # the range slices
     assert all(not Path(p.removeprefix("file:")).exists() for p in created)
     assert spark.read.parquet(out).count() == 600
 
@@ -186,10 +179,10 @@ def test_range_slices_split_a_group_of_copies(spark):
     sizes = [r["count"] for r in sliced.groupBy(SLICE).count().collect()]
     assert sum(sizes) == 3000 and max(sizes) < 3 * 3000 / 10
     want_key = sorted(brute_key(copies, [Sort("k"), Sort("d")]).collect())
-    assert sorted(dense_key(copies, ["k", "d"], "sk", rows_per_bucket=300).collect()) == want_key
+    assert sorted(dense_key(copies, ["k", "d"], "sk", slices=10).collect()) == want_key
     w = Window.partitionBy("k").orderBy(F.col("d").asc_nulls_last())
     want_end = copies.withColumn("end", F.date_sub(F.lead("d").over(w), 1))
-    got_end = validity_end(copies, "k", "d", "end", rows_per_bucket=300)
+    got_end = validity_end(copies, "k", "d", "end", slices=10)
     assert sorted(got_end.collect()) == sorted(want_end.collect())
 
 
@@ -197,14 +190,15 @@ def test_sort_helpers():
     assert asc("x") == Sort("x") and desc("x").descending and not desc("x").nulls_first
 
 
-def test_op15_shuffle_join_splits_hot_and_null_keys(spark):
-    """When the dimension is not broadcast, AQE splits the skewed partitions of the
-    fact side (a customer with a third of the lines, and the NULL references)."""
+def test_op15_chained_joins_split_hot_and_null_keys(spark, tmp_path):
+    """Two merge joins on one key, as in the customer dimension: no task writes more
+    than twice the mean, with a third of the rows on one key and a third without one."""
     conf = {
+        "spark.sql.shuffle.partitions": "8",
         "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "2k",
-        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "40k",
         "spark.sql.adaptive.coalescePartitions.enabled": "false",
     }
     old = {k: spark.conf.get(k, None) for k in conf}
@@ -212,22 +206,17 @@ def test_op15_shuffle_join_splits_hot_and_null_keys(spark):
         for k, v in conf.items():
             spark.conf.set(k, v)
         n = 30_000
-        fact = spark.range(n).select(
-            F.col("id").alias("line"),
-            F.when(F.col("id") % 3 == 0, F.lit(7))
-            .when(F.col("id") % 10 == 1, F.lit(None))
-            .otherwise(F.col("id") % 500)
-            .cast("bigint")
-            .alias("cust"),
-        ).alias("f")
-        dim = spark.range(500).select(F.col("id").alias("customer_id"), (F.col("id") + 1000).alias("customer_key")).alias("d")
-        joined = enrich_left(fact, dim, F.col("f.cust") == F.col("d.customer_id"), broadcast=False)
-        result = joined.select("f.line", "d.customer_key")
-        assert result.count() == n
-        rows = result.collect()
-        assert sum(1 for r in rows if r.customer_key is None) == sum(1 for i in range(n) if i % 3 != 0 and i % 10 == 1)
-        plan = result._jdf.queryExecution().executedPlan().toString()
-        assert "SortMergeJoin(skew=true)" in plan
+        fact = skewed_fact(spark, n).alias("f")
+        dim = spark.range(500).select(F.col("id").alias("cid"), (F.col("id") + 1000).alias("ckey"))
+        key = [F.col("f.cust")]
+        once = enrich_left(fact, dim.alias("d"), left_on=key, right_on=[F.col("d.cid")], broadcast=False)
+        twice = enrich_left(once, dim.alias("e"), left_on=key, right_on=[F.col("e.cid")], broadcast=False)
+        result = twice.select("f.line", F.col("d.ckey").alias("a"), F.col("e.ckey").alias("b"), F.spark_partition_id().alias("task"))
+        result.write.parquet(str(tmp_path / "out"))
+        rows = spark.read.parquet(str(tmp_path / "out"))
+        assert rows.count() == n and rows.where("a IS NULL").count() == n // 3 and rows.where("NOT a <=> b").count() == 0
+        sizes = [r["count"] for r in rows.groupBy("task").count().collect()]
+        assert max(sizes) <= 2 * n / len(sizes), sizes
     finally:
         for k, v in old.items():
             if v is None:

@@ -28,7 +28,7 @@ def frame(spark, rows):
 @given(rows=ROWS, per_slice=st.integers(min_value=3, max_value=40))
 def test_validity_end_equals_window(spark, rows, per_slice):
     df = frame(spark, rows)
-    got = validity_end(df, "k", "d", "end", tiebreak=["v"], rows_per_bucket=per_slice)
+    got = validity_end(df, "k", "d", "end", tiebreak=["v"], slices=per_slice)
     w = Window.partitionBy("k").orderBy(F.col("d").asc_nulls_last(), F.col("v").asc_nulls_last())
     want = df.withColumn("end", F.date_sub(F.lead("d").over(w), 1))
     assert sorted(got.collect(), key=repr) == sorted(want.collect(), key=repr)
@@ -38,7 +38,7 @@ def test_validity_end_equals_window(spark, rows, per_slice):
 @given(rows=ROWS, per_slice=st.integers(min_value=3, max_value=40))
 def test_dense_key_equals_row_number(spark, rows, per_slice):
     df = frame(spark, rows)
-    got = dense_key(df, ["d", "k"], "sk", rows_per_bucket=per_slice)
+    got = dense_key(df, ["d", "k"], "sk", slices=per_slice)
     order = [s.column() for s in (Sort("d"), Sort("k"), Sort("v"))]
     want = df.withColumn("sk", F.row_number().over(Window.orderBy(*order)).cast("bigint"))
     assert sorted(got.collect(), key=repr) == sorted(want.collect(), key=repr)
