@@ -18,9 +18,14 @@ from layercake.llm.substring_dedup import remove_repeats
 from layercake.session import write_scratch
 
 
-def _rows(docs: DataFrame) -> DataFrame:
-    """Whole rows as one column, beside the text, so that no column's name can clash."""
-    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("text"))
+def _numbered(docs: DataFrame) -> tuple[DataFrame, str]:
+    """Columns under numbers, so that no name can clash, and the text's."""
+    frame = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)])
+    return frame, f"c{docs.columns.index('text')}"
+
+
+def _named(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    return rows.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)])
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,7 +33,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     labels of the documents that are not held out."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where(remainder(5) != 0)
     model = toxicity.fit(docs, labels)
-    return toxicity.score(_rows(docs), model).where("predicted = 0").select("row.*")
+    rows, text = _numbered(docs)
+    return _named(toxicity.score(rows, model, text_col=text).where("predicted = 0"), docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,7 +58,8 @@ def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that share no passage with a benchmark item."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    return decontamination.find_overlaps(_rows(docs), benchmark).where(F.size("overlaps") == 0).select("row.*")
+    rows, text = _numbered(docs)
+    return _named(decontamination.find_overlaps(rows, benchmark, text_col=text).where(F.size("overlaps") == 0), docs)
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -21,11 +21,12 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from layercake.llm.arrow_rows import give_back, text_input, text_slices
 from layercake.llm.shipping import ship
 
 #: Text characters encoded at a time within a task; distinct matches that it keeps.
 BATCH_CHARS = 1 << 20
-KEPT_MATCHES = 300_000
+KEPT_MATCHES = 200_000
 
 
 @lru_cache(1)
@@ -44,7 +45,7 @@ def read_ranks(file: bytes) -> list[bytes]:
     return [ranks[i] for i in range(len(ranks))]
 
 
-@lru_cache(2)
+@lru_cache(1)
 def codec(file: bytes):
     """The tokenizer of single matches for a rank file, its decoding table and the bytes
     of each id; kept per worker."""
@@ -96,20 +97,8 @@ def character_spans(ids: np.ndarray, text: bytes, lengths: np.ndarray) -> tuple[
     return character[ends - lengths[ids]], character[ends - 1] + 1
 
 
-def _slices(column: pa.Array) -> Iterator[list[str]]:
-    texts, size = [], 0
-    for value in column:
-        text = value.as_py() or ""
-        texts.append(text)
-        size += len(text)
-        if size >= BATCH_CHARS:
-            yield texts
-            texts, size = [], 0
-    yield texts
-
-
-def encode_texts(docs: DataFrame, vocabulary: str, pattern: str, text_col: str = "text", offsets: bool = False, decoded: bool = False) -> DataFrame:
-    """All columns of ``docs`` and the tokens of every whole text, each match of
+def encode_texts(docs: DataFrame, vocabulary: str, pattern: str, text_col: str = "text", offsets: bool = False, decoded: bool = False, keep: list[str] | None = None) -> DataFrame:
+    """The columns of ``docs`` (or those in ``keep``) and the tokens of every whole text, each match of
     ``pattern`` by itself, without special tokens:
 
     * ``n_tokens`` (long) and ``ids`` (binary: little-endian unsigned 32-bit integers);
@@ -124,16 +113,12 @@ def encode_texts(docs: DataFrame, vocabulary: str, pattern: str, text_col: str =
     with open(vocabulary, "rb") as f:
         shared = spark.sparkContext.broadcast(f.read())  # a fixed vocabulary, about 1 MB
     new = ["n_tokens", "ids", *(["firsts", "ends"] if offsets else []), *(["decoded"] if decoded else [])]
-    carried = [c for c in docs.columns if c not in new]
-    rows = docs.select(*[F.col(f"`{c}`") for c in carried], F.col(text_col).cast("string").alias("__text"))
+    rows, carried, at, schema = text_input(docs, text_col, new, keep)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(shared.value, pattern)
         for batch in batches:
-            done = 0
-            for texts in _slices(batch.column(batch.num_columns - 1)):
-                if not texts:
-                    continue
+            for part, texts in text_slices(batch, at, BATCH_CHARS):
                 ids = encoder.encode(texts)
                 out = [pa.array([len(x) for x in ids], pa.int64()), pa.array([x.tobytes() for x in ids], pa.binary())]
                 if offsets:
@@ -141,13 +126,12 @@ def encode_texts(docs: DataFrame, vocabulary: str, pattern: str, text_col: str =
                     out += [pa.array([s[i].astype(np.uint32).tobytes() for s in spans], pa.binary()) for i in (0, 1)]
                 if decoded:
                     out.append(pa.array([decode(x, encoder.tokens) for x in ids], pa.binary()))
-                kept = batch.slice(done, len(texts)).columns[:-1]
-                done += len(texts)
-                yield pa.RecordBatch.from_arrays([*kept, *out], names=[*carried, *new])
+                yield pa.RecordBatch.from_arrays([*part.columns[: len(carried)], *out], names=[*carried, *new])
+        del encoder
+        give_back()
 
-    kinds = dict(docs.dtypes)
-    fields = [f"`{c}` {kinds[c]}" for c in carried] + [f"{c} {'long' if c == 'n_tokens' else 'binary'}" for c in new]
-    return rows.mapInArrow(run, ", ".join(fields))
+    fields = [f"{c} {'long' if c == 'n_tokens' else 'binary'}" for c in new]
+    return rows.mapInArrow(run, ", ".join([schema, *fields]))
 
 
 def decode_texts(encoded: DataFrame, vocabulary: str, ids_col: str = "ids") -> DataFrame:

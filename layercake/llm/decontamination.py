@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from layercake.llm.arrow_rows import give_back, text_input, text_slices
 from layercake.llm.shipping import ship
 from layercake.llm.words import find_words, mix, place_factor, text_buffer
 
@@ -150,20 +151,8 @@ def overlaps_of(texts: list[str], index: BenchmarkIndex, min_equal: int, identit
     return out
 
 
-def _slices(column: pa.Array) -> Iterator[list[str]]:
-    texts, size = [], 0
-    for value in column:
-        texts.append(value.as_py() or "")
-        size += len(texts[-1])
-        if size >= _BATCH:
-            yield texts
-            texts, size = [], 0
-    if texts:
-        yield texts
-
-
-def find_overlaps(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", min_equal: int = 13, identity: float = 0.8) -> DataFrame:
-    """All columns of ``docs`` and ``overlaps``: per benchmark item the best stretch of
+def find_overlaps(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", min_equal: int = 13, identity: float = 0.8, keep: list[str] | None = None) -> DataFrame:
+    """The columns of ``docs`` (or those in ``keep``) and ``overlaps``: per benchmark item the best stretch of
     the text, aligned word by word, of which at least ``identity`` of the words and at
     least ``min_equal`` words (``identity`` of a shorter item's) are equal, as item,
     words ``[text_first, text_end)``, first word of the item, and equal words.
@@ -177,9 +166,10 @@ def find_overlaps(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
     items = benchmark.select(F.col(item_col).cast("long").alias("id"), F.col(item_text_col).cast("string").alias("text")).where("id IS NOT NULL AND text IS NOT NULL").distinct()
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, math.ceil(total / (4 * BLOCK_WORDS)))
-    carried = [c for c in docs.columns if c != "overlaps"]
-    kinds = dict(docs.dtypes)
-    out = docs.select(*[F.col(f"`{c}`") for c in carried], F.col(text_col).cast("string").alias("__text"), F.lit(None).cast(OVERLAPS).alias("overlaps"))
+    out, carried, at, schema = text_input(docs, text_col, ["overlaps"], keep)
+    inner = out.columns
+    schema = ", ".join([schema, *(["__text string"] if at == len(carried) else []), f"overlaps {OVERLAPS}"])
+    out = out.withColumn("overlaps", F.lit(None).cast(OVERLAPS))
     for block in range(blocks):
         rows = items.where(F.pmod(F.xxhash64("id"), F.lit(blocks)) == block).orderBy("id").collect()  # at most about BLOCK_WORDS words
         shared = spark.sparkContext.broadcast(BenchmarkIndex.build([r["id"] for r in rows], [r["text"] for r in rows]))
@@ -187,14 +177,12 @@ def find_overlaps(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
         def run(batches: Iterable[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             index = shared.value
             for batch in batches:
-                done = 0
-                for texts in _slices(batch.column(batch.num_columns - 2)):
-                    part = batch.slice(done, len(texts))
-                    done += len(texts)
-                    before = part.column(part.num_columns - 1).to_pylist()
+                for part, texts in text_slices(batch, at, _BATCH):
+                    before = part.column(len(inner)).to_pylist()
                     found = overlaps_of(texts, index, min_equal, identity)
                     joined = pa.array([(x or []) + y for x, y in zip(before, found, strict=True)], pa.list_(_OVERLAP))
-                    yield pa.RecordBatch.from_arrays([*part.columns[:-1], joined], names=part.schema.names)
+                    yield pa.RecordBatch.from_arrays([*part.columns[: len(inner)], joined], names=[*inner, "overlaps"])
+            give_back()
 
-        out = out.mapInArrow(run, ", ".join([f"`{c}` {kinds[c]}" for c in carried] + [f"__text string, overlaps {OVERLAPS}"]))
-    return out.drop("__text")
+        out = out.mapInArrow(run, schema)
+    return out.select(*[F.col(f"`{c}`") for c in carried], "overlaps")

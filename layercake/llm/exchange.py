@@ -23,9 +23,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from layercake.llm.arrow_rows import give_back
+
 #: Text bytes of a chunk and of a bucket's keys; both bound the memory of a task.
-CHUNK_BYTES = 4 << 20
-BUCKET_BYTES = 8 << 20
+CHUNK_BYTES = 3 << 20
+BUCKET_BYTES = 6 << 20
 
 BLOCKS = "bucket int, chunk long, block binary"
 ANSWERS = "chunk long, bucket int, block binary"
@@ -115,6 +117,7 @@ def blocks_table(chunk: int, keys: np.ndarray, values: list[np.ndarray], bits: i
     """Rows of ``BLOCKS`` for a chunk's sorted unique keys. Every bucket gets a block, an
     empty one too, so that its answer reaches every chunk."""
     cuts = bucket_cuts(keys, bits, buckets)
+    give_back()
     blocks = [pack([v[a:b] for v in values], keys[a:b]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
     return pa.table({"bucket": pa.array(np.arange(buckets, dtype=np.int32)), "chunk": pa.array(np.full(buckets, chunk, np.int64)), "block": pa.array(blocks, pa.binary())})
 
@@ -155,6 +158,7 @@ def gather(table: pa.Table, dtypes: list[str]) -> Gathered:
 
 def answers_table(found: Gathered, bucket: int, blocks: Iterable[bytes]) -> pa.Table:
     blocks = list(blocks)
+    give_back()
     return pa.table({"chunk": pa.array(found.chunks, pa.int64()), "bucket": pa.array(np.full(len(blocks), bucket, np.int32)), "block": pa.array(blocks, pa.binary())})
 
 

@@ -16,9 +16,11 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+import regex
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from layercake.llm.arrow_rows import give_back, text_input, text_slices
 from layercake.llm.byte_bpe import read_ranks
 from layercake.llm.shipping import ship
 from layercake.llm.words import NOT_LETTERS, Words, find_words, text_buffer
@@ -30,6 +32,7 @@ LONGEST = 40
 KEPT_WORDS = 400_000
 #: Text bytes scored at a time.
 _BATCH = 2 << 20
+_LETTER = regex.compile(r"\p{L}")
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -142,18 +145,6 @@ def _word_bytes(buffer: np.ndarray, words: Words, which: np.ndarray) -> list[byt
     return [b" " + raw[a:b] for a, b in zip(words.starts[which].tolist(), words.ends[which].tolist(), strict=True)]
 
 
-def _slices(column: pa.Array) -> Iterator[list[str]]:
-    texts, size = [], 0
-    for value in column:
-        texts.append(value.as_py() or "")
-        size += len(texts[-1])
-        if size >= _BATCH:
-            yield texts
-            texts, size = [], 0
-    if texts:
-        yield texts
-
-
 def fit(docs: DataFrame, vocabulary: str, text_col: str = "text", lang_col: str = "lang", fit_texts: int = 1500, rounds: int = 3) -> LanguageModel | None:
     """Fit on the rows of ``docs`` with a text and a language. Of each language about
     ``fit_texts`` texts are used (all, if it has fewer), chosen by the text's hash.
@@ -174,8 +165,8 @@ def fit(docs: DataFrame, vocabulary: str, text_col: str = "text", lang_col: str
     def count_words(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lang in pc.unique(batch.column(0)).to_pylist():
-                own = batch.filter(pc.equal(batch.column(0), lang)).column(1)
-                for texts in _slices(own):
+                own = batch.filter(pc.equal(batch.column(0), lang))
+                for _, texts in text_slices(own, 1, _BATCH):
                     buffer, words = _letters(texts)
                     _, at, n = np.unique(words.hashes, return_index=True, return_counts=True)
                     yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at)), pa.array(_word_bytes(buffer, words, at), pa.binary()), pa.array(n, pa.int64())], ["lang", "word", "n"])
@@ -213,16 +204,15 @@ def fit(docs: DataFrame, vocabulary: str, text_col: str = "text", lang_col: str
     return LanguageModel(languages, tokens, chance, np.log(n / n.sum()))
 
 
-def predict(docs: DataFrame, model: LanguageModel | None, text_col: str = "text") -> DataFrame:
-    """All columns of ``docs``, ``lang_pred`` (``und`` for a text that is null or has no
+def predict(docs: DataFrame, model: LanguageModel | None, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """The columns of ``docs`` (or those in ``keep``), ``lang_pred`` (``und`` for a text that is null or has no
     letter, or without a model) and ``score``: the probability of that language among
     the learned ones (0 for ``und``). Every whole text is scored."""
     spark = docs.sparkSession
     ship(spark)
-    carried = [c for c in docs.columns if c not in ("lang_pred", "score")]
-    rows = docs.select(*[F.col(f"`{c}`") for c in carried], F.col(text_col).cast("string").alias("__text"), F.coalesce(F.col(text_col).cast("string").rlike(r"\p{L}"), F.lit(False)).alias("__letters"))
+    rows, carried, at, schema = text_input(docs, text_col, ["lang_pred", "score"], keep)
     if model is None:
-        return rows.drop("__text", "__letters").withColumn("lang_pred", F.lit("und")).withColumn("score", F.lit(0.0))
+        return rows.select(*[F.col(f"`{c}`") for c in carried], F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"))
     shared = spark.sparkContext.broadcast(model)  # pieces x languages: a fixed size
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -231,8 +221,7 @@ def predict(docs: DataFrame, model: LanguageModel | None, text_col: str = "text"
         kept = np.zeros(0, np.uint64)
         table = np.zeros((0, len(model.languages)), np.float32)
         for batch in batches:
-            done = 0
-            for texts in _slices(batch.column(batch.num_columns - 2)):
+            for part, texts in text_slices(batch, at, _BATCH):
                 buffer, words = _letters(texts)
                 keys, first, place = np.unique(words.hashes, return_index=True, return_inverse=True)
                 new = np.isin(keys, kept, assume_unique=True, invert=True)
@@ -248,16 +237,9 @@ def predict(docs: DataFrame, model: LanguageModel | None, text_col: str = "text"
                 total = sums[words.bounds[1:]] - sums[words.bounds[:-1]] + model.prior
                 best = total.argmax(1)
                 score = 1 / np.exp(total - total.max(1, keepdims=True)).sum(1)
-                part = batch.slice(done, len(texts))
-                done += len(texts)
-                letters = part.column(part.num_columns - 1).to_numpy(zero_copy_only=False)
+                letters = [_LETTER.search(t) is not None for t in texts]
                 named = [model.languages[b] if has else "und" for b, has in zip(best, letters, strict=True)]
-                yield pa.RecordBatch.from_arrays([*part.columns[:-2], pa.array(named, pa.string()), pa.array(np.where(letters, score, 0.0))], names=[*carried, "lang_pred", "score"])
-
-    kinds = dict(docs.dtypes)
-    return rows.mapInArrow(run, ", ".join([f"`{c}` {kinds[c]}" for c in carried] + ["lang_pred string", "score double"]))
-
+                yield pa.RecordBatch.from_arrays([*part.columns[: len(carried)], pa.array(named, pa.string()), pa.array(np.where(letters, score, 0.0))], names=[*carried, "lang_pred", "score"])
+        give_back()
 
-def remainder(id_col: str, by: int) -> Column:
-    """crc32 of the id as text modulo ``by``; null for a null id."""
-    return F.pmod(F.crc32(F.col(id_col).cast("string").cast("binary")), F.lit(by))
+    return rows.mapInArrow(run, f"{schema}, lang_pred string, score double")

@@ -35,13 +35,13 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     held_out = remainder(4) == 2
     model = language_id.fit(docs.where(~held_out), MULTILINGUAL_RANKS)
-    return language_id.predict(docs.select("doc_id", held_out.alias("held_out"), "text"), model).drop("text")
+    return language_id.predict(docs.withColumn("held_out", held_out), model, keep=["doc_id", "held_out"])
 
 
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document, and the bytes that they decode to."""
-    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    tokens = byte_bpe.encode_texts(docs, RANKS, public_tokenizers.PATTERN, decoded=True)
+    docs = _table(spark, sf_dir, "documents")
+    tokens = byte_bpe.encode_texts(docs, RANKS, public_tokenizers.PATTERN, decoded=True, keep=["doc_id"])
     return tokens.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
@@ -69,13 +69,13 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
     held_out = remainder(5) == 0
     model = toxicity.fit(docs, labels.where(~held_out))
-    return toxicity.score(docs.select("doc_id", held_out.alias("held_out"), "text"), model).drop("text")
+    return toxicity.score(docs.withColumn("held_out", held_out), model, keep=["doc_id", "held_out"])
 
 
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that hold benchmark passages, with the best overlap of each item."""
-    docs, benchmark = _table(spark, sf_dir, "documents").select("doc_id", "text"), _table(spark, sf_dir, "benchmark")
-    found = decontamination.find_overlaps(docs, benchmark).select("doc_id", F.explode("overlaps").alias("o"))
+    docs, benchmark = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
+    found = decontamination.find_overlaps(docs, benchmark, keep=["doc_id"]).select("doc_id", F.explode("overlaps").alias("o"))
     return found.select("doc_id", F.col("o.item").alias("item_id"), "o.text_first", "o.text_end", "o.item_first", "o.n_equal")
 
 

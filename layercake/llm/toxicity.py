@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from layercake.llm.arrow_rows import give_back, text_input, text_slices
 from layercake.llm.shipping import ship
 from layercake.llm.words import NOT_LETTERS, find_words, text_buffer
 
@@ -74,18 +75,6 @@ def _distinct_words(texts: list[str]) -> tuple[list[bytes], np.ndarray, np.ndarr
     return own, pairs // max(1, len(own)), pairs % max(1, len(own))
 
 
-def _slices(column: pa.Array) -> Iterator[list[str]]:
-    texts, size = [], 0
-    for value in column:
-        texts.append(value.as_py() or "")
-        size += len(texts[-1])
-        if size >= _BATCH:
-            yield texts
-            texts, size = [], 0
-    if texts:
-        yield texts
-
-
 def _active(own: list[bytes], known: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray]:
     """Known features of each distinct word: starts and feature numbers."""
     found = [[known[f] for f in features(w) if f in known] for w in own]
@@ -137,18 +126,16 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: tuple[Counter, Counter] = (Counter(), Counter())
         for batch in batches:
-            label = np.array(batch.column(1).to_pylist())
-            done = 0
-            for texts in _slices(batch.column(0)):
+            for part, texts in text_slices(batch, 0, _BATCH):
                 own, text, word = _distinct_words(texts)
                 named = [features(w) for w in own]
-                marks = label[done : done + len(texts)]
-                done += len(texts)
+                marks = part.column(1).to_pylist()
                 for t in range(len(texts)):
                     a, b = np.searchsorted(text, [t, t + 1])
                     counts[marks[t]].update({f for w in word[a:b] for f in named[w]})
         keys = sorted(counts[0].keys() | counts[1].keys())
         yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array([counts[0][k] for k in keys], pa.int64()), pa.array([counts[1][k] for k in keys], pa.int64())], ["feature", "n0", "n1"])
+        give_back()
 
     counted = sample.mapInArrow(count, "feature binary, n0 long, n1 long").groupBy("feature").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
     drawn = {r["label"]: r["n"] for r in sample.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -160,8 +147,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
     def vectors(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            done = 0
-            for texts in _slices(batch.column(0)):
+            for part, texts in text_slices(batch, 0, _BATCH):
                 own, text, word = _distinct_words(texts)
                 rows, numbers = _text_features(own, text, word, place)
                 cuts = np.searchsorted(rows, np.arange(1, len(texts)))
@@ -172,8 +158,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
                     a, b = np.searchsorted(text, [t, t + 1])
                     changed = {SWAP.get(own[w], own[w]) for w in word[a:b]}
                     swapped[t] = np.array(sorted({place[f] for w in changed for f in features(w) if f in place}), np.int64)
-                yield pa.RecordBatch.from_arrays([batch.column(1).slice(done, len(texts)), pa.array([x.tolist() for x in plain], pa.list_(pa.int64())), pa.array([None if x is None else x.tolist() for x in swapped], pa.list_(pa.int64()))], ["label", "on", "swapped"])
-                done += len(texts)
+                yield pa.RecordBatch.from_arrays([part.column(1), pa.array([x.tolist() for x in plain], pa.list_(pa.int64())), pa.array([None if x is None else x.tolist() for x in swapped], pa.list_(pa.int64()))], ["label", "on", "swapped"])
 
     rows = sample.mapInArrow(vectors, "label int, on array<long>, swapped array<long>").collect()
     sample.unpersist()
@@ -213,31 +198,28 @@ def _regress(on: list, swapped: list, label: np.ndarray, weight: np.ndarray, n:
     return params[:n], float(params[n])
 
 
-def score(docs: DataFrame, model: ToxicityModel | None, text_col: str = "text") -> DataFrame:
-    """All columns of ``docs``, ``score`` (0 to 1, higher: more likely toxic) and
+def score(docs: DataFrame, model: ToxicityModel | None, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """The columns of ``docs`` (or those in ``keep``), ``score`` (0 to 1, higher: more likely toxic) and
     ``predicted`` (1 if score >= 0.5). Every whole text is scored; null, empty and
     wordless texts get the share that the fit saw without any evidence. Without a model
     every score is 0."""
     spark = docs.sparkSession
     ship(spark)
-    carried = [c for c in docs.columns if c not in ("score", "predicted")]
-    rows = docs.select(*[F.col(f"`{c}`") for c in carried], F.col(text_col).cast("string").alias("__text"))
+    rows, carried, at, schema = text_input(docs, text_col, ["score", "predicted"], keep)
     if model is None:
-        return rows.drop("__text").withColumn("score", F.lit(0.0)).withColumn("predicted", F.lit(0))
+        return rows.select(*[F.col(f"`{c}`") for c in carried], F.lit(0.0).alias("score"), F.lit(0).alias("predicted"))
     shared = spark.sparkContext.broadcast(model)  # at most n_features weights
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         place = {f: i for i, f in enumerate(model.features)}
         for batch in batches:
-            done = 0
-            for texts in _slices(batch.column(batch.num_columns - 1)):
+            for part, texts in text_slices(batch, at, _BATCH):
                 row, number = _text_features(*_distinct_words(texts), place)
                 z = model.bias + np.bincount(row, model.weights[number], len(texts))
                 scores = 1 / (1 + np.exp(-np.clip(z, -40, 40)))
-                kept = batch.slice(done, len(texts)).columns[:-1]
-                done += len(texts)
+                kept = part.columns[: len(carried)]
                 yield pa.RecordBatch.from_arrays([*kept, pa.array(scores), pa.array((scores >= 0.5).astype(np.int32))], names=[*carried, "score", "predicted"])
+        give_back()
 
-    kinds = dict(docs.dtypes)
-    return rows.mapInArrow(run, ", ".join([f"`{c}` {kinds[c]}" for c in carried] + ["score double", "predicted int"]))
+    return rows.mapInArrow(run, f"{schema}, score double, predicted int")
