@@ -8,6 +8,8 @@ of hash values) one block of delta-coded keys: 3 to 5 bytes a key. A bucket sort
 blocks of all chunks, decides, and answers each chunk in the order of its keys.
 
 Chunks and buckets grow with the input (``Layout``); none grows with a key's frequency.
+Blocks get smaller as both grow, but there is never an empty one: at the far end a block
+is one key, as in a plain shuffle.
 A chunk is a function of the row alone, so that a task that is run again, after an
 executor is lost, sends the same blocks.
 """
@@ -17,6 +19,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -60,12 +63,15 @@ def chunk_of(layout: Layout, *cols: str) -> Column:
     return F.pmod(F.xxhash64(*[F.col(c) for c in cols]), F.lit(layout.chunks)).cast("long")
 
 
+def task_count(docs: DataFrame, layout: Layout) -> int:
+    """Tasks for data dealt by chunk: at most about 16 chunks each."""
+    return max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), layout.chunks // 16)
+
+
 def dealt(docs: DataFrame, layout: Layout, keys: list[str]) -> DataFrame:
     """``docs`` with a ``chunk`` column, dealt by it: the one shuffle of the texts, which
     the passes of an operator share."""
-    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    tasks = max(tasks, layout.chunks // 16)
-    return docs.withColumn("chunk", chunk_of(layout, *keys)).repartition(tasks, "chunk")
+    return docs.withColumn("chunk", chunk_of(layout, *keys)).repartition(task_count(docs, layout), "chunk")
 
 
 def short(keys: np.ndarray, bits: int) -> np.ndarray:
@@ -107,19 +113,24 @@ def unpack(block: bytes, dtypes: Iterable[str], with_keys: bool = True) -> list[
     return out
 
 
+@lru_cache(4)
+def _bucket_firsts(bits: int, buckets: int) -> np.ndarray:
+    return np.array([min(((b << bits) + buckets - 1) // buckets, (1 << bits) - 1) for b in range(buckets)], np.uint64)
+
+
 def bucket_cuts(keys: np.ndarray, bits: int, buckets: int) -> np.ndarray:
     """Where each bucket's range of hash values begins in sorted ``keys``."""
-    firsts = [min(((b << bits) + buckets - 1) // buckets, (1 << bits) - 1) for b in range(buckets)]
-    return np.append(np.searchsorted(keys, np.array(firsts, np.uint64)), len(keys))
+    return np.append(np.searchsorted(keys, _bucket_firsts(bits, buckets)), len(keys))
 
 
 def blocks_table(chunk: int, keys: np.ndarray, values: list[np.ndarray], bits: int, buckets: int) -> pa.Table:
-    """Rows of ``BLOCKS`` for a chunk's sorted unique keys. Every bucket gets a block, an
-    empty one too, so that its answer reaches every chunk."""
+    """Rows of ``BLOCKS`` for a chunk's sorted keys: one for each bucket that it has keys
+    of, so that there are never more blocks than keys, however many buckets there are."""
     cuts = bucket_cuts(keys, bits, buckets)
     give_back()
-    blocks = [pack([v[a:b] for v in values], keys[a:b]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
-    return pa.table({"bucket": pa.array(np.arange(buckets, dtype=np.int32)), "chunk": pa.array(np.full(buckets, chunk, np.int64)), "block": pa.array(blocks, pa.binary())})
+    used = np.flatnonzero(np.diff(cuts))
+    blocks = [pack([v[a:b] for v in values], keys[a:b]) for a, b in zip(cuts[used], cuts[used + 1], strict=True)]
+    return pa.table({"bucket": pa.array(used.astype(np.int32)), "chunk": pa.array(np.full(len(used), chunk, np.int64)), "block": pa.array(blocks, pa.binary())})
 
 
 @dataclass

@@ -18,12 +18,10 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from layercake.llm.arrow_rows import give_back
 from layercake.llm.shipping import ship
 from layercake.session import write_scratch
 
-#: Parts of a group within which its rows are numbered.
-GROUP_PARTS = 64
-
 
 def differencing(parts: np.ndarray) -> np.ndarray:
     """Combine partial partitions (rows of sums over k slots) to one. Returns, for each
@@ -78,7 +76,10 @@ def shard_by_bytes(docs: DataFrame, shards: int, id_col: str = "doc_id", text_co
         (F.octet_length(text) + F.lit(overhead)).cast("long").alias("size"),
         F.crc32(text).alias("text_crc32"),
         F.unhex(F.md5(text)).alias("group"),
-    ).withColumn("part", F.pmod(F.xxhash64("id"), F.lit(GROUP_PARTS)).cast("int"))
+    )
+    # rows are numbered within parts of a group, as many as tasks: a hot group is spread
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    thin = thin.withColumn("part", F.pmod(F.xxhash64("id"), F.lit(tasks)).cast("int"))
     counts = thin.groupBy("group", "part").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("size"))
     groups = counts.groupBy("group").agg(F.sum("n").alias("n"), F.sum("size").alias("size"), F.array_sort(F.collect_list(F.struct("part", "n"))).alias("parts"))
 
@@ -94,11 +95,18 @@ def shard_by_bytes(docs: DataFrame, shards: int, id_col: str = "doc_id", text_co
         opening = np.searchsorted(slot[order], np.arange(shards))
         first = np.empty(len(n), np.int64)
         first[order] = before - np.append(before, 0)[opening][slot[order]]
+        # each part's rows begin where the earlier parts of its group end
+        parts = table["parts"].combine_chunks()
+        own = parts.flatten().field("n").to_numpy()
+        begin = np.cumsum(n) - n  # of each group among all rows, as the parts lie
+        part_first = np.cumsum(own) - own + np.repeat(first - begin, np.diff(parts.offsets.to_numpy()))
+        starts = pa.ListArray.from_arrays(parts.offsets, pa.StructArray.from_arrays([parts.flatten().field("part"), pa.array(part_first)], ["part", "first"]))
         task = pa.array(np.full(len(n), TaskContext.get().partitionId(), np.int32))
-        out = pa.table({"task": task, "bin": pa.array(slot.astype(np.int32)), "group": table["group"], "n": table["n"], "size": table["size"], "first": pa.array(first), "parts": table["parts"]})
+        out = pa.table({"task": task, "bin": pa.array(slot.astype(np.int32)), "group": table["group"], "n": table["n"], "size": table["size"], "parts": starts})
         yield from out.combine_chunks().to_batches()
+        give_back()
 
-    placed = write_scratch(groups.mapInArrow(place, "task int, bin int, group binary, n long, size long, first long, parts array<struct<part:int,n:long>>"), "placed")
+    placed = write_scratch(groups.mapInArrow(place, "task int, bin int, group binary, n long, size long, parts array<struct<part:int,first:long>>"), "placed")
     # one row per task and bin: the partial partitions
     bins = placed.groupBy("task", "bin").agg(F.sum("size").alias("size"), F.sum("n").alias("n")).toPandas()
     tasks = sorted(set(bins["task"]))
@@ -112,11 +120,7 @@ def shard_by_bytes(docs: DataFrame, shards: int, id_col: str = "doc_id", text_co
             final.append((int(task), b, int(to[i, b]), int(used[to[i, b]])))
             used[to[i, b]] += rows[i, b]
     merged = F.broadcast(spark.createDataFrame(final, "task int, bin int, shard int, base long"))  # tasks x shards rows
-    earlier = F.expr("aggregate(filter(parts, p -> p.part < one.part), 0L, (sum, p) -> sum + p.n)")
-    offsets = (
-        placed.join(merged, ["task", "bin"])
-        .withColumn("one", F.explode("parts"))
-        .select("group", F.col("one.part").alias("part"), "shard", (F.col("base") + F.col("first") + earlier).alias("from"))
-    )
+    offsets = placed.join(merged, ["task", "bin"]).withColumn("one", F.explode("parts"))
+    offsets = offsets.select("group", F.col("one.part").alias("part"), "shard", (F.col("base") + F.col("one.first")).alias("from"))
     number = F.expr("row_number() OVER (PARTITION BY group, part ORDER BY id, size)")
     return thin.join(offsets, ["group", "part"]).select(F.col("id").alias(id_col), "size", "text_crc32", "shard", (F.col("from") + number - 1).cast("long").alias("slot"))
