@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import time
 
 import pytest
 
@@ -204,3 +205,34 @@ def test_repaired_sales_satisfy_the_invariant(spark):
     rules = {r.rule: r for r in check_sales(out).collect()}
     assert rules["sales_equals_quantity_times_price"].violations == 0
     assert rules["sales_equals_quantity_times_price"].unknown == 0
+
+
+@pytest.mark.parametrize("parallelism", [1, 2])
+def test_no_step_starts_after_a_failure(parallelism):
+    started = []
+
+    def step(name, fails=False):
+        def work():
+            started.append(name)
+            time.sleep(0.05)
+            if fails:
+                raise RuntimeError("broken")
+            time.sleep(0.2)
+            return 1
+
+        return name, work
+
+    steps = [step("first", True), *[step(str(i)) for i in range(6)]]
+    with pytest.raises(RuntimeError, match="broken"):
+        runner._run_steps("silver", steps, parallelism)
+    assert len(started) == parallelism  # what was under way, nothing later
+    results = runner._run_steps("silver", steps[1:], parallelism)
+    assert [r.dataset for r in results] == [str(i) for i in range(6)]
+
+
+def test_metrics_table(spark, tmp_path):
+    path = str(tmp_path / "metrics")
+    for day in ("2026-01-01", "2026-01-02"):
+        runner.write_metrics(spark, [runner.StepResult("gold", "fact_sales", 5, 1.5)], path, day)
+    rows = spark.read.parquet(path).orderBy("date").collect()
+    assert [(r.layer, r.dataset, r.rows, r.seconds, r.date) for r in rows] == [("gold", "fact_sales", 5, 1.5, d) for d in ("2026-01-01", "2026-01-02")]
