@@ -29,8 +29,8 @@ from layercake.llm.shipping import ship
 from layercake.llm.words import Words, find_words, mix, place_factor, text_buffer, window_hashes
 from layercake.session import write_scratch
 
-#: Members of a family compared in one task: a 24th of it within these bounds.
-BLOCK_MEMBERS = (64, 1024)
+#: Members of a family compared in one task: a 48th of it within these bounds.
+BLOCK_MEMBERS = (32, 1024)
 _SETS = "doc_id long, sig binary, n long, grams binary"
 
 
@@ -166,7 +166,7 @@ def _links_table(table: pa.Table, percent: int) -> pa.Table:
 
 def _size_limits(size):
     low, high = BLOCK_MEMBERS
-    return F.least(F.lit(high), F.greatest(F.lit(low), (size / 24).cast("long"))).cast("long")
+    return F.least(F.lit(high), F.greatest(F.lit(low), (size / 48).cast("long"))).cast("long")
 
 
 def set_links(sets: DataFrame, percent: int) -> DataFrame:

@@ -167,7 +167,7 @@ def near_copies(n, seed=2, size=120, edits=5):
     return rows
 
 
-@pytest.mark.parametrize("members", [(64, 1024), (8, 8)])
+@pytest.mark.parametrize("members", [(32, 1024), (8, 8)])
 def test_jaccard_classes(spark, monkeypatch, members):
     """Also with families dealt over many small blocks."""
     monkeypatch.setattr(jaccard_join, "BLOCK_MEMBERS", members)
