@@ -9,7 +9,7 @@ One exchange per order, from the longest n-grams down. Its answers give a chunk
 counts of its n-grams, and make one chunk the owner of each: owners count the distinct
 left extensions (continuation counts) and the follower statistics of contexts for the
 next order. Every bucket adds its sums to one of its answers; they are summed to one row
-of corpus totals, which joins the answers.
+of corpus totals, a scalar subquery beside the answers.
 """
 
 from __future__ import annotations
@@ -231,7 +231,7 @@ def score_texts(docs: DataFrame, train, id_col: str = "doc_id", text_col: str =
         # dealt by chunk here, so that the totals and the next steps read one shuffle
         told = blocks.groupBy("bucket").applyInArrow(_answer, _ANSWERS).repartition(X.task_count(docs, layout), "chunk")
         totals = told.agg(F.array(*[F.sum(F.get("stats", F.lit(i))) for i in range(_TOTALS)]).alias("totals"))  # one row
-        answers[m] = told.drop("stats").withColumn("level", F.lit(m)).join(F.broadcast(totals.withColumn("level", F.lit(m))), "level")
+        answers[m] = told.drop("stats").withColumn("level", F.lit(m)).withColumn("totals", totals.scalar())
     together = answers[order]
     for m in range(order - 1, 0, -1):
         together = together.unionByName(answers[m])
