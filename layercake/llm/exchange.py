@@ -53,7 +53,8 @@ def layout_of(docs: DataFrame, text_col: str) -> Layout:
     tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return Layout(
         chunks=max(tasks, math.ceil(total / CHUNK_BYTES)),
-        buckets=max(tasks, math.ceil(total / BUCKET_BYTES)),
+        # several to a task: their sizes even out
+        buckets=max(4 * tasks, math.ceil(total / BUCKET_BYTES)),
         # one in 2**16 keys meets another one by chance; such hits are verified later
         short_bits=min(64, 16 + max(24, math.ceil(math.log2(total / 4 + 2)))),
     )
