@@ -53,8 +53,7 @@ def layout_of(docs: DataFrame, text_col: str) -> Layout:
     tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return Layout(
         chunks=max(tasks, math.ceil(total / CHUNK_BYTES)),
-        # several to a task: their sizes even out
-        buckets=max(4 * tasks, math.ceil(total / BUCKET_BYTES)),
+        buckets=max(tasks, math.ceil(total / BUCKET_BYTES)),
         # one in 2**16 keys meets another one by chance; such hits are verified later
         short_bits=min(64, 16 + max(24, math.ceil(math.log2(total / 4 + 2)))),
     )
@@ -124,12 +123,13 @@ def bucket_cuts(keys: np.ndarray, bits: int, buckets: int) -> np.ndarray:
     return np.append(np.searchsorted(keys, _bucket_firsts(bits, buckets)), len(keys))
 
 
-def blocks_table(chunk: int, keys: np.ndarray, values: list[np.ndarray], bits: int, buckets: int) -> pa.Table:
+def blocks_table(chunk: int, keys: np.ndarray, values: list[np.ndarray], bits: int, buckets: int, to_all: bool = False) -> pa.Table:
     """Rows of ``BLOCKS`` for a chunk's sorted keys: one for each bucket that it has keys
-    of, so that there are never more blocks than keys, however many buckets there are."""
+    of, so that there are never more blocks than keys, however many buckets there are.
+    ``to_all``: empty blocks too, where every bucket has to answer every chunk."""
     cuts = bucket_cuts(keys, bits, buckets)
     give_back()
-    used = np.flatnonzero(np.diff(cuts))
+    used = np.arange(buckets) if to_all else np.flatnonzero(np.diff(cuts))
     blocks = [pack([v[a:b] for v in values], keys[a:b]) for a, b in zip(cuts[used], cuts[used + 1], strict=True)]
     return pa.table({"bucket": pa.array(used.astype(np.int32)), "chunk": pa.array(np.full(len(used), chunk, np.int64)), "block": pa.array(blocks, pa.binary())})
 

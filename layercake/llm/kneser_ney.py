@@ -8,8 +8,8 @@ model, which grows with the corpus: no n-gram is pruned.
 One exchange per order, from the longest n-grams down. Its answers give a chunk the
 counts of its n-grams, and make one chunk the owner of each: owners count the distinct
 left extensions (continuation counts) and the follower statistics of contexts for the
-next order. Every bucket adds its sums to one of its answers; they are summed to one row
-of corpus totals, a scalar subquery beside the answers.
+next order. Sums over the corpus travel with the blocks: every chunk sends to every
+bucket, every bucket answers every chunk.
 """
 
 from __future__ import annotations
@@ -30,9 +30,6 @@ from layercake.llm.words import find_words, mix, place_factor, text_buffer
 _BEGIN, _END = np.uint64(0x62656769), np.uint64(0x656E64)
 _BLOCKS = X.BLOCKS + ", stats array<long>"
 _ANSWERS = X.ANSWERS + ", stats array<long>"
-#: Totals of an order: training tokens, n-grams in training texts, n-grams with count 1,
-#: 2, 3, 4, with 3 or more, sum of counts.
-_TOTALS = 8
 #: Values of an n-gram in a block: text count, continuation count, and as a context:
 #: followers' total and how many of them have count 1, 2, 3 or more.
 _SENT = ["u4", "u4", "i8", "u4", "u4", "u4"]
@@ -95,12 +92,9 @@ class _Chunk:
         ]
 
     def block(self, chunk: int, m: int, above: list[np.ndarray] | None, buckets: int) -> pa.Table:
-        blocks = X.blocks_table(chunk, self.grams(m)[0], self.values(m, above), 64, buckets)
-        return blocks.append_column("stats", _in_first_row([int(self.trained.sum())], blocks.num_rows))
-
-
-def _in_first_row(values: list[int], rows: int) -> pa.Array:
-    return pa.array(([values] + [None] * (rows - 1))[:rows], pa.list_(pa.int64()))
+        blocks = X.blocks_table(chunk, self.grams(m)[0], self.values(m, above), 64, buckets, to_all=True)
+        stats = [[int(self.trained.sum())]] * buckets
+        return blocks.append_column("stats", pa.array(stats, pa.list_(pa.int64())))
 
 
 def _mapped(array: np.ndarray) -> np.ndarray:
@@ -143,11 +137,11 @@ def _answer(blocks: pa.Table) -> pa.Table:
     shard = _Shard(found)
     owner = np.zeros(len(found.keys), np.uint8)
     owner[found.order[shard.owner[shard.owner < len(found.keys)]]] = 1
-    stats = shard.stats(sum(s[0] for s in blocks["stats"].to_pylist() if s))
+    stats = shard.stats(sum(s[0] for s in blocks["stats"].to_pylist()))
     cuts = np.concatenate([[0], np.cumsum(found.sizes)]).astype(np.int64)
     answers = [X.pack([*shard.look_up(found.keys[a:b]), owner[a:b]]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
     table = X.answers_table(found, blocks["bucket"][0].as_py(), answers)
-    return table.append_column("stats", _in_first_row(stats, len(answers)))
+    return table.append_column("stats", pa.array([stats] * len(answers), pa.list_(pa.int64())))
 
 
 def discounts(n1: int, n2: int, n3: int, n4: int) -> tuple[float, float, float]:
@@ -162,14 +156,15 @@ def discounts(n1: int, n2: int, n3: int, n4: int) -> tuple[float, float, float]:
 
 def _scores(chunk: _Chunk, answers: dict[int, tuple[list[np.ndarray], np.ndarray]]) -> dict[str, np.ndarray | int]:
     """Log10 probabilities of the texts, and of the unigram base."""
-    values, totals = answers[1]
-    tokens, distinct = int(totals[0]), int(totals[1])
+    values, stats = answers[1]
+    tokens, distinct = int(stats[0, 0]), int(stats[:, 1].sum())
     keys, _, place = chunk.grams(1)
     text_count = values[0][place]
     base = np.log10((text_count + 0.5) / (tokens + 0.5 * (distinct + 1)))
     chance = np.full(len(place), 1.0 / (distinct + 1))
     for m in range(1, chunk.order + 1):
-        values, totals = answers[m]
+        values, stats = answers[m]
+        totals = stats.sum(0)
         d1, d2, d3 = discounts(*[int(x) for x in totals[2:6]])
         count = values[1][chunk.grams(m)[2]]
         if m == 1:
@@ -208,9 +203,9 @@ def score_texts(docs: DataFrame, train, id_col: str = "doc_id", text_col: str =
     by_chunk = X.dealt(rows, layout, ["__id", "__text"]).groupBy("chunk")
 
     def heard(answers: pa.Table) -> Iterator[tuple[int, tuple[list[np.ndarray], np.ndarray]]]:
-        for m in sorted(set(answers["level"].to_pylist()), reverse=True):  # every chunk has an end, so an answer
+        for m in sorted(set(answers["level"].to_pylist()), reverse=True):
             own = answers.filter(pa.compute.equal(answers["level"], m))
-            yield m, (X.answered(own, _BACK), np.array(own["totals"][0].as_py(), np.int64))
+            yield m, (X.answered(own, _BACK), np.array(own["stats"].to_pylist(), np.int64))
 
     def send(m: int):
         def first(docs: pa.Table) -> pa.Table:
@@ -228,10 +223,7 @@ def score_texts(docs: DataFrame, train, id_col: str = "doc_id", text_col: str =
             blocks = by_chunk.applyInArrow(send(m), _BLOCKS)
         else:
             blocks = by_chunk.cogroup(answers[m + 1].groupBy("chunk")).applyInArrow(send(m), _BLOCKS)
-        # dealt by chunk here, so that the totals and the next steps read one shuffle
-        told = blocks.groupBy("bucket").applyInArrow(_answer, _ANSWERS).repartition(X.task_count(docs, layout), "chunk")
-        totals = told.agg(F.array(*[F.sum(F.get("stats", F.lit(i))) for i in range(_TOTALS)]).alias("totals"))  # one row
-        answers[m] = told.drop("stats").withColumn("level", F.lit(m)).withColumn("totals", totals.scalar())
+        answers[m] = blocks.groupBy("bucket").applyInArrow(_answer, _ANSWERS).withColumn("level", F.lit(m))
     together = answers[order]
     for m in range(order - 1, 0, -1):
         together = together.unionByName(answers[m])
