@@ -2,9 +2,8 @@
 
 A mask marks some of ``SPAN`` consecutive words; the hash of the marked ones ignores the
 others, so that a passage with substituted words still shares hashes with its source.
-Benchmark hashes meet the hashes of every position of every text; each hit is extended
-left and right along its diagonal, and an overlap counts if enough of its aligned words
-are equal.
+Benchmark hashes meet the hashes of every position of every text; each hit has its
+whole diagonal searched for the stretch with the most equal words that meets the rule.
 
 The benchmark goes to the tasks in blocks of bounded size, one pass over the texts per
 block; the texts are never shuffled.
@@ -34,6 +33,7 @@ SHORTEST = 5
 BLOCK_WORDS = 1_000_000
 _BATCH = 2 << 20
 _FILTER_BITS = 22
+_ROUNDING = 1e-9
 
 OVERLAPS = "array<struct<item:long,text_first:int,text_end:int,item_first:int,n_equal:int>>"
 _OVERLAP = pa.struct([("item", pa.int64()), ("text_first", pa.int32()), ("text_end", pa.int32()), ("item_first", pa.int32()), ("n_equal", pa.int32())])
@@ -96,12 +96,19 @@ class BenchmarkIndex:
         return cls(items, words, masks, hashes, item, place)
 
 
-def _best(equal: np.ndarray, a: int, b: int, mismatch: float) -> tuple[int, int]:
-    """Extend [a, b) both ways to the highest sum of 1 per equal and -mismatch per other."""
-    gain = np.where(equal, 1.0, -mismatch)
-    right = np.concatenate([[0.0], np.cumsum(gain[b:])])
-    left = np.concatenate([[0.0], np.cumsum(gain[:a][::-1])])
-    return a - int(left.argmax()), b + int(right.argmax())
+def _best(equal: np.ndarray, identity: float) -> tuple[int, int, int]:
+    """The stretch [a, b) with the most equal words among those of which ``identity`` are
+    equal, and that number; of several the first. It begins and ends with an equal word."""
+    places = np.flatnonzero(equal)
+    if not len(places):
+        return 0, 0, 0
+    # words i to j of these will do if opens[i] <= closes[j]
+    opens = np.arange(len(places)) - identity * places
+    closes = opens + 1 - identity + _ROUNDING
+    first = np.searchsorted(-np.minimum.accumulate(opens), -closes)
+    n_equal = np.arange(len(places)) - first + 1
+    j = int(n_equal.argmax())
+    return int(places[first[j]]), int(places[j]) + 1, int(n_equal[j])
 
 
 def overlaps_of(texts: list[str], index: BenchmarkIndex, min_equal: int, identity: float) -> list[list[dict]]:
@@ -130,18 +137,17 @@ def overlaps_of(texts: list[str], index: BenchmarkIndex, min_equal: int, identit
     joined = np.concatenate(hits) if hits else np.zeros((0, 5), np.int64)
     order = np.lexsort((joined[:, 3], joined[:, 2], joined[:, 1], joined[:, 0]))
     reached: tuple = ()
-    for text, item, shift, place, span in joined[order].tolist():
-        if reached and reached[:3] == (text, item, shift) and place + span <= reached[3]:
-            continue  # inside an overlap that was already extended
+    for text, item, shift, _, _ in joined[order].tolist():
+        if reached == (text, item, shift):
+            continue
         a, b = int(found.bounds[text]), int(found.bounds[text + 1])
         words = index.words[item]
         first = max(0, -shift)
         end = min(len(words), b - a - shift)
         equal = found.hashes[a + shift + first : a + shift + end] == words[first:end]
-        x, y = _best(equal, place - first, place - first + span, identity / (1 - identity))
-        n_equal = int(equal[x:y].sum())
-        reached = (text, item, shift, y + first)
-        if n_equal >= min(min_equal, math.ceil(identity * len(words))) and n_equal >= identity * (y - x):
+        x, y, n_equal = _best(equal, identity)
+        reached = (text, item, shift)
+        if n_equal >= min(min_equal, math.ceil(identity * len(words) - _ROUNDING)):
             row = (n_equal, -(shift + first + x), y - x, first + x)
             best[text, item] = max(best.get((text, item), row), row)
     out: list[list[dict]] = [[] for _ in texts]

@@ -185,3 +185,35 @@ def test_decontamination_spans(spark):
     text = "x y " + " ".join("q" if i == 12 else f"B{i}" for i in range(5, 28)) + " z"
     got = decontamination.find_overlaps(spark.createDataFrame([(1, text)], "doc_id long, text string"), bench).first()["overlaps"]
     assert [(o["item"], o["text_first"], o["text_end"], o["item_first"], o["n_equal"]) for o in got] == [(7, 2, 25, 5, 22)]
+
+
+def test_decontamination_to_the_threshold(spark):
+    """Stretches at 80 % whose best-scoring part has under 13 equal words."""
+    r = random.Random(11)
+    items, rows, expected = [], [], {}
+
+    def add(n, replaced):
+        i = len(items)
+        words = [f"i{i}w{j}" for j in range(n)]
+        items.append((i, " ".join(words)))
+        text = [f"t{i}" if j in replaced else w for j, w in enumerate(words)]
+        rows.append((i, " ".join(["before", *text, "after"])))
+        kept = [j for j in range(n) if j not in replaced]
+        expected[i] = [(i, 1 + kept[0], 2 + kept[-1], kept[0], len(kept))]
+
+    for n in (20, 25, 30, 1000):
+        add(n, set(range(4, n, 5)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    names = ("item", "text_first", "text_end", "item_first", "n_equal")
+    got = {x["doc_id"]: [tuple(o[k] for k in names) for o in x["overlaps"]] for x in decontamination.find_overlaps(docs, bench).collect()}
+    assert got == expected
+
+
+def test_best_stretch_of_a_diagonal():
+    r = np.random.default_rng(12)
+    for _ in range(300):
+        equal = r.random(r.integers(1, 40)) < r.random()
+        stretches = [(int(equal[a:b].sum()), -a, -b) for a in range(len(equal)) for b in range(a + 1, len(equal) + 1) if equal[a] and equal[b - 1] and equal[a:b].mean() >= 0.8 - 1e-9]
+        a, b, n = decontamination._best(equal, 0.8)
+        assert (n, -a, -b) == max(stretches, default=(0, 0, 0))
