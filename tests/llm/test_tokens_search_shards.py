@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import itertools
+import math
 import random
 import zlib
 from collections import defaultdict
@@ -188,7 +190,8 @@ def test_decontamination_spans(spark):
 
 
 def test_decontamination_to_the_threshold(spark):
-    """Stretches at 80 % whose best-scoring part has under 13 equal words."""
+    """Stretches at 80 % whose best-scoring part has under 13 equal words, and as
+    many replaced words as the rule allows."""
     r = random.Random(11)
     items, rows, expected = [], [], {}
 
@@ -203,6 +206,9 @@ def test_decontamination_to_the_threshold(spark):
 
     for n in (20, 25, 30, 1000):
         add(n, set(range(4, n, 5)))
+    for n, replaced in ((15, 2), (15, 3), (16, 3), (18, 3), (20, 4), (25, 5), (30, 6)):
+        for _ in range(30):
+            add(n, set(r.sample(range(1, n - 1), replaced)))
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     bench = spark.createDataFrame(items, "item_id long, text string")
     names = ("item", "text_first", "text_end", "item_first", "n_equal")
@@ -210,6 +216,25 @@ def test_decontamination_to_the_threshold(spark):
     assert got == expected
 
 
+def smallest_overlaps(size, need, identity):
+    """Bits of the equal words of all overlaps that hold no smaller one."""
+    for length in range(need, min(size, int((2 * need - 1) / identity + 1e-9)) + 1):
+        for n in range(max(need, math.ceil(identity * length - 1e-9)), min(length, 2 * need - 1) + 1):
+            for gone in itertools.combinations(range(1, length - 1), length - n):
+                places = [j for j in range(length) if j not in gone]
+                parts = ((places[i + m - 1] - places[i] + 1, m) for m in range(need, n) for i in range(n - m + 1))
+                if not any(m + 1e-9 >= identity * long for long, m in parts):
+                    yield sum(1 << j for j in places)
+
+
+@pytest.mark.parametrize(("min_equal", "identity"), [(13, 0.8), (6, 0.7), (14, 0.9)])
+def test_masks_hit_every_overlap(min_equal, identity):
+    for size in (*range(12, 18), 40):
+        masks = [(len(m), int(m[::-1], 2)) for m in decontamination.masks_of(size, min_equal, identity)]
+        for bits in smallest_overlaps(size, decontamination.needed(size, min_equal, identity), identity):
+            assert any((bits >> j) & m == m for n, m in masks for j in range(bits.bit_length() - n + 1)), (size, bin(bits))
+
+
 def test_best_stretch_of_a_diagonal():
     r = np.random.default_rng(12)
     for _ in range(300):
