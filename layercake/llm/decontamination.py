@@ -26,11 +26,19 @@ from layercake.llm.arrow_rows import give_back, text_input, text_slices
 from layercake.llm.shipping import ship
 from layercake.llm.words import find_words, mix, place_factor, text_buffer
 
-# The masks; 1 marks a word that the hash holds. They find every overlap of 13 equal words (80 % of a shorter
+# The masks by words of an item, the last for all longer ones too; 1 marks a
+# word that the hash holds. They find every overlap of 13 equal words (80 % of a shorter
 # item's) of which 80 % are equal (enumerated in the tests).
-MASKS = ("1111011", "11010001011", "1100011011", "1111101")
-#: Items with fewer words are sought as they are.
-SHORT = 12
+MASKS = {
+    5: ("1111", "11101", "11011", "10111"),
+    6: ("1111", "11011"),
+    7: ("11111", "111011", "110111"),
+    8: ("11111", "111011"),
+    9: ("1111011", "1101111"),
+    10: ("11111", "111011", "11010011"),
+    11: ("1101011", "1110011"),
+    12: ("1111011", "11010001011", "1100011011", "1111101"),
+}
 #: Equal words and identity that MASKS are made for.
 MIN_EQUAL, IDENTITY = 13, 0.8
 #: Items with fewer words are not sought.
@@ -58,7 +66,7 @@ def masks_of(size: int, min_equal: int, identity: float) -> tuple[str, ...]:
     the replaced words must leave somewhere."""
     need = needed(size, min_equal, identity)
     if identity >= IDENTITY and need >= needed(size, MIN_EQUAL, IDENTITY):
-        return MASKS if size >= SHORT else ("1" * size,)
+        return MASKS[min(size, max(MASKS))]
     # an overlap with twice the equal words holds a smaller one
     equal = range(need, min(2 * need - 1, size) + 1)
     return ("1" * min(math.ceil(n / (1 + min(size - n, int(n / identity - n + _ROUNDING)))) for n in equal),)

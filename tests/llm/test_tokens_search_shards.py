@@ -190,8 +190,8 @@ def test_decontamination_spans(spark):
 
 
 def test_decontamination_to_the_threshold(spark):
-    """Stretches at 80 % whose best-scoring part has under 13 equal words, and as
-    many replaced words as the rule allows."""
+    """Stretches at 80 % whose best-scoring part has under 13 equal words, and short items
+    with as many replaced words as the rule allows."""
     r = random.Random(11)
     items, rows, expected = [], [], {}
 
@@ -209,6 +209,9 @@ def test_decontamination_to_the_threshold(spark):
     for n, replaced in ((15, 2), (15, 3), (16, 3), (18, 3), (20, 4), (25, 5), (30, 6)):
         for _ in range(30):
             add(n, set(r.sample(range(1, n - 1), replaced)))
+    for n in range(5, 13):
+        for _ in range(10):
+            add(n, set(r.sample(range(n), n - math.ceil(0.8 * n))))
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     bench = spark.createDataFrame(items, "item_id long, text string")
     names = ("item", "text_first", "text_end", "item_first", "n_equal")
@@ -229,7 +232,7 @@ def smallest_overlaps(size, need, identity):
 
 @pytest.mark.parametrize(("min_equal", "identity"), [(13, 0.8), (6, 0.7), (14, 0.9)])
 def test_masks_hit_every_overlap(min_equal, identity):
-    for size in (*range(12, 18), 40):
+    for size in (*range(decontamination.SHORTEST, 18), 40):
         masks = [(len(m), int(m[::-1], 2)) for m in decontamination.masks_of(size, min_equal, identity)]
         for bits in smallest_overlaps(size, decontamination.needed(size, min_equal, identity), identity):
             assert any((bits >> j) & m == m for n, m in masks for j in range(bits.bit_length() - n + 1)), (size, bin(bits))
