@@ -185,7 +185,7 @@ def _scores(chunk: _Chunk, answers: dict[int, tuple[list[np.ndarray], np.ndarray
     return {"n_known": by_text(text_count > 0).astype(np.int64), "train_tokens": tokens, "base_score": by_text(base), "score": by_text(np.log10(chance))}
 
 
-def score_texts(docs: DataFrame, train, id_col: str = "doc_id", text_col: str = "text", order: int = 2) -> DataFrame:
+def score_texts(docs: DataFrame, train, id_col: str = "doc_id", text_col: str = "text", order: int = 3) -> DataFrame:
     """Fit a model of ``order`` on the rows for which the boolean column ``train`` holds
     and score every row: ``id_col``, ``trained``, ``n_tokens``, ``n_known`` (tokens that
     training has), ``train_tokens``, ``base_score`` (log10 probability by the smoothed

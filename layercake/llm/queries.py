@@ -92,7 +92,7 @@ def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Log10 probability of every document under a model of those not held out."""
-    scored = kneser_ney.score_texts(_table(spark, sf_dir, "documents"), remainder(5) != 1, order=2)
+    scored = kneser_ney.score_texts(_table(spark, sf_dir, "documents"), remainder(5) != 1, order=3)
     return scored.select("doc_id", (~F.col("trained")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "perplexity")
 
 

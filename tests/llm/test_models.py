@@ -5,6 +5,7 @@ from __future__ import annotations
 import itertools
 import math
 import random
+import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -182,6 +183,18 @@ def test_kneser_ney(spark, order):
         assert abs(sum(model.chance(w, before) for w in [*model.words, "?"]) - 1) < 1e-9
 
 
+def test_kneser_ney_query_has_trigrams(spark):
+    from layercake.llm.queries import op10_kneser_ney
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet").collect()
+    texts = {r["doc_id"]: (r["text"] or "").encode().lower().split() for r in docs}
+    model = PlainModel([t for i, t in texts.items() if zlib.crc32(str(i).encode()) % 5 != 1], 3)
+    got = {r["doc_id"]: r["score"] for r in op10_kneser_ney(spark, SF).collect()}
+    assert got.keys() == texts.keys()
+    short = [i for i, t in texts.items() if len(t) < 300][:60]
+    assert np.allclose([got[i] for i in short], [model.score(texts[i]) for i in short], rtol=1e-9)
+
+
 def test_kneser_ney_without_training(spark):
     docs = spark.createDataFrame([(1, "a b"), (2, None)], "doc_id long, text string")
     got = {x["doc_id"]: x for x in kneser_ney.score_texts(docs, F.lit(False)).collect()}
