@@ -9,11 +9,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from layercake.llm import byte_bpe, decontamination, kneser_ney, language_id, sharding, toxicity
+from layercake.llm import byte_bpe, conversation_repair, decontamination, kneser_ney, language_id, lexical_search, quality_classifier, sharding, toxicity
 from layercake.llm.jaccard_join import similarity_classes
 from layercake.llm.substring_dedup import remove_repeats
 from layercake.llm.suffix_dedup import find_repeats
 from layercake.llm.top_k import top_k
+from layercake.session import write_scratch
 
 #: Files of public vocabularies.
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -96,6 +97,47 @@ def op10_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (~F.col("trained")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "perplexity")
 
 
+def damaged(rows: DataFrame) -> DataFrame:
+    """The conversations with turns dropped, emptied, cut, repeated and given to the user,
+    by the crc32 of ``conv_id:turn`` modulo 20. Nulls are one space."""
+    conv, turn, role, text = (F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn", "role", "text"))
+    fate = F.pmod(F.crc32(F.concat(conv, F.lit(":"), turn).cast("binary")), F.lit(20))
+    copies = F.when(fate == 0, 0).when(fate == 3, 2).otherwise(1)
+    return rows.select(
+        "conv_id",
+        "turn",
+        F.when(fate == 4, F.lit("user")).otherwise(role).alias("role"),
+        F.when(fate == 1, F.lit("")).when(fate == 2, F.regexp_replace(text, "[.!?]", "")).otherwise(text).alias("text"),
+        F.explode(F.array_repeat(F.lit(1), copies)).alias("copy"),
+    ).drop("copy")
+
+
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cheapest repair of every damaged conversation."""
+    conversations = _table(spark, sf_dir, "conversations")
+    rows = damaged(conversations)
+    repairs = write_scratch(conversation_repair.find_repairs(rows), "repairs")
+    digests = conversation_repair.repaired_digests(rows, repairs).withColumnRenamed("conv_id", "d_conv")
+    names = conversations.select(F.col("conv_id").alias("all_conv")).distinct()
+    whole = names.join(repairs, F.col("all_conv").eqNullSafe(F.col("conv_id")), "left").join(digests, F.col("all_conv").eqNullSafe(F.col("d_conv")), "left")
+    numbers = [F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    return whole.select(F.col("all_conv").alias("conv_id"), *numbers, F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"))
+
+
+def op12_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document, learned from labels of those not held out."""
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    held_out = remainder(5) == 0
+    model = quality_classifier.fit(docs, labels.where(~held_out))
+    return quality_classifier.score(docs.withColumn("held_out", held_out), model, keep=["doc_id", "held_out"])
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 50 best documents of every benchmark item."""
+    index, texts = lexical_search.build_index(_table(spark, sf_dir, "documents"))
+    return lexical_search.search(index, texts, _table(spark, sf_dir, "benchmark"), k=50)
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_byte_bpe": op2_byte_bpe,
@@ -107,12 +149,23 @@ QUERIES = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_kneser_ney": op10_kneser_ney,
+    "op11_conversation_repair": op11_conversation_repair,
+    "op12_quality_classifier": op12_quality_classifier,
+    "op13_lexical_search": op13_lexical_search,
 }
 
 _WORDS = r"'[^\x20\x09-\x0D]+'"
 _TEXTS = f"texts AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), {_WORDS}) AS ws FROM documents)"
+_TERMS = r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'"
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+
+
+def _way(way: str, cost: int | str, edit: str) -> str:
+    """A way of operator 11's SQL, a cost of six digits and edits, with one more edit."""
+    return f"lpad((left({way}, 6)::INTEGER + {cost})::VARCHAR, 6, '0') || substr({way}, 7) || '{edit}'"
+
+
 ORACLE_SQL = {
     "op3_top_k": """
         WITH whole AS (
@@ -190,4 +243,96 @@ ORACLE_SQL = {
         FROM texts AS t LEFT JOIN sizes USING (doc_id) LEFT JOIN reach ON reach.a = t.doc_id
         GROUP BY t.doc_id
     """,
+    "op11_conversation_repair": f"""
+        WITH RECURSIVE keyed AS (
+          SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+                 string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), '') AS k
+          FROM conversations),
+        hashed AS (
+          SELECT *, list_reduce(
+              list_transform(k, lambda c: ascii(c)::BIGINT),
+              lambda crc, b: list_reduce(range(8), lambda x, i: xor(x >> 1, (x & 1) * 3988292384), xor(crc, b)),
+              4294967295) AS crc
+          FROM keyed),
+        fated AS (SELECT *, xor(crc, 4294967295) % 20 AS fate FROM hashed),
+        turns AS (
+          SELECT conv_id, turn, CASE WHEN fate = 4 THEN 'user' ELSE role END AS role, copy,
+                 CASE fate WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+          FROM fated, range(0, 2) AS r(copy) WHERE fate <> 0 AND (copy = 0 OR fate = 3)),
+        numbered AS (
+          SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text), copy) AS i,
+                 NOT regexp_matches(text, '[^\\x20\\x09-\\x0D]') AS blank
+          FROM turns),
+        marked AS (
+          SELECT *, NOT blank AND row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS duplicate,
+                 lag(role[1]) OVER (PARTITION BY conv_id ORDER BY i) || role[1] NOT IN ('su', 'ua', 'au') AS illegal
+          FROM numbered),
+        judged AS (
+          SELECT *, NOT blank AND NOT duplicate AS free,
+                 (NOT blank AND NOT duplicate AND NOT regexp_matches(text, '[.!?][\\x20\\x09-\\x0D]*$'))::INTEGER AS cut
+          FROM marked),
+        -- the cheapest way to each state (nothing, system, user, assistant): six digits of cost, then edits
+        ways(conv_id, i, n, y, u, a) AS (
+          SELECT DISTINCT conv_id, 0::BIGINT, '000000', NULL::VARCHAR, NULL::VARCHAR, NULL::VARCHAR FROM judged
+          UNION ALL
+          SELECT w.conv_id, j.i, {_way("n", 3, "D")},
+                 least({_way("y", 3, "D")}, CASE WHEN free AND role[1] = 's' THEN {_way("n", "cut", "K")} END),
+                 least({_way("u", 3, "D")}, CASE WHEN free THEN {_way("least(n, y, a)", "cut + 2", "R")} END,
+                       CASE WHEN free AND role[1] = 'u' THEN {_way("least(n, y, a)", "cut", "K")} END),
+                 least({_way("a", 3, "D")}, CASE WHEN free THEN {_way("u", "cut + 2", "R")} END,
+                       CASE WHEN free AND role[1] = 'a' THEN {_way("u", "cut", "K")} END)
+          FROM (SELECT conv_id, i, n, y, u, least(a, {_way("u", 2, "I")}) AS a
+                FROM (SELECT conv_id, i, n, y, a, least(u, {_way("least(n, y, a)", 2, "I")}) AS u FROM ways)) AS w
+          JOIN judged AS j ON j.conv_id IS NOT DISTINCT FROM w.conv_id AND j.i = w.i + 1),
+        best AS (
+          SELECT conv_id, left(way, 6)::BIGINT AS cost, substr(way, 7) AS audit
+          FROM (SELECT conv_id, least(n, a, {_way("least(u, " + _way("least(n, y, a)", 2, "I") + ")", 2, "I")}) AS way
+                FROM ways WHERE (conv_id IS NULL, coalesce(conv_id, 0), i) IN (
+                  SELECT (conv_id IS NULL, coalesce(conv_id, 0), max(i)) FROM judged GROUP BY conv_id))),
+        -- p: edits done, i: turns used, said: last initial
+        replay(conv_id, audit, p, i, said, out) AS (
+          SELECT conv_id, audit, 0, 0::BIGINT, '', NULL::VARCHAR FROM best
+          UNION ALL
+          SELECT conv_id, audit, p + 1, i, CASE WHEN line IS NULL THEN said ELSE line[1] END,
+                 CASE WHEN line IS NULL THEN out WHEN out IS NULL THEN line ELSE out || chr(10) || line END
+          FROM (
+            SELECT r.conv_id, audit, p, said, out, coalesce(j.i, r.i) AS i,
+                   CASE audit[p + 1] WHEN 'I' THEN spoken || ':' WHEN 'R' THEN spoken || ':' || text WHEN 'K' THEN role || ':' || text END AS line
+            FROM (SELECT *, CASE said WHEN 'u' THEN 'assistant' ELSE 'user' END AS spoken FROM replay WHERE p < len(audit)) AS r
+            LEFT JOIN judged AS j ON audit[p + 1] <> 'I' AND j.conv_id IS NOT DISTINCT FROM r.conv_id AND j.i = r.i + 1)),
+        faults AS (
+          SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+                 count_if(blank) AS blank, count_if(duplicate) AS duplicate, sum(cut) AS truncated, count_if(illegal) AS illegal
+          FROM judged GROUP BY conv_id)
+        SELECT c.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank,
+               coalesce(duplicate, 0)::BIGINT AS duplicate, coalesce(truncated, 0)::BIGINT AS truncated,
+               coalesce(illegal, 0)::BIGINT AS illegal, coalesce(cost, 0)::BIGINT AS cost,
+               coalesce(best.audit, '') AS audit, sha256(coalesce(out, '')) AS repaired_sha256
+        FROM (SELECT DISTINCT conv_id FROM conversations) AS c
+        LEFT JOIN faults ON faults.conv_id IS NOT DISTINCT FROM c.conv_id
+        LEFT JOIN best ON best.conv_id IS NOT DISTINCT FROM c.conv_id
+        LEFT JOIN replay ON replay.conv_id IS NOT DISTINCT FROM c.conv_id AND p = len(replay.audit)
+    """,
+    "op13_lexical_search": f"""
+        WITH texts AS (
+          SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({_LOWER}, {_TERMS}) AS ts FROM documents),
+        sizes AS (SELECT count(*) AS texts, sum(len(ts))::BIGINT AS terms FROM texts WHERE len(ts) > 0),
+        held AS (
+          SELECT r, t, any_value(doc_id) AS doc_id, any_value(n) AS n, count(*) AS tf
+          FROM (SELECT r, doc_id, len(ts) AS n, unnest(ts) AS t FROM texts) GROUP BY r, t),
+        weights AS (
+          SELECT t, floor(1000 * ln((2 * any_value(texts) + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w
+          FROM held, sizes GROUP BY t),
+        asked AS (
+          SELECT DISTINCT q, item_id, t FROM (
+            SELECT row_number() OVER () AS q, item_id, unnest(regexp_extract_all({_LOWER}, {_TERMS})) AS t FROM benchmark)),
+        scored AS (
+          SELECT q, r, any_value(item_id) AS item_id, any_value(doc_id) AS doc_id,
+                 sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * texts) // terms))))::BIGINT AS score
+          FROM asked JOIN weights USING (t) JOIN held USING (t), sizes GROUP BY q, r),
+        ranked AS (
+          SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id)::INTEGER AS rank
+          FROM scored WHERE score > 0)
+        SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 50
+    """,
 }
