@@ -105,7 +105,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     labels or texts are left out, and a repeated row counts as often as it stands.
 
     Of each label about ``fit_texts`` rows are used (all, if it has fewer), chosen by a hash
-    of the row and weighted by the label's share. Only the distinct buckets of these texts
+    of the id and weighted by the label's share. Only the distinct buckets of these texts
     reach the driver: at most ``buckets`` of each. Returns None if nothing is labelled.
     """
     spark = docs.sparkSession
@@ -115,7 +115,6 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     sizes = {r["label"]: r["n"] for r in texts.select("id").join(known, "id").groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not sizes:
         return None
-    # the hash of a text spreads the rows of one id; a text that stands often is bounded by the rate
     rates = {label: min(1.0, fit_texts / sizes.get(label, 1)) for label in (0, 1)}
     rated = known.withColumn("share", F.when(F.col("label") == 1, F.lit(rates[1])).otherwise(F.lit(rates[0])))
     drawn = rated.where(F.pmod(F.xxhash64("id"), F.lit(1 << 20)) < F.col("share") * (1 << 20))
@@ -140,9 +139,10 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
 def _train(offsets: np.ndarray, features: np.ndarray, shares: np.ndarray, label: np.ndarray, weight: np.ndarray, buckets: int, dim: int, epochs: int, rate: float) -> QualityModel:
     """Stochastic gradient descent on the weighted log loss, one text at a time, with a
-    rate that falls to zero."""
+    rate that falls to zero. Vectors begin at zero: one that no text has trained says
+    nothing."""
     random = np.random.default_rng(12)
-    vectors = random.uniform(-1 / dim, 1 / dim, (buckets, dim)).astype(np.float32)
+    vectors = np.zeros((buckets, dim), np.float32)
     layer, bias = random.uniform(-1 / dim, 1 / dim, (2, dim)).astype(np.float32), np.zeros(2, np.float32)
     steps, step = epochs * len(label), 0
     for _ in range(epochs):

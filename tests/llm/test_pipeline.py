@@ -21,13 +21,13 @@ MORE = "/root/testdata/sf0.01"
 @pytest.fixture(scope="module")
 def duck():
     con = duckdb.connect()
-    for t in ("documents", "embeddings", "benchmark", "labels"):
+    for t in ("documents", "embeddings", "benchmark", "labels", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     return con
 
 
-def test_ten_operators_and_the_pipeline_are_registered():
-    assert [int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES] == list(range(1, 11))
+def test_operators_and_the_pipeline_are_registered():
+    assert [int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES] == list(range(1, 14))
     assert set(QUERIES) | {"pipeline"} <= set(entry.queries())
     assert set(ORACLE_SQL) <= set(entry.oracle_sql())
 
