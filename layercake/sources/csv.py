@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from layercake.sources.catalog import DatasetSpec
+from layercake.sources.csv_records import csv_records, field_count
 
 # Fixed values. Cell contents read as missing (exact, case-sensitive matches;
 # surrounding whitespace makes a value non-missing). This is the default NA set
@@ -36,11 +37,25 @@ NA_TOKENS = (
     "null",
 )
 
+_CSV_OPTIONS = {
+    "quote": '"',
+    "escape": '"',
+    "mode": "PERMISSIVE",
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+}
+
 
 def null_na_tokens(c: Column) -> Column:
     return F.when(c.isin(list(NA_TOKENS)), F.lit(None).cast("string")).otherwise(c)
 
 
+def _hidden(file: str, root: str) -> bool:
+    """Whether a part of the path below ``root`` begins with '_' or '.': files that are
+    not yet published, or no data."""
+    return any(part.startswith(("_", ".")) for part in file[len(root) :].split("/"))
+
+
 def _source_files(spark: SparkSession, path: str, spec: DatasetSpec) -> list[str]:
     """Data files under ``path`` (a file, folder or glob), in a fixed order."""
     jvm = spark._jvm
@@ -51,11 +66,13 @@ def _source_files(spark: SparkSession, path: str, spec: DatasetSpec) -> list[str
         raise FileNotFoundError(f"{spec.qualified}: source file not found: {path}")
     files = []
     for status in found:
+        root = status.getPath().toString()
         listing = system.listFiles(status.getPath(), True)
         while listing.hasNext():
             file = listing.next()
-            if file.getLen() and not file.getPath().getName().startswith(("_", ".")):
-                files.append(file.getPath().toString())
+            name = file.getPath().toString()
+            if file.getLen() and not _hidden(name, root):
+                files.append(name)
     return sorted(files)
 
 
@@ -74,28 +91,30 @@ def _header(spark: SparkSession, file: str) -> tuple[str, ...]:
     return tuple(next(csv.reader([line.removeprefix("\ufeff")]), []))
 
 
-def has_quoted_newlines(spark: SparkSession, files: list[str]) -> bool:
-    """Whether some line has an odd number of quotes, as a value with a newline leaves."""
-    value = F.col("value")
-    odd = (F.length(value) - F.length(F.replace(value, F.lit('"'), F.lit("")))) % 2 == 1
-    return not spark.read.text(files).where(odd).isEmpty()
-
-
-def _read_files(spark: SparkSession, files: list[str], header: tuple[str, ...], multi_line: bool) -> DataFrame:
+def _read_lines(spark: SparkSession, files: list[str], header: tuple[str, ...]) -> DataFrame:
+    """Files in which every line is a record, by Spark's own reader."""
     return (
         spark.read.schema(T.StructType([T.StructField(h, T.StringType(), True) for h in header]))
         .option("header", True)
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("mode", "PERMISSIVE")
+        .options(**_CSV_OPTIONS)
         .option("maxColumns", len(header))
-        .option("multiLine", multi_line)
-        .option("ignoreLeadingWhiteSpace", False)
-        .option("ignoreTrailingWhiteSpace", False)
         .csv(files)
     )
 
 
+def _parse_records(records: DataFrame, header: tuple[str, ...], spec: DatasetSpec) -> DataFrame:
+    """String columns of records whose files have this header; a record with more fields
+    than columns fails, whichever columns are read."""
+    n = len(header)
+    message = F.concat(F.lit(f"{spec.qualified}: more fields than the {n} columns of the header: "), F.col("path"), F.lit(" line "), F.col("line").cast("string"), F.lit(": "), F.left("record", F.lit(200)))
+    # a record with fewer delimiters than columns needs no parsing to be judged
+    delimiters = F.length("record") - F.length(F.replace(F.col("record"), F.lit(","), F.lit("")))
+    too_long = (delimiters >= n) & (field_count(F.col("record")) > n)
+    checked = records.where(F.when(too_long, F.raise_error(message).cast("boolean")).otherwise(F.lit(True)))
+    values = F.from_csv("record", ", ".join(f"_c{i} string" for i in range(n)), {**_CSV_OPTIONS, "multiLine": "true", "maxColumns": str(n + 1)})
+    return checked.select(values.alias("v")).select(*[F.col(f"v._c{i}").alias(h) for i, h in enumerate(header)])
+
+
 def read_csv_source(
     spark: SparkSession,
     path: str,
@@ -110,16 +129,18 @@ def read_csv_source(
     * header names are matched to the schema case-insensitively and for every file by
       itself, so files may order their columns differently; a missing column raises
       ``ValueError``; the output uses the first file's spelling;
-    * ``""`` inside quotes is an escaped quote;
+    * ``""`` inside quotes is an escaped quote; quoted values may hold newlines;
     * cells equal to one of ``NA_TOKENS`` become NULL, in every column, before
       the cast to the declared type (a malformed number raises under ANSI);
     * short rows are padded with NULLs; a row with *more* fields than its file's header
-      fails the job, empty fields included, whichever columns are selected;
-    * leading/trailing spaces are kept.
-
-    ``multi_line``: whether quoted values may hold newlines, which makes each file a
-    single split. By default a scan of the lines decides: files are read in parallel
-    unless a line has an odd number of quotes.
+      fails the job, empty fields included, whichever columns are selected, and the error
+      names the dataset, file and line;
+    * leading/trailing spaces are kept;
+    * files below a hidden folder (``_temporary``, ``.staging``) are not read.
+
+    Every file is read in parallel splits, wherever its quotes are (see ``csv_records``).
+    ``multi_line=False`` vouches for values without newlines: then the lines are parsed as
+    they are read, without the written copy that resolving the splits needs.
     """
     files = _source_files(spark, path, spec)
     by_header: dict[tuple[str, ...], list[str]] = {}
@@ -127,17 +148,22 @@ def read_csv_source(
         by_header.setdefault(_header(spark, file), []).append(file)
     if not by_header:
         raise ValueError(f"{spec.qualified}: no header in {path}")
-    if multi_line is None:
-        multi_line = has_quoted_newlines(spark, files)
+    for header, own in by_header.items():
+        lower = {h.lower() for h in header}
+        missing = [f.name for f in spec.schema.fields if f.name.lower() not in lower]
+        if missing:
+            raise ValueError(f"{spec.qualified}: columns {missing} not in CSV header {list(header)} ({own[0]})")
+    records = csv_records(spark, files, spec.qualified) if multi_line is not False else None
     spelling: dict[str, str] = {}
     frames = []
     for header, own in by_header.items():
         by_lower = {h.lower(): h for h in header}
-        missing = [f.name for f in spec.schema.fields if f.name.lower() not in by_lower]
-        if missing:
-            raise ValueError(f"{spec.qualified}: columns {missing} not in CSV header {list(header)} ({own[0]})")
         spelling = spelling or by_lower
-        raw = _read_files(spark, own, header, multi_line)
+        if records is None:
+            raw = _read_lines(spark, own, header)
+        else:
+            mine = records if len(by_header) == 1 else records.where(F.col("path").isin(own))
+            raw = _parse_records(mine, header, spec)
         cols = [
             null_na_tokens(F.col(f"`{by_lower[f.name.lower()]}`")).cast(f.dataType).alias(spelling[f.name.lower()])
             for f in spec.schema.fields
