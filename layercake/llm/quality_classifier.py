@@ -102,23 +102,25 @@ def text_features(texts: list[str], buckets: int) -> list[tuple[np.ndarray, np.n
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", fit_texts: int = 1500, buckets: int = 1 << 16, dim: int = 16, epochs: int = 12, rate: float = 20.0) -> QualityModel | None:
     """Fit on the texts of ``docs`` that ``labels`` (id, 0 or 1) marks; rows with null ids,
-    labels or texts are left out, and a repeated row counts as often as it stands.
+    labels or texts are left out. Of rows with equal ids one text is used, with each of the
+    labels that the id has.
 
-    Of each label about ``fit_texts`` rows are used (all, if it has fewer), chosen by a hash
-    of the id and weighted by the label's share. Only the distinct buckets of these texts
+    Of each label about ``fit_texts`` ids are used (all, if it has fewer), chosen by the
+    id's hash and weighted by the label's share. Only the distinct buckets of these texts
     reach the driver: at most ``buckets`` of each. Returns None if nothing is labelled.
     """
     spark = docs.sparkSession
     ship(spark)
-    known = labels.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("int").alias("label")).where("id IS NOT NULL AND label IN (0, 1)")
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).where("text IS NOT NULL")
-    sizes = {r["label"]: r["n"] for r in texts.select("id").join(known, "id").groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    known = labels.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("int").alias("label")).where("id IS NOT NULL AND label IN (0, 1)").distinct()
+    sizes = {r["label"]: r["n"] for r in known.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not sizes:
         return None
-    rates = {label: min(1.0, fit_texts / sizes.get(label, 1)) for label in (0, 1)}
-    rated = known.withColumn("share", F.when(F.col("label") == 1, F.lit(rates[1])).otherwise(F.lit(rates[0])))
-    drawn = rated.where(F.pmod(F.xxhash64("id"), F.lit(1 << 20)) < F.col("share") * (1 << 20))
-    sample = texts.join(drawn, "id").select("id", "label", "text")
+    share = F.when(F.col("label") == 1, F.lit(min(1.0, fit_texts / sizes.get(1, 1)))).otherwise(F.lit(min(1.0, fit_texts / sizes.get(0, 1))))
+    # distinct ids, about fit_texts of each label whatever the input
+    drawn = known.where(F.pmod(F.xxhash64("id"), F.lit(1 << 20)) < share * (1 << 20))
+    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).where("text IS NOT NULL").join(F.broadcast(drawn), "id")
+    # repeated ids meet map-side: one text of each leaves a task
+    sample = texts.groupBy("id", "label").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
