@@ -33,7 +33,7 @@ from layercake.operators import current_only, dense_key, desc, keep_latest, vali
 from layercake.plans import gold, quality, runner, silver
 from layercake.plans.gold import GENDER_UNKNOWN_INTENDED
 from layercake.session import scratch_dir, write_scratch
-from layercake.sources import DatasetSpec, read_csv_source, read_layer, write_layer
+from layercake.sources import DatasetSpec, Gate, QualityGateError, publish_layer, read_csv_source, read_layer, write_layer
 from layercake.plans.standins import (
     STANDIN_AS_OF,
     Tables,
@@ -517,6 +517,24 @@ def partition_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     return days[0].unionByName(days[1])
 
 
+def publish_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Publish the silver sales of a day with counted rules, then lines with a wrong amount,
+    which the gate refuses: the rules of both attempts, and what the day holds after them."""
+    sales = silver_sales_details(spark, sf_dir)
+    base, day = scratch_dir(spark, "lake"), "2026-01-01"
+    first = publish_layer(sales, base, "silver", "sales_details", day, "crm", gate=Gate(quality.sales_rules(), dict.fromkeys(quality.sales_rules(), 1.0)))
+    found = [("kept", r, True) for r in first.rules]
+    wrong = sales.withColumn("sls_sales", F.when(F.col("sls_quantity") > 25, F.col("sls_sales") + 1).otherwise(F.col("sls_sales")))
+    try:
+        publish_layer(wrong, base, "silver", "sales_details", day, "crm", gate=quality.sales_gate())
+    except QualityGateError as refused:
+        found += [("refused", r, False) for r in refused.broken]
+    rows = [(attempt, r.rule, r.violations, r.unknown, r.checked, published) for attempt, r, published in found]
+    held = read_layer(spark, base, "silver", "sales_details", day, "crm").agg(F.count(F.lit(1)).alias("n"), F.sum("sls_sales").alias("sales")).first()
+    counted = spark.createDataFrame(rows, "attempt string, rule string, violations bigint, unknown bigint, checked bigint, published boolean")
+    return counted.withColumns({"day_rows": F.lit(held["n"]).cast("bigint"), "day_sales": F.lit(held["sales"]).cast("bigint")})
+
+
 def partition_overwrite_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three days of orders; the second is run again without rows, the third never had
     any. Only the first has rows left, and every day can be read."""
@@ -575,6 +593,7 @@ QUERIES: dict[str, Query] = {
     "csv_ingest_roundtrip": csv_ingest_roundtrip,
     "partition_overwrite": partition_overwrite,
     "partition_overwrite_empty": partition_overwrite_empty,
+    "publish_gate": publish_gate,
     "pass_through_orders": pass_through_orders,
     "gold_fact_sales_merge_joined": gold_fact_sales_merge_joined,
     "pipeline_from_csv": pipeline_from_csv,

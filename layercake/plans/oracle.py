@@ -509,6 +509,18 @@ FROM (SELECT o_orderkey, o_custkey, CAST(o_orderdate AS DATE) AS order_date FROM
     "gold_dim_products": _dataset("gold_dim_products", [*PRODUCT_CHAIN, "gold_dim_products"]),
     "gold_fact_sales": _dataset("gold_fact_sales", FACT_CHAIN),
     "rule_violations": _with(["bronze_sales_details", "silver_sales_details"], _rules_sql("silver_sales_details", RULES)),
+    "publish_gate": _with(
+        ["bronze_sales_details", "silver_sales_details"],
+        f"""SELECT attempt, rule, violations, unknown, checked, attempt = 'kept' AS published, day_rows, day_sales
+FROM (
+  SELECT 'kept' AS attempt, * FROM ({_rules_sql("silver_sales_details", RULES)})
+  UNION ALL
+  SELECT 'refused', * FROM ({_rules_sql(
+            "(SELECT * REPLACE (sls_sales + CASE WHEN sls_quantity > 25 THEN 1 ELSE 0 END AS sls_sales) FROM silver_sales_details)",
+            dict([*RULES.items()][:1]),
+        )})),
+  (SELECT count(*) AS day_rows, CAST(sum(sls_sales) AS BIGINT) AS day_sales FROM silver_sales_details)""",
+    ),
     "fact_rule_violations": _with(FACT_CHAIN, _rules_sql("gold_fact_sales", FACT_RULES)),
     "duplicated_customer_keys": _with(
         [*CUSTOMER_CHAIN, "gold_dim_customers"],

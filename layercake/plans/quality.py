@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from layercake.operators import check_rules, duplicate_keys
+from layercake.sources.publish import Gate
 
 
 def sales_rules() -> dict[str, Column]:
@@ -28,6 +29,24 @@ def fact_rules() -> dict[str, Column]:
     }
 
 
+#: Share of the lines that may break a rule by default: the repair reads the source's price,
+#: so that a line with a price of zero keeps an amount of zero.
+TOLERANCE = 0.1
+
+
+def sales_gate(tolerance: float = TOLERANCE) -> Gate:
+    """What silver sales lines must keep to be published: the amount of every line."""
+    name = "sales_equals_quantity_times_price"
+    return Gate({name: sales_rules()[name]}, {name: tolerance})
+
+
+def fact_gate(tolerance: float = TOLERANCE) -> Gate:
+    """What the fact must keep to be published: the amount of every line. References may be
+    unresolved."""
+    name = "amount_equals_quantity_times_price"
+    return Gate({name: fact_rules()[name]}, {name: tolerance})
+
+
 def check_sales(silver_sales: DataFrame) -> DataFrame:
     return check_rules(silver_sales, sales_rules())
 

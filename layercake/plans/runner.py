@@ -5,9 +5,11 @@
 
 One business date is resolved once (argument, ``$PARTITION_DATE`` or today in
 the business time zone) and passed to every layer. Every step reads its inputs
-from the previous layer's partition of that date and overwrites its own
+from the previous layer's partition of that date and replaces its own
 partition of that date only, so a re-run is idempotent and other days are
-untouched. Failures name the dataset and propagate (fail fast).
+untouched. A replacement is published once it is complete and has passed the quality
+gate of its dataset. Failures name the dataset and propagate (fail fast); a run with
+``resume`` skips the steps that the day's ledger knows as done.
 """
 
 from __future__ import annotations
@@ -15,17 +17,21 @@ from __future__ import annotations
 import argparse
 import logging
 import time
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor, wait
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from layercake.plans import gold, silver
+from layercake.plans import gold, quality, silver
+from layercake.plans.ledger import Ledger
 from layercake.session import scratch_scope
 from layercake.sources import (
+    DatasetSpec,
+    Gate,
     all_datasets,
+    layer_path,
     object_store_conf_from_env,
     read_csv_source,
     read_layer,
@@ -33,6 +39,7 @@ from layercake.sources import (
     resolve_partition_date,
     write_layer,
 )
+from layercake.sources.layers import partition_path
 
 log = logging.getLogger("layercake.pipeline")
 
@@ -43,6 +50,27 @@ class StepResult:
     dataset: str
     rows: int
     seconds: float
+    skipped: bool = False
+
+
+@dataclass(frozen=True)
+class Step:
+    """One dataset's work: what it reads, what it publishes, and what else decides."""
+
+    layer: str
+    dataset: str
+    inputs: Sequence[str]
+    output: str
+    work: Callable[[], int]
+    options: Mapping[str, str] = field(default_factory=dict)
+
+
+#: Rules that a dataset's rows must keep to be published.
+GATES: dict[str, Callable[[float], Gate]] = {"silver.crm.sales_details": quality.sales_gate, "gold.fact_sales": quality.fact_gate}
+
+
+def _gate(name: str, tolerance: float | None) -> Gate | None:
+    return None if tolerance is None or name not in GATES else GATES[name](tolerance)
 
 
 @dataclass(frozen=True)
@@ -77,43 +105,47 @@ def silver_step(qualified: str) -> SilverStep:
     raise ValueError(f"unknown silver dataset {qualified!r}; known: {known}")
 
 
-def _timed(layer: str, name: str, index: int, total: int, work: Callable[[], int]) -> StepResult:
-    log.info("[%d/%d] %s %s: start", index, total, layer, name)
-    started = time.perf_counter()
+def _do(step: Step, ledger: Ledger, resume: bool) -> StepResult:
+    name = f"{step.layer} {step.dataset}"
+    began = time.perf_counter()
     try:
-        rows = work()
+        rows, skipped = ledger.run(f"{step.layer}.{step.dataset}", step.inputs, step.output, step.options, step.work, resume)
     except Exception:
-        log.exception("[%d/%d] %s %s: failed", index, total, layer, name)
+        log.exception("%s failed, its published day is unchanged", name)
         raise
-    result = StepResult(layer, name, rows, time.perf_counter() - started)
-    log.info("[%d/%d] %s %s: %d rows in %.2fs", index, total, layer, name, rows, result.seconds)
-    return result
+    seconds = time.perf_counter() - began
+    log.info("%s: %s, %d rows (%.1f s)", name, "done before" if skipped else "published", rows, seconds)
+    return StepResult(step.layer, step.dataset, rows, seconds, skipped)
 
 
-def _run_steps(layer: str, steps: Sequence[tuple[str, Callable[[], int]]], parallelism: int) -> list[StepResult]:
+def _run_steps(spark: SparkSession, base: str, day: str, steps: Sequence[Step], parallelism: int, resume: bool) -> list[StepResult]:
     """Run independent steps, ``parallelism`` at a time, as concurrent jobs of the
     same session. Results keep the step order. After a failure no other step starts;
     those under way end, then the failure propagates."""
-    total = len(steps)
+    ledger = Ledger(spark, base, day)
     failures: list[BaseException] = []
 
-    def run(index: int, name: str, work: Callable[[], int]) -> StepResult | None:
+    def run(step: Step) -> StepResult | None:
         if failures:
             return None
         try:
-            return _timed(layer, name, index, total, work)
+            return _do(step, ledger, resume)
         except BaseException as failure:
             failures.append(failure)  # before this thread takes its next step
             raise
 
-    with ThreadPoolExecutor(max_workers=max(1, parallelism), thread_name_prefix=f"layercake-{layer}") as pool:
-        futures = [pool.submit(run, i, name, work) for i, (name, work) in enumerate(steps, 1)]
+    with ThreadPoolExecutor(max_workers=max(1, parallelism), thread_name_prefix="layercake") as pool:
+        futures = [pool.submit(run, step) for step in steps]
         wait(futures)
     if failures:
         raise failures[0]
     return [f.result() for f in futures]
 
 
+def _day(base: str, layer: str, name: str, day: str, source: str | None = None) -> str:
+    return partition_path(layer_path(base, layer, name, source), day)
+
+
 def run_bronze(
     spark: SparkSession,
     base: str,
@@ -121,33 +153,34 @@ def run_bronze(
     date: str | None = None,
     parallelism: int = 1,
     multi_line: bool | None = None,
+    resume: bool = False,
 ) -> list[StepResult]:
     """CSV files of every catalogued dataset -> bronze partitions of ``date``;
     ``multi_line`` as in ``read_csv_source``."""
     day = resolve_partition_date(date)
+
+    def ingest(spec: DatasetSpec, path: str) -> int:
+        with scratch_scope(spark):
+            return write_layer(read_csv_source(spark, path, spec, multi_line=multi_line), base, "bronze", spec.name, day, spec.source)
+
     steps = []
     for spec in all_datasets():
         path = f"{source_dir.rstrip('/')}/{spec.source}/{spec.source_file}"
-        steps.append(
-            (
-                spec.qualified,
-                lambda spec=spec, path=path: write_layer(
-                    read_csv_source(spark, path, spec, multi_line=multi_line), base, "bronze", spec.name, day, spec.source
-                ),
-            )
-        )
-    return _run_steps("bronze", steps, parallelism)
+        steps.append(Step("bronze", spec.qualified, [path], _day(base, "bronze", spec.name, day, spec.source), lambda spec=spec, path=path: ingest(spec, path)))
+    return _run_steps(spark, base, day, steps, parallelism, resume)
 
 
 def transform_dataset(
-    spark: SparkSession, base: str, qualified: str, date: str | None = None, as_of: str | None = None
+    spark: SparkSession, base: str, qualified: str, date: str | None = None, as_of: str | None = None, tolerance: float | None = quality.TOLERANCE
 ) -> int:
-    """Run one silver dataset for one day; returns the rows written."""
+    """Run one silver dataset for one day; returns the rows written. ``tolerance``: the share
+    of rows that may break a rule of the dataset's gate; None: no gate."""
     step = silver_step(qualified)
     day = resolve_partition_date(date)
     with scratch_scope(spark):
         bronze = read_layer(spark, base, "bronze", step.name, day, step.source)
-        return write_layer(step.transform(bronze, as_of or day), base, "silver", step.name, day, step.source)
+        gate = _gate(f"silver.{qualified}", tolerance)
+        return write_layer(step.transform(bronze, as_of or day), base, "silver", step.name, day, step.source, gate=gate)
 
 
 def run_silver(
@@ -157,21 +190,23 @@ def run_silver(
     as_of: str | None = None,
     datasets: Sequence[str] | None = None,
     parallelism: int = 1,
+    tolerance: float | None = quality.TOLERANCE,
+    resume: bool = False,
 ) -> list[StepResult]:
     """Every silver dataset (or the named ones) for one day. The datasets are
     independent, so ``parallelism`` > 1 submits them as concurrent jobs."""
     day = resolve_partition_date(date)
-    names = list(datasets) if datasets else [s.qualified for s in SILVER_STEPS]
-    for name in names:
-        silver_step(name)
-    steps = [(name, lambda name=name: transform_dataset(spark, base, name, day, as_of)) for name in names]
-    results = _run_steps("silver", steps, parallelism)
-    log.info("silver done: %d datasets, %d rows", len(results), sum(r.rows for r in results))
-    return results
+    options = {"as_of": as_of or day, "tolerance": str(tolerance)}
+    steps = []
+    for name in datasets or [s.qualified for s in SILVER_STEPS]:
+        known = silver_step(name)
+        places = [_day(base, layer, known.name, day, known.source) for layer in ("bronze", "silver")]
+        steps.append(Step("silver", name, places[:1], places[1], lambda name=name: transform_dataset(spark, base, name, day, as_of, tolerance), options))
+    return _run_steps(spark, base, day, steps, parallelism, resume)
 
 
 def run_gold(
-    spark: SparkSession, base: str, date: str | None = None, parallelism: int = 1
+    spark: SparkSession, base: str, date: str | None = None, parallelism: int = 1, tolerance: float | None = quality.TOLERANCE, resume: bool = False
 ) -> list[StepResult]:
     """Dimensions first (concurrently when ``parallelism`` > 1), then the fact,
     which reads the *written* dimensions so the surrogate keys it resolves are
@@ -197,12 +232,20 @@ def run_gold(
             read_layer(spark, base, "gold", "dim_products", day),
             read_layer(spark, base, "gold", "dim_customers", day),
         )
-        return write_layer(fact, base, "gold", "fact_sales", day)
+        return write_layer(fact, base, "gold", "fact_sales", day, gate=_gate("gold.fact_sales", tolerance))
 
-    results = _run_steps("gold", [("dim_customers", customers), ("dim_products", products)], parallelism)
-    results += _run_steps("gold", [("fact_sales", sales)], 1)
-    log.info("gold done: %s", ", ".join(f"{r.dataset}={r.rows}" for r in results))
-    return results
+    def step(name: str, work: Callable[[], int], silver_inputs: Sequence[str], gold_inputs: Sequence[str] = ()) -> Step:
+        inputs = [_day(base, "silver", n.partition(".")[2], day, n.partition(".")[0]) for n in silver_inputs]
+        inputs += [_day(base, "gold", n, day) for n in gold_inputs]
+        return Step("gold", name, inputs, _day(base, "gold", name, day), work, {"tolerance": str(tolerance)})
+
+    dims = [
+        step("dim_customers", customers, ["crm.cust_info", "erp.cust_az12", "erp.loc_a101"]),
+        step("dim_products", products, ["crm.prd_info", "erp.px_cat_g1v2"]),
+    ]
+    fact = step("fact_sales", sales, ["crm.sales_details"], ["dim_products", "dim_customers"])
+    results = _run_steps(spark, base, day, dims, parallelism, resume)
+    return results + _run_steps(spark, base, day, [fact], 1, resume)
 
 
 def run_all(
@@ -212,13 +255,15 @@ def run_all(
     date: str | None = None,
     parallelism: int = 1,
     multi_line: bool | None = None,
+    tolerance: float | None = quality.TOLERANCE,
+    resume: bool = False,
 ) -> list[StepResult]:
     """bronze -> silver -> gold for one business date."""
     day = resolve_partition_date(date)
     return [
-        *run_bronze(spark, base, source_dir, day, parallelism, multi_line),
-        *run_silver(spark, base, day, parallelism=parallelism),
-        *run_gold(spark, base, day, parallelism),
+        *run_bronze(spark, base, source_dir, day, parallelism, multi_line, resume),
+        *run_silver(spark, base, day, parallelism=parallelism, tolerance=tolerance, resume=resume),
+        *run_gold(spark, base, day, parallelism, tolerance, resume),
     ]
 
 
@@ -244,7 +289,9 @@ def main(argv: Sequence[str] | None = None) -> int:
     parser.add_argument("--dataset", action="append", help="silver dataset 'source.name' (repeatable)")
     parser.add_argument("--as-of", help="business date for future-date checks (default: --date)")
     parser.add_argument("--parallel", type=int, default=1, help="independent datasets run concurrently")
-    parser.add_argument("--multi-line", choices=["auto", "yes", "no"], default="auto", help="quoted newlines in the CSV files (auto: looked for)")
+    parser.add_argument("--multi-line", choices=["auto", "yes", "no"], default="auto", help="no: values of the CSV files hold no newlines")
+    parser.add_argument("--tolerance", type=float, default=quality.TOLERANCE, help="share of rows that may break a quality rule and be published; negative: no rules")
+    parser.add_argument("--resume", action="store_true", help="skip steps that the day's ledger knows as done")
     parser.add_argument("--metrics", help="Parquet table to append rows and seconds of each step to")
     args = parser.parse_args(argv)
     logging.basicConfig(level=logging.INFO, format="%(asctime)s | %(levelname)s | %(message)s")
@@ -264,14 +311,15 @@ def main(argv: Sequence[str] | None = None) -> int:
     if args.layer in ("bronze", "all") and not args.source_dir:
         parser.error("--source-dir is required for bronze")
     try:
+        how = {"tolerance": None if args.tolerance < 0 else args.tolerance, "resume": args.resume}
         if args.layer == "bronze":
-            results = run_bronze(spark, args.base, args.source_dir, args.date, args.parallel, multi_line)
+            results = run_bronze(spark, args.base, args.source_dir, args.date, args.parallel, multi_line, args.resume)
         elif args.layer == "silver":
-            results = run_silver(spark, args.base, args.date, args.as_of, args.dataset, args.parallel)
+            results = run_silver(spark, args.base, args.date, args.as_of, args.dataset, args.parallel, **how)
         elif args.layer == "gold":
-            results = run_gold(spark, args.base, args.date, args.parallel)
+            results = run_gold(spark, args.base, args.date, args.parallel, **how)
         else:
-            results = run_all(spark, args.base, args.source_dir, args.date, args.parallel, multi_line)
+            results = run_all(spark, args.base, args.source_dir, args.date, args.parallel, multi_line, **how)
         if args.metrics:
             write_metrics(spark, results, args.metrics, args.date)
     finally:

@@ -7,22 +7,29 @@ from layercake.sources.layers import (
     layer_path,
     object_store_conf,
     object_store_conf_from_env,
+    publish_layer,
     read_layer,
     resolve_base,
     write_layer,
 )
 from layercake.sources.partition import resolve_partition_date
+from layercake.sources.publish import Gate, Published, QualityGateError, publish
 
 __all__ = [
     "NA_TOKENS",
     "PARTITION_COLUMN",
+    "Published",
+    "QualityGateError",
     "SOURCE_CATALOG",
     "DatasetSpec",
+    "Gate",
     "all_datasets",
     "dataset",
     "layer_path",
     "object_store_conf",
     "object_store_conf_from_env",
+    "publish",
+    "publish_layer",
     "read_csv_source",
     "read_layer",
     "resolve_base",

@@ -15,8 +15,9 @@ from __future__ import annotations
 import os
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
+
+from layercake.sources.publish import Gate, Published, publish, published_location
 
 LAYERS = ("bronze", "silver", "gold")
 PARTITION_COLUMN = "ingest_date"
@@ -30,6 +31,16 @@ STORE_SECRET_KEY_ENV = "MINIO_SECRET_KEY"
 STORE_REGION = "us-east-1"
 LOCAL_BASE = "data"
 
+# Settings of the committer for ``s3a`` paths (classes of Spark's hadoop-cloud module, which
+# such a deployment has on its class path). Other schemes keep their committer.
+RENAME_FREE_COMMITTER = {
+    "spark.hadoop.mapreduce.outputcommitter.factory.scheme.s3a": "org.apache.hadoop.fs.s3a.commit.S3ACommitterFactory",
+    "spark.hadoop.fs.s3a.committer.name": "magic",
+    "spark.hadoop.fs.s3a.committer.magic.enabled": "true",
+    "spark.sql.sources.commitProtocolClass": "org.apache.spark.internal.io.cloud.PathOutputCommitProtocol",
+    "spark.sql.parquet.output.committer.class": "org.apache.spark.internal.io.cloud.BindingParquetOutputCommitter",
+}
+
 
 def layer_path(base: str, layer: str, dataset: str, source: str | None = None) -> str:
     if layer not in LAYERS:
@@ -50,12 +61,13 @@ def read_layer(
     date: str,
     source: str | None = None,
 ) -> DataFrame:
-    """Read one day of a layer dataset; a missing input raises
-    ``FileNotFoundError`` naming the layer and path (any URI scheme)."""
+    """Read the published rows of one day of a layer dataset (see ``publish``); a missing
+    input raises ``FileNotFoundError`` naming the layer and path (any URI scheme)."""
     root = layer_path(base, layer, dataset, source)
     path = partition_path(root, date)
+    folder, files = published_location(spark, path)
     try:
-        df = spark.read.option("basePath", root).parquet(path)
+        df = spark.read.option("basePath", root if folder == path else folder).parquet(*(files or [folder]))
     except AnalysisException as exc:
         if "PATH_NOT_FOUND" in str(exc) or "Path does not exist" in str(exc):
             raise FileNotFoundError(f"{layer} input not found: {path}") from exc
@@ -63,25 +75,40 @@ def read_layer(
     return df.drop(PARTITION_COLUMN)
 
 
-def write_layer(
+def publish_layer(
     df: DataFrame,
     base: str,
     layer: str,
     dataset: str,
     date: str,
     source: str | None = None,
-) -> int:
-    """Overwrite one day of a layer dataset and return the rows written.
-
-    The day's folder itself is overwritten, so other days are untouched, a re-run
-    replaces the day (idempotent), and a day without rows becomes an empty table with
-    its schema. The row count comes from an ``Observation`` on the write: no second scan.
+    *,
+    gate: Gate | None = None,
+    protocol: str | None = None,
+) -> Published:
+    """Replace one day of a layer dataset: rows written, counts of the gate's rules, files.
+
+    Other days are untouched, a re-run replaces the day (idempotent), and a day without rows
+    becomes an empty table with its schema. Until the new rows are complete and have passed
+    the gate, the old day stays as it was, whenever the job ends (see ``publish``).
     """
     path = partition_path(layer_path(base, layer, dataset, source), date)
-    obs = Observation(f"{layer}.{source or ''}.{dataset}.{date}")
-    counted = df.drop(PARTITION_COLUMN).observe(obs, F.count(F.lit(1)).alias("rows"))
-    counted.write.mode("overwrite").parquet(path)
-    return int(obs.get["rows"])
+    label = ".".join(filter(None, (layer, source, dataset, date)))
+    return publish(df.drop(PARTITION_COLUMN), path, gate=gate, protocol=protocol, label=label)
+
+
+def write_layer(
+    df: DataFrame,
+    base: str,
+    layer: str,
+    dataset: str,
+    date: str,
+    source: str | None = None,
+    *,
+    gate: Gate | None = None,
+) -> int:
+    """``publish_layer``; returns the rows written."""
+    return publish_layer(df, base, layer, dataset, date, source, gate=gate).rows
 
 
 def object_store_conf(
@@ -93,13 +120,18 @@ def object_store_conf(
     ssl: bool = False,
     path_style: bool = True,
 ) -> dict[str, str]:
-    """Session settings for an S3-compatible store used through ``s3a://`` paths."""
+    """Session settings for an S3-compatible store used through ``s3a://`` paths.
+
+    Writes go through the magic committer: tasks upload their files in parts, and the job's
+    commit completes the uploads, so that nothing is renamed (a rename is a copy there).
+    """
     conf = {
         "spark.hadoop.fs.s3a.endpoint": endpoint,
         "spark.hadoop.fs.s3a.access.key": access_key,
         "spark.hadoop.fs.s3a.secret.key": secret_key,
         "spark.hadoop.fs.s3a.connection.ssl.enabled": str(ssl).lower(),
         "spark.hadoop.fs.s3a.path.style.access": str(path_style).lower(),
+        **RENAME_FREE_COMMITTER,
     }
     if region:
         conf["spark.hadoop.fs.s3a.endpoint.region"] = region
