@@ -3,13 +3,16 @@
 A fixed public vocabulary of byte pieces; per language a probability for each piece. The
 probability of a word is the sum over all its segmentations into pieces, computed with
 the forward algorithm; a text's is the product over its words. The piece probabilities
-are fitted by EM (forward-backward over word counts). A word is a run of letters, lower
-case, with a leading blank; every single byte is a piece, so that every word has a
-segmentation. Words longer than ``LONGEST`` bytes are scored in parts of that length.
+are fitted by EM (forward-backward over word counts). A word is a run of letters (and
+their marks) of any length, lower case, with a leading blank; every piece of the vocabulary
+that can stand in a word counts, whatever its length, and every single byte is a piece, so
+that every word has a segmentation. Sums over segmentations are rescaled as they get small,
+so that a long word has a finite score.
 """
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -25,27 +28,34 @@ from layercake.llm.byte_bpe import read_ranks
 from layercake.llm.shipping import ship
 from layercake.llm.words import NOT_LETTERS, Words, find_words, text_buffer
 
-#: Longest piece and longest part of a word, in bytes (with the leading blank).
-LONGEST_PIECE = 8
-LONGEST = 40
 #: Distinct words whose scores a worker keeps.
 KEPT_WORDS = 400_000
 #: Text bytes scored at a time.
 _BATCH = 2 << 20
+#: Bytes of words of one length whose segmentations are summed at a time.
+_PART = 400_000
+#: A sum below 2 ** -_SCALE is multiplied by 2 ** _SCALE. One byte makes a sum smaller by
+#: far less than the rest of a double's range.
+_SCALE = 600
 _LETTER = regex.compile(r"\p{L}")
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
 class Pieces:
-    """The pieces of a vocabulary that can occur in a word, found by hash."""
+    """The pieces of a vocabulary that can occur in a word, found by the hashes of their
+    beginnings."""
 
     def __init__(self, tokens: Iterable[bytes]):
-        letters = {t for t in tokens if len(t) <= LONGEST_PIECE and t == t.lower() and not NOT_LETTERS[np.frombuffer(t.removeprefix(b" "), np.uint8)].any()}
+        letters = {t for t in tokens if t == t.lower() and not NOT_LETTERS[np.frombuffer(t.removeprefix(b" "), np.uint8)].any()}
         letters |= {bytes([b]) for b in range(256)}
         self.pieces = sorted(letters - {b""})
-        hashes = np.array([self._hash(p) for p in self.pieces], np.uint64)
-        self.order = np.argsort(hashes)
-        self.hashes = hashes[self.order]
+        number = {p: i for i, p in enumerate(self.pieces)}
+        longer = {p[:n] for p in self.pieces for n in range(1, len(p))}
+        known = sorted((self._hash(p), number.get(p, -1), p in longer) for p in longer | number.keys())
+        self.hashes = np.array([h for h, _, _ in known], np.uint64)
+        self.number = np.array([i for _, i, _ in known], np.int64)
+        self.begins = np.array([b for _, _, b in known], bool)
+        self.longest = max(map(len, self.pieces))
 
     @staticmethod
     def _hash(piece: bytes) -> int:
@@ -57,63 +67,82 @@ class Pieces:
     def __len__(self) -> int:
         return len(self.pieces)
 
-    def find(self, hashes: np.ndarray) -> np.ndarray:
-        """Piece of each hash; ``len(self)`` where there is none."""
-        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self) - 1)
-        return np.where(self.hashes[at] == hashes, self.order[at], len(self))
-
     def spans(self, words: np.ndarray) -> list[tuple[int, int, np.ndarray, np.ndarray]]:
         """(start, end, rows, pieces) for all spans of a (words, bytes) matrix of words
         of one length at which some words have a piece."""
         out = []
         for start in range(words.shape[1]):
-            h = np.zeros(len(words), np.uint64)
-            for end in range(start + 1, min(words.shape[1], start + LONGEST_PIECE) + 1):
-                h = h * _BASE + words[:, end - 1] + np.uint64(1)
-                found = self.find(h)
-                rows = np.flatnonzero(found < len(self))
-                if len(rows):
-                    out.append((start, end, rows, found[rows]))
+            rows, h = np.arange(len(words)), np.zeros(len(words), np.uint64)
+            for end in range(start + 1, words.shape[1] + 1):
+                h = h * _BASE + words[rows, end - 1] + np.uint64(1)
+                at = np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1)
+                known = self.hashes[at] == h
+                whole = known & (self.number[at] >= 0)
+                if whole.any():
+                    out.append((start, end, rows[whole], self.number[at[whole]]))
+                on = known & self.begins[at]  # only these begin a longer piece
+                if not on.any():
+                    break
+                rows, h = rows[on], h[on]
         return out
 
 
-def forward(spans: list, shape: tuple[int, int], chance: np.ndarray) -> np.ndarray:
-    """(bytes + 1, words, languages): probability of each beginning of the words, summed
-    over its segmentations. ``chance``: (pieces, languages)."""
-    alpha = np.zeros((shape[1] + 1, shape[0], chance.shape[1]))
-    alpha[0] = 1
-    for start, end, rows, found in spans:  # ordered by start: alpha[start] is complete
-        alpha[end, rows] += alpha[start, rows] * chance[found]
-    return alpha
-
-
-def expected(spans: list, shape: tuple[int, int], chance: np.ndarray, counts: np.ndarray) -> np.ndarray:
+def _sums(spans: Iterable, shape: tuple[int, int], chance: np.ndarray, longest: int, backward: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """(bytes + 1, words, languages): sums over the segmentations of each beginning of the
+    words (of each end, if ``backward``), and how often each was multiplied by 2 ** _SCALE."""
+    n = shape[1]
+    sums = np.zeros((n + 1, shape[0], chance.shape[1]))
+    scales = np.zeros(sums.shape, np.int32)
+    sums[n if backward else 0] = 1
+    done = n + 1 if backward else -1
+    for start, end, rows, found in spans:  # in the order of the sums that they extend
+        source, target = (end, start) if backward else (start, end)
+        if source != done:  # complete: no more spans end there
+            done = source
+            small = sums[source] < 2.0**-_SCALE
+            if small.any():
+                # whatever is begun lies within one piece's length, on one scale
+                begun = slice(max(0, source - longest), source + 1) if backward else slice(source, source + longest + 1)
+                sums[begun] = np.where(small, sums[begun] * 2.0**_SCALE, sums[begun])
+                (scales[: source + 1] if backward else scales[source:])[:, small] += 1
+        sums[target, rows] += sums[source, rows] * chance[found]
+    return sums, scales
+
+
+def forward(spans: list, shape: tuple[int, int], chance: np.ndarray, longest: int) -> tuple[np.ndarray, np.ndarray]:
+    """Probability of each beginning of the words, summed over its segmentations, and its
+    scale (see ``_sums``). ``chance``: (pieces, languages)."""
+    return _sums(spans, shape, chance, longest)
+
+
+def log_chance(spans: list, shape: tuple[int, int], chance: np.ndarray, longest: int) -> np.ndarray:
+    """(words, languages): log probability of each word."""
+    alpha, scale = forward(spans, shape, chance, longest)
+    return np.log(alpha[-1]) - scale[-1] * (_SCALE * np.log(2.0))
+
+
+def expected(spans: list, shape: tuple[int, int], chance: np.ndarray, counts: np.ndarray, longest: int) -> np.ndarray:
     """Expected uses of each piece by language; ``counts``: (words, languages)."""
-    alpha = forward(spans, shape, chance)
-    beta = np.zeros_like(alpha)
-    beta[-1] = 1
-    for start, end, rows, found in reversed(spans):
-        beta[start, rows] += beta[end, rows] * chance[found]
+    alpha, a_scale = forward(spans, shape, chance, longest)
+    beta, b_scale = _sums(sorted(spans, key=lambda s: -s[1]), shape, chance, longest, backward=True)
     weight = counts / alpha[-1]
     uses = np.zeros_like(chance)
     for start, end, rows, found in spans:
-        np.add.at(uses, found, alpha[start, rows] * chance[found] * beta[end, rows] * weight[rows])
+        share = alpha[start, rows] * chance[found] * weight[rows]
+        power = a_scale[-1][rows] - a_scale[start, rows] - b_scale[end, rows]
+        np.add.at(uses, found, np.ldexp(share * beta[end, rows], power * _SCALE) if power.any() else share * beta[end, rows])
     return uses
 
 
 def by_length(words: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(indices, byte matrix) of the words of each length, each at most 20,000 words."""
+    """(indices, byte matrix) of the words of each length, in parts of bounded size."""
     lengths = np.array([len(w) for w in words], np.int64)
     for n in np.unique(lengths):
         same = np.flatnonzero(lengths == n)
-        for part in np.array_split(same, -(-len(same) // 20_000)):
+        for part in np.array_split(same, -(-len(same) * int(n) // _PART)):
             yield part, np.frombuffer(b"".join([words[i] for i in part]), np.uint8).reshape(len(part), n)
 
 
-def split_long(word: bytes) -> list[bytes]:
-    return [word[i : i + LONGEST] for i in range(0, len(word), LONGEST)]
-
-
 @dataclass
 class LanguageModel:
     """``chance``: (pieces, languages); ``prior``: log share of each language."""
@@ -125,18 +154,24 @@ class LanguageModel:
 
     def word_scores(self, pieces: Pieces, words: list[bytes]) -> np.ndarray:
         """Log probability of each word by language."""
-        parts = [(i, p) for i, w in enumerate(words) for p in split_long(w)]
-        owner = np.array([i for i, _ in parts], np.int64)
-        own = [p for _, p in parts]
         scores = np.zeros((len(words), len(self.languages)))
-        for rows, matrix in by_length(own):
-            alpha = forward(pieces.spans(matrix), matrix.shape, self.chance)
-            np.add.at(scores, owner[rows], np.log(alpha[-1]))
+        for rows, matrix in by_length(words):
+            scores[rows] = log_chance(pieces.spans(matrix), matrix.shape, self.chance, pieces.longest)
         return scores
 
 
+def _only_letters(text: str) -> str:
+    """The text in lower case; beyond ASCII, characters that are no letters or marks are
+    blanks."""
+    text = text.lower()
+    if text.isascii():
+        return text
+    others = {ord(c): " " for c in set(text) if not c.isascii() and unicodedata.category(c)[0] not in "LM"}
+    return text.translate(others) if others else text
+
+
 def _letters(texts: list[str]) -> tuple[np.ndarray, Words]:
-    buffer, offsets = text_buffer(pa.array([t.lower() for t in texts], pa.large_string()))
+    buffer, offsets = text_buffer(pa.array([_only_letters(t) for t in texts], pa.large_string()))
     return buffer, find_words(buffer, offsets, separators=NOT_LETTERS)
 
 
@@ -185,13 +220,13 @@ def fit(docs: DataFrame, vocabulary: str, text_col: str = "text", lang_col: str
             uses = np.zeros_like(chance)
             for batch in batches:
                 langs = [place[x] for x in batch.column(0).to_pylist()]
-                parts = [(p, lang, n) for w, lang, n in zip(batch.column(1).to_pylist(), langs, batch.column(2).to_pylist(), strict=True) for p in split_long(w)]
+                parts = list(zip(batch.column(1).to_pylist(), langs, batch.column(2).to_pylist(), strict=True))
                 for lang in set(langs):
                     column = chance[:, [lang]]
                     mine = [(p, n) for p, at, n in parts if at == lang]
                     n = np.array([c for _, c in mine], float)
                     for rows, matrix in by_length([p for p, _ in mine]):
-                        uses[:, [lang]] += expected(own.spans(matrix), matrix.shape, column, n[rows][:, None])
+                        uses[:, [lang]] += expected(own.spans(matrix), matrix.shape, column, n[rows][:, None], own.longest)
             piece, lang = np.nonzero(uses)
             yield pa.RecordBatch.from_arrays([pa.array(piece, pa.int64()), pa.array(lang, pa.int64()), pa.array(uses[piece, lang])], ["piece", "lang", "uses"])
 
@@ -219,7 +254,7 @@ def predict(docs: DataFrame, model: LanguageModel | None, text_col: str = "text"
         model = shared.value
         pieces = Pieces(model.tokens)
         kept = np.zeros(0, np.uint64)
-        table = np.zeros((0, len(model.languages)), np.float32)
+        table = np.zeros((0, len(model.languages)))
         for batch in batches:
             for part, texts in text_slices(batch, at, _BATCH):
                 buffer, words = _letters(texts)
@@ -227,14 +262,15 @@ def predict(docs: DataFrame, model: LanguageModel | None, text_col: str = "text"
                 new = np.isin(keys, kept, assume_unique=True, invert=True)
                 if len(kept) + new.sum() > KEPT_WORDS:
                     kept, table, new = kept[:0], table[:0], np.ones(len(keys), bool)
-                scores = model.word_scores(pieces, _word_bytes(buffer, words, first[new])).astype(np.float32)
+                scores = model.word_scores(pieces, _word_bytes(buffer, words, first[new]))
                 kept, table = np.concatenate([kept, keys[new]]), np.concatenate([table, scores])
                 order = np.argsort(kept)
                 kept, table = kept[order], table[order]
-                each = table[np.searchsorted(kept, keys)][place].astype(float)
-                sums = np.zeros((len(each) + 1, each.shape[1]))
-                np.cumsum(each, axis=0, out=sums[1:])
-                total = sums[words.bounds[1:]] - sums[words.bounds[:-1]] + model.prior
+                each = table[np.searchsorted(kept, keys)][place]
+                total = np.tile(model.prior, (len(texts), 1))
+                worded = np.flatnonzero(words.counts)
+                if len(worded):  # one sum per text
+                    total[worded] += np.add.reduceat(each, words.bounds[worded])
                 best = total.argmax(1)
                 score = 1 / np.exp(total - total.max(1, keepdims=True)).sum(1)
                 letters = [_LETTER.search(t) is not None for t in texts]

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import base64
 import itertools
 import math
 import random
+import re
 import zlib
 from collections import Counter, defaultdict
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -36,12 +39,87 @@ def test_forward_sums_all_segmentations():
                 total += np.prod([chance[number[p]] for p in parts], axis=0)
         matrix = np.frombuffer(word, np.uint8).reshape(1, -1)
         spans = pieces.spans(matrix)
-        assert np.allclose(language_id.forward(spans, matrix.shape, chance)[-1, 0], total)
+        assert np.allclose(language_id.forward(spans, matrix.shape, chance, pieces.longest)[0][-1, 0], total)
         # every segmentation covers the word: expected uses weighted by length give it
-        uses = language_id.expected(spans, matrix.shape, chance, np.ones((1, 2)))
+        uses = language_id.expected(spans, matrix.shape, chance, np.ones((1, 2)), pieces.longest)
         assert np.allclose((uses * np.array([len(p) for p in pieces.pieces])[:, None]).sum(0), len(word))
 
 
+def log_sum(word, chance, number):
+    """Log of the sum over all segmentations, in exact fractions."""
+    sums = [Fraction(1)] + [Fraction(0)] * len(word)
+    for end in range(1, len(word) + 1):
+        for start in range(end):
+            if word[start:end] in number:
+                sums[end] += sums[start] * Fraction(float(chance[number[word[start:end]]]))
+    top = sums[-1]
+    return math.log(top.numerator) - math.log(top.denominator)
+
+
+def test_long_words_and_pieces_have_exact_finite_scores():
+    long_piece = b"abcdefghijklmnop"
+    pieces = language_id.Pieces([long_piece, b"abc", b"ghijklmnopabcdefghijk", b"zz"])
+    number = {p: i for i, p in enumerate(pieces.pieces)}
+    r = np.random.default_rng(2)
+    chance = 10.0 ** -r.uniform(6, 11, (len(pieces), 2))
+    for word in (long_piece * 3 + b"zzz", b"q" * 300, "é中".encode() * 60, long_piece * 40):
+        matrix = np.frombuffer(word, np.uint8).reshape(1, -1)
+        spans = pieces.spans(matrix)
+        got = language_id.log_chance(spans, matrix.shape, chance, pieces.longest)[0]
+        assert np.allclose(got, [log_sum(word, chance[:, i], number) for i in (0, 1)], rtol=1e-9)
+        uses = language_id.expected(spans, matrix.shape, chance, np.ones((1, 2)), pieces.longest)
+        assert np.allclose((uses * np.array([len(p) for p in pieces.pieces])[:, None]).sum(0), len(word))
+
+
+def test_fit_and_predict_by_plain_loops(spark, tmp_path):
+    """EM and prediction with dictionaries, on pieces over 8 and words over 40 bytes."""
+    vocabulary = [bytes([b]) for b in range(256)] + [b" th", b"the", b"ing", b"abcdefghijkl", b" donaudampf", b"schiff", b"fahrt", "ß".encode()]
+    file = tmp_path / "ranks.tiktoken"
+    file.write_bytes(b"".join(base64.b64encode(t) + b" %d\n" % i for i, t in enumerate(vocabulary)))
+    texts = {"aa": ["the thing", "The abcdefghijkl", "thing—thing"], "bb": ["Donaudampfschifffahrtsgesellschaftskapitänsmützenabzeichen", "schiff fahrt ß"]}
+    docs = spark.createDataFrame([(i, t, lang) for i, (lang, t) in enumerate((lang, t) for lang, own in texts.items() for t in own)], "doc_id long, text string, lang string")
+    model = language_id.fit(docs, str(file), rounds=2)
+    pieces = language_id.Pieces(vocabulary).pieces
+    number = {p: i for i, p in enumerate(pieces)}
+
+    def words(text):
+        return [b" " + w.encode() for w in re.findall(r"[^\W\d_]+", text.lower())]
+
+    for column, (lang, own) in enumerate(texts.items()):
+        chance = np.full(len(pieces), 1 / len(pieces))
+        for _ in range(2):
+            uses = np.full(len(pieces), 0.01)
+            for word in [w for t in own for w in words(t)]:
+                n = len(word)
+                ahead, behind = [1.0] + [0.0] * n, [0.0] * n + [1.0]
+                spans = [(a, b, number[word[a:b]]) for a in range(n) for b in range(a + 1, n + 1) if word[a:b] in number]
+                for a, b, p in spans:
+                    ahead[b] += ahead[a] * chance[p]
+                for a, b, p in reversed(spans):
+                    behind[a] += behind[b] * chance[p]
+                for a, b, p in spans:
+                    uses[p] += ahead[a] * chance[p] * behind[b] / ahead[n]
+            chance = uses / uses.sum()
+        assert np.allclose(model.chance[:, column], chance), lang
+    asked = spark.createDataFrame([(0, "thing fahrt"), (1, "Mützenabzeichen—“thing”"), (2, "zq " + "x" * 3000)], "doc_id long, text string")
+    for x in language_id.predict(asked, model).collect():
+        total = model.prior + np.array([[log_sum(w, model.chance[:, i], number) for i in (0, 1)] for w in words(x["text"])]).sum(0)
+        assert x["lang_pred"] == model.languages[int(total.argmax())]
+        assert x["score"] == pytest.approx(1 / np.exp(total - total.max()).sum())
+
+
+def test_odd_texts_leave_their_neighbours_alone(spark):
+    """Texts in unseen scripts and long runs have finite scores of their own."""
+    german, english = "der hund und die katze schlafen nicht im garten " * 5, "the dog and the cat do not sleep in the garden " * 5
+    train = spark.createDataFrame([(german + str(i), "de") for i in range(30)] + [(english + str(i), "en") for i in range(30)], "text string, lang string")
+    model = language_id.fit(train, MULTILINGUAL_RANKS)
+    odd = ["Titel" + "\u00a0" * 60 + german, german, "ᚠ" * 45, german, "中" * 5000, english, "─" * 500, german]
+    docs = spark.createDataFrame(list(enumerate(odd)), "doc_id long, text string").coalesce(1)
+    got = [x.asDict() for x in language_id.predict(docs, model).orderBy("doc_id").collect()]
+    assert [got[i]["lang_pred"] for i in (0, 1, 3, 5, 7)] == ["de", "de", "de", "en", "de"] and got[6]["lang_pred"] == "und"
+    assert all(0 <= x["score"] <= 1 for x in got)
+
+
 def test_language_id(spark):
     r = random.Random(1)
     make = {"xx": ["tra", "lo", "mi", "que"], "yy": ["sch", "ung", "ver", "ß"], "zz": ["им", "ост", "ка", "не"]}
