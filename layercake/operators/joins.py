@@ -35,15 +35,35 @@ def _spread_null_keys(
     chained joins never share one shuffle, which would keep AQE from splitting the
     partitions of a hot key.
     """
-    own = F.concat(F.lit("!"), F.xxhash64(F.col("*")).cast("string"))  # star: safe with duplicate column names
+    if any(_holds_map(f.dataType) for f in left.schema.fields):
+        hashed = [F.col(f"`{f.name}`") for f in left.schema.fields if not _holds_map(f.dataType) and left.columns.count(f.name) == 1]
+        row = F.xxhash64(F.lit(0), *hashed)
+    else:
+        row = F.xxhash64(F.col("*"))  # star: safe with duplicate column names
+    own = F.concat(F.lit("!"), row.cast("string"))
     keyed = left.withColumn("__lc_own", own).withColumn("__lc_left", F.coalesce(_key_text(left_on), F.col("__lc_own")))
     others = right.withColumn("__lc_right", _key_text(right_on))
     joined = keyed.join(_hinted(others, broadcast), on=F.col("__lc_left") == F.col("__lc_right"), how="left")
     return joined.drop("__lc_own", "__lc_left", "__lc_right")
 
 
-def _is_text_or_whole(df: DataFrame, c: Column) -> bool:
-    return isinstance(df.select(c).schema[0].dataType, (T.StringType, T.IntegralType))
+def _holds_map(kind: T.DataType) -> bool:
+    """Whether a type has no hash: maps and variants, at any depth."""
+    if isinstance(kind, T.StructType):
+        return any(_holds_map(f.dataType) for f in kind.fields)
+    if isinstance(kind, T.ArrayType):
+        return _holds_map(kind.elementType)
+    return isinstance(kind, (T.MapType, T.VariantType))
+
+
+def _compares_as_text(left: DataFrame, left_key: Column, right: DataFrame, right_key: Column) -> bool:
+    """Whether two keys are equal exactly if their texts are: whole numbers of any width, or
+    plain strings (a collation may equate different texts). Not a number and a string: a
+    join compares them as numbers."""
+    one, other = left.select(left_key).schema[0].dataType, right.select(right_key).schema[0].dataType
+    if isinstance(one, T.IntegralType):
+        return isinstance(other, T.IntegralType)
+    return one == other == T.StringType()
 
 
 def enrich_left(
@@ -60,7 +80,7 @@ def enrich_left(
     NULL keys never match, unmatched rows get NULL attributes, duplicate right
     keys fan out (nothing is deduplicated here). Give the keys either as ``on``
     (a condition or column names) or as ``left_on`` / ``right_on`` column lists;
-    with the latter, text and whole-number keys are spread (see
+    with the latter, keys of one kind on both sides, text or whole numbers, are spread (see
     ``_spread_null_keys``): NULL-key rows go to many tasks, and AQE can split a hot
     key's partition in every join of a chain.
 
@@ -75,6 +95,6 @@ def enrich_left(
     if on is not None:
         return left.join(_hinted(right, broadcast), on=on, how="left")
     pairs = list(zip(left_on, right_on, strict=True))
-    if broadcast is not True and all(_is_text_or_whole(left, lc) and _is_text_or_whole(right, rc) for lc, rc in pairs):
+    if broadcast is not True and all(_compares_as_text(left, lc, right, rc) for lc, rc in pairs):
         return _spread_null_keys(left, right, left_on, right_on, broadcast)
     return left.join(_hinted(right, broadcast), on=reduce(and_, [lc == rc for lc, rc in pairs]), how="left")

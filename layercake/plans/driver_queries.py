@@ -414,6 +414,15 @@ def gold_fact_sales_merge_joined(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _fact(_silver_frames(spark, sf_dir), broadcast=False)
 
 
+def gold_fact_sales_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact with the product version that was valid on each order date."""
+    s = _silver_frames(spark, sf_dir)
+    products = write_scratch(gold.dim_products(s["crm.prd_info"], s["erp.px_cat_g1v2"], history=True), "versions")
+    customers = write_scratch(gold.dim_customers(s["crm.cust_info"], s["erp.cust_az12"], s["erp.loc_a101"]), "dim-customers")
+    sales = write_scratch(s["crm.sales_details"], "sales")  # as the runner reads it
+    return gold.fact_sales(sales, products, customers, history=True)
+
+
 def pipeline_from_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Source CSV files -> bronze -> silver -> gold with the runner; the fact that it
     publishes."""
@@ -596,5 +605,6 @@ QUERIES: dict[str, Query] = {
     "publish_gate": publish_gate,
     "pass_through_orders": pass_through_orders,
     "gold_fact_sales_merge_joined": gold_fact_sales_merge_joined,
+    "gold_fact_sales_history": gold_fact_sales_history,
     "pipeline_from_csv": pipeline_from_csv,
 }

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from layercake.functions import fallback
-from layercake.operators import current_only, dense_key, enrich_left
+from layercake.operators import asof_left, current_only, dense_key, enrich_left
 
 # CRM gender labels treated as "unknown" before falling back to
 # the ERP gender. The literal rule only knows 'n/a'; silver writes 'Unknown',
@@ -67,12 +67,12 @@ def dim_customers(
 
 
 def dim_products(
-    prd_info: DataFrame, px_cat: DataFrame, *, slices: int | None = None, broadcast: bool | str = "auto"
+    prd_info: DataFrame, px_cat: DataFrame, *, slices: int | None = None, broadcast: bool | str = "auto", history: bool = False
 ) -> DataFrame:
     """Current product versions (no end date) with their category attributes
     (LEFT join: unknown category ids keep NULL attributes). ``product_key``
-    numbers rows 1..N by start date, then product number."""
-    pn = current_only(prd_info, "prd_end_dt").alias("pn")
+    numbers rows 1..N by start date, then product number. ``history``: every version."""
+    pn = (prd_info if history else current_only(prd_info, "prd_end_dt")).alias("pn")
     pc = px_cat.select(
         F.col("id").alias("id"), F.col("cat").alias("cat"),
         F.col("subcat").alias("subcat"), F.col("maintenance").alias("maintenance"),
@@ -95,7 +95,7 @@ def dim_products(
 
 
 def fact_sales(
-    sales_details: DataFrame, products: DataFrame, customers: DataFrame, *, broadcast: bool | str = "auto"
+    sales_details: DataFrame, products: DataFrame, customers: DataFrame, *, broadcast: bool | str = "auto", history: bool = False, slices: int | None = None
 ) -> DataFrame:
     """Sales lines with the surrogate keys of the *current* product and the
     customer (LEFT joins: unknown or NULL references keep a NULL key; a
@@ -105,15 +105,38 @@ def fact_sales(
     broadcasts a dimension whose files are small. Otherwise it is merge-joined:
     lines with a NULL reference are spread over all tasks, and AQE splits the
     partitions of a hot product or customer.
+
+    ``history``: ``products`` holds every version, and a line has the key of the version
+    that was valid on its order date (of versions with one start, the greatest key). Lines
+    without a date, or before the first version, have no product key; no line fans out.
     """
+    if history:
+        dated = asof_left(
+            sales_details,
+            products,
+            left_on="sls_prd_key",
+            right_on="product_number",
+            left_time="sls_order_dt",
+            right_time="start_date",
+            columns={"product_key": "product_key"},
+            tiebreak=["product_key"],
+            slices=slices,
+        ).alias("sd")
+        cu = customers.select("customer_id", "customer_key").alias("cu")
+        joined = enrich_left(dated, cu, left_on=[F.col("sd.sls_cust_id")], right_on=[F.col("cu.customer_id")], broadcast=broadcast)
+        return _fact_columns(joined, "sd.product_key")
     sd = sales_details.alias("sd")
     pr = products.select("product_number", "product_key").alias("pr")
     cu = customers.select("customer_id", "customer_key").alias("cu")
     joined = enrich_left(sd, pr, left_on=[F.col("sd.sls_prd_key")], right_on=[F.col("pr.product_number")], broadcast=broadcast)
     joined = enrich_left(joined, cu, left_on=[F.col("sd.sls_cust_id")], right_on=[F.col("cu.customer_id")], broadcast=broadcast)
+    return _fact_columns(joined, "pr.product_key")
+
+
+def _fact_columns(joined: DataFrame, product_key: str) -> DataFrame:
     return joined.select(
         F.col("sd.sls_ord_num").alias("order_number"),
-        F.col("pr.product_key").alias("product_key"),
+        F.col(product_key).alias("product_key"),
         F.col("cu.customer_key").alias("customer_key"),
         F.col("sd.sls_order_dt").alias("order_date"),
         F.col("sd.sls_ship_dt").alias("shipping_date"),

@@ -283,6 +283,19 @@ CTE["gold_dim_products"] = _numbered(
     "start_date product_number product_id product_name category_id category subcategory maintenance cost product_line",
 )
 
+CTE["product_versions"] = CTE["gold_dim_products"].replace("WHERE prd_end_dt IS NULL", "")
+
+CTE["gold_fact_sales_history"] = """
+SELECT sls_ord_num AS order_number, product_key, customer_key, sls_order_dt AS order_date,
+  sls_ship_dt AS shipping_date, sls_due_dt AS due_date, sls_sales AS sales_amount,
+  sls_quantity AS quantity, sls_price AS price
+FROM (SELECT * RENAME (sls_prd_key AS product_number, sls_cust_id AS customer_id) FROM silver_sales_details) AS line
+LEFT JOIN (SELECT customer_id, customer_key FROM gold_dim_customers) AS customer USING (customer_id)
+ASOF LEFT JOIN (
+  SELECT product_number, start_date, max(product_key) AS product_key FROM product_versions GROUP BY ALL
+) AS version ON version.product_number = line.product_number AND version.start_date <= line.sls_order_dt
+"""
+
 CTE["gold_fact_sales"] = """
 SELECT sls_ord_num AS order_number, product_key, customer_key, sls_order_dt AS order_date,
   sls_ship_dt AS shipping_date, sls_due_dt AS due_date, sls_sales AS sales_amount,
@@ -508,6 +521,9 @@ FROM (SELECT o_orderkey, o_custkey, CAST(o_orderdate AS DATE) AS order_date FROM
     ),
     "gold_dim_products": _dataset("gold_dim_products", [*PRODUCT_CHAIN, "gold_dim_products"]),
     "gold_fact_sales": _dataset("gold_fact_sales", FACT_CHAIN),
+    "gold_fact_sales_history": _dataset(
+        "gold_fact_sales_history", [*[c for c in FACT_CHAIN if c not in ("gold_fact_sales", "gold_dim_products")], "product_versions", "gold_fact_sales_history"]
+    ),
     "rule_violations": _with(["bronze_sales_details", "silver_sales_details"], _rules_sql("silver_sales_details", RULES)),
     "publish_gate": _with(
         ["bronze_sales_details", "silver_sales_details"],

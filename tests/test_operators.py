@@ -3,15 +3,19 @@
 from __future__ import annotations
 
 import datetime as dt
+import itertools
 import random
+from decimal import Decimal
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from layercake.operators import (
     Sort,
     asc,
+    asof_left,
     check_rules,
     current_only,
     dense_key,
@@ -122,6 +126,80 @@ def test_op15_null_and_composite_keys(spark, broadcast):
         assert sorted(got.select("f.line", "d.ckey").collect(), key=repr) == sorted(want, key=repr)
 
 
+KEY_TYPES = {
+    "string": ["05", "5", " 5", "x", "5.0", None],
+    "int": [5, 7, None],
+    "long": [5, 2**40, None],
+    "double": [5.0, 0.5, float("nan"), -0.0, 0.0, None],
+    "decimal(10,2)": [5, 7, None],
+    "date": [dt.date(2020, 1, 5), None],
+}
+
+
+@pytest.mark.parametrize("pair", list(itertools.product(KEY_TYPES, KEY_TYPES)), ids="-".join)
+def test_op15_key_lists_equal_a_plain_join(spark, pair):
+    """Same rows as a plain left join for every pair of types that a join compares."""
+    frames = []
+    for name, kind in zip("lr", pair, strict=True):
+        values = [(i, None if v is None else Decimal(v) if kind.startswith("decimal") else v) for i, v in enumerate(KEY_TYPES[kind] * 2)]
+        frames.append(spark.createDataFrame(values, f"{name}id int, {name}k {kind}").alias(name))
+    left, right = frames
+    spark.conf.set("spark.sql.ansi.enabled", "false")  # texts that are no numbers compare as null
+    try:
+        plain = left.join(right, F.col("l.lk") == F.col("r.rk"), "left")
+        plain.schema  # noqa: B018 - analysed here
+    except AnalysisException:
+        spark.conf.set("spark.sql.ansi.enabled", "true")
+        with pytest.raises(AnalysisException):
+            enrich_left(left, right, left_on=[F.col("l.lk")], right_on=[F.col("r.rk")]).schema
+        return
+    try:
+        want = sorted(tuple(r) for r in plain.select(F.col("lid"), F.coalesce("rid", F.lit(-1))).collect())
+        got = enrich_left(left, right, left_on=[F.col("l.lk")], right_on=[F.col("r.rk")])
+        assert sorted(tuple(r) for r in got.select(F.col("lid"), F.coalesce("rid", F.lit(-1))).collect()) == want
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", "true")
+
+
+@pytest.mark.parametrize("slices", [1, 7, 30])
+def test_asof_left_equals_an_asof_join(spark, slices):
+    """Hot and NULL keys, NULL times, ties, rows before the first version, a key over many
+    slices of which only the first has a version."""
+    import duckdb
+
+    rnd = random.Random(slices)
+    day = lambda: None if rnd.random() < 0.05 else dt.date(2020, 1, 1) + dt.timedelta(days=rnd.randint(0, 60))
+    lines = [(i, "hot" if i % 3 == 0 else "once" if i % 3 == 1 else rnd.choice([None, "a", "b", "none"]), day()) for i in range(1500)]
+    versions = [(100 + i, rnd.choice(["hot", "hot", "a", "b", "unused", None]), day()) for i in range(60)] + [(99, "once", dt.date(2020, 1, 3))]
+    left = spark.createDataFrame(lines, "id int, k string, d date")
+    right = spark.createDataFrame(versions, "v int, k string, d date")
+    got = asof_left(left, right, left_on="k", right_on="k", left_time="d", right_time="d", columns={"version": "v", "since": "d"}, tiebreak=["v"], slices=slices)
+    assert got.columns == ["id", "k", "d", "version", "since"]
+    con = duckdb.connect()
+    con.register("l", left.toPandas())
+    con.register("r", right.toPandas())
+    want = con.execute(
+        "SELECT l.id, w.v::INT, w.since::DATE FROM l ASOF LEFT JOIN (SELECT k, d AS since, max(v) AS v FROM r WHERE d IS NOT NULL GROUP BY ALL) AS w ON l.k = w.k AND w.since <= l.d"
+    ).fetchall()
+    assert sorted(map(tuple, got.select("id", "version", "since").collect()), key=repr) == sorted(want, key=repr)
+
+
+def test_asof_left_without_rows(spark):
+    left = spark.createDataFrame([(1, "a", dt.date(2020, 1, 1))], "id int, k string, d date")
+    how = {"left_on": "k", "right_on": "k", "left_time": "d", "right_time": "d", "columns": {"version": "id"}}
+    assert [tuple(r) for r in asof_left(left, left.where("false"), **how).collect()] == [(1, "a", dt.date(2020, 1, 1), None)]
+    assert asof_left(left.where("false"), left, **how).collect() == []
+    with pytest.raises(ValueError, match="do not compare"):
+        asof_left(left, left.withColumn("k", F.lit(1)), **how)
+
+
+def test_op15_columns_without_a_hash(spark):
+    left = spark.createDataFrame([(1, "a", {"x": 1}, [{"y": 2}]), (2, None, {}, [])], "id int, k string, m map<string,int>, n array<map<string,int>>")
+    right = spark.createDataFrame([("a", 10)], "rk string, v int")
+    got = enrich_left(left, right, left_on=[F.col("k")], right_on=[F.col("rk")], broadcast=False)
+    assert sorted((r["id"], r["m"], r["v"]) for r in got.collect()) == [(1, {"x": 1}, 10), (2, {}, None)]
+
+
 def test_op15_broadcast_is_sparks_choice(spark, tmp_path):
     """Without a word from the caller, the size of a side's files decides."""
     left = spark.range(100).withColumnRenamed("id", "k")
