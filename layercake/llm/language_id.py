@@ -148,15 +148,15 @@ class LanguageModel:
     """``chance``: (pieces, languages); ``prior``: log share of each language."""
 
     languages: list[str]
-    tokens: list[bytes]
+    pieces: Pieces
     chance: np.ndarray
     prior: np.ndarray
 
-    def word_scores(self, pieces: Pieces, words: list[bytes]) -> np.ndarray:
+    def word_scores(self, words: list[bytes]) -> np.ndarray:
         """Log probability of each word by language."""
         scores = np.zeros((len(words), len(self.languages)))
         for rows, matrix in by_length(words):
-            scores[rows] = log_chance(pieces.spans(matrix), matrix.shape, self.chance, pieces.longest)
+            scores[rows] = log_chance(self.pieces.spans(matrix), matrix.shape, self.chance, self.pieces.longest)
         return scores
 
 
@@ -187,7 +187,7 @@ def fit(docs: DataFrame, vocabulary: str, text_col: str = "text", lang_col: str
     spark = docs.sparkSession
     ship(spark)
     with open(vocabulary, "rb") as f:
-        tokens = read_ranks(f.read())
+        pieces = Pieces(read_ranks(f.read()))
     known = docs.select(F.col(lang_col).alias("lang"), F.col(text_col).cast("string").alias("text")).where("lang IS NOT NULL AND text IS NOT NULL")
     sizes = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not sizes:
@@ -208,15 +208,13 @@ def fit(docs: DataFrame, vocabulary: str, text_col: str = "text", lang_col: str
 
     counted = sample.mapInArrow(count_words, "lang string, word binary, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
     words = counted.persist()
-    pieces = Pieces(tokens)
     place = {lang: i for i, lang in enumerate(languages)}
     chance = np.full((len(pieces), len(languages)), 1.0 / len(pieces))
     for _ in range(rounds):
-        shared = spark.sparkContext.broadcast((tokens, chance))  # pieces x languages: a fixed size
+        shared = spark.sparkContext.broadcast((pieces, chance))  # pieces x languages: a fixed size
 
         def uses_of(batches: Iterable[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            known_tokens, chance = shared.value
-            own = Pieces(known_tokens)
+            own, chance = shared.value
             uses = np.zeros_like(chance)
             for batch in batches:
                 langs = [place[x] for x in batch.column(0).to_pylist()]
@@ -236,7 +234,7 @@ def fit(docs: DataFrame, vocabulary: str, text_col: str = "text", lang_col: str
         chance = uses / uses.sum(0)
     words.unpersist()
     n = np.array([sizes[lang] for lang in languages], float)
-    return LanguageModel(languages, tokens, chance, np.log(n / n.sum()))
+    return LanguageModel(languages, pieces, chance, np.log(n / n.sum()))
 
 
 def predict(docs: DataFrame, model: LanguageModel | None, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
@@ -252,7 +250,6 @@ def predict(docs: DataFrame, model: LanguageModel | None, text_col: str = "text"
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        pieces = Pieces(model.tokens)
         kept = np.zeros(0, np.uint64)
         table = np.zeros((0, len(model.languages)))
         for batch in batches:
@@ -262,7 +259,7 @@ def predict(docs: DataFrame, model: LanguageModel | None, text_col: str = "text"
                 new = np.isin(keys, kept, assume_unique=True, invert=True)
                 if len(kept) + new.sum() > KEPT_WORDS:
                     kept, table, new = kept[:0], table[:0], np.ones(len(keys), bool)
-                scores = model.word_scores(pieces, _word_bytes(buffer, words, first[new]))
+                scores = model.word_scores(_word_bytes(buffer, words, first[new]))
                 kept, table = np.concatenate([kept, keys[new]]), np.concatenate([table, scores])
                 order = np.argsort(kept)
                 kept, table = kept[order], table[order]
