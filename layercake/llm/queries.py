@@ -169,17 +169,17 @@ def _way(way: str, cost: int | str, edit: str) -> str:
 ORACLE_SQL = {
     "op3_top_k": """
         WITH whole AS (
-          SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS v
+          SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS v
           FROM embeddings
           WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
         scored AS (
-          SELECT q.vec_id AS query_id, c.vec_id,
+          SELECT q.r, q.vec_id AS query_id, c.vec_id,
                  list_inner_product(q.v, c.v)::BIGINT AS score
-          FROM whole AS q JOIN whole AS c ON c.vec_id <> q.vec_id AND len(c.v) = len(q.v)
+          FROM whole AS q JOIN whole AS c ON c.r <> q.r AND len(c.v) = len(q.v)
           WHERE q.vec_id % 100 = 0),
         ranked AS (
-          SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank
+          SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id)::INTEGER AS rank
           FROM scored)
         SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
     """,

@@ -119,6 +119,17 @@ def test_stages(spark):
         before = write_scratch(after, "next")
 
 
+def test_near_copies_keep_one_row_of_each_class(spark):
+    """Whatever the ids: repeated rows, an id on two texts, null ids."""
+    t, u = (" ".join(f"{w}{i}" for i in range(30)) for w in "tu")
+    rows = [(1, t), (1, t), (2, u), (2, t), (None, t), (None, t), (None, None), (3, None), (3, None), (4, "")]
+    docs = spark.createDataFrame([(i, x, "en", "s", 1, "row") for i, x in rows], "doc_id long, text string, lang string, source string, n_chars long, row string")
+    kept = corpus_pipeline.drop_near_copies(spark, docs, SF)
+    assert kept.columns == docs.columns
+    want = [(1, t), (2, u), (None, None), (3, None), (3, None), (4, "")]
+    assert Counter((r["doc_id"], r["text"]) for r in kept.collect()) == Counter(want)
+
+
 def test_empty_documents(spark, tmp_path):
     for t in ("documents", "labels", "benchmark"):
         spark.read.parquet(f"{SF}/{t}.parquet").where("false").write.parquet(str(tmp_path / f"{t}.parquet"))

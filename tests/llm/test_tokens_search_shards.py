@@ -69,15 +69,16 @@ def test_few_kept_matches(reference, monkeypatch):
 
 
 def plain_top_k(rows, is_query, k):
-    whole = {}
+    """Every row of its own, also of rows with equal ids."""
+    whole = []
     for i, v in rows:
         if i is not None and v and all(x is not None and np.isfinite(x) for x in v):
-            w = [int(np.floor(1024 * float(x))) for x in v]
-            whole[i] = min(whole.get(i, w), w)
+            whole.append((i, [math.floor(1024 * float(x)) for x in v]))
     out = []
-    for q in filter(is_query, whole):
-        scored = [(-sum(a * b for a, b in zip(whole[q], v, strict=True)), i) for i, v in whole.items() if i != q and len(v) == len(whole[q])]
-        out += [(q, r + 1, i, -s) for r, (s, i) in enumerate(sorted(scored)[:k])]
+    for at, (q, w) in enumerate(whole):
+        if is_query(q):
+            scored = [(-sum(a * b for a, b in zip(w, v, strict=True)), i) for n, (i, v) in enumerate(whole) if n != at and len(v) == len(w)]
+            out += [(q, r + 1, i, -s) for r, (s, i) in enumerate(sorted(scored)[:k])]
     return sorted(out)
 
 
@@ -87,7 +88,7 @@ def test_top_k(spark, scale, monkeypatch):
     r = np.random.default_rng(3)
     rows = [(i, [float(np.float32(x)) for x in r.normal(0, scale, 8)]) for i in range(400)]
     rows += [(1000 + i, rows[50][1]) for i in range(60)]  # many equal vectors
-    rows += [(2000, None), (2001, [1.0, None] * 4), (2002, [float("nan")] * 8), (2003, [float("inf")] * 8), (None, rows[1][1]), (2004, []), (2005, [1.0, 2.0]), (2010, [0.5, -1.0]), (20, rows[20][1])]
+    rows += [(2000, None), (2001, [1.0, None] * 4), (2002, [float("nan")] * 8), (2003, [float("inf")] * 8), (None, rows[1][1]), (2004, []), (2005, [1.0, 2.0]), (2010, [0.5, -1.0]), (20, rows[20][1]), (30, rows[31][1]), (31, rows[32][1])]
     table = spark.createDataFrame([(i, v, 1) for i, v in rows], "vec_id long, embedding array<double>, score int")
     got = top_k.top_k(table, lambda c: c % 10 == 0, k=10).collect()
     assert sorted((x["query_id"], x["rank"], x["vec_id"], x["score"]) for x in got) == plain_top_k(rows, lambda i: i % 10 == 0, 10)
@@ -98,13 +99,23 @@ def test_top_k(spark, scale, monkeypatch):
 
 
 def test_top_k_beyond_doubles(spark):
+    """Exact up to 64 bits; beyond, the nearest that fits."""
     r = np.random.default_rng(5)
-    rows = [(i, [float(x) for x in r.normal(0, 1e8, 4)]) for i in range(40)]
-    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
-    got = top_k.top_k(table, lambda c: c % 10 == 0, k=3).collect()
-    expected = plain_top_k(rows, lambda i: i % 10 == 0, 3)
-    limit = 2**61
-    assert all(abs(s) > limit or (q, n, i, s) in {(x["query_id"], x["rank"], x["vec_id"], x["score"]) for x in got} for q, n, i, s in expected)
+    for scale in (2e5, 1e6, 1e8, 1e300):
+        rows = [(i, [float(x) for x in r.normal(0, scale, 4)]) for i in range(40)] + [(50, [1e-3] * 4), (60, [1.0, -1.0, 2.0, 3.0])]
+        table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+        got = sorted((x["query_id"], x["rank"], x["vec_id"], x["score"]) for x in top_k.top_k(table, lambda c: c % 10 == 0, k=3).collect())
+        expected = plain_top_k(rows, lambda i: i % 10 == 0, 3)
+        low, high = -(2**63), 2**63 - 1
+        assert [(q, n, s) for q, n, _, s in got] == [(q, n, min(max(s, low), high)) for q, n, _, s in expected]
+        if scale < 1e6:
+            assert got == expected
+
+
+def test_top_k_exact_products_of_large_integers():
+    r = np.random.default_rng(1)
+    rows = np.floor(r.normal(0, 2e8, (50, 16)))
+    assert top_k._scores(rows[:5], rows).tolist() == [[sum(int(a) * int(b) for a, b in zip(q, w, strict=True)) for w in rows] for q in rows[:5]]
 
 
 # -- sharding ------------------------------------------------------------------------
