@@ -29,8 +29,9 @@ def _named(rows: DataFrame, docs: DataFrame) -> DataFrame:
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the toxicity classifier does not reject. It is fitted on the
-    labels of the documents that are not held out."""
+    """Documents that the toxicity classifier does not reject. It is fitted on the labels of
+    the documents that are not held out. Every row is judged by its text alone, repeated
+    rows each; null and empty texts stay. Without labels all stay."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where(remainder(5) != 0)
     model = toxicity.fit(docs, labels)
     rows, text = _numbered(docs)
@@ -38,17 +39,25 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each class of similar documents. Documents
-    without words or without an id stay."""
-    classes = similarity_classes(docs)
-    copies = write_scratch(classes.where("doc_id <> component_id").select(F.col("doc_id").alias("copy")), "copies")
-    return docs.join(copies, docs["doc_id"] == copies["copy"], "left_anti")
+    """One row of each class of similar documents: that with the smallest id (null ids last),
+    of equal ids any one. Rows are told apart by a number of their own, so that repeated rows
+    and ids on several texts are classed like all others. Null and blank texts stay."""
+    rows, text = _numbered(docs)
+    rows = write_scratch(rows.withColumn("row", F.monotonically_increasing_id()), "rows")
+    classes = similarity_classes(rows, id_col="row", text_col=text).select(F.col("row").alias("member"), "component_id")
+    doc_id = F.col(f"c{docs.columns.index('doc_id')}")
+    known = write_scratch(classes.join(rows.select("row", doc_id.alias("doc_id")), F.col("member") == F.col("row")).select("row", "component_id", "doc_id"), "classes")
+    first = known.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("first"))
+    stays = first.select(F.col("first.row").alias("kept"))
+    gone = write_scratch(known.join(stays, F.col("row") == F.col("kept"), "left_anti").select(F.col("row").alias("copy")), "copies")
+    return _named(rows.join(gone, F.col("row") == F.col("copy"), "left_anti"), docs)
 
 
 def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the words of 13-word windows that a smaller document has. A text
     that loses nothing stays as it is; one that does keeps its other words, joined by one
-    space."""
+    space. Null and empty texts stay as they are; rows with equal ids are one document as
+    far as windows go, so that none of them loses words to another; null ids come last."""
     done = remove_repeats(docs, window=13, block=7, carry=docs.columns)
     cut = F.col("n_removed") > 0
     changed = {"text": F.col("kept_text"), "n_chars": F.char_length("kept_text").cast("long")}
@@ -56,14 +65,16 @@ def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that share no passage with a benchmark item."""
+    """Documents that share no passage with a benchmark item. Every row is judged by its text
+    alone, repeated rows each; null and empty texts stay, and all do without a benchmark."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     rows, text = _numbered(docs)
     return _named(decontamination.find_overlaps(rows, benchmark, text_col=text).where(F.size("overlaps") == 0), docs)
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document, checked by decoding."""
+    """Token ids of every document, checked by decoding. A null text has the tokens of an
+    empty one, none; repeated rows are encoded each."""
     tokens = byte_bpe.encode_texts(docs.select("doc_id", "text"), RANKS, public_tokenizers.PATTERN, decoded=True)
     same = F.col("decoded") == F.coalesce(F.col("text"), F.lit("")).cast("binary")
     return tokens.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), same.alias("decodes"))
