@@ -1,32 +1,38 @@
 """Language-model scoring with an interpolated modified Kneser-Ney n-gram model.
 
-The model is counted and stored by hash bucket: a bucket's task merges the n-grams of all
-chunks to sorted hash arrays with their counts, in a memory-mapped file, and answers the
+The model is counted by hash bucket: a bucket's task merges the n-grams of all chunks of
+texts to sorted hash arrays with their counts, in a memory-mapped file, and answers the
 n-grams of every chunk from it. So a worker maps the shard it needs and never the whole
 model, which grows with the corpus: no n-gram is pruned.
 
-One exchange per order, from the longest n-grams down. Its answers give a chunk the
-counts of its n-grams, and make one chunk the owner of each: owners count the distinct
-left extensions (continuation counts) and the follower statistics of contexts for the
-next order. Sums over the corpus travel with the blocks: every chunk sends to every
-bucket, every bucket answers every chunk.
+Most longer n-grams stand in one chunk only. A first exchange of shortened keys finds
+those that can stand in two; only these travel in full, with their counts. A lone n-gram is
+counted by its chunk, which holds all there is to know of it, and enters the corpus totals
+as part of a sum. Then one exchange per order, from the longest n-grams down. Its answers
+give a chunk the counts of its shared n-grams, and make one chunk the owner of each: owners
+count the distinct left extensions (continuation counts) and the follower statistics of
+contexts for the next order. Sums over the corpus travel with the blocks: every chunk sends
+to every bucket, every bucket answers every chunk.
 """
 
 from __future__ import annotations
 
+import os
+import re
 import tempfile
-from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from layercake.llm import exchange as X
 from layercake.llm.shipping import ship
 from layercake.llm.words import find_words, mix, place_factor, text_buffer
+from layercake.session import scratch_dir
 
+#: Least discount of a count.
+LEAST_DISCOUNT = 0.05
 _BEGIN, _END = np.uint64(0x62656769), np.uint64(0x656E64)
 _BLOCKS = X.BLOCKS + ", stats array<long>"
 _ANSWERS = X.ANSWERS + ", stats array<long>"
@@ -91,17 +97,53 @@ class _Chunk:
             *[np.bincount(context[which], minlength=n).astype("u4") for which in (count == 1, count == 2, count > 2)],
         ]
 
-    def block(self, chunk: int, m: int, above: list[np.ndarray] | None, buckets: int) -> pa.Table:
-        blocks = X.blocks_table(chunk, self.grams(m)[0], self.values(m, above), 64, buckets, to_all=True)
-        stats = [[int(self.trained.sum())]] * buckets
+    def short_keys(self, bits: int) -> np.ndarray:
+        """Shortened keys of the n-grams of two tokens and more, sorted."""
+        return np.unique(np.concatenate([X.short(self.grams(m)[0], bits) for m in range(2, self.order + 1)]))
+
+    def hear(self, answers: pa.Table, bits: int) -> None:
+        """Take the answers that there are: which n-grams are shared, and the totals of the
+        shared ones by order."""
+        levels = answers["level"].to_numpy()
+        shared = {1: np.ones(len(self.grams(1)[0]), bool)}
+        if self.order > 1:
+            keys = self.short_keys(bits)
+            flags = X.answered(answers.filter(pa.array(levels == 0)), ["u1"])[0] > 0
+            for m in range(2, self.order + 1):
+                shared[m] = flags[np.searchsorted(keys, X.short(self.grams(m)[0], bits))]
+        self.shared = shared
+        self.known: dict[int, list[np.ndarray]] = {}
+        self.stats: dict[int, np.ndarray] = {}
+        for m in sorted(set(levels.tolist()) - {0}, reverse=True):
+            own = answers.filter(pa.array(levels == m))
+            self.stats[m] = np.array(own["stats"].to_pylist(), np.int64)
+            mine = self.values(m, self.known.get(m + 1))
+            # a lone n-gram is owned by its chunk if that adds to it
+            merged = [*[v.astype(np.int64) for v in mine], (mine[1] > 0).astype(np.uint8)]
+            for values, told in zip(merged, X.answered(own, _BACK), strict=True):
+                values[shared[m]] = told
+            self.known[m] = merged
+
+    def block(self, chunk: int, m: int, buckets: int) -> pa.Table:
+        """The shared n-grams of m tokens and what this chunk adds to them; the sums over its
+        lone ones."""
+        values, shared = self.values(m, self.known.get(m + 1)), self.shared[m]
+        blocks = X.blocks_table(chunk, self.grams(m)[0][shared], [v[shared] for v in values], 64, buckets, to_all=True)
+        stats = [[int(self.trained.sum()), *_sums(values[0][~shared], values[1][~shared])]] * buckets
         return blocks.append_column("stats", pa.array(stats, pa.list_(pa.int64())))
 
 
-def _mapped(array: np.ndarray) -> np.ndarray:
-    """The array in a memory-mapped file, which goes with the last reference."""
-    if not len(array):
+def _sums(text_count: np.ndarray, count: np.ndarray) -> list[int]:
+    """Distinct n-grams in training, those with count 1 to 4, over 2, and the counts' sum."""
+    return [int((text_count > 0).sum()), *[int((count == c).sum()) for c in (1, 2, 3, 4)], int((count > 2).sum()), int(count.sum(dtype=np.int64))]
+
+
+def _mapped(array: np.ndarray, folder: str | None) -> np.ndarray:
+    """The array in a memory-mapped file of ``folder``, which goes with the last reference;
+    without a folder the array itself."""
+    if not len(array) or folder is None:
         return array
-    with tempfile.TemporaryFile() as file:
+    with tempfile.TemporaryFile(dir=folder) as file:
         file.write(memoryview(np.ascontiguousarray(array)).cast("B"))
         file.flush()
         return np.memmap(file, array.dtype, "r", shape=array.shape)
@@ -110,81 +152,99 @@ def _mapped(array: np.ndarray) -> np.ndarray:
 class _Shard:
     """The model's n-grams of one bucket: sorted hashes and their values, mapped."""
 
-    def __init__(self, found: X.Gathered):
+    def __init__(self, found: X.Gathered, folder: str | None):
         sums = []
         for v in found.values:
             ordered = v[found.order].astype(np.int64)
             sums.append(np.add.reduceat(ordered, found.firsts) if len(ordered) else ordered)
-        self.keys = _mapped(found.keys[found.order][found.firsts])
-        self.values = [_mapped(s) for s in sums]
+        self.keys = _mapped(found.keys[found.order][found.firsts], folder)
+        self.values = [_mapped(s, folder) for s in sums]
         # the first chunk that adds to an n-gram owns it
         adds = found.values[1][found.order] > 0
         number = np.where(adds, np.arange(len(adds)), len(adds))
         self.owner = np.minimum.reduceat(number, found.firsts) if len(adds) else number
 
-    def stats(self, tokens: int) -> list[int]:
-        text_count, count = self.values[0], self.values[1]
-        return [tokens, int((text_count > 0).sum()), *[int((count == c).sum()) for c in (1, 2, 3, 4)], int((count > 2).sum()), int(count.sum())]
-
     def look_up(self, keys: np.ndarray) -> list[np.ndarray]:
         at = np.searchsorted(self.keys, keys)
         return [np.asarray(v[at]) for v in self.values]
 
 
-def _answer(blocks: pa.Table) -> pa.Table:
+def _answer(blocks: pa.Table, folder: str | None) -> pa.Table:
     blocks = blocks.sort_by("chunk")
     found = X.gather(blocks, _SENT)
-    shard = _Shard(found)
+    shard = _Shard(found, folder)
     owner = np.zeros(len(found.keys), np.uint8)
     owner[found.order[shard.owner[shard.owner < len(found.keys)]]] = 1
-    stats = shard.stats(sum(s[0] for s in blocks["stats"].to_pylist()))
+    tokens, *lone = np.array(blocks["stats"].to_pylist(), np.int64).sum(0).tolist()
+    stats = [tokens, *_sums(np.asarray(shard.values[0]), np.asarray(shard.values[1])), *lone]
     cuts = np.concatenate([[0], np.cumsum(found.sizes)]).astype(np.int64)
     answers = [X.pack([*shard.look_up(found.keys[a:b]), owner[a:b]]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
     table = X.answers_table(found, blocks["bucket"][0].as_py(), answers)
     return table.append_column("stats", pa.array([stats] * len(answers), pa.list_(pa.int64())))
 
 
+def _flag_shared(blocks: pa.Table) -> pa.Table:
+    """Whether each shortened key stands in more than one chunk."""
+    found = X.gather(blocks, [])
+    several = np.diff(np.append(found.firsts, len(found.keys))) > 1
+    return X.answers_table(found, blocks["bucket"][0].as_py(), (X.pack([flags]) for flags in found.back(several.astype(np.uint8))))
+
+
 def discounts(n1: int, n2: int, n3: int, n4: int) -> tuple[float, float, float]:
     """Discounts of counts 1, 2 and 3 or more; half of the count where a number of
-    n-grams is missing for the estimate."""
+    n-grams is missing for the estimate. At least ``LEAST_DISCOUNT``: without any discount
+    a context would leave nothing to tokens that it has not seen."""
     if not (n1 and n2 and n3):
         return 0.5, 1.0, 1.5
     y = n1 / (n1 + 2 * n2)
     raw = (1 - 2 * y * n2 / n1, 2 - 3 * y * n3 / n2, 3 - 4 * y * n4 / n3)
-    return tuple(float(min(max(d, 0.0), i + 1)) for i, d in enumerate(raw))
+    return tuple(float(min(max(d, LEAST_DISCOUNT), i + 1)) for i, d in enumerate(raw))
 
 
-def _scores(chunk: _Chunk, answers: dict[int, tuple[list[np.ndarray], np.ndarray]]) -> dict[str, np.ndarray | int]:
+def _scores(chunk: _Chunk) -> dict[str, np.ndarray | int]:
     """Log10 probabilities of the texts, and of the unigram base."""
-    values, stats = answers[1]
-    tokens, distinct = int(stats[0, 0]), int(stats[:, 1].sum())
+    tokens = int(chunk.stats[1][0, 0])
+    # of the buckets, and of the chunks' lone n-grams, which every bucket was told
+    totals = {m: stats[:, 1:8].sum(0) + stats[0, 8:15] for m, stats in chunk.stats.items()}
+    distinct = int(totals[1][0])
     keys, _, place = chunk.grams(1)
-    text_count = values[0][place]
+    text_count = chunk.known[1][0][place]
     base = np.log10((text_count + 0.5) / (tokens + 0.5 * (distinct + 1)))
     chance = np.full(len(place), 1.0 / (distinct + 1))
     for m in range(1, chunk.order + 1):
-        values, stats = answers[m]
-        totals = stats.sum(0)
-        d1, d2, d3 = discounts(*[int(x) for x in totals[2:6]])
-        count = values[1][chunk.grams(m)[2]]
+        _, n1, n2, n3, n4, over_2, total_count = totals[m]
+        d1, d2, d3 = discounts(*[int(x) for x in (n1, n2, n3, n4)])
+        count = chunk.known[m][1][chunk.grams(m)[2]]
         if m == 1:
-            followers = [np.int64(totals[7]), totals[2], totals[3], totals[6]]
+            followers = [total_count, n1, n2, over_2]
         else:
             context = chunk.grams(m - 1)[2][np.maximum(np.arange(len(place)) - 1, 0)]
-            followers = [v[context] for v in answers[m - 1][0][2:6]]
+            followers = [v[context] for v in chunk.known[m - 1][2:6]]
         total, ones, twos, more = [np.asarray(f, float) for f in followers]
         known = np.broadcast_to(total > 0, chance.shape)
         cut = np.select([count == 0, count == 1, count == 2], [0.0, d1, d2], d3)
         with np.errstate(divide="ignore", invalid="ignore"):
             here = (count - cut) / total + (d1 * ones + d2 * twos + d3 * more) / total * chance
         chance = np.where(known, here, chance)
+
     def by_text(x: np.ndarray) -> np.ndarray:
-        sums = np.concatenate([[0], np.cumsum(np.where(chunk.real, x, 0))])
-        return sums[chunk.bounds[1:]] - sums[chunk.bounds[:-1]]
+        # one sum per text, each with a begin mark at least
+        return np.add.reduceat(np.where(chunk.real, x, 0), chunk.bounds[:-1])
 
     return {"n_known": by_text(text_count > 0).astype(np.int64), "train_tokens": tokens, "base_score": by_text(base), "score": by_text(np.log10(chance))}
 
 
+def _local_folder(spark) -> str | None:
+    """A folder of the shared checkpoint folder that workers can open as files; None where it
+    is on a file system that they cannot."""
+    path = scratch_dir(spark, "kneser-ney")
+    if not re.match(r"file:|/", path):
+        return None
+    folder = re.sub(r"^file:/*", "/", path)
+    os.makedirs(folder, exist_ok=True)
+    return folder
+
+
 def score_texts(docs: DataFrame, train, id_col: str = "doc_id", text_col: str = "text", order: int = 3) -> DataFrame:
     """Fit a model of ``order`` on the rows for which the boolean column ``train`` holds
     and score every row: ``id_col``, ``trained``, ``n_tokens``, ``n_known`` (tokens that
@@ -201,36 +261,34 @@ def score_texts(docs: DataFrame, train, id_col: str = "doc_id", text_col: str =
     buckets = layout.buckets
     rows = docs.select(F.col(id_col).cast("long").alias("__id"), F.col(text_col).cast("string").alias("__text"), F.coalesce(train, F.lit(False)).alias("__train"))
     by_chunk = X.dealt(rows, layout, ["__id", "__text"]).groupBy("chunk")
+    # one bit more than for one order's n-grams
+    bits = min(64, layout.short_bits + 1)
+    folder = _local_folder(docs.sparkSession)
 
-    def heard(answers: pa.Table) -> Iterator[tuple[int, tuple[list[np.ndarray], np.ndarray]]]:
-        for m in sorted(set(answers["level"].to_pylist()), reverse=True):
-            own = answers.filter(pa.compute.equal(answers["level"], m))
-            yield m, (X.answered(own, _BACK), np.array(own["stats"].to_pylist(), np.int64))
+    def send_short(docs: pa.Table) -> pa.Table:
+        return X.blocks_table(docs["chunk"][0].as_py(), _Chunk(docs, order).short_keys(bits), [], bits, buckets)
 
     def send(m: int):
-        def first(docs: pa.Table) -> pa.Table:
-            return _Chunk(docs, order).block(docs["chunk"][0].as_py(), m, None, buckets)
+        def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
+            chunk = _Chunk(docs, order)
+            chunk.hear(answers, bits)
+            return chunk.block(docs["chunk"][0].as_py(), m, buckets)
 
-        def next_order(docs: pa.Table, answers: pa.Table) -> pa.Table:
-            above = dict(heard(answers))[m + 1][0]
-            return _Chunk(docs, order).block(docs["chunk"][0].as_py(), m, above, buckets)
+        return run
 
-        return first if m == order else next_order
-
-    answers: dict[int, DataFrame] = {}
+    heard = docs.sparkSession.createDataFrame([], f"{_ANSWERS}, level int")
+    if order > 1:
+        flags = by_chunk.applyInArrow(send_short, X.BLOCKS).groupBy("bucket").applyInArrow(_flag_shared, X.ANSWERS)
+        heard = flags.withColumn("stats", F.lit(None).cast("array<bigint>")).withColumn("level", F.lit(0))
     for m in range(order, 0, -1):
-        if m == order:
-            blocks = by_chunk.applyInArrow(send(m), _BLOCKS)
-        else:
-            blocks = by_chunk.cogroup(answers[m + 1].groupBy("chunk")).applyInArrow(send(m), _BLOCKS)
-        answers[m] = blocks.groupBy("bucket").applyInArrow(_answer, _ANSWERS).withColumn("level", F.lit(m))
-    together = answers[order]
-    for m in range(order - 1, 0, -1):
-        together = together.unionByName(answers[m])
+        blocks = by_chunk.cogroup(heard.groupBy("chunk")).applyInArrow(send(m), _BLOCKS)
+        answers = blocks.groupBy("bucket").applyInArrow(lambda t: _answer(t, folder), _ANSWERS).withColumn("level", F.lit(m))
+        heard = heard.unionByName(answers)
 
     def finish(docs: pa.Table, answers: pa.Table) -> pa.Table:
         chunk = _Chunk(docs, order)
-        out = _scores(chunk, dict(heard(answers)))
+        chunk.hear(answers, bits)
+        out = _scores(chunk)
         n = docs.num_rows
         return pa.table(
             {
@@ -245,5 +303,5 @@ def score_texts(docs: DataFrame, train, id_col: str = "doc_id", text_col: str =
             }
         )
 
-    done = by_chunk.cogroup(together.groupBy("chunk")).applyInArrow(finish, "`__id` long, trained boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, perplexity double")
+    done = by_chunk.cogroup(heard.groupBy("chunk")).applyInArrow(finish, "`__id` long, trained boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, perplexity double")
     return done.withColumnRenamed("__id", id_col)

@@ -273,6 +273,21 @@ def test_kneser_ney_query_has_trigrams(spark):
     assert np.allclose([got[i] for i in short], [model.score(texts[i]) for i in short], rtol=1e-9)
 
 
+def test_kneser_ney_of_copies_is_finite(spark):
+    """Every text three times: no n-gram has count 1 or 2, so that estimated discounts would
+    be zero. Scores equal the dictionaries' and are finite, also of unseen words."""
+    r = random.Random(4)
+    texts = [" ".join(r.choice("abcdefgh") for _ in range(r.randrange(3, 12))) for _ in range(20)] * 3
+    rows = [(i, t, True) for i, t in enumerate(texts)] + [(100 + i, t, False) for i, t in enumerate(["x z", "a b c", "h x a", "", "b z b z", "a", "q q q q"])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, train boolean").coalesce(1)
+    model = PlainModel([t.split() for _, t, train in rows if train], 3)
+    got = {x["doc_id"]: x["score"] for x in kneser_ney.score_texts(docs, F.col("train"), order=3).collect()}
+    assert all(math.isfinite(x) and x < 0 for x in got.values())
+    for i, t, _ in rows:
+        assert got[i] == pytest.approx(model.score(t.split()), rel=1e-9)
+    assert kneser_ney.discounts(0, 0, 0, 0) == (0.5, 1.0, 1.5) and min(kneser_ney.discounts(1, 50, 50, 50)) > 0
+
+
 def test_kneser_ney_without_training(spark):
     docs = spark.createDataFrame([(1, "a b"), (2, None)], "doc_id long, text string")
     got = {x["doc_id"]: x for x in kneser_ney.score_texts(docs, F.lit(False)).collect()}
