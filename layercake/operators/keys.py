@@ -23,7 +23,7 @@ def dense_key(
 
     Equivalent to ``row_number() OVER (ORDER BY order)`` but distributed, the same
     way for every size: the table is range-sliced on the sort order (``slices``
-    ranges, by default as many as the shuffle partitions) and written once with
+    ranges, by default as its volume needs; see ``slice_count``) and written once with
     each row's position inside its slice; the rows per slice are counted (one
     number per slice reaches the driver) and their running sums joined back as a
     broadcast table of one row per slice. The key is offset + position + 1: a

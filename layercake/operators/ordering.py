@@ -64,11 +64,44 @@ def complete_tiebreak(df: DataFrame, sorts: Sequence[Sort]) -> list[Sort]:
     return [*sorts, *extra]
 
 
+#: Setting for the bytes of input files of one slice, and its default: a slice is sorted by
+#: one task.
+SLICE_BYTES_SETTING = "spark.layercake.sliceBytes"
+SLICE_BYTES = 64 << 20
+#: Smaller inputs are cut to one slice per core, but not to slices smaller than this.
+LEAST_SLICE_BYTES = 1 << 20
+
+
+def input_bytes(df: DataFrame) -> int | None:
+    """Bytes of the files that the plan of ``df`` reads, after the partitions and files that
+    its filters leave out, each scan once; None if it reads something else. The sizes come
+    from the file listing of the scans: nothing is computed."""
+    total = 0
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    for i in range(leaves.size()):
+        if leaves.apply(i).getClass().getSimpleName() != "LogicalRelation":
+            return None
+        total += int(str(leaves.apply(i).stats().sizeInBytes()))
+    return total if total < 1 << 62 else None
+
+
+def slices_for(volume: int | None, slice_bytes: int, cores: int, otherwise: int) -> int:
+    """Slices for a volume in bytes: as many as keep each to ``slice_bytes``; a small table
+    one per core, if that leaves them ``LEAST_SLICE_BYTES``; ``otherwise`` if the volume is
+    not known."""
+    if volume is None:
+        return otherwise
+    return max(1, -(-volume // slice_bytes), min(cores, -(-volume // LEAST_SLICE_BYTES)))
+
+
 def slice_count(df: DataFrame, slices: int | None = None) -> int:
-    """Explicit number of slices, else as many as the session's shuffle partitions."""
+    """Explicit number of slices, else by the volume that the plan reads, else (inputs that
+    are no files) as many as the session's shuffle partitions."""
     if slices is not None:
         return max(1, slices)
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spark = df.sparkSession
+    size = int(spark.conf.get(SLICE_BYTES_SETTING, str(SLICE_BYTES)))
+    return slices_for(input_bytes(df), size, spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
 def range_slices(df: DataFrame, sorts: Sequence[Sort], slices: int, label: str) -> DataFrame:
@@ -79,7 +112,8 @@ def range_slices(df: DataFrame, sorts: Sequence[Sort], slices: int, label: str)
     i sorts before every row of slice i+1) and ``__lc_pos`` (0-based position
     inside the slice in sort order). Spark's own range partitioner picks the
     bounds from a sample (about ``spark.sql.execution.rangeExchange
-    .sampleSizePerPartition`` sort keys per slice reach the driver) and places rows
+    .sampleSizePerPartition`` sort keys per slice reach the driver, whatever their
+    number, so that slices stay even when there are thousands) and places rows
     by binary search, so any number of slices costs the same per row; a slice
     larger than memory is sorted with spilling. A per-row id is the last
     tie-break, so even a group of identical rows holding a third of the table is

@@ -57,7 +57,7 @@ def validity_end(
 
     Skew-safe and the same for every size: the table is range-sliced on (key, start,
     tiebreak) and written to the shared checkpoint folder (``slices`` ranges, by
-    default as many as the shuffle partitions; see ``range_slices``). The window
+    default as its volume needs; see ``slice_count`` and ``range_slices``). The window
     then runs per (slice, key), so one key's history is spread over as many tasks as
     its size needs. Only the last row of a slice can have its successor in another
     one: the first row of the next slice that has rows (one row per slice reaches the

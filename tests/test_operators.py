@@ -301,3 +301,43 @@ def test_op15_chained_joins_split_hot_and_null_keys(spark, tmp_path):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_slices_follow_the_volume(spark, tmp_path):
+    from layercake.operators.ordering import LEAST_SLICE_BYTES, SLICE_BYTES_SETTING, input_bytes, slice_count, slices_for
+
+    assert slices_for(40 * 2**40, 64 << 20, 8, 200) == 40 * 2**20 // 64
+    assert slices_for(4000 * (64 << 20) - 5, 64 << 20, 1000, 200) == 4000
+    assert [slices_for(v, 64 << 20, 8, 200) for v in (0, 10, 3 * LEAST_SLICE_BYTES, 100 * LEAST_SLICE_BYTES, None)] == [1, 1, 3, 8, 200]
+    df = spark.range(200_000).select("id", F.sha2(F.col("id").cast("string"), 256).alias("text"))
+    assert input_bytes(df) is None and slice_count(df) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.write.parquet(str(tmp_path / "t"))
+    table = spark.read.parquet(str(tmp_path / "t"))
+    size = input_bytes(table)
+    files = sum(f.stat().st_size for f in (tmp_path / "t").glob("*.parquet"))
+    assert files <= size <= 4 * files and input_bytes(table.unionByName(table)) == 2 * size
+    assert input_bytes(table.groupBy("id").count().join(table, "id")) == 2 * size
+    assert slice_count(table, 7) == 7
+    try:
+        spark.conf.set(SLICE_BYTES_SETTING, str(size // 4000))
+        assert 4000 <= slice_count(table.where("id > 3")) <= 4002
+    finally:
+        spark.conf.unset(SLICE_BYTES_SETTING)
+    assert slice_count(spark.read.parquet(str(tmp_path / "t")).where("id < 0").limit(0)) >= 1
+
+
+@pytest.mark.parametrize("slices", [40, 1000])
+def test_slices_are_even(spark, slices):
+    """A third of the rows on one sort key, a third identical: rows per slice stay within
+    twice the mean, at few and at many slices."""
+    from layercake.operators.ordering import SLICE, as_sorts, complete_tiebreak, range_slices
+
+    n = 100_000
+    kind = F.col("id") % 3
+    df = spark.range(n, numPartitions=8).select(
+        F.when(kind == 0, F.lit(5)).when(kind == 1, F.lit(7)).otherwise(F.hash("id")).alias("k"),
+        F.when(kind == 1, F.lit("same")).otherwise(F.col("id").cast("string")).alias("v"),
+    )
+    staged = range_slices(df, complete_tiebreak(df, as_sorts(["k"])), slices, "even")
+    sizes = [r["count"] for r in staged.groupBy(SLICE).count().collect()]
+    assert sum(sizes) == n and max(sizes) <= 2 * n / slices
