@@ -33,7 +33,7 @@ from layercake.operators import current_only, dense_key, desc, keep_latest, vali
 from layercake.plans import gold, quality, runner, silver
 from layercake.plans.gold import GENDER_UNKNOWN_INTENDED
 from layercake.session import scratch_dir, write_scratch
-from layercake.sources import DatasetSpec, Gate, QualityGateError, publish_layer, read_csv_source, read_layer, write_layer
+from layercake.sources import DatasetSpec, Gate, QualityGateError, publish_layer, read_csv_source, read_layer, type_drift, write_layer
 from layercake.plans.standins import (
     STANDIN_AS_OF,
     Tables,
@@ -511,6 +511,24 @@ def csv_ingest_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_csv_source(spark, folder, PART_CSV).withColumnRenamed("P_PARTKEY", "p_partkey")
 
 
+def csv_type_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The types that the values of a drifted CSV export of part need, by column: sizes that
+    became decimals, prices of which some are words, and missing values."""
+    p = table_reader(spark, sf_dir)("part")
+    k = F.col("p_partkey")
+    text = p.select(
+        k.cast("string").alias("P_PARTKEY"),
+        "p_name",
+        F.lit("NA").alias("p_brand"),
+        F.when(k % 50 == 3, F.concat(F.col("p_size").cast("string"), F.lit(".5"))).otherwise(F.col("p_size").cast("string")).alias("p_size"),
+        F.when(k % 40 == 7, F.lit("on request")).when(k % 10 == 1, F.lit("NaN")).otherwise(F.col("p_retailprice").cast("string")).alias("p_retailprice"),
+    )
+    folder = scratch_dir(spark, "csv-drift")
+    text.write.option("header", True).option("quote", '"').option("escape", '"').csv(folder)
+    found = type_drift(spark, folder, PART_CSV).withColumn("column", F.lower("column"))
+    return found.select("column", "declared", "needed", "values", "misfits")
+
+
 def partition_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write two days of a layer dataset, re-run the second day with new content
     and read everything back: day one is untouched, day two replaced."""
@@ -600,6 +618,7 @@ QUERIES: dict[str, Query] = {
     "fact_fanout": fact_fanout,
     "layer_counts": layer_counts,
     "csv_ingest_roundtrip": csv_ingest_roundtrip,
+    "csv_type_drift": csv_type_drift,
     "partition_overwrite": partition_overwrite,
     "partition_overwrite_empty": partition_overwrite_empty,
     "publish_gate": publish_gate,

@@ -568,6 +568,26 @@ SELECT p_partkey,
   CASE WHEN p_partkey % 9 = 0 THEN NULL ELSE CAST(p_size AS BIGINT) END AS p_size,
   CASE WHEN p_partkey % 10 < 2 THEN NULL ELSE p_retailprice END AS p_retailprice
 FROM (SELECT *, {CSV_NAMES} AS name FROM part)""",
+    "csv_type_drift": f"""
+WITH cells AS (
+  UNPIVOT (
+    SELECT CAST(p_partkey AS VARCHAR) AS p_partkey, p_name, 'NA' AS p_brand,
+      CASE WHEN p_partkey % 50 = 3 THEN p_size || '.5' ELSE CAST(p_size AS VARCHAR) END AS p_size,
+      CASE WHEN p_partkey % 40 = 7 THEN 'on request' WHEN p_partkey % 10 = 1 THEN 'NaN'
+           ELSE CAST(p_retailprice AS VARCHAR) END AS p_retailprice
+    FROM part
+  ) ON COLUMNS(*) INTO NAME "column" VALUE cell
+), ranked AS (
+  SELECT *, CASE WHEN cell IN ({NA_LIST}) THEN 0 WHEN regexp_full_match(cell, '[+-]?[0-9]+') THEN 1
+                 WHEN TRY_CAST(cell AS DOUBLE) IS NOT NULL THEN 2 ELSE 3 END AS n,
+    CASE WHEN "column" IN ('p_partkey', 'p_size') THEN 1 WHEN "column" = 'p_retailprice' THEN 2 ELSE 3 END AS d
+  FROM cells
+)
+SELECT "column", ['NONE', 'LONG', 'DOUBLE', 'TEXT'][any_value(d) + 1] AS declared,
+  ['NONE', 'LONG', 'DOUBLE', 'TEXT'][max(n) + 1] AS needed,
+  count(*) FILTER (n > 0) AS values, count(*) FILTER (n > d) AS misfits
+FROM ranked GROUP BY "column"
+""",
     "partition_overwrite": """
 SELECT r_regionkey, r_name, '2026-01-01' AS ingest_date FROM region
 UNION ALL

@@ -21,6 +21,7 @@ from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor, wait
 from dataclasses import dataclass, field
 
+from pyspark.errors import ArithmeticException, NumberFormatException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,7 +31,9 @@ from layercake.session import scratch_scope
 from layercake.sources import (
     DatasetSpec,
     Gate,
+    TypeDriftError,
     all_datasets,
+    check_types,
     layer_path,
     object_store_conf_from_env,
     read_csv_source,
@@ -161,7 +164,15 @@ def run_bronze(
 
     def ingest(spec: DatasetSpec, path: str) -> int:
         with scratch_scope(spark):
-            return write_layer(read_csv_source(spark, path, spec, multi_line=multi_line), base, "bronze", spec.name, day, spec.source)
+            try:
+                return write_layer(read_csv_source(spark, path, spec, multi_line=multi_line), base, "bronze", spec.name, day, spec.source)
+            except (ArithmeticException, NumberFormatException) as failure:
+                # a second pass, only now, names the columns that have other types than declared
+                try:
+                    check_types(spark, path, spec, multi_line=multi_line)
+                except TypeDriftError as drift:
+                    raise drift from failure
+                raise
 
     steps = []
     for spec in all_datasets():

@@ -2,6 +2,7 @@
 
 from layercake.sources.catalog import SOURCE_CATALOG, DatasetSpec, all_datasets, dataset
 from layercake.sources.csv import NA_TOKENS, read_csv_source
+from layercake.sources.drift import TypeDriftError, check_types, type_drift
 from layercake.sources.layers import (
     PARTITION_COLUMN,
     layer_path,
@@ -23,7 +24,9 @@ __all__ = [
     "SOURCE_CATALOG",
     "DatasetSpec",
     "Gate",
+    "TypeDriftError",
     "all_datasets",
+    "check_types",
     "dataset",
     "layer_path",
     "object_store_conf",
@@ -34,5 +37,6 @@ __all__ = [
     "read_layer",
     "resolve_base",
     "resolve_partition_date",
+    "type_drift",
     "write_layer",
 ]

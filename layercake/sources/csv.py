@@ -37,6 +37,9 @@ NA_TOKENS = (
     "null",
 )
 
+#: Columns of ``read_csv_text`` that say where a row comes from.
+FILE, LINE = "__lc_file", "__lc_line"
+
 _CSV_OPTIONS = {
     "quote": '"',
     "escape": '"',
@@ -99,6 +102,7 @@ def _read_lines(spark: SparkSession, files: list[str], header: tuple[str, ...])
         .options(**_CSV_OPTIONS)
         .option("maxColumns", len(header))
         .csv(files)
+        .withColumns({FILE: F.col("_metadata.file_path"), LINE: F.lit(None).cast("bigint")})
     )
 
 
@@ -112,7 +116,7 @@ def _parse_records(records: DataFrame, header: tuple[str, ...], spec: DatasetSpe
     too_long = (delimiters >= n) & (field_count(F.col("record")) > n)
     checked = records.where(F.when(too_long, F.raise_error(message).cast("boolean")).otherwise(F.lit(True)))
     values = F.from_csv("record", ", ".join(f"_c{i} string" for i in range(n)), {**_CSV_OPTIONS, "multiLine": "true", "maxColumns": str(n + 1)})
-    return checked.select(values.alias("v")).select(*[F.col(f"v._c{i}").alias(h) for i, h in enumerate(header)])
+    return checked.select("path", "line", values.alias("v")).select(*[F.col(f"v._c{i}").alias(h) for i, h in enumerate(header)], F.col("path").alias(FILE), F.col("line").alias(LINE))
 
 
 def read_csv_source(
@@ -142,6 +146,14 @@ def read_csv_source(
     ``multi_line=False`` vouches for values without newlines: then the lines are parsed as
     they are read, without the written copy that resolving the splits needs.
     """
+    text = read_csv_text(spark, path, spec, multi_line=multi_line)
+    names = [c for c in text.columns if c not in (FILE, LINE)]
+    return text.select(*[F.col(f"`{c}`").cast(f.dataType).alias(c) for c, f in zip(names, spec.schema.fields, strict=True)])
+
+
+def read_csv_text(spark: SparkSession, path: str, spec: DatasetSpec, *, multi_line: bool | None = None) -> DataFrame:
+    """The columns of ``spec`` as text, missing-value tokens NULL, and where each row comes
+    from: ``FILE`` and ``LINE`` (NULL with ``multi_line=False``). See ``read_csv_source``."""
     files = _source_files(spark, path, spec)
     by_header: dict[tuple[str, ...], list[str]] = {}
     for file in files:
@@ -165,8 +177,8 @@ def read_csv_source(
             mine = records if len(by_header) == 1 else records.where(F.col("path").isin(own))
             raw = _parse_records(mine, header, spec)
         cols = [
-            null_na_tokens(F.col(f"`{by_lower[f.name.lower()]}`")).cast(f.dataType).alias(spelling[f.name.lower()])
+            null_na_tokens(F.col(f"`{by_lower[f.name.lower()]}`")).alias(spelling[f.name.lower()])
             for f in spec.schema.fields
         ]
-        frames.append(raw.select(*cols))
+        frames.append(raw.select(*cols, FILE, LINE))
     return reduce(DataFrame.unionByName, frames)

@@ -10,8 +10,10 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from layercake.sources import DatasetSpec, read_csv_source
+from layercake.plans import runner
+from layercake.sources import DatasetSpec, TypeDriftError, check_types, read_csv_source, type_drift
 from layercake.sources.csv_records import csv_records, ends_inside, field_count
+from tests.test_datasets import CSV
 
 SPEC = DatasetSpec("t", "notes", "notes.csv", T.StructType([T.StructField(c, T.StringType()) for c in ("id", "note", "tail")]))
 
@@ -146,3 +148,35 @@ def test_field_count(spark):
     values = ["", "a", "a,b", ",", '"a,b",c', '"a""b,",c,', '5" x,y', '"a"b,c', '"a\nb",c']
     df = spark.createDataFrame([(v, len(next(csv.reader(io.StringIO(v)), [""]))) for v in values], "v string, n int")
     assert df.where(field_count(F.col("v")) != F.col("n")).collect() == []
+
+
+def test_type_drift_names_column_value_and_place(spark, tmp_path):
+    spec = DatasetSpec("t", "sizes", "sizes.csv", T.StructType([T.StructField("id", T.LongType()), T.StructField("price", T.DoubleType()), T.StructField("note", T.StringType()), T.StructField("gone", T.LongType())]))
+    path = tmp_path / "sizes.csv"
+    path.write_text('id,price,note,gone\n1,2.5,"a\nb",\nNA,1e3,7,NA\n3.0,5,x,\n" 4 ",NaN,,null\n5.5,7f,,\n99999999999999999999,x,,\n')
+    got = {r["column"]: tuple(r)[1:] for r in type_drift(spark, str(path), spec).collect()}
+    file = got["id"][5]
+    assert file.endswith("sizes.csv")
+    assert got == {
+        "id": ("LONG", "DOUBLE", 5, 3, "3.0", file, 5),
+        "price": ("DOUBLE", "TEXT", 5, 2, "7f", file, 7),
+        "note": ("TEXT", "TEXT", 3, 0, None, None, None),
+        "gone": ("LONG", "NONE", 0, 0, None, None, None),
+    }
+    with pytest.raises(TypeDriftError, match=r"t\.sizes: id is LONG but 3 of 5 values need DOUBLE, first '3\.0' in .*sizes\.csv line 5; price"):
+        check_types(spark, str(path), spec)
+    path.write_text("id,price,note,gone\n1,2,a,\n")
+    check_types(spark, str(path), spec)
+    path.write_text("id,price,note,gone\n")
+    assert [r["needed"] for r in type_drift(spark, str(path), spec).collect()] == ["NONE"] * 4
+
+
+def test_a_run_names_the_drifted_column(spark, tmp_path):
+    source = tmp_path / "src"
+    for (system, name), text in CSV.items():
+        (source / system).mkdir(parents=True, exist_ok=True)
+        (source / system / name).write_text(text)
+    sales = source / "crm" / "sales_details.csv"
+    sales.write_text(sales.read_text().replace("20110105", "2011-01-05", 1))
+    with pytest.raises(TypeDriftError, match=r"crm\.sales_details: sls_ship_dt is LONG.*'2011-01-05' in .* line 2"):
+        runner.run_bronze(spark, str(tmp_path / "lake"), str(source), "2026-09-18")

@@ -84,3 +84,18 @@ def test_fact_scan_prunes_columns(spark):
     plan = df._jdf.queryExecution().sparkPlan().toString()
     lineitem_scan = [line for line in plan.split("\n") if "lineitem.parquet" in line][0]
     assert "l_discount" not in lineitem_scan and "l_returnflag" not in lineitem_scan
+
+
+def test_queries_without_the_optional_part():
+    """A library that only the training-data operators need is missing: the rest works."""
+    import subprocess
+    import sys
+
+    code = (
+        "import sys; sys.modules['public_tokenizers'] = None\n"
+        "import __spark_entry__ as e\n"
+        "from layercake.plans.driver_queries import QUERIES\n"
+        "assert set(e.queries()) == set(e.oracle_sql()) == set(QUERIES)"
+    )
+    done = subprocess.run([sys.executable, "-c", code], cwd=Path(entry.__file__).parent, capture_output=True, text=True)
+    assert done.returncode == 0, done.stderr
