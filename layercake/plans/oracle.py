@@ -231,17 +231,9 @@ FROM (SELECT *, TRY_CAST(bdate AS DATE) AS born, upper(trim(gen)) AS sex FROM br
 LEFT JOIN {lookup_sql({**GENDER, "MALE": "Male", "FEMALE": "Female"})} AS gender(code, label) ON gender.code = sex
 """
 
-CTE["silver_loc_a101"] = f"""
-SELECT string_agg(part, '' ORDER BY place) AS cid, any_value(country) AS cntry
-FROM (SELECT row, ifnull(label, ifnull(place_name, 'n/a')) AS country, unnest(string_split(cid, '-')) AS part,
-        unnest(range(len(string_split(cid, '-')))) AS place
-      FROM located)
-GROUP BY row
-UNION ALL
-SELECT NULL, ifnull(label, ifnull(place_name, 'n/a')) FROM located WHERE cid IS NULL
-"""
+CTE["silver_loc_a101"] = "SELECT translate(cid, '-', '') AS cid, coalesce(label, place_name, 'n/a') AS cntry FROM located"
 CTE["located"] = f"""
-SELECT row_number() OVER () AS row, cid, trim(cntry) AS place_name, label
+SELECT cid, trim(cntry) AS place_name, label
 FROM bronze_loc_a101 LEFT JOIN {lookup_sql(COUNTRIES)} AS named(code, label) ON named.code = trim(cntry)
 """
 
@@ -353,12 +345,13 @@ GENDERS = """SELECT c_custkey,
   CASE c_custkey % 4 WHEN 0 THEN NULL WHEN 1 THEN 'Male' WHEN 2 THEN 'Female' ELSE 'n/a' END AS erp_gender
 FROM customer"""
 
-VALIDITY = """SELECT o_orderkey, o_custkey, valid_from,
-  CAST(lead(valid_from) OVER (PARTITION BY o_custkey ORDER BY valid_from ASC NULLS LAST, o_orderkey ASC NULLS LAST)
-       - INTERVAL 1 DAY AS DATE) AS valid_to
-FROM (SELECT o_orderkey, o_custkey,
-        CASE WHEN o_orderkey % 17 = 0 THEN NULL ELSE CAST(o_orderdate AS DATE) END AS valid_from
-      FROM orders)"""
+VALIDITY = """WITH versions AS (
+  SELECT o_orderkey, o_custkey, if(o_orderkey % 17 = 0, NULL, CAST(o_orderdate AS DATE)) AS valid_from,
+    rank() OVER (PARTITION BY o_custkey ORDER BY valid_from NULLS LAST, o_orderkey) AS nth
+  FROM orders
+)
+SELECT this.o_orderkey, o_custkey, this.valid_from, following.valid_from - 1 AS valid_to
+FROM versions AS this LEFT JOIN (SELECT o_custkey, nth - 1 AS nth, valid_from FROM versions) AS following USING (o_custkey, nth)"""
 
 RULES = {
     "sales_equals_quantity_times_price": "sls_sales = sls_quantity * abs(sls_price)",
@@ -439,8 +432,7 @@ QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY order_date DESC NULLS
     "validity_end_distributed": VALIDITY,
     "current_versions": f"SELECT * FROM ({VALIDITY}) WHERE valid_to IS NULL",
     "split_key": """
-SELECT p_partkey, raw_key, replace(substring(raw_key, 1, 5), '-', '_') AS cat_id,
-  substring(raw_key, 7) AS prd_key
+SELECT p_partkey, raw_key, translate(raw_key[:5], '-', '_') AS cat_id, raw_key[7:] AS prd_key
 FROM (SELECT p_partkey,
         CASE WHEN p_partkey % 13 = 0 THEN 'AB' WHEN p_partkey % 17 = 0 THEN NULL
              ELSE upper(substring(p_type, 1, 2)) || '-' || lpad(substring(p_brand, 7), 2, '0') || '-' || p_name
@@ -494,11 +486,11 @@ FROM (SELECT c_custkey, {title_sql('first_raw')} AS f, {title_sql('last_raw')} A
             FROM customer))""",
     "gender_fallback": f"""
 SELECT c_custkey, crm_gender, erp_gender,
-  CASE WHEN crm_gender != 'n/a' THEN crm_gender ELSE coalesce(erp_gender, 'n/a') END AS gender
+  list_filter([nullif(crm_gender, 'n/a'), erp_gender, 'n/a'], lambda g: g IS NOT NULL)[1] AS gender
 FROM ({GENDERS})""",
     "gender_fallback_intended": f"""
 SELECT c_custkey, crm_gender, erp_gender,
-  CASE WHEN crm_gender NOT IN ('n/a', 'Unknown') THEN crm_gender ELSE coalesce(erp_gender, 'n/a') END AS gender
+  list_filter([nullif(nullif(crm_gender, 'n/a'), 'Unknown'), erp_gender, 'n/a'], lambda g: g IS NOT NULL)[1] AS gender
 FROM ({GENDERS})""",
     "pass_through": "SELECT * FROM region",
     "cast_rounding": """
