@@ -7,9 +7,11 @@ keys first, so that a hot key is sent once per chunk, and sends to every bucket
 of hash values) one block of delta-coded keys: 3 to 5 bytes a key. A bucket sorts the
 blocks of all chunks, decides, and answers each chunk in the order of its keys.
 
-Chunks and buckets grow with the input (``Layout``); none grows with a key's frequency.
-Blocks get smaller as both grow, but there is never an empty one: at the far end a block
-is one key, as in a plain shuffle.
+Chunks and buckets grow with the input (``Layout``). A key is sent once per chunk that has
+it, so a bucket that holds a hot key gets one key more from every chunk: its share grows
+with the number of chunks, not with the key's frequency in them. Blocks get smaller as both
+grow, but there is never an empty one: at the far end a block is one key, as in a plain
+shuffle.
 A chunk is a function of the row alone, so that a task that is run again, after an
 executor is lost, sends the same blocks.
 """
