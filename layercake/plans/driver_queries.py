@@ -33,7 +33,8 @@ from layercake.operators import current_only, dense_key, desc, keep_latest, vali
 from layercake.plans import gold, quality, runner, silver
 from layercake.plans.gold import GENDER_UNKNOWN_INTENDED
 from layercake.session import scratch_dir, write_scratch
-from layercake.sources import DatasetSpec, Gate, QualityGateError, publish_layer, read_csv_source, read_layer, type_drift, write_layer
+from layercake.sources import DatasetSpec, Gate, QualityGateError, layer_path, publish_layer, read_csv_source, read_layer, type_drift, write_layer
+from layercake.sources.layers import partition_path
 from layercake.plans.standins import (
     STANDIN_AS_OF,
     Tables,
@@ -511,6 +512,18 @@ def csv_ingest_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_csv_source(spark, folder, PART_CSV).withColumnRenamed("P_PARTKEY", "p_partkey")
 
 
+def partition_overwrite_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The orders of a day published without renames, as on an object store: a first version,
+    files that a killed job left in the day, and the day published anew."""
+    orders = table_reader(spark, sf_dir)("orders")
+    base, day = scratch_dir(spark, "lake"), "2026-01-01"
+    publish_layer(orders.withColumn("o_orderkey", -F.col("o_orderkey")), base, "silver", "orders", day, "driver", protocol="manifest")
+    orders.write.mode("append").parquet(partition_path(layer_path(base, "silver", "orders", "driver"), day))
+    first = read_layer(spark, base, "silver", "orders", day, "driver").agg(F.count_if(F.col("o_orderkey") > 0).alias("n")).first()["n"]
+    publish_layer(orders, base, "silver", "orders", day, "driver", protocol="manifest")
+    return read_layer(spark, base, "silver", "orders", day, "driver").withColumn("unpublished_rows", F.lit(first).cast("bigint"))
+
+
 def csv_type_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The types that the values of a drifted CSV export of part need, by column: sizes that
     became decimals, prices of which some are words, and missing values."""
@@ -621,6 +634,7 @@ QUERIES: dict[str, Query] = {
     "csv_type_drift": csv_type_drift,
     "partition_overwrite": partition_overwrite,
     "partition_overwrite_empty": partition_overwrite_empty,
+    "partition_overwrite_manifest": partition_overwrite_manifest,
     "publish_gate": publish_gate,
     "pass_through_orders": pass_through_orders,
     "gold_fact_sales_merge_joined": gold_fact_sales_merge_joined,

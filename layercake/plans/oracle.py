@@ -584,6 +584,7 @@ FROM ranked GROUP BY "column"
 SELECT r_regionkey, r_name, '2026-01-01' AS ingest_date FROM region
 UNION ALL
 SELECT r_regionkey, lower(r_name), '2026-01-02' AS ingest_date FROM region""",
+    "partition_overwrite_manifest": "SELECT *, CAST(0 AS BIGINT) AS unpublished_rows FROM orders",
     "partition_overwrite_empty": "SELECT *, '2026-01-01' AS ingest_date FROM orders",
     "pass_through_orders": "SELECT * FROM orders",
     "gold_fact_sales_merge_joined": _dataset("gold_fact_sales", FACT_CHAIN),
