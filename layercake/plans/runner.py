@@ -108,43 +108,54 @@ def silver_step(qualified: str) -> SilverStep:
     raise ValueError(f"unknown silver dataset {qualified!r}; known: {known}")
 
 
-def _do(step: Step, ledger: Ledger, resume: bool) -> StepResult:
-    name = f"{step.layer} {step.dataset}"
+def _do(layer: str, dataset: str, work: Callable[[], int | tuple[int, bool]]) -> StepResult:
+    name = f"{layer} {dataset}"
     began = time.perf_counter()
     try:
-        rows, skipped = ledger.run(f"{step.layer}.{step.dataset}", step.inputs, step.output, step.options, step.work, resume)
+        done = work()
     except Exception:
         log.exception("%s failed, its published day is unchanged", name)
         raise
+    rows, skipped = done if isinstance(done, tuple) else (done, False)
     seconds = time.perf_counter() - began
     log.info("%s: %s, %d rows (%.1f s)", name, "done before" if skipped else "published", rows, seconds)
-    return StepResult(step.layer, step.dataset, rows, seconds, skipped)
+    return StepResult(layer, dataset, rows, seconds, skipped)
 
 
-def _run_steps(spark: SparkSession, base: str, day: str, steps: Sequence[Step], parallelism: int, resume: bool) -> list[StepResult]:
-    """Run independent steps, ``parallelism`` at a time, as concurrent jobs of the
-    same session. Results keep the step order. After a failure no other step starts;
-    those under way end, then the failure propagates."""
-    ledger = Ledger(spark, base, day)
+def _run_steps(layer: str, steps: Sequence[tuple[str, Callable[[], int | tuple[int, bool]]]], parallelism: int) -> list[StepResult]:
+    """Run independent steps (name, work that returns the rows, or rows and whether it was
+    done before), ``parallelism`` at a time, as concurrent jobs of the same session. Results
+    keep the step order. After a failure no other step starts; those under way end, then the
+    failure propagates."""
     failures: list[BaseException] = []
 
-    def run(step: Step) -> StepResult | None:
+    def run(dataset: str, work: Callable[[], int | tuple[int, bool]]) -> StepResult | None:
         if failures:
             return None
         try:
-            return _do(step, ledger, resume)
+            return _do(layer, dataset, work)
         except BaseException as failure:
             failures.append(failure)  # before this thread takes its next step
             raise
 
-    with ThreadPoolExecutor(max_workers=max(1, parallelism), thread_name_prefix="layercake") as pool:
-        futures = [pool.submit(run, step) for step in steps]
+    with ThreadPoolExecutor(max_workers=max(1, parallelism), thread_name_prefix=f"layercake-{layer}") as pool:
+        futures = [pool.submit(run, *step) for step in steps]
         wait(futures)
     if failures:
         raise failures[0]
     return [f.result() for f in futures]
 
 
+def _run_ledgered(spark: SparkSession, base: str, day: str, steps: Sequence[Step], parallelism: int, resume: bool) -> list[StepResult]:
+    """Steps of one layer, each entered in the day's ledger when it is done."""
+    ledger = Ledger(spark, base, day)
+
+    def entered(step: Step) -> Callable[[], tuple[int, bool]]:
+        return lambda: ledger.run(f"{step.layer}.{step.dataset}", step.inputs, step.output, step.options, step.work, resume)
+
+    return _run_steps(steps[0].layer, [(step.dataset, entered(step)) for step in steps], parallelism)
+
+
 def _day(base: str, layer: str, name: str, day: str, source: str | None = None) -> str:
     return partition_path(layer_path(base, layer, name, source), day)
 
@@ -178,7 +189,7 @@ def run_bronze(
     for spec in all_datasets():
         path = f"{source_dir.rstrip('/')}/{spec.source}/{spec.source_file}"
         steps.append(Step("bronze", spec.qualified, [path], _day(base, "bronze", spec.name, day, spec.source), lambda spec=spec, path=path: ingest(spec, path)))
-    return _run_steps(spark, base, day, steps, parallelism, resume)
+    return _run_ledgered(spark, base, day, steps, parallelism, resume)
 
 
 def transform_dataset(
@@ -213,7 +224,7 @@ def run_silver(
         known = silver_step(name)
         places = [_day(base, layer, known.name, day, known.source) for layer in ("bronze", "silver")]
         steps.append(Step("silver", name, places[:1], places[1], lambda name=name: transform_dataset(spark, base, name, day, as_of, tolerance), options))
-    return _run_steps(spark, base, day, steps, parallelism, resume)
+    return _run_ledgered(spark, base, day, steps, parallelism, resume)
 
 
 def run_gold(
@@ -255,8 +266,8 @@ def run_gold(
         step("dim_products", products, ["crm.prd_info", "erp.px_cat_g1v2"]),
     ]
     fact = step("fact_sales", sales, ["crm.sales_details"], ["dim_products", "dim_customers"])
-    results = _run_steps(spark, base, day, dims, parallelism, resume)
-    return results + _run_steps(spark, base, day, [fact], 1, resume)
+    results = _run_ledgered(spark, base, day, dims, parallelism, resume)
+    return results + _run_ledgered(spark, base, day, [fact], 1, resume)
 
 
 def run_all(
