@@ -91,26 +91,29 @@ def top_k(vectors: DataFrame, is_query: Callable, k: int = 10, id_col: str = "ve
     ship(spark)
     whole = whole_components(vectors, id_col, vec_col, scale).withColumn("row", F.monotonically_increasing_id())
     table = write_scratch(whole.withColumn("is_query", is_query(F.col("id"))), "whole")
-    sizes = table.groupBy("dim").agg(F.count_if("is_query").alias("queries")).where("queries > 0").orderBy("dim").collect()
+    largest = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, c: s + c * c))
+    sizes = table.groupBy("dim").agg(F.max(largest).alias("norm"), F.count_if("is_query").alias("queries")).where("queries > 0").orderBy("dim").collect()
     out = spark.createDataFrame([], "query long, query_id long, vec_id long, score long")
     for size in sizes:  # one row per number of components
         blocks = math.ceil(size["queries"] / QUERY_BLOCK)
         same = table.where(F.col("dim") == size["dim"])
         for block in range(blocks):
             asked = same.where(F.col("is_query") & (F.pmod(F.xxhash64("row"), F.lit(blocks)) == block)).select("id", "row", "v").orderBy("row").toArrow()
-            out = out.unionByName(_search(same.select("id", "row", "v"), asked, k, size["dim"]))
+            out = out.unionByName(_search(same.select("id", "row", "v"), asked, k, size["dim"], size["norm"]))
     rank = F.expr("row_number() OVER (PARTITION BY query ORDER BY score DESC, vec_id)").cast("int")
     return out.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
-def _search(rows: DataFrame, asked: pa.Table, k: int, dim: int) -> DataFrame:
+def _search(rows: DataFrame, asked: pa.Table, k: int, dim: int, norm: float) -> DataFrame:
     """Rows that can be among the k best of the queries of one block."""
     spark = rows.sparkSession
     ids, numbers = asked["id"].to_numpy(), asked["row"].to_numpy()
     queries = _matrix(asked["v"].combine_chunks(), dim)
     shared = spark.sparkContext.broadcast((ids, numbers, queries))  # about QUERY_BLOCK vectors
-    low = np.zeros(len(ids), np.uint64)  # the interval of the kth, ends included
-    high = np.full(len(ids), np.iinfo(np.uint64).max)
+    # the interval of the kth, ends included: no product is larger than the norms'
+    bound = _norm(queries) * norm * 1.001 + 1
+    ends = np.array([-bound, bound] if bound < _WHOLE / 2 else [-(2**63), 2**63 - 1], np.int64)
+    low, high = (np.full(len(ids), key) for key in _keys(ends))
     above = np.zeros(len(ids), np.int64)  # scores known to be over high
     all_fit = np.zeros(len(ids), bool)  # fewer than k candidates
     first = True
