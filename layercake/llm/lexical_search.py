@@ -43,7 +43,6 @@ TERM_SEPARATORS = np.zeros(256, bool)
 TERM_SEPARATORS[:128] = True
 for _low, _high in (("0", "9"), ("A", "Z"), ("a", "z")):
     TERM_SEPARATORS[ord(_low) : ord(_high) + 1] = False
-_TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 _INDEX = "shard long, term long, rows array<int>, gains array<long>, ids array<long>"
 
@@ -52,11 +51,32 @@ def _terms(texts: list[str]):
     return find_words(*text_buffer(pa.array(texts, pa.large_string())), fold_case=True, separators=TERM_SEPARATORS)
 
 
+def term_counts(texts: list[str]) -> np.ndarray:
+    """The number of terms of each text."""
+    buffer, offsets = text_buffer(pa.array(texts, pa.large_string()))
+    solid = ~TERM_SEPARATORS[buffer]
+    first = solid.copy()
+    first[1:] &= ~solid[:-1]
+    opening = offsets[:-1][offsets[:-1] < len(buffer)]
+    first[opening] = solid[opening]
+    before = np.concatenate([[0], np.cumsum(first)])
+    return before[offsets[1:]] - before[offsets[:-1]]
+
+
 def text_lengths(docs: DataFrame, text_col: str = "text") -> tuple[int, int]:
     """The number of texts with a term, and of all their terms."""
-    n = F.regexp_count(F.col(text_col).cast("string"), F.lit(_TERM)).cast("long")
-    row = docs.select(n.alias("n")).where("n > 0").agg(F.count(F.lit(1)).alias("texts"), F.sum("n").alias("terms")).first()
-    return int(row["texts"]), int(row["terms"] or 0)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        texts = terms = 0
+        for batch in batches:
+            for _, own in text_slices(batch, 0, 1 << 20):
+                n = term_counts(own)
+                texts, terms = texts + int((n > 0).sum()), terms + int(n.sum())
+        yield pa.RecordBatch.from_pydict({"texts": pa.array([texts], pa.int64()), "terms": pa.array([terms], pa.int64())})
+
+    source = docs.select(F.col(text_col).cast("string").alias("text")).where("text <> ''")
+    row = source.mapInArrow(run, "texts long, terms long").agg(F.sum("texts").alias("texts"), F.sum("terms").alias("terms")).first()
+    return int(row["texts"] or 0), int(row["terms"] or 0)
 
 
 def gains(tf: np.ndarray, n: np.ndarray, texts: int, terms: int) -> np.ndarray:

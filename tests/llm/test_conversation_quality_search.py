@@ -208,6 +208,12 @@ def test_resolve_gives_whole_results(first_read):
         assert found == {i: int(s) for i, s in enumerate(total) if s >= kth > 0 and s > 0}
 
 
+def test_term_counts():
+    texts = ["", "a", " a", "a ", "a-b", "ab中c d", "\x00", "é", "x" * 50, "z"]
+    assert lexical_search.term_counts(texts).tolist() == [len(terms_of(t)) for t in texts]
+    assert lexical_search.term_counts([]).tolist() == []
+
+
 def test_lexical_search_matches_brute_force(spark, monkeypatch):
     r = random.Random(8)
     word = lambda: r.choice(["the", "The", "of", "naïve", "x1", "中文", "a", "b", "rare" + str(r.randrange(40))])
