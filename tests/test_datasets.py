@@ -236,3 +236,22 @@ def test_metrics_table(spark, tmp_path):
         runner.write_metrics(spark, [runner.StepResult("gold", "fact_sales", 5, 1.5)], path, day)
     rows = spark.read.parquet(path).orderBy("date").collect()
     assert [(r.layer, r.dataset, r.rows, r.seconds, r.date) for r in rows] == [("gold", "fact_sales", 5, 1.5, d) for d in ("2026-01-01", "2026-01-02")]
+
+
+def test_sales_stand_in_without_quantity(spark):
+    """Lines whose amount and price are left out need no quantity; the others fail without."""
+    from pyspark.errors import PySparkException
+
+    from layercake.plans.standins import bronze_sales_details
+
+    day = "timestamp_ntz '2020-05-06 00:00:00'"
+    line = f"CAST({{}} AS bigint) AS l_orderkey, 5L AS l_partkey, {{}} AS l_linenumber, 0D AS l_quantity, 9D AS l_extendedprice, {day} AS l_shipdate"
+    orders = spark.sql(f"SELECT id AS o_orderkey, 7L AS o_custkey, {day} AS o_orderdate FROM range(9)")
+
+    def sales(order, number):
+        tables = {"lineitem": spark.sql("SELECT " + line.format(order, number)), "orders": orders}
+        return [(r.sls_sales, r.sls_quantity, r.sls_price, r.sls_ship_dt) for r in bronze_sales_details(tables.__getitem__).collect()]
+
+    assert sales(0, 6) == [(None, 0, None, 20200506)]
+    with pytest.raises(PySparkException, match="DIVIDE_BY_ZERO"):
+        sales(0, 5)

@@ -96,6 +96,19 @@ def test_op7_parse_int_date(spark):
     assert out == [dt.date(2010, 12, 29), None, None, None, None, None, None, dt.date(2024, 2, 29), None]
 
 
+def test_op7_every_month_and_day_number(spark):
+    values = [y * 10000 + m * 100 + d for y in (1000, 1900, 2000, 2023, 2024, 9999) for m in (*range(14), 99) for d in (*range(33), 60, 99)]
+    values += [9_999_999, 100_000_000, 2**31 + 20101229, 2**62, -(2**62)]
+
+    def day(n):
+        try:
+            return dt.datetime.strptime(str(n), "%Y%m%d").date() if len(str(n)) == 8 else None
+        except ValueError:
+            return None
+
+    assert apply(spark, values, parse_int_date, "bigint") == [day(n) for n in values]
+
+
 def test_op8_repair_truth_table(spark):
     # (sales, qty, price) -> (sales', price')
     table = [
