@@ -19,7 +19,7 @@ executor is lost, sends the same blocks.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterable, Iterator
+from collections.abc import Container, Iterable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -98,17 +98,20 @@ def pack(values: Iterable[np.ndarray], keys: np.ndarray | None = None) -> bytes:
     return n.to_bytes(8, "little") + (_ZSTD.compress(body, asbytes=True) if n else b"")
 
 
-def unpack(block: bytes, dtypes: Iterable[str], with_keys: bool = True) -> list[np.ndarray]:
-    """The arrays of ``pack``: keys first, if any, then one array per dtype."""
+def unpack(block: bytes, dtypes: Iterable[str], with_keys: bool = True, without: Container[int] = ()) -> list[np.ndarray]:
+    """The arrays of ``pack``: keys first, if any, then one array per dtype, but for those
+    numbered ``without``."""
     kinds = [np.dtype(d) for d in ([np.uint64] if with_keys else []) + list(dtypes)]
     n = int.from_bytes(block[:8], "little")
+    skipped = [i - with_keys in without for i in range(len(kinds))]
     if not n:
-        return [np.zeros(0, k) for k in kinds]
+        return [np.zeros(0, k) for k, skip in zip(kinds, skipped, strict=True) if not skip]
     body = np.frombuffer(_ZSTD.decompress(block[8:], n * sum(k.itemsize for k in kinds)), np.uint8)
     out, at = [], 0
-    for k in kinds:
+    for k, skip in zip(kinds, skipped, strict=True):
         planes = body[at : at + n * k.itemsize].reshape(k.itemsize, n)
-        out.append(np.ascontiguousarray(planes.T).view(k).reshape(n))
+        if not skip:
+            out.append(np.ascontiguousarray(planes.T).view(k).reshape(n))
         at += n * k.itemsize
     if with_keys:
         out[0] = np.cumsum(out[0], dtype=np.uint64)
@@ -176,8 +179,10 @@ def answers_table(found: Gathered, bucket: int, blocks: Iterable[bytes]) -> pa.T
     return pa.table({"chunk": pa.array(found.chunks, pa.int64()), "bucket": pa.array(np.full(len(blocks), bucket, np.int32)), "block": pa.array(blocks, pa.binary())})
 
 
-def answered(table: pa.Table, dtypes: list[str]) -> list[np.ndarray]:
-    """The answers of all buckets to one chunk, in the order of its sorted keys."""
+def answered(table: pa.Table, dtypes: list[str], without: Container[int] = ()) -> list[np.ndarray]:
+    """The answers of all buckets to one chunk, in the order of its sorted keys: an array per
+    dtype, but for those numbered ``without``."""
     table = table.sort_by("bucket")
-    parts = [unpack(b.as_py(), dtypes, with_keys=False) for b in table["block"]]
-    return [np.concatenate([p[i] for p in parts]) if parts else np.zeros(0, d) for i, d in enumerate(dtypes)]
+    parts = [unpack(b.as_py(), dtypes, with_keys=False, without=without) for b in table["block"]]
+    kept = [d for i, d in enumerate(dtypes) if i not in without]
+    return [np.concatenate([p[i] for p in parts]) if parts else np.zeros(0, d) for i, d in enumerate(kept)]

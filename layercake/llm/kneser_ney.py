@@ -10,6 +10,10 @@ counts of its n-grams, and make one chunk the owner of each: owners count the di
 left extensions (continuation counts) and the follower statistics of contexts for the
 next order. Sums over the corpus travel with the blocks: every chunk sends to every
 bucket, every bucket answers every chunk.
+
+The answers of an order are written, and the shuffles that led to them are freed: keys are
+hashes, which do not compress, so that the blocks of two orders and the texts together take
+more disk than all the rest. The texts are dealt anew for every order.
 """
 
 from __future__ import annotations
@@ -28,18 +32,26 @@ from pyspark.sql import functions as F
 from layercake.llm import exchange as X
 from layercake.llm.shipping import ship
 from layercake.llm.words import find_words, mix, place_factor, text_buffer
-from layercake.session import scratch_dir
+from layercake.session import scratch_dir, shuffles_freed, write_scratch
 
 #: Least discount of a count.
 LEAST_DISCOUNT = 0.05
 _BEGIN, _END = np.uint64(0x62656769), np.uint64(0x656E64)
 _BLOCKS = X.BLOCKS + ", stats array<long>"
 _ANSWERS = X.ANSWERS + ", stats array<long>"
-#: Values of an n-gram in a block: text count, continuation count, and as a context:
-#: followers' total and how many of them have count 1, 2, 3 or more.
-_SENT = ["u4", "u4", "i8", "u4", "u4", "u4"]
-#: Values of an answer: the same totals, and whether this chunk owns the n-gram.
-_BACK = ["i8", "i8", "i8", "i8", "i8", "i8", "u1"]
+
+
+def _sent(m: int, order: int) -> list[str]:
+    """Types of an n-gram's values in a block: its count (in the texts for the longest,
+    else of its left extensions), and, below the longest, as a context: how many followers
+    have count 1, 2, 3 or more, and the followers' total beyond 1, 2 and 3 for each of
+    these; of single tokens the text count too, last."""
+    return ["u4"] + (["u4", "u4", "u4", "i8"] if m < order else []) + (["u4"] if m == 1 < order else [])
+
+
+def _back(m: int, order: int) -> list[str]:
+    """Types of an answer's values: the same totals, and whether this chunk owns the n-gram."""
+    return ["i8"] * len(_sent(m, order)) + ["u1"]
 
 
 class _Chunk:
@@ -64,37 +76,42 @@ class _Chunk:
         self._grams: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
 
     def grams(self, m: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Sorted keys of the n-grams of m tokens that end at each place; the first
-        trained place of each (else its first); the key of each place."""
+        """Sorted keys of the n-grams of m tokens that end at each place; a trained place of
+        each (else any of its places); the key of each place."""
         if m not in self._grams:
             at = np.arange(len(self.tokens))
-            total = np.full(len(at), m, np.uint64)
-            for j in range(m):
+            total = self.tokens * place_factor(0) + np.uint64(m)
+            for j in range(1, m):
                 total += self.tokens[np.maximum(at - j, self.starts)] * place_factor(j)
-            keys, first, place = np.unique(mix(total), return_index=True, return_inverse=True)
-            trained = np.flatnonzero(self.trained)[::-1]
-            first[place[trained]] = trained
-            self._grams[m] = keys, first, place
+            hashes = mix(total)
+            by_key = np.argsort(hashes)
+            ordered = hashes[by_key]
+            new = np.ones(len(ordered), bool)
+            new[1:] = ordered[1:] != ordered[:-1]
+            place = np.empty(len(at), np.int64)
+            place[by_key] = np.cumsum(new) - 1
+            keys, example = ordered[new], by_key[new]
+            trained = np.flatnonzero(self.trained)
+            example[place[trained]] = trained
+            self._grams[m] = keys, example, place
         return self._grams[m]
 
     def values(self, m: int, above: list[np.ndarray] | None) -> list[np.ndarray]:
-        """What this chunk adds to each n-gram of m tokens; ``above``: the answers for
-        m + 1 tokens."""
+        """What this chunk adds to each n-gram of m tokens (see ``_sent``); ``above``: the
+        answers for m + 1 tokens."""
         keys, _, place = self.grams(m)
         n = len(keys)
-        text_count = np.bincount(place[self.trained], minlength=n)
+        text_count = np.bincount(place[self.trained], minlength=n).astype("u4") if above is None or m == 1 else None
         if above is None:
-            return [text_count.astype("u4"), text_count.astype("u4"), *[np.zeros(n, d) for d in _SENT[2:]]]
-        count, owned = above[1], above[6] > 0
+            return [text_count]
+        owned = above[-1] > 0
         last = self.grams(m + 1)[1][owned]  # a place of each n-gram that this chunk owns
-        count = count[owned]
+        count = above[0][owned]
         ends, context = place[last], place[last - 1]
-        return [
-            text_count.astype("u4"),
-            np.bincount(ends, minlength=n).astype("u4"),
-            np.bincount(context, count, n).astype("i8"),
-            *[np.bincount(context[which], minlength=n).astype("u4") for which in (count == 1, count == 2, count > 2)],
-        ]
+        followers = [np.bincount(context[which], minlength=n).astype("u4") for which in (count == 1, count == 2, count > 2)]
+        more = count > 3
+        beyond = np.bincount(context[more], count[more] - 3, n).astype("i8")
+        return [np.bincount(ends, minlength=n).astype("u4"), *followers, beyond, *([text_count] if m == 1 else [])]
 
     def block(self, chunk: int, m: int, above: list[np.ndarray] | None, buckets: int) -> pa.Table:
         blocks = X.blocks_table(chunk, self.grams(m)[0], self.values(m, above), 64, buckets, to_all=True)
@@ -124,22 +141,25 @@ class _Shard:
         self.keys = _mapped(found.keys[found.order][found.firsts], folder)
         self.values = [_mapped(s, folder) for s in sums]
         # the first chunk that adds to an n-gram owns it
-        adds = found.values[1][found.order] > 0
+        adds = found.values[0][found.order] > 0
         number = np.where(adds, np.arange(len(adds)), len(adds))
         self.owner = np.minimum.reduceat(number, found.firsts) if len(adds) else number
 
     def stats(self, tokens: int) -> list[int]:
-        text_count, count = self.values[0], self.values[1]
-        return [tokens, int((text_count > 0).sum()), *[int((count == c).sum()) for c in (1, 2, 3, 4)], int((count > 2).sum()), int(count.sum())]
+        """Training tokens; n-grams that training texts have (for single tokens, whose last
+        value is the text count); n-grams of count 1, 2, 3, 4 and over 2; all counts."""
+        count = self.values[0]
+        n = np.bincount(np.minimum(count, 5), minlength=6)
+        return [tokens, int((self.values[-1] > 0).sum()), *[int(x) for x in n[1:5]], int(n[3:].sum()), int(count.sum())]
 
     def look_up(self, keys: np.ndarray) -> list[np.ndarray]:
         at = np.searchsorted(self.keys, keys)
         return [np.asarray(v[at]) for v in self.values]
 
 
-def _answer(blocks: pa.Table, folder: str | None) -> pa.Table:
+def _answer(blocks: pa.Table, sent: list[str], folder: str | None) -> pa.Table:
     blocks = blocks.sort_by("chunk")
-    found = X.gather(blocks, _SENT)
+    found = X.gather(blocks, sent)
     shard = _Shard(found, folder)
     owner = np.zeros(len(found.keys), np.uint8)
     owner[found.order[shard.owner[shard.owner < len(found.keys)]]] = 1
@@ -166,25 +186,29 @@ def _scores(chunk: _Chunk, answers: dict[int, tuple[list[np.ndarray], np.ndarray
     values, stats = answers[1]
     tokens, distinct = int(stats[0, 0]), int(stats[:, 1].sum())
     keys, _, place = chunk.grams(1)
-    text_count = values[0][place]
+    text_count = values[-1][place]
     base = np.log10((text_count + 0.5) / (tokens + 0.5 * (distinct + 1)))
     chance = np.full(len(place), 1.0 / (distinct + 1))
     for m in range(1, chunk.order + 1):
         values, stats = answers[m]
         totals = stats.sum(0)
         d1, d2, d3 = discounts(*[int(x) for x in totals[2:6]])
-        count = values[1][chunk.grams(m)[2]]
+        # by key, then for each place
+        count = values[0]
+        left = (count - np.array([0.0, d1, d2, d3])[np.minimum(count, 3)])[chunk.grams(m)[2]]
         if m == 1:
-            followers = [np.int64(totals[7]), totals[2], totals[3], totals[6]]
+            ones, twos, more = totals[2], totals[3], totals[6]
+            total = np.asarray(totals[7], float)
         else:
-            context = chunk.grams(m - 1)[2][np.maximum(np.arange(len(place)) - 1, 0)]
-            followers = [v[context] for v in answers[m - 1][0][2:6]]
-        total, ones, twos, more = [np.asarray(f, float) for f in followers]
-        known = np.broadcast_to(total > 0, chance.shape)
-        cut = np.select([count == 0, count == 1, count == 2], [0.0, d1, d2], d3)
+            ones, twos, more, beyond = answers[m - 1][0][1:5]
+            total = (ones + 2 * twos + 3 * more + beyond).astype(float)
         with np.errstate(divide="ignore", invalid="ignore"):
-            here = (count - cut) / total + (d1 * ones + d2 * twos + d3 * more) / total * chance
-        chance = np.where(known, here, chance)
+            rest = (d1 * ones + d2 * twos + d3 * more) / total
+            if m > 1:
+                context = chunk.grams(m - 1)[2][np.maximum(np.arange(len(place)) - 1, 0)]
+                total, rest = total[context], rest[context]
+            here = left / total + rest * chance
+        chance = np.where(np.broadcast_to(total > 0, chance.shape), here, chance)
 
     def by_text(x: np.ndarray) -> np.ndarray:
         # one sum per text, each with a begin mark at least
@@ -213,7 +237,8 @@ def score_texts(docs: DataFrame, train, id_col: str = "doc_id", text_col: str =
     Tokens are words (A-Z lower-cased), then one end. A null text is empty: one token.
     A null ``train`` counts as false. Without training rows every token is unknown and
     scores by the uniform distribution. Repeated rows count and score each. An empty table
-    gives no rows; other columns are ignored.
+    gives no rows; other columns are ignored. ``docs`` is read once per order and once to
+    score, and has to give the same rows each time.
     """
     ship(docs.sparkSession)
     layout = X.layout_of(docs, text_col)
@@ -224,18 +249,23 @@ def score_texts(docs: DataFrame, train, id_col: str = "doc_id", text_col: str =
     def heard(answers: pa.Table) -> Iterator[tuple[int, tuple[list[np.ndarray], np.ndarray]]]:
         for m in sorted(set(answers["level"].to_pylist()), reverse=True):
             own = answers.filter(pa.compute.equal(answers["level"], m))
-            yield m, (X.answered(own, _BACK), np.array(own["stats"].to_pylist(), np.int64))
+            unused = len(_back(m, order)) - 1  # whose n-gram it is
+            yield m, (X.answered(own, _back(m, order), without={unused}), np.array(own["stats"].to_pylist(), np.int64))
 
     def send(m: int):
         def first(docs: pa.Table) -> pa.Table:
             return _Chunk(docs, order).block(docs["chunk"][0].as_py(), m, None, buckets)
 
         def next_order(docs: pa.Table, answers: pa.Table) -> pa.Table:
-            above = dict(heard(answers))[m + 1][0]
+            kinds = _back(m + 1, order)
+            above = X.answered(answers, kinds, without=range(1, len(kinds) - 1))  # counts and owners
             return _Chunk(docs, order).block(docs["chunk"][0].as_py(), m, above, buckets)
 
         return first if m == order else next_order
 
+    def answer(m: int):
+        return lambda blocks: _answer(blocks, _sent(m, order), folder)
+
     folder = _local_folder(docs.sparkSession)
     answers: dict[int, DataFrame] = {}
     for m in range(order, 0, -1):
@@ -243,7 +273,9 @@ def score_texts(docs: DataFrame, train, id_col: str = "doc_id", text_col: str =
             blocks = by_chunk.applyInArrow(send(m), _BLOCKS)
         else:
             blocks = by_chunk.cogroup(answers[m + 1].groupBy("chunk")).applyInArrow(send(m), _BLOCKS)
-        answers[m] = blocks.groupBy("bucket").applyInArrow(lambda t: _answer(t, folder), _ANSWERS).withColumn("level", F.lit(m))
+        own = blocks.groupBy("bucket").applyInArrow(answer(m), _ANSWERS)
+        with shuffles_freed(docs.sparkSession):
+            answers[m] = write_scratch(own, f"kneser-ney-{m}").withColumn("level", F.lit(m))
     together = answers[order]
     for m in range(order - 1, 0, -1):
         together = together.unionByName(answers[m])

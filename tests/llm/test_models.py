@@ -7,6 +7,7 @@ import itertools
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 from fractions import Fraction
@@ -293,3 +294,31 @@ def test_kneser_ney_without_training(spark):
     got = {x["doc_id"]: x for x in kneser_ney.score_texts(docs, F.lit(False)).collect()}
     assert got[1]["n_known"] == 0 and got[1]["train_tokens"] == 0 and got[1]["score"] == 0.0
     assert kneser_ney.score_texts(docs.where("false"), F.lit(True)).count() == 0
+
+
+def _shuffle_files(spark) -> dict[str, int]:
+    found = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().getAllFiles()
+    return {f.getName(): f.length() for f in (found.apply(i) for i in range(found.size())) if f.getName().startswith("shuffle_")}
+
+
+def test_kneser_ney_keeps_the_blocks_of_one_order(spark):
+    """The blocks of an order are deleted once its answers are written: what is left on disk
+    when all is done are the texts, dealt for the scores, and the answers."""
+    rng = random.Random(5)
+    texts = [" ".join("".join(rng.choices("abcdefghijklmnop", k=8)) for _ in range(400)) for _ in range(200)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    volume, setting = sum(map(len, texts)), "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, was = set(_shuffle_files(spark)), spark.conf.get(setting)
+
+    def left(most: float) -> int:
+        for _ in range(40):  # files are deleted in the background
+            size = sum(size for name, size in _shuffle_files(spark).items() if name not in before)
+            if size <= most:
+                break
+            time.sleep(0.25)
+        return size
+
+    scored = kneser_ney.score_texts(docs, F.col("doc_id") % 5 > 0, order=3)
+    assert left(volume / 100) <= volume / 100
+    assert len(scored.collect()) == 200 and spark.conf.get(setting) == was
+    assert left(2 * volume) <= 2 * volume
