@@ -61,6 +61,18 @@ def test_zero_padded_keeps_long_numbers(spark):
     assert [r[0] for r in spark.createDataFrame([(7,), (1234567,)], "v long").orderBy("v").select(zero_padded(F.col("v"), 5)).collect()] == ["00007", "1234567"]
 
 
+def test_zero_padded_without_formatter(spark):
+    """Whole numbers are padded without Java's formatter, and all as it pads them."""
+    from layercake.plans.standins import zero_padded
+
+    values = [0, 7, 99999, 100000, 2**63 - 1, -1, -12345, -(2**63), None]
+    padded = spark.createDataFrame([(v,) for v in values], "v long").select(zero_padded(F.col("v"), 5).alias("p"))
+    want = ["00000", "00007", "99999", "100000", "9223372036854775807", "-0001", "-12345", "-9223372036854775808", " null"]
+    assert [r.p for r in padded.collect()] == want
+    ids = spark.range(3).select(zero_padded(F.col("id"), 5).alias("p"))
+    assert "lpad(" in ids._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_op2_map_codes_exact_and_default(spark):
     m = {"S": "Single", "M": "Married"}
     assert apply(spark, ["S", "M", "s", None, "X"], lambda c: map_codes(c, m, "Unknown")) == [
